@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,7 @@ def tokenizer_file() -> str:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     from .bpe_stream import encode_documents
 
-    coded = encode_documents(docs.select("doc_id", "text").select("doc_id", "text"), tokenizer_file())
+    coded = encode_documents(docs.select("doc_id", "text"), tokenizer_file())
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -34,8 +34,22 @@ def op6_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import read_token_files, write_token_files
+
+    path = new_path(spark, "token_files")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file(), end_id=2)
+    return read_token_files(spark, path).select(
+        "doc_id",
+        "start",
+        F.expr("length(ids) div 4").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op6_bpe_stream": op6_bpe_stream,
+    "op9_token_files": op9_token_files,
 }
 
 SQL: dict[str, str] = {}
