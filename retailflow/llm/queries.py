@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, table
+from .common import cut, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,45 @@ def op6_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import default_patterns, filter_urls, host_rule
+
+    hosts = [host_rule(r, v) for r, v in (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))]
+    found = filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), hosts, default_patterns())
+    return found.select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+OP7_SQL = r"""
+WITH parts AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule,
+    list_filter(['adult', 'bets', 'casino', 'pills', 'porn', 'spam', 'track', 'viagra', 'warez'],
+      lambda w: list_contains(regexp_split_to_array(host, '[.-]'), w)) AS words
+  FROM parts)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IS NOT NULL THEN CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END
+    WHEN len(words) > 0 THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NOT NULL THEN rule WHEN len(words) > 0 THEN '*' || list_max(words) || '*' END AS pattern
+FROM ruled
+"""
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judged, limits, measured, sketches
+
+    measures = cut(measured(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("text"))
+    kept = judged(measures, limits(sketches(measures)))
+    return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_token_files, write_token_files
 
@@ -49,7 +88,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op6_bpe_stream": op6_bpe_stream,
+    "op7_url_filter": op7_url_filter,
+    "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_url_filter": OP7_SQL,
+}
