@@ -30,6 +30,13 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import dedup_substrings
+
+    kept = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -87,6 +94,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe_stream": op6_bpe_stream,
     "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
