@@ -30,6 +30,12 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import similar
+
+    return similar(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import dedup_substrings
 
@@ -94,6 +100,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe_stream": op6_bpe_stream,
     "op7_url_filter": op7_url_filter,
