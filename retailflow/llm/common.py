@@ -38,3 +38,16 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str, codec: str = "snappy") -> tuple[DataFrame, str]:
+    """df as a table in the shared folder, and its path: smaller than a checkpoint, and free to be read in parts."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a table of `written` that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

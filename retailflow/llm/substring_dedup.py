@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path
+from .common import discard, written
 
 #: Odd multipliers of the two rolling hashes, and what the avalanche step multiplies by.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -163,13 +163,12 @@ def _without(rows: DataFrame, window: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, window: int) -> DataFrame:
     """For each document (doc, tk): the runs of windows that also start in a document with a smaller id."""
     spark = docs.sparkSession
-    path = new_path(spark, "segments")
-    _segments_of(docs.filter(F.col("doc").isNotNull()).select("doc", "tk", "text"), window).write.parquet(path)
-    found = spark.read.parquet(path)
+    found, path = written(_segments_of(docs.filter(F.col("doc").isNotNull()).select("doc", "tk", "text"), window), "segments")
 
     # level one: anchors in at least two documents
     shared = found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("h")
-    alive = found.join(shared, "h", "left_semi")
+    alive, _ = written(found.join(shared, "h", "left_semi"), "alive")
+    discard(spark, path)
     # the same segment in a smaller document settles it
     least = F.min(F.struct("doc", "tk", "s", "n")).alias("first")
     texts = alive.groupBy("h", "g").agg(least, F.max("doc").alias("hi"))
@@ -177,10 +176,7 @@ def repeated_ranges(docs: DataFrame, window: int) -> DataFrame:
     odd = texts.join(several, "h", "left_semi").select("h", "g", "first.*")
     # level two: single windows of segments whose anchor has others
     lists = odd.groupBy("doc", "tk").agg(F.collect_list(F.struct("h", "g", "s", "n")).alias("listed"))
-    windows = _windows_of(docs.select("doc", "tk", "text").join(lists, ["doc", "tk"]).select("doc", "text", "listed"), window)
-    path = new_path(spark, "windows")
-    windows.write.parquet(path)
-    windows = spark.read.parquet(path)
+    windows, _ = written(_windows_of(docs.select("doc", "tk", "text").join(lists, ["doc", "tk"]).select("doc", "text", "listed"), window), "windows")
     smaller = windows.groupBy("w1", "w2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("w1", "w2", "lo")
     hit = windows.join(smaller, ["w1", "w2"]).filter("doc > lo").groupBy("h", "g").agg(F.collect_set("offset").alias("offsets"))
     # occurrences in the segment's first document have the windows found alone; in others all of them
@@ -195,7 +191,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50, doc_id: str = "doc_id",
     """docs with kept_text (the words that stay, one space between them), n_words and n_removed."""
     new = ("kept_text", "n_words", "n_removed", "doc", "tk", "ranges")
     rest = [c for c in docs.columns if c not in new]
-    key = F.xxhash64(F.col(text))
+    key = F.hash(F.col(text)).cast("bigint")  # tells rows with the same id apart
     keyed = docs.select(F.col(doc_id).cast("bigint").alias("doc"), key.alias("tk"), F.col(text).alias("text"))
     ranges = repeated_ranges(keyed, window)
     own = docs.select(*[F.col(c).alias(f"own_{c}") for c in rest if c != text], F.col(text).alias("text"), F.col(doc_id).cast("bigint").alias("doc"), key.alias("tk"))
