@@ -1,14 +1,13 @@
 """Token files: frequency-ranked ids in a byte-aligned variable-length code with separate control bytes.
 
-Writing takes two passes over the documents. The first counts the ids of all documents (a row for each id and
-task reaches the shuffle, one for each id the driver, so both are bounded by the vocabulary) and ranks them, the
-most frequent first, so that frequent ids need one byte. The second sorts the documents by id into ranges and
-writes each range as blocks. A block holds the ranks of whole documents: two bits for each rank's length, four
+Documents are encoded once, into a table in the shared folder. Each task also counts its ids; the sums (a row for
+each id reaches the driver, so they are bounded by the vocabulary) rank them, the most frequent first, so that
+frequent ids need one byte. Then the documents are sorted by id into ranges, and each range is written as blocks. A block holds the ranks of whole documents: two bits for each rank's length, four
 to a control byte, apart from the data bytes. Readers look up lengths by control byte and gather all ranks with
 numpy. Blocks and the rank table are columns of Parquet files, so Spark's committers and retries apply to them.
 
 Rows: a null text counts as an empty one and has just the end id. Documents are in ascending order of doc_id,
-null ids first; rows with the same id follow the hash of their text, then the text. Nothing else of a row is kept.
+null ids first; rows with the same id follow the hash of their text. Nothing else of a row is kept.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe_stream import _GAP, _ODD, _SIMPLE, LONG_CHUNK, byte_alphabet
+from .common import discard, written
 
 #: Ids to a block, about: a block ends with the document that fills it.
 BLOCK = 1 << 18
@@ -30,13 +30,14 @@ LAYOUT = "part int, block int, before bigint, doc_ids array<bigint>, lengths arr
 
 
 class LibraryCodec:
-    """The tokenizers library's ids of whole texts, kept for recent chunks between white space.
+    """The tokenizers library's ids of whole texts, kept for the first chunks between white space
+    that it meets; of a skewed vocabulary these hold the frequent ones.
 
     No piece of this tokenizer reaches over white space, so a text's ids are those of its chunks, one after the
     other. Chunks of Latin letters and marks go straight to the library's model, all others through all its steps.
     """
 
-    def __init__(self, path: str, keep: int = 200_000, keep_pieces: int = 500_000) -> None:
+    def __init__(self, path: str, keep: int = 500_000, keep_pieces: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,30 +48,34 @@ class LibraryCodec:
         alphabet = byte_alphabet()
         self.letters = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(256)}
         self.keep, self.keep_pieces = keep, keep_pieces
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.passed = 0
         self.pieces: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
         chunks = [c for c in _GAP.split(text) if c] if _ODD.search(text) else text.split()
-        found = [*map(self.new.get, chunks)]
+        found = [*map(self.known.get, chunks)]
         if None in found:
             found = [f if f is not None else self._chunk(c) for f, c in zip(found, chunks, strict=True)]
         return b"".join(found)
 
     def _chunk(self, chunk: str) -> bytes:
-        if (found := self.old.get(chunk)) is None:
-            m = _SIMPLE.fullmatch(chunk) if len(chunk) <= LONG_CHUNK else None
-            if m:
-                word, marks = m.groups()
-                found = (self._piece(word.lower()) if word else b"") + (self._piece(marks) if marks else b"")
-            else:
-                found = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= LONG_CHUNK:
-            if len(self.new) >= self.keep:
-                self.old, self.new = self.new, {}
-            self.new[chunk] = found
+        if (found := self.known.get(chunk)) is not None:
+            return found
+        m = _SIMPLE.fullmatch(chunk) if len(chunk) <= LONG_CHUNK else None
+        if m:
+            word, marks = m.groups()
+            found = (self._piece(word.lower()) if word else b"") + (self._piece(marks) if marks else b"")
+        else:
+            found = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.known) < self.keep and len(chunk) <= LONG_CHUNK:
+            self.known[chunk] = found
+        else:
+            self.passed += 1
+            if self.passed > 16 * self.keep:  # what was frequent at first may no longer be
+                self.known.clear()
+                self.passed = 0
         return found
 
     def _piece(self, piece: str) -> bytes:
@@ -122,64 +127,87 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, text: str = "text") -> DataFrame:
-    """How often each id occurs in all documents, end ids included: at most one row for each id of the vocabulary."""
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
+    """docs (doc_id, text) as ids, two bytes each where the vocabulary allows; and a row of id counts for each task."""
+    width = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    names = ["doc_id", "tie", "ids", "counts"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, counts = codec(tokenizer), np.zeros(vocabulary, np.int64)
+        end = int(end_id).to_bytes(4, "little")
+        for batch in batches:
+            held: list[bytes] = []
+            start, size = 0, 0
+            for row in range(batch.num_rows):
+                held.append(own.ids(batch.column(2)[row].as_py() or "") + end)
+                if (size := size + len(held[-1])) > 1 << 24 or row == batch.num_rows - 1:
+                    ids = np.frombuffer(b"".join(held), "<u4")
+                    counts += np.bincount(ids, minlength=vocabulary)
+                    narrow = ids.astype(width)
+                    ends = np.concatenate([[0], np.cumsum([len(h) // 4 for h in held])]) * narrow.itemsize
+                    binary = pa.BinaryArray.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(narrow)])
+                    own_ids = [batch.column(k).slice(start, len(held)) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*own_ids, binary, pa.nulls(len(held), pa.binary())], names=names)
+                    held, start, size = [], row + 1, 0
+        yield pa.RecordBatch.from_pylist([{"counts": counts.tobytes()}], pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())]))
+
+    return docs.mapInArrow(run, "doc_id bigint, tie bigint, ids binary, counts binary")
+
+
+def id_counts(coded: DataFrame) -> DataFrame:
+    """How often each id occurs in all documents: at most one row for each id of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, size = [], 0
             for value in batch.column(0):
-                held.append(own.ids(value.as_py() or ""))
-                if (size := size + len(held[-1])) > 1 << 22:
-                    counts += np.bincount(np.frombuffer(b"".join(held), "<u4"), minlength=vocabulary)
-                    held, size = [], 0
-            counts += np.bincount(np.frombuffer(b"".join(held), "<u4"), minlength=vocabulary)
-            counts[end_id] += batch.num_rows
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], names=["id", "n"])
+                counts = np.frombuffer(value.as_py(), np.int64)
+                seen = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], names=["id", "n"])
 
-    return docs.select(F.col(text)).mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return coded.filter(F.col("counts").isNotNull()).select("counts").mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encodes every whole text and writes the ids, in ascending order of doc_id, to files under path."""
     spark = docs.sparkSession
     vocabulary = max(codec(tokenizer).tokenizer.get_vocab_size(), end_id + 1)
-    counted = {r.id: r.n for r in id_counts(docs, tokenizer, end_id, vocabulary, text).collect()}
+    width = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    pairs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), F.col(text).alias("text"))
+    coded, held_at = written(encoded(pairs, tokenizer, end_id, vocabulary), "encoded", "zstd")
+    counted = {r.id: r.n for r in id_counts(coded).collect()}
     by_rank = sorted(range(vocabulary), key=lambda i: (-counted.get(i, 0), i))
     spark.createDataFrame([*enumerate(by_rank)], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
     ranks = np.empty(vocabulary, np.uint32)
     ranks[by_rank] = np.arange(vocabulary, dtype=np.uint32)
     shared = spark.sparkContext.broadcast(ranks)
-    end = int(end_id).to_bytes(4, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part = codec(tokenizer), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         block, before, size = 0, 0, 0
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         doc_ids: list[int | None] = []
 
         def take() -> pa.RecordBatch:
             nonlocal block, before, size, held, doc_ids
-            control, data = pack(shared.value[np.frombuffer(b"".join(held), "<u4")])
-            lengths = [len(h) // 4 for h in held]
+            control, data = pack(shared.value[np.concatenate(held)])
+            lengths = [len(h) for h in held]
             row = {"part": part, "block": block, "before": before, "doc_ids": doc_ids, "lengths": lengths, "control": control, "data": data}
             block, before, size, held, doc_ids = block + 1, before + sum(lengths), 0, [], []
             return pa.RecordBatch.from_pylist([row], _arrow_layout())
 
         for batch in batches:
             for row in range(batch.num_rows):
-                held.append(own.ids(batch.column(1)[row].as_py() or "") + end)
+                held.append(np.frombuffer(batch.column(1)[row].as_py(), width))
                 doc_ids.append(batch.column(0)[row].as_py())
-                if (size := size + len(held[-1])) >= 4 * BLOCK:
+                if (size := size + len(held[-1])) >= BLOCK:
                     yield take()
         if held:
             yield take()
 
-    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text"))
-    pairs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    pairs.repartitionByRange(*order[:2]).sortWithinPartitions(*order).mapInArrow(write, LAYOUT).write.parquet(f"{path}/blocks")
+    order = (F.col("doc_id").asc_nulls_first(), F.col("tie"))
+    rows = coded.filter(F.col("ids").isNotNull()).select("doc_id", "ids", "tie")
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, LAYOUT).write.parquet(f"{path}/blocks")
+    discard(spark, held_at)
 
 
 def _arrow_layout() -> pa.Schema:
