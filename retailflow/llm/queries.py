@@ -99,6 +99,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op5_substring_dedup": op5_substring_dedup,
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 SQL: dict[str, str] = {
