@@ -36,6 +36,14 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(table(spark, sf_dir, "documents"))
 
 
+def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .string_kernel import fit, held_out, predict
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out()))
+    return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import dedup_substrings
 
@@ -107,6 +115,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_string_kernel": op3_string_kernel,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe_stream": op6_bpe_stream,
     "op7_url_filter": op7_url_filter,
