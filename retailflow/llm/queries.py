@@ -44,6 +44,13 @@ def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
 
 
+def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_blocks import extract, fit
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages.select("page_id", "url", "html"), fit(pages))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import dedup_substrings
 
@@ -116,6 +123,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_string_kernel": op3_string_kernel,
+    "op4_html_blocks": op4_html_blocks,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_bpe_stream": op6_bpe_stream,
     "op7_url_filter": op7_url_filter,
