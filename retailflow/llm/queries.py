@@ -36,6 +36,46 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(table(spark, sf_dir, "documents"))
 
 
+def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k (chosen) and 2k + 1 (rejected) make pair k. Masks are joined as 'start-end' texts."""
+    from .preferences import format_preferences
+
+    turns = table(spark, sf_dir, "conversations").withColumns({"pair": F.expr("conv_id div 2"), "chosen": F.expr("conv_id % 2 = 0")})
+    mask = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), " ").alias(c)
+    pairs = format_preferences(turns, "pair", "chosen")
+    return pairs.select("pair_id", "chosen_id", "rejected_id", "n_prefix_turns", "prompt", "chosen", mask("chosen_mask"), "rejected", mask("rejected_mask"))
+
+
+OP2_SQL = r"""
+WITH turns AS (
+  SELECT DISTINCT conv_id // 2 AS pair_id, conv_id % 2 AS side, conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k,
+    '<|' || coalesce(role, 'unknown') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' || chr(10) AS body
+  FROM turns),
+prefix AS (
+  SELECT pair_id, least(coalesce(max(k) FILTER (side = 0), 0), coalesce(max(k) FILTER (side = 1), 0)) AS shortest,
+    min(k) FILTER (differs) AS first_other
+  FROM (SELECT *, count(*) OVER (PARTITION BY pair_id, k) = 2
+      AND (min(head) OVER (PARTITION BY pair_id, k) <> max(head) OVER (PARTITION BY pair_id, k)
+        OR min(body) OVER (PARTITION BY pair_id, k) <> max(body) OVER (PARTITION BY pair_id, k)) AS differs
+    FROM numbered)
+  GROUP BY pair_id),
+cut AS (
+  SELECT pair_id, coalesce(first_other - 1, shortest) AS n FROM prefix),
+placed AS (
+  SELECT t.*, c.n, sum(CASE WHEN k > n THEN length(head) + length(body) ELSE 0 END) OVER (PARTITION BY pair_id, side ORDER BY k) AS stop
+  FROM numbered t JOIN cut c USING (pair_id))
+SELECT pair_id, min(conv_id) FILTER (side = 0) AS chosen_id, min(conv_id) FILTER (side = 1) AS rejected_id, any_value(n) AS n_prefix_turns,
+  coalesce(string_agg(head || body, '' ORDER BY k) FILTER (side = 0 AND k <= n), '') AS prompt,
+  coalesce(string_agg(head || body, '' ORDER BY k) FILTER (side = 0 AND k > n), '') AS chosen,
+  coalesce(string_agg((stop - length(body)) || '-' || stop, ' ' ORDER BY k) FILTER (side = 0 AND k > n AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(head || body, '' ORDER BY k) FILTER (side = 1 AND k > n), '') AS rejected,
+  coalesce(string_agg((stop - length(body)) || '-' || stop, ' ' ORDER BY k) FILTER (side = 1 AND k > n AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY pair_id
+"""
+
+
 def op3_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .string_kernel import fit, held_out, predict
 
@@ -122,6 +162,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_preferences": op2_preferences,
     "op3_string_kernel": op3_string_kernel,
     "op4_html_blocks": op4_html_blocks,
     "op5_substring_dedup": op5_substring_dedup,
@@ -133,5 +174,6 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_preferences": OP2_SQL,
     "op7_url_filter": OP7_SQL,
 }
