@@ -128,10 +128,10 @@ def _windows_of(segment_lists: DataFrame, window: int) -> DataFrame:
     return segment_lists.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
 
-def _without(rows: DataFrame, window: int) -> DataFrame:
+def _without(rows: DataFrame, window: int, rest_text: bool) -> DataFrame:
     """rows (text, then `ranges` of first windows and counts, then the rest) with the covered words gone."""
     rest = [c for c in rows.columns if c not in ("text", "ranges")]
-    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)
+    fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +153,11 @@ def _without(rows: DataFrame, window: int) -> DataFrame:
                 removed.append(gone)
                 size += len(texts[-1])
                 if size > 1 << 23 or row == batch.num_rows - 1:
-                    own = [c.slice(start, row + 1 - start) for c in batch.columns[2:]]
-                    yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*rest, "kept_text", "n_words", "n_removed"])
+                    own = [c.slice(start, row + 1 - start) for c in [*batch.columns[2:], *batch.columns[:1] * rest_text]]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*rest, *["text"] * rest_text, "kept_text", "n_words", "n_removed"])
                     texts, counts, removed, start, size = [], [], [], row + 1, 0
 
-    return rows.select("text", "ranges", *rest).mapInArrow(run, f"{fields}, kept_text string, n_words bigint, n_removed bigint")
+    return rows.select("text", "ranges", *rest).mapInArrow(run, ", ".join([*fields, *["text string"] * rest_text, "kept_text string, n_words bigint, n_removed bigint"]))
 
 
 def repeated_ranges(docs: DataFrame, window: int) -> DataFrame:
@@ -187,13 +187,13 @@ def repeated_ranges(docs: DataFrame, window: int) -> DataFrame:
     return runs.filter(F.col("runs").isNotNull()).groupBy("doc", "tk").agg(F.flatten(F.collect_list("runs")).alias("ranges"))
 
 
-def dedup_substrings(docs: DataFrame, window: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with kept_text (the words that stay, one space between them), n_words and n_removed."""
-    new = ("kept_text", "n_words", "n_removed", "doc", "tk", "ranges")
-    rest = [c for c in docs.columns if c not in new]
+def dedup_substrings(docs: DataFrame, window: int = 50, doc_id: str = "doc_id", text: str = "text", rest_text: bool = False) -> DataFrame:
+    """docs with kept_text (the words that stay, one space between them), n_words and n_removed; with rest_text, text too."""
+    new = ("kept_text", "n_words", "n_removed")
+    rest = [c for c in docs.columns if c not in new and c != text]
     key = F.hash(F.col(text)).cast("bigint")  # tells rows with the same id apart
     keyed = docs.select(F.col(doc_id).cast("bigint").alias("doc"), key.alias("tk"), F.col(text).alias("text"))
     ranges = repeated_ranges(keyed, window)
-    own = docs.select(*[F.col(c).alias(f"own_{c}") for c in rest if c != text], F.col(text).alias("text"), F.col(doc_id).cast("bigint").alias("doc"), key.alias("tk"))
-    out = _without(own.join(ranges, ["doc", "tk"], "left").drop("doc", "tk"), window)
-    return out.select(*[F.col(f"own_{c}").alias(c) for c in rest if c != text], "kept_text", "n_words", "n_removed")
+    own = docs.select(*[F.col(c).alias(f"own_{c}") for c in rest], F.col(text).alias("text"), F.col(doc_id).cast("bigint").alias("doc"), key.alias("tk"))
+    out = _without(own.join(ranges, ["doc", "tk"], "left").drop("doc", "tk"), window, rest_text)
+    return out.select(*[F.col(f"own_{c}").alias(c) for c in rest], *[F.col("text").alias(text)] * rest_text, *new)
