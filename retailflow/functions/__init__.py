@@ -1,0 +1 @@
+"""Column expressions: time, ids, text and the mapping language."""

@@ -1,0 +1 @@
+"""Operators over DataFrames: enrichment, orders, indicators, joins, sinks, upkeep."""

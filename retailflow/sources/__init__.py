@@ -1,0 +1 @@
+"""Readers of logs, change rows and dimensions."""
