@@ -49,8 +49,8 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
 
 @dataclass(frozen=True)
 class Settings:
-    stride: int = 48
-    threshold: float = 0.55
+    stride: int = 32
+    threshold: float = 0.6
     overlap: float = 0.6
     ngram: int = 5
     block: int = 8
@@ -71,7 +71,8 @@ class TestItems:
                 self.items.append((item_id, *parts))
                 pieces = -(-len(words) // settings.stride)
                 entries += [(len(self.items) - 1, piece) for piece in np.array_split(words, pieces)]
-        entries.sort(key=lambda e: (np.bincount(e[1]).argmax(), len(e[1])))  # like items share blocks: tighter bounds
+        common = np.bincount(np.concatenate([*(np.unique(e[1]) for e in entries), np.empty(0, np.int64)]).astype(np.int64), minlength=len(self.terms))
+        entries.sort(key=lambda e: tuple(sorted(set(e[1].tolist()), key=lambda t: (-common[t], t))[:4]))  # like items share blocks: tighter bounds
         self.item_of = np.array([e[0] for e in entries], np.int64)
         self.n_terms, self.blocks = len(self.terms), -(-len(entries) // settings.block)
         self._postings([e[1] for e in entries])
@@ -114,12 +115,20 @@ class TestItems:
             count = self.runs[word + 1] - self.runs[word]
             run = np.arange(int(count.sum())) + np.repeat(self.runs[word] - (np.cumsum(count) - count), count)
             of = np.repeat(part, count)
-            bound = np.bincount(of * self.blocks + self.run_block[run], self.run_most[run], n * self.blocks).reshape(n, self.blocks)
-            pairs = bound[:-1] + bound[1:] if n > 1 else bound
-            for p, b in zip(*np.nonzero(pairs >= self.settings.threshold), strict=True):
+            size_of = n * self.blocks
+            place = of * self.blocks + self.run_block[run]
+            bound = np.bincount(place, self.run_most[run], size_of).reshape(n, self.blocks)
+            pairs = bound
+            if n > 1:  # a passage is two strides; terms that both have count once
+                before = np.searchsorted(pair, pair - self.n_terms)
+                again = np.repeat(pair[np.minimum(before, len(pair) - 1)] == pair - self.n_terms, count)
+                twice = np.bincount(place[again], self.run_most[run[again]], size_of).reshape(n, self.blocks)
+                pairs = bound[:-1] + bound[1:] - twice[1:]
+            for p, b in zip(*np.nonzero(pairs >= self.settings.threshold - 1e-9), strict=True):
                 lo, hi = np.searchsorted(of, [p, p + 2])
                 rows = np.unique(run[lo:hi][self.run_block[run[lo:hi]] == b])
-                at = np.concatenate([np.arange(self.run_start[r], self.run_start[r + 1]) for r in rows])
+                first, many = self.run_start[rows], np.diff(self.run_start)[rows]
+                at = np.arange(int(many.sum())) + np.repeat(first - (np.cumsum(many) - many), many)
                 score = np.bincount(self.entry[at] - b * size, self.impact[at], size)
                 for k in np.flatnonzero(score >= self.settings.threshold):
                     found.append((int(self.item_of[b * size + k]), int(low + p) * stride, float(score[k])))
