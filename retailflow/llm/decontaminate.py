@@ -173,7 +173,7 @@ def _parts(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple
     rounds = max(1, -(-chars // INDEX_CHARS))
     for k in range(rounds):
         part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(rounds)) == k) if rounds > 1 else items
-        yield sorted((r.i, r.t) for r in part.collect())  # INDEX_CHARS of text, about
+        yield sorted(((r.i, r.t) for r in part.collect()), key=str)  # INDEX_CHARS of text, about
 
 
 def _judge(docs: DataFrame, items: list[tuple[int, str]], settings: Settings, text: str, schema: str | None) -> DataFrame:
