@@ -30,6 +30,32 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS r(i) WHERE len(ws) > 0),
+sets AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS k FROM grams GROUP BY doc_id),
+classes AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY k) AS class_id FROM sets),
+own AS (
+  SELECT g.doc_id, g, n FROM grams g JOIN classes c ON c.doc_id = g.doc_id AND c.class_id = c.doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS n_common FROM own a JOIN own b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs WHERE 5 * n_common >= 4 * (nx + ny - n_common)),
+reach AS (
+  SELECT DISTINCT x AS node, x AS root FROM links UNION SELECT y, root FROM reach JOIN links ON x = node),
+groups AS (
+  SELECT node, min(root) AS group_id FROM reach GROUP BY node),
+counts AS (
+  SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT w.doc_id, coalesce(class_id, w.doc_id) AS class_id, coalesce(n_links, 0) AS n_links, coalesce(group_id, class_id, w.doc_id) AS group_id
+FROM w LEFT JOIN classes USING (doc_id) LEFT JOIN counts ON counts.x = class_id LEFT JOIN groups ON node = class_id
+"""
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import similar
 
@@ -91,6 +117,21 @@ def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(pages.select("page_id", "url", "html"), fit(pages))
 
 
+OP5_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS t FROM w, unnest(range(1, len(ws) - 48)) AS r(i) WHERE len(ws) >= 50),
+least_id AS (
+  SELECT t, min(doc_id) AS lo FROM win GROUP BY t),
+gone AS (
+  SELECT doc_id, list(DISTINCT i + k) AS js FROM win JOIN least_id USING (t), range(50) AS r(k) WHERE doc_id > lo GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(js), 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN js IS NULL THEN ws ELSE [ws[j] FOR j IN range(1, len(ws) + 1) IF NOT list_contains(js, j)] END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
+"""
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import dedup_substrings
 
@@ -174,6 +215,8 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_ngram_join": OP1_SQL,
+    "op5_substring_dedup": OP5_SQL,
     "op2_preferences": OP2_SQL,
     "op7_url_filter": OP7_SQL,
 }
