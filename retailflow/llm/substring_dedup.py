@@ -166,24 +166,26 @@ def repeated_ranges(docs: DataFrame, window: int) -> DataFrame:
     found, path = written(_segments_of(docs.filter(F.col("doc").isNotNull()).select("doc", "tk", "text"), window), "segments")
 
     # level one: anchors in at least two documents
-    shared = found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("h")
+    # sums are tables of their own before they are joined back: only then can Spark split the rows of a hot key
+    shared, _ = written(found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("h"), "shared")
     alive, _ = written(found.join(shared, "h", "left_semi"), "alive")
     discard(spark, path)
     # the same segment in a smaller document settles it
     least = F.min(F.struct("doc", "tk", "s", "n")).alias("first")
-    texts = alive.groupBy("h", "g").agg(least, F.max("doc").alias("hi"))
-    several = texts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
+    texts, _ = written(alive.groupBy("h", "g").agg(least, F.max("doc").alias("hi")), "texts")
+    several, _ = written(texts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h"), "several")
     odd = texts.join(several, "h", "left_semi").select("h", "g", "first.*")
     # level two: single windows of segments whose anchor has others
     lists = odd.groupBy("doc", "tk").agg(F.collect_list(F.struct("h", "g", "s", "n")).alias("listed"))
     windows, _ = written(_windows_of(docs.select("doc", "tk", "text").join(lists, ["doc", "tk"]).select("doc", "text", "listed"), window), "windows")
-    smaller = windows.groupBy("w1", "w2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("w1", "w2", "lo")
+    smaller, _ = written(windows.groupBy("w1", "w2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("w1", "w2", "lo"), "smaller")
     hit = windows.join(smaller, ["w1", "w2"]).filter("doc > lo").groupBy("h", "g").agg(F.collect_set("offset").alias("offsets"))
     # occurrences in the segment's first document have the windows found alone; in others all of them
     known = texts.select("h", "g", F.col("first.doc").alias("lo"), "hi").join(hit, ["h", "g"], "left").filter("lo < hi or offsets is not null")
+    known, _ = written(known.select("h", "g", "lo", "offsets"), "known")
     one = F.transform("offsets", lambda o: F.struct((F.col("s") + o).alias("s"), F.lit(1).cast("bigint").alias("n")))
     whole = F.array(F.struct("s", "n"))
-    runs = alive.join(known.select("h", "g", "lo", "offsets"), ["h", "g"]).select("doc", "tk", F.when(F.col("doc") > F.col("lo"), whole).otherwise(one).alias("runs"))
+    runs = alive.join(known, ["h", "g"]).select("doc", "tk", F.when(F.col("doc") > F.col("lo"), whole).otherwise(one).alias("runs"))
     return runs.filter(F.col("runs").isNotNull()).groupBy("doc", "tk").agg(F.flatten(F.collect_list("runs")).alias("ranges"))
 
 
