@@ -31,8 +31,9 @@ from .substring_dedup import Rolling, mixed, words_of
 WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-#: Members of a bucket that one side of a comparison has, about.
+#: Members of a bucket, and n-grams of them, that one side of a comparison has, about.
 BLOCK = 256
+BLOCK_GRAMS = 500_000
 SEED = 20240229
 
 
@@ -68,24 +69,24 @@ class MinHash:
 
 
 def _signatures(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame:
-    """doc, the hash of its n-gram set in two halves, and its band keys; not for texts without words."""
+    """doc, the hash of its n-gram set in two halves, its band keys and its n-grams' number; not for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash = MinHash(bands, rows)
         for batch in batches:
-            out: list[tuple[int, int, int, np.ndarray]] = []
+            out: list[tuple[int, int, int, np.ndarray, int]] = []
             for row in range(batch.num_rows):
                 grams = ngrams(batch.column(1)[row].as_py(), words)
                 if len(grams):
                     one, two = (int(mixed(grams * np.uint64(m)).sum(dtype=np.uint64)) for m in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
-                    out.append((batch.column(0)[row].as_py(), one, two, minhash.keys(grams)))
+                    out.append((batch.column(0)[row].as_py(), one, two, minhash.keys(grams), len(grams)))
             doc, one, two = ([o[k] for o in out] for k in range(3))
             keys = np.concatenate([o[3] for o in out]).view(np.int64) if out else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * bands, pa.int32()), pa.array(keys))
             halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), *halves, lists], names=["doc", "k1", "k2", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), *halves, lists, pa.array([o[4] for o in out], pa.int64())], names=["doc", "k1", "k2", "keys", "n"])
 
-    return docs.mapInArrow(run, "doc bigint, k1 bigint, k2 bigint, keys array<bigint>")
+    return docs.mapInArrow(run, "doc bigint, k1 bigint, k2 bigint, keys array<bigint>, n bigint")
 
 
 def _with_grams(members: DataFrame, words: int) -> DataFrame:
@@ -198,10 +199,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.select("doc", "root").filter("doc <> root").distinct())
     while True:
         both = edges.union(edges.select(F.col("root").alias("doc"), F.col("doc").alias("root")))
-        least = both.groupBy("doc").agg(F.least(F.min("root"), F.col("doc")).alias("least"))
+        least = cut(both.groupBy("doc").agg(F.least(F.min("root"), F.col("doc")).alias("least")))  # cut: so that hot nodes can be split
         large = both.filter("root > doc").join(least, "doc").select(F.col("root").alias("doc"), F.col("least").alias("root")).filter("doc <> root").distinct()
-        down = large.select(F.greatest("doc", "root").alias("doc"), F.least("doc", "root").alias("root"))
-        least = down.groupBy("doc").agg(F.min("root").alias("least"))
+        down = cut(large.select(F.greatest("doc", "root").alias("doc"), F.least("doc", "root").alias("root")))
+        least = cut(down.groupBy("doc").agg(F.min("root").alias("least")))
         small = down.join(least, "doc")
         small = small.filter("root <> least").select(F.col("root").alias("doc"), F.col("least").alias("root")).union(least.select("doc", F.col("least").alias("root"))).distinct()
         new = cut(small)
@@ -220,10 +221,12 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     path = new_path(spark, "signatures")
     _signatures(pairs.filter(F.col("doc").isNotNull()), bands, rows, words).write.parquet(path)
     signed = spark.read.parquet(path)
-    classes = cut(signed.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.first("keys").alias("keys")))
+    classes = cut(signed.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.first("keys").alias("keys"), F.first("n").alias("n")))
 
-    place = classes.select("rep", F.posexplode("keys").alias("band", "bucket"))
-    crowded = place.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").withColumn("k", F.ceil(F.col("m") / BLOCK).cast("int"))
+    place = classes.select("rep", "n", F.posexplode("keys").alias("band", "bucket"))
+    crowded = place.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams")).filter("m > 1")
+    # a table of its own before it is joined back: only then can Spark split the rows of a hot bucket
+    crowded = cut(crowded.select("bucket", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("k")))
     own = F.pmod(F.xxhash64("rep", "bucket"), F.col("k")).cast("int")
     blocks = place.join(crowded, "bucket").withColumn("own", own)
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
