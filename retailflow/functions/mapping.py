@@ -160,7 +160,7 @@ PAYMENT = {
     "actual_total_fee": "@bigint @field2 6 13", "pay_status": "@int @field2 6 6", "total_fee": "@bigint @field2 6 2",
 }
 SETTLEMENT = {
-    "log_version": "@int 2", "log_src": "order_0000", "dest_type": "alipay_rtn_order",
+    "log_version": "@int 2", "log_src": "order_0000", "dest_type": "settlement_order",
     "seller_id": "@field2 6 33", "buyer_id": "@field2 6 35", "auction_price": "@price_cent @field2 6 38", "actual_total_fee": "@price_cent @field2 6 14",
     "gmt_create": "@field2 6 8", "gmt_modified": "@field2 6 9", "trade_no": "@field2 6 2", "trade_status": "@field2 6 7", "trade_track_info": "@field2 6 47",
 }
