@@ -174,6 +174,43 @@ FROM ruled
 """
 
 
+def _op8_sql() -> str:
+    """Exact quantiles in place of sketched ones: the limits are as good as equal, and no document lies near one."""
+    from .quality_rules import LEAST_WORDS, MOST_REPEATED_PERCENT, RATIOS, SPREADS
+
+    value = {"symbol_share": "n_symbols / word_chars", "word_length": "word_chars / n_words", "dup_line_share": "n_dup_lines / n_lines", "repeat_share": "n_repeat_words / n_words"}
+    quantiles = ", ".join(f"quantile_disc({r.name}, {q}) AS {r.name}_{k}" for r in RATIOS for k, q in (("a", 0.25), ("b", 0.5), ("c", 0.75)))
+    pick = lambda c: f"CASE WHEN s.n >= 200 THEN s.{c} WHEN l.n >= 200 THEN l.{c} ELSE o.{c} END"
+    beyond = " OR ".join(
+        [f"d.{r.name} > {pick(r.name + '_b')} + {SPREADS} * greatest({pick(r.name + '_b')} - {pick(r.name + '_a')}, {r.least_spread})" for r in RATIOS]
+        + [f"d.{r.name} < {pick(r.name + '_b')} - {SPREADS} * greatest({pick(r.name + '_c')} - {pick(r.name + '_b')}, {r.least_spread})" for r in RATIOS if r.low]
+    )
+    return rf"""
+WITH w AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+tri AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g FROM w, unnest(range(1, len(ws) - 1)) AS r(i) WHERE len(ws) >= 3),
+twice AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(3) AS t(k) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+    coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN covered USING (doc_id)),
+d AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed, {', '.join(f"{value[r.name]} AS {r.name}" for r in RATIOS)} FROM m),
+p AS (
+  SELECT * FROM d WHERE NOT base_failed),
+s AS (SELECT lang, source, count(*) AS n, {quantiles} FROM p GROUP BY ALL),
+l AS (SELECT lang, count(*) AS n, {quantiles} FROM p GROUP BY lang),
+o AS (SELECT count(*) AS n, {quantiles} FROM p)
+SELECT d.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({beyond}, false) AS kept
+FROM d LEFT JOIN s ON d.lang IS NOT DISTINCT FROM s.lang AND d.source IS NOT DISTINCT FROM s.source LEFT JOIN l ON d.lang IS NOT DISTINCT FROM l.lang CROSS JOIN o
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judged, limits, measured, sketches
 
@@ -219,4 +256,5 @@ SQL: dict[str, str] = {
     "op5_substring_dedup": OP5_SQL,
     "op2_preferences": OP2_SQL,
     "op7_url_filter": OP7_SQL,
+    "op8_quality_rules": _op8_sql(),
 }
