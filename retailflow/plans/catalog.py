@@ -455,7 +455,9 @@ def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("map_fields", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
-@query("expr_field1_2_3", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
+@query("expr_field1", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
+@query("expr_field2", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
+@query("expr_field3", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
 def map_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = mapping.split_rejects(_mapped(spark, sf_dir))
     return good.select(F.col("order_id").cast("bigint").alias("order_id"), "seller_id", "buyer_id", "auction_id", "auction_price", "buy_amount", "discount_fee", "is_main", "biz_type", "order_modified_t", "db_action")
@@ -549,7 +551,7 @@ def _expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EXPRESSIONS = f"{_LINES} SELECT CAST(order_id AS VARCHAR) AS id, CASE WHEN NOT bad THEN order_id % 5 END AS number, 1 AS small, order_id * 3000 AS ms, 'word' AS constant, CASE WHEN bad THEN 'number' END AS reject FROM good"
-for _name in ("expr_int_bigint", "expr_mul", "expr_member", "expr_literal"):
+for _name in ("expr_int", "expr_bigint", "expr_mul", "expr_member", "expr_literal"):
     query(_name, _EXPRESSIONS)(_expressions)
 
 
@@ -662,6 +664,7 @@ _ADDITIVE_HOUR = f"""{s.with_(s.UNIFIED)} SELECT {s.stamp("date_trunc('hour', ts
 
 @query("st_tumbling", _ADDITIVE_HOUR)
 @query("st_flush", _ADDITIVE_HOUR)
+@query("st_lag", _ADDITIVE_HOUR)
 @query("align_streams", _ADDITIVE_HOUR)
 def st_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = streams.drained(streams.tumbling(_streamed(spark, sf_dir), "1 hour"), _scratch(spark, "st_tumbling"))
