@@ -6,8 +6,9 @@ words after it; any other word is a constant. Commands return a value and a flag
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,13 @@ class Row:
     level2: str = "\x01"
     level3: str = "\x03"
     member: str = "raw"
+    items: tuple[tuple[int, str], ...] = ()  # columns that hold fields already split at level two
+
+    def split_once(self, df: DataFrame, spec: dict[str, str]) -> tuple[DataFrame, Row]:
+        """df with a column for each field that the spec reads at level two, so that it is split once for all of them."""
+        used = sorted({int(n) for text in spec.values() for n in re.findall(r"@field[23] (\d+)", text)} - {0})
+        names = tuple((n, f"__items_{n}") for n in used)
+        return df.withColumns({name: _split(F.get(F.col(self.fields), F.lit(n - 1)), self.level2) for n, name in names}), replace(self, items=names)
 
 
 def _split(text: Column, separator: str) -> Column:
@@ -43,12 +51,14 @@ def _at(items: Column, position: int) -> Value:
 def _field(row: Row, args: list[Value | str], depth: int) -> Value:
     places = [int(a) for a in args]
     value = _at(F.col(row.fields), places[0])
+    held = dict(row.items).get(places[0])
+    parts = F.col(held) if held else _split(value.column, row.level2)
     if depth >= 2 and not (depth == 3 and places[1] == 0):
-        inner = _at(_split(value.column, row.level2), places[1])
+        inner = _at(parts, places[1])
         value = Value(inner.column, value.bad | inner.bad)
     if depth == 3 and places[1] == 0:  # the k-th part of each item of level two
         k = places[2]
-        items = F.transform(_split(value.column, row.level2), lambda x: F.get(_split(x, row.level3), F.lit(k - 1)))
+        items = F.transform(parts, lambda x: F.get(_split(x, row.level3), F.lit(k - 1)))
         missing = F.exists(items, lambda x: x.isNull())
         value = Value(F.array_join(items, "\x01"), value.bad | F.coalesce(missing, F.lit(True)))
     elif depth == 3:
@@ -136,6 +146,7 @@ def compile_expression(text: str, row: Row = Row()) -> Value:
 
 def map_fields(df: DataFrame, spec: dict[str, str], row: Row = Row(), keep: tuple[str, ...] = ()) -> DataFrame:
     """df mapped to the fields of spec, and `reject`: the first field whose expression could not be read, or null."""
+    df, row = row.split_once(df, spec)
     values = {name: compile_expression(text, row) for name, text in spec.items()}
     reject = F.coalesce(*[F.when(v.bad, F.lit(name)) for name, v in values.items()])
     return df.select(*keep, *[v.column.alias(name) for name, v in values.items()], reject.alias("reject"))

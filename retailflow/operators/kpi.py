@@ -33,9 +33,17 @@ def measures(sketch: bool = False) -> list[Column]:
 
 
 def item_kpi(rows: DataFrame, unit: str, sketch: bool = False) -> DataFrame:
-    """Indicators by (bucket, seller, item); one shuffle, on the grouping key."""
-    out = rows.groupBy(F.date_trunc(unit, "ts").alias("bucket"), "seller_id", "item_id").agg(*measures(sketch))
-    return with_estimates(out) if sketch else out
+    """Indicators by (bucket, seller, item). By sketch: one shuffle, on the grouping key.
+
+    Exact: first by visitor too, then summed up. Two distinct counts in one grouping would copy every row for each.
+    """
+    keys = [F.date_trunc(unit, "ts").alias("bucket"), F.col("seller_id"), F.col("item_id")]
+    if sketch:
+        return with_estimates(rows.groupBy(*keys).agg(*measures(sketch)))
+    known = F.col("visitor").isNotNull()
+    flags = [F.max(F.when(known, F.col("view"))).alias("iuv"), F.max(F.when(known, F.col("is_pay"))).alias("auv")]
+    by_visitor = rows.groupBy(*keys, "visitor").agg(*additive(), *flags)
+    return by_visitor.groupBy("bucket", "seller_id", "item_id").agg(*[F.sum(c).alias(c) for c in ADDITIVE], *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("iuv", "auv")])
 
 
 def with_estimates(df: DataFrame) -> DataFrame:
