@@ -104,9 +104,10 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def sketches(measures: DataFrame, lang: str = "lang", source: str = "source", k: int = 400) -> DataFrame:
     """A row for each language and source: how many documents, and a mergeable sketch of each ratio."""
-    passed = measures.filter(~F.col("base_failed"))
-    # no ratio is null where the base rules hold: such texts have words and lines
-    return passed.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r.value(), F.lit(k)).alias(r.name) for r in RATIOS])
+    # within the sums, as a filter before them would be pushed below the measures and compute them again
+    passed = lambda c: F.when(~F.col("base_failed"), c)
+    sums = [F.count_if(~F.col("base_failed")).alias("n"), *[F.kll_sketch_agg_double(passed(r.value()), F.lit(k)).alias(r.name) for r in RATIOS]]
+    return measures.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(*sums).filter("n > 0")
 
 
 def limits(groups: DataFrame, least: int = 200) -> DataFrame:
@@ -142,7 +143,8 @@ def judged(measures: DataFrame, bounds: DataFrame, lang: str = "lang", source: s
         if r.low:
             beyond = beyond | F.coalesce(r.value() < F.col(f"__{r.name}_least"), F.lit(False))
     joined = measures.join(renamed, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left")
-    kept = ~F.col("base_failed") & ~beyond
+    # one condition over both sides: its first half alone would be pushed below the measures and compute them again
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(~beyond)
     return joined.withColumn("kept", kept).drop("__lang", "__source", "__lines", *[f"__{c}" for c in names])
 
 
