@@ -281,7 +281,7 @@ class StreamDecoder:
 class DocumentCodec:
     """Encodes whole texts, keeping the results for recent chunks between white space; bounded in memory."""
 
-    def __init__(self, path: str, keep: int = 150_000, keep_pieces: int = 600_000) -> None:
+    def __init__(self, path: str, keep: int = 120_000, keep_pieces: int = 450_000) -> None:
         self.table, self.keep, self.keep_pieces = MergeList(path), keep, keep_pieces
         self.new: dict[str, tuple[tuple[int, ...], str]] = {}
         self.old: dict[str, tuple[tuple[int, ...], str]] = {}
