@@ -50,7 +50,7 @@ class Settings:
     pages: int = 160
     most_chars: int = 60_000
     hidden: int = 20
-    epochs: int = 12
+    epochs: int = 8
     rate: float = 0.01
     seed: int = 7
 
@@ -140,6 +140,8 @@ BEFORE = ('<header><h1>{a}</h1></header>', '<div class="header">{a}</div>', '<na
 AFTER = ('<footer>{a}</footer>', '<div id="footer"><p>{a}</p></div>', '<aside class="sidebar"><h2>{b}</h2><p>{c}</p></aside>', '<div class="sidebar">{c}</div>', '<section class="comments"><h2>{b}</h2><p>{d}</p><p>{c}</p></section>', '<div id="comments"><div class="comment"><p>{d}</p></div><div class="comment">{e}</div></div>', '<div class="related"><ul>{menu}</ul></div>', '<div class="advert"><p>{d}</p></div>', '<form class="newsletter">{e}</form>', '<div class="share">{a}</div>', '<div class="promo sponsored">{b}</div>')
 WITHIN = ('<aside>{c}</aside>', '<div class="ad">{d}</div>', '<div class="notice">{b}</div>', '<nav><ul>{menu}</ul></nav>', '<form>{e}</form>', '<div class="comments"><p>{d}</p></div>', '<section id="comments"><p>{c}</p></section>', '<div class="share related">{a}</div>')
 
+FORMS = ("<p>{0}</p>",) * 7 + ("<ul><li>{0}</li></ul>", "<blockquote>{0}</blockquote>", "<h2>{0}</h2>", "<div>{0}</div>", "<table><tr><td>{0}</td></tr></table>", "<section><p>{0}</p></section>")
+
 
 def laid_out(main: list[Block], other: list[str], rng: np.random.Generator) -> tuple[list[Block], list[float]]:
     """A page's texts in another layout, and its labels."""
@@ -148,7 +150,7 @@ def laid_out(main: list[Block], other: list[str], rng: np.random.Generator) -> t
     pick = lambda: html.escape(lines[rng.integers(len(lines))])
     fill = lambda s: s.format(menu="".join(f'<li><a href="#">{pick()}</a></li>' for _ in range(3)), **{k: pick() for k in "abcde"})
     some = lambda options, most: "".join(fill(options[k]) for k in rng.permutation(len(options))[: rng.integers(1, most + 1)])
-    parts = [f"<{b.path[-1][0]}>{html.escape(b.text)}</{b.path[-1][0]}>" if b.path and b.path[-1][0] in ("h1", "h2", "h3", "p") else f"<p>{html.escape(b.text)}</p>" for b in main]
+    parts = [f"<h1>{html.escape(b.text)}</h1>" if b.path and b.path[-1][0] == "h1" else FORMS[rng.integers(len(FORMS))].format(html.escape(b.text)) for b in main]
     for _ in range(rng.integers(0, 3)):
         parts.insert(rng.integers(len(parts) + 1), fill(WITHIN[rng.integers(len(WITHIN))]))
     page = f"<html><head><title>{pick()}</title></head><body>{some(BEFORE, 4)}{WRAPPERS[rng.integers(len(WRAPPERS))].format(''.join(parts))}{some(AFTER, 4)}</body></html>"
