@@ -9,6 +9,9 @@ labelled by the page's own marks where it has an article or main element, and th
 other ways, with the menus, notices, adverts, forms, sidebars and comments of the templates below, so that the labeller
 relies on no single layout. All pages are then labelled where they are read.
 
+A raw element (script, style and their like) is one whose name is just that: svg-icon is an element like others. A
+self-closed svg has no content, so that what follows it is text of the page.
+
 Rows: a null or empty page, or one without a main block, has the text ''. Repeated rows get the same result each. If no
 sampled page has an article or main element there is nothing to learn, and all blocks count as main text.
 """
@@ -31,7 +34,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|noscript|template|svg|iframe"
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{{0,4096}}"|'[^']{{0,4096}}')*+)>|</?[a-zA-Z][^>]*>""",
+    rf"""<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>"']|"[^"]*+"|'[^']*+')*+(?<=/)>|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{{0,4096}}"|'[^']{{0,4096}}')*+)>|</?[a-zA-Z][^>]*>""",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)

@@ -73,6 +73,13 @@ def test_blocks_of_broken_markup():
     assert len(long) == 1 and len(long[0].path) == 3001
 
 
+@pytest.mark.parametrize("raw", ["<svg-icon></svg-icon>", "<template-card>x</template-card>", "<svg-icon/>", "<svg/>", "<svg width='1' title='a>b' />", '<SVG viewBox="0 0 1 1"/>', "<svg><p>no</p></svg>", "<script type='x'>no</script>", "<style\n>no</style >", "<iframe/>no</iframe>"])
+def test_text_after_raw_names(raw):
+    found = html_blocks.blocks(f"<article><p>one</p>{raw}<p>two</p></article><p>three</p>")
+    assert [b.text for b in found if b.text != "x"] == ["one", "two", "three"]
+    assert [html_blocks.own_label(b) for b in found if b.text != "x"] == [1, 1, 0]
+
+
 def test_page_in_another_layout(labeller):
     text = html_blocks.main_texts([PAGE], labeller, {})[0]
     assert text == "Title & more\n\nFirst bold text. Line <b> two.\n\nSecond éé paragraph of the story goes on here.\n\nThird paragraph ends the story, and it is long enough."
