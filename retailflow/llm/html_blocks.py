@@ -33,11 +33,14 @@ from pyspark.sql import functions as F
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|noscript|template|svg|iframe"
+# Attributes of a tag. A quote opens a value only after "=" and where another closes it; values are of any length.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+"""
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>"']|"[^"]*+"|'[^']*+')*+(?<=/)>|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{{0,4096}}"|'[^']{{0,4096}}')*+)>|</?[a-zA-Z][^>]*>""",
+    rf"""<!--.*?(?:-->|\Z)|<svg(?=[\s/>]){_ATTRIBUTES}(?<=/)>|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>|</?[a-zA-Z][^>]*>""",
     re.S | re.I,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# The quoted values of other attributes are passed over whole: they may hold markup.
+_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|=\s*(?:"[^"]*+"|'[^']*+')""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 #: What a page's own marks say, for training: elements and class words that hold no main text.

@@ -80,6 +80,23 @@ def test_text_after_raw_names(raw):
     assert [html_blocks.own_label(b) for b in found if b.text != "x"] == [1, 1, 0]
 
 
+@pytest.mark.parametrize("n", [10, 4_000, 5_000, 1_000_000])
+@pytest.mark.parametrize("unit", ["x", "a>b ", "<p class='ad'>", "</div>"])
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_long_attribute_values(n, unit, quote):
+    value = quote + (unit * (n // len(unit) + 1)).replace(quote, "")[:n] + quote
+    found = html_blocks.blocks(f"<article data-x={value}><p>one</p><div class='comments' data-x = {value}><p>two</p></div>three</article><p>four</p>")
+    assert [b.text for b in found] == ["one", "two", "three", "four"]
+    assert [b.path for b in found] == [(("article", ()), ("p", ())), (("article", ()), ("div", ("comments",)), ("p", ())), (("article", ()),), (("p", ()),)]
+    assert [html_blocks.own_label(b) for b in found] == [1, 0, 1, 0]
+
+
+def test_quotes_that_do_not_close():
+    assert [b.text for b in html_blocks.blocks("<p it's>It's one</p><p class='x>two</p>")] == ["It's one", "two"]
+    many = html_blocks.blocks("<p title=\">text</p>" * 20_001)
+    assert many and many[-1].text == "text"
+
+
 def test_page_in_another_layout(labeller):
     text = html_blocks.main_texts([PAGE], labeller, {})[0]
     assert text == "Title & more\n\nFirst bold text. Line <b> two.\n\nSecond éé paragraph of the story goes on here.\n\nThird paragraph ends the story, and it is long enough."
