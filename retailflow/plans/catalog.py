@@ -197,6 +197,23 @@ def join_parent_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_id").alias("items"), F.max("p_status").alias("status"))
 
 
+@query(
+    "join_parent_children_all",
+    f"""{s.with_(s.CHILDREN)}, c AS (SELECT *, CASE WHEN line_no IN (5, 6) THEN 1 ELSE 0 END AS is_main, CASE WHEN line_no IN (6, 7) THEN 0 ELSE 1 END AS is_detail FROM children),
+    j AS (SELECT CAST(parent_id AS VARCHAR) AS parent_id, item_id, o_orderstatus AS status FROM c JOIN orders ON o_orderkey = parent_id WHERE is_main = 0 AND is_detail = 1
+      UNION ALL SELECT order_id, item_id, NULL FROM c WHERE is_main = 1 AND is_detail = 1)
+    SELECT parent_id, count(*) AS n, count(DISTINCT item_id) AS items, max(status) AS status FROM j GROUP BY parent_id""",
+)
+def join_parent_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as parents. Lines 5 are their own children, lines 6 parent rows and lines 7 neither; all others are children."""
+    parents = a.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderstatus").alias("status"), F.lit(1).alias("is_main"), F.lit(0).alias("is_detail"))
+    line = F.col("line_no")
+    flags = {"is_main": F.when(line.isin(5, 6), 1).otherwise(0), "is_detail": F.when(line.isin(6, 7), 0).otherwise(1)}
+    children = a.children(spark, sf_dir).withColumns({"parent_id": F.col("parent_id").cast("string")} | flags)
+    joined = orders.parents_with_children(parents, children)
+    return joined.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_id").alias("items"), F.max("p_status").alias("status"))
+
+
 _LATEST = f"{s.with_(s.CHILDREN)} SELECT order_id, max(order_modified_t) AS order_modified_t, count(*) > 0 AS found FROM children GROUP BY order_id"
 
 

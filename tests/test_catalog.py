@@ -1,5 +1,6 @@
 import pytest
 from oracle import rows_of, rows_of_frame
+from pyspark.sql import functions as F
 
 from retailflow.plans import catalog
 
@@ -19,3 +20,14 @@ def test_entry(spark, sf_dir):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_all_orders_are_parents(spark, sf_dir):
+    """Every child of an order that is there, and every line that is its own child; no other line."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").join(spark.read.parquet(f"{sf_dir}/orders.parquet"), F.expr("l_orderkey = o_orderkey"))
+    n = {r.l_linenumber: r["count"] for r in lines.groupBy("l_linenumber").count().collect()}
+    assert all(n[k] for k in (1, 5, 6, 7))
+    got = catalog.QUERIES["join_parent_children_all"](spark, sf_dir)
+    own, joined = got.filter("parent_id like '%-%'"), got.filter("parent_id not like '%-%'")
+    assert own.agg(F.sum("n")).first()[0] == n[5] and joined.agg(F.sum("n")).first()[0] == sum(n.values()) - n[5] - n[6] - n[7]
+    assert joined.filter("parent_id % 3 <> 0").count() > 0
