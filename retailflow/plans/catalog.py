@@ -547,6 +547,17 @@ def src_prior_item_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.prior_item_kpi(stored, asked, ["item_id"]).select("seller_id", "item_id", "pv")
 
 
+_ASKED = f"{s.with_(s.FLOW, s.ORDERS)} SELECT shop_id AS seller_id, item_id, count(*) AS pv FROM flow WHERE item_id IN (SELECT item_id FROM biz) GROUP BY ALL"
+
+
+@query("src_prior_item_kpi_all", _ASKED)
+@query("distinct_keys_all", _ASKED)
+def src_prior_item_kpi_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page views stored for items, asked for by every order row: its items repeat and are de-duplicated."""
+    stored = a.flow(spark, sf_dir).groupBy(F.col("shop_id").alias("seller_id"), "item_id").agg(F.count(F.lit(1)).alias("pv"))
+    return dimensions.prior_item_kpi(stored, a.order_flow(spark, sf_dir), ["item_id"]).select("seller_id", "item_id", "pv")
+
+
 @query("src_header_delimited", f"{s.with_(s.ORDERS)} SELECT event_id AS order_id, fee, is_pay, CAST(NULL AS VARCHAR) AS missing FROM biz")
 def src_header_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text columns cast to a target schema, as the reader of headed files does after reading them."""

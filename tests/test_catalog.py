@@ -31,3 +31,10 @@ def test_all_orders_are_parents(spark, sf_dir):
     own, joined = got.filter("parent_id like '%-%'"), got.filter("parent_id not like '%-%'")
     assert own.agg(F.sum("n")).first()[0] == n[5] and joined.agg(F.sum("n")).first()[0] == sum(n.values()) - n[5] - n[6] - n[7]
     assert joined.filter("parent_id % 3 <> 0").count() > 0
+
+
+def test_keys_of_all_order_items(spark, sf_dir):
+    """Not one residue of the item ids only, and each stored row once although keys repeat."""
+    got = catalog.QUERIES["distinct_keys_all"](spark, sf_dir)
+    rows = [(r.seller_id, r.item_id) for r in got.collect()]
+    assert {item % 10 for _, item in rows} == set(range(10)) and len(rows) == len(set(rows))
