@@ -67,6 +67,12 @@ def scan_latest(df: DataFrame, now_ms: int, last_seconds: int, ts: str = "ts_ms"
     return scan_range(df, now_ms - 1000 * last_seconds, now_ms, ts=ts)
 
 
+def by_log_time(df: DataFrame, first: int | None = None, ts: str = "ts_ms", key: str = "event_id") -> DataFrame:
+    """All rows in the order of the log, or only the first so many; rows of one time are in the order of their key."""
+    out = df.orderBy(ts, key)
+    return out if first is None else out.limit(first)
+
+
 def scan_prefix(df: DataFrame, company: int = 2, is_shop: int = 1, url_type: str = "4") -> DataFrame:
     """Item pages of shops of one company."""
     return df.filter((F.col("company") == company) & (F.col("is_shop") == is_shop) & (F.col("url_type") == url_type))

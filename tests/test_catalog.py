@@ -38,3 +38,10 @@ def test_keys_of_all_order_items(spark, sf_dir):
     got = catalog.QUERIES["distinct_keys_all"](spark, sf_dir)
     rows = [(r.seller_id, r.item_id) for r in got.collect()]
     assert {item % 10 for _, item in rows} == set(range(10)) and len(rows) == len(set(rows))
+
+
+def test_all_page_views_in_log_order(spark, sf_dir):
+    rows = [(r.ts_ms, r.event_id) for r in catalog.QUERIES["order_by_log_time_all"](spark, sf_dir).collect()]
+    assert len(rows) > 100 and rows == sorted(rows)
+    first = catalog.QUERIES["order_by_log_time"](spark, sf_dir).collect()
+    assert [(r.ts_ms, r.event_id) for r in first] == rows[:100]
