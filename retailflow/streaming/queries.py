@@ -112,6 +112,13 @@ class Throughput(StreamingQueryListener):
         return [k for k, v in self.rates.items() if len(v) >= self.alert_after and not any(v[-self.alert_after :])]
 
 
-def stream_of(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    """A Parquet table, a folder or a single file, as a stream. A pattern, as a stream takes no single file's path."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(f"{path[:-1]}[{path[-1]}]")
+def stream_of(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
+    """A Parquet table, a folder or a single file, as a stream. A pattern, as a stream takes no single file's path.
+
+    Each micro-batch reads all new files. With fewer a batch, files that are not in the order of time move the watermark
+    past the rows of those read after them, and these rows are dropped as late.
+    """
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")

@@ -1,3 +1,6 @@
+import os
+from pathlib import Path
+
 import pytest
 from oracle import rows_of, rows_of_frame
 from pyspark.sql import functions as F
@@ -45,3 +48,15 @@ def test_all_page_views_in_log_order(spark, sf_dir):
     assert len(rows) > 100 and rows == sorted(rows)
     first = catalog.QUERIES["order_by_log_time"](spark, sf_dir).collect()
     assert [(r.ts_ms, r.event_id) for r in first] == rows[:100]
+
+
+def test_stored_files_out_of_time_order(spark, sf_dir, tmp_path):
+    """The latest events are in the file that is read first: no row of the others is late."""
+    for table in Path(sf_dir).iterdir():
+        if table.name != "events.parquet":
+            os.symlink(table, tmp_path / table.name)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("s", F.col("ts").cast("timestamp").cast("double"))
+    ends = [0.0, *events.agg(F.percentile_approx("s", [0.25, 0.5, 0.75, 1.0])).first()[0]]
+    for k in (3, 2, 1, 0):
+        events.filter((F.col("s") > ends[k]) & (F.col("s") <= ends[k + 1])).drop("s").coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert rows_of_frame(catalog.QUERIES["st_return_state"](spark, str(tmp_path))) == rows_of(catalog.SQL["st_return_state"], sf_dir)

@@ -189,6 +189,16 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     assert seen == [1, 2]
 
 
+def test_children_wait_for_parents_in_later_files(spark, tmp_path):
+    """Files of a stored table from the latest day to the first, each with a child and its parent."""
+    for day in (9, 7, 5, 3, 1):
+        at = dt.datetime(2024, 1, day, 5)
+        spark.createDataFrame([(day, at)], "parent_id int, ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "child"))
+        spark.createDataFrame([(day, at)], "parent_id int, p_ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "parent"))
+    joined = streams.children_with_parents(*(streams.stream_of(spark, str(tmp_path / name)) for name in ("child", "parent")))
+    assert sorted(r.parent_id for r in streams.drained(joined.select("c.parent_id"), str(tmp_path / "out"), mode="append").collect()) == [1, 3, 5, 7, 9]
+
+
 def test_dimension_is_kept_when_empty(spark):
     state = [spark.range(2), spark.range(0)]
     dim = streams.Dimension(lambda: state.pop(0))
