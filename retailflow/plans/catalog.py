@@ -583,6 +583,22 @@ for _name in ("expr_int", "expr_bigint", "expr_mul", "expr_member", "expr_litera
     query(_name, _EXPRESSIONS)(_expressions)
 
 
+def _list_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change lines with one more field, whose items have parts; the second item of some has one part only."""
+    k = F.col("order_id")
+    second = F.when(k % 11 == 0, "b").otherwise(F.concat_ws(a.PART, F.lit("b"), (k % 7).cast("string")))
+    lists = F.concat_ws(a.LIST, F.concat_ws(a.PART, k.cast("string"), F.lit("a")), second)
+    rows = logs.fields_of(a.change_lines(spark, sf_dir).withColumn("value", F.concat_ws(a.FIELD, "value", lists)))
+    spec = {"first": "@field1 1", "part": "@field3 7 1 1", "firsts": "@field3 7 0 1", "number": "@bigint @field3 7 2 2"}
+    return mapping.map_fields(rows, spec, keep=("order_id",)).select("order_id", "first", "part", F.translate("firsts", a.LIST, ",").alias("firsts"), "number", "reject")
+
+
+_LIST_PLACES = f"""{_LINES} SELECT order_id, (order_id + 1700000000) * 1000 || ':7' AS first, CAST(order_id AS VARCHAR) AS part, order_id || ',b' AS firsts,
+    CASE WHEN order_id % 11 <> 0 THEN order_id % 7 END AS number, CASE WHEN order_id % 11 = 0 THEN 'number' END AS reject FROM good"""
+for _name in ("expr_field1_places", "expr_field3_places"):
+    query(_name, _LIST_PLACES)(_list_places)
+
+
 # ---- sinks and upkeep
 
 

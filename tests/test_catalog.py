@@ -5,6 +5,7 @@ import pytest
 from oracle import rows_of, rows_of_frame
 from pyspark.sql import functions as F
 
+from retailflow.functions import mapping
 from retailflow.plans import catalog
 
 
@@ -60,3 +61,11 @@ def test_stored_files_out_of_time_order(spark, sf_dir, tmp_path):
     for k in (3, 2, 1, 0):
         events.filter((F.col("s") > ends[k]) & (F.col("s") <= ends[k + 1])).drop("s").coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
     assert rows_of_frame(catalog.QUERIES["st_return_state"](spark, str(tmp_path))) == rows_of(catalog.SQL["st_return_state"], sf_dir)
+
+
+@pytest.mark.parametrize("command", ["field1", "field3"])
+def test_commands_run_in_a_query(spark, sf_dir, monkeypatch, command):
+    """The query of the command is one that stops without it."""
+    monkeypatch.delitem(mapping.COMMANDS, command)
+    with pytest.raises(ValueError, match=f"unknown command @{command}"):
+        catalog.QUERIES[f"expr_{command}_places"](spark, sf_dir)
