@@ -33,12 +33,28 @@ def throughput_stats(df: DataFrame, every: str = "1 hour", ts: str = "ts") -> Da
     return counted.withColumns({"per_second": F.col("n") / (F.unix_seconds("until") - F.unix_seconds("period")), "stalled_s": F.coalesce(gap, F.lit(0).cast("bigint"))}).drop("until")
 
 
-def error_log_stats(lines: DataFrame, now_s: int, marker: str, level: str = "ERROR", last_s: int = 600, context: int = 8) -> DataFrame:
+def with_context(lines: DataFrame, context: int = 8, block: int = 100_000) -> DataFrame:
+    """Each line with its host's lines before it. The lines of a host are split into blocks by number, so that one host's
+    lines are sorted by many tasks; the last lines before a block are copied to it.
+    """
+    own = lines.select("host", F.expr(f"line_no div {block}").alias("block"), "line_no", "ts", "level", "message")
+    last = Window.partitionBy("host", "block").orderBy(F.col("line_no").desc())
+    tails = own.withColumn("n", F.row_number().over(last)).filter(F.col("n") <= context)
+    tails = tails.groupBy("host", "block").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "message"))).alias("tail"))
+    # one row for each block; a block has a line at least, so that as many blocks hold all lines needed
+    earlier = F.flatten(F.collect_list("tail").over(Window.partitionBy("host").orderBy("block").rowsBetween(-max(context, 1), -1)))
+    copied = tails.withColumn("earlier", earlier).select("host", "block", F.posexplode(F.slice("earlier", F.greatest(F.size("earlier") - context, F.lit(0)) + 1, context)).alias("place", "line"))
+    copied = copied.select("host", "block", F.lit(0).alias("is_own"), F.col("place").cast("bigint").alias("place"), F.col("line.message").alias("message"))
+    both = own.withColumns({"is_own": F.lit(1), "place": F.col("line_no").cast("bigint")}).unionByName(copied, allowMissingColumns=True)
+    before = Window.partitionBy("host", "block").orderBy("is_own", "place").rowsBetween(-context, 0)
+    return both.withColumn("context", F.array_join(F.collect_list("message").over(before), "\n")).filter("is_own = 1").drop("block", "is_own", "place")
+
+
+def error_log_stats(lines: DataFrame, now_s: int, marker: str, level: str = "ERROR", last_s: int = 600, context: int = 8, block: int = 100_000) -> DataFrame:
     """Error lines of the last seconds that hold a marker: their number by host, and the first with the lines before it.
 
     lines: host, line_no, ts (s), level, message.
     """
-    before = Window.partitionBy("host").orderBy("line_no").rowsBetween(-context, 0)
-    found = lines.withColumn("context", F.array_join(F.collect_list("message").over(before), "\n"))
+    found = with_context(lines, context, block)
     found = found.filter((F.col("level") == level) & F.col("message").contains(marker) & (F.col("ts") > now_s - last_s))
     return found.groupBy("host").agg(F.count(F.lit(1)).alias("n_errors"), F.min_by("context", "line_no").alias("first_context"))

@@ -180,6 +180,16 @@ def test_error_context(spark):
     assert (got.n_errors, got.first_context) == (1, "m1\nm2\nm3")
 
 
+@pytest.mark.parametrize("context", [0, 1, 3, 8])
+@pytest.mark.parametrize("block", [1, 2, 4, 1000])
+def test_error_context_over_blocks(spark, context, block):
+    """Numbers with gaps, so that some blocks hold fewer lines than the context has."""
+    numbers = {"a": [1, 2, 3, 9, 10, 30, 31, 32, 33, 34, 50], "b": [5], None: [2, 7, 8]}
+    lines = spark.createDataFrame([(h, n, 1000.0, "INFO", f"{h}{n}") for h, some in numbers.items() for n in some], "host string, line_no bigint, ts double, level string, message string")
+    got = {(r.host, r.line_no): r.context for r in stats.with_context(lines, context, block).collect()}
+    assert got == {(h, n): "\n".join(f"{h}{x}" for x in some[max(k - context, 0) : k + 1]) for h, some in numbers.items() for k, n in enumerate(some)}
+
+
 def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     source, seen = tmp_path / "in", []
     write = lambda b, k: seen.extend(r.x for r in b.collect())
