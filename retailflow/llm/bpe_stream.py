@@ -17,10 +17,12 @@ import codecs
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,14 +35,15 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 
 _PIECE = regex.compile(rf"(?P<contraction>{'|'.join(CONTRACTIONS)})|(?P<letters>\p{{L}}+)|(?P<number>\p{{N}})|(?P<rest>[^{SPACE}\p{{L}}\p{{N}}]+)")
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
-_ODD = re.compile(r"[\x1c-\x1f]")  # str.split() splits there, the tokenizer does not
 _BITS = 20
 _ID = (1 << _BITS) - 1
 _NONE = 1 << 62
 #: A chunk of text without white space that is longer than this is streamed and not kept in a cache.
 LONG_CHUNK = 96
-#: Characters of a text that are cut into chunks at a time.
+#: Characters of a long chunk that go into the transducer at a time, and bytes into the decoder.
 SLICE = 1 << 16
+#: Characters of a long text that are cut into chunks at a time.
+SLICES = 1 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -271,6 +274,14 @@ class StreamDecoder:
     def finish(self) -> str:
         return self.state.decode(b"", True)
 
+    @staticmethod
+    def text(data: pa.Buffer | bytes) -> str:
+        """Bytes to text, slice by slice, through the state machine."""
+        if len(data) <= SLICE:
+            return str(data, "utf-8", "replace")
+        state, view = codecs.getincrementaldecoder("utf-8")("replace"), memoryview(data)
+        return "".join([state.decode(view[i : i + SLICE], i + SLICE >= len(view)) for i in range(0, len(view), SLICE)])
+
     def _bytes(self, token: str) -> bytes:
         if token in self.table.special:
             return token.encode()
@@ -279,79 +290,93 @@ class StreamDecoder:
 
 
 class DocumentCodec:
-    """Encodes whole texts, keeping the results for recent chunks between white space; bounded in memory."""
-
-    def __init__(self, path: str, keep: int = 120_000, keep_pieces: int = 450_000) -> None:
-        self.table, self.keep, self.keep_pieces = MergeList(path), keep, keep_pieces
-        self.new: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.old: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.own = [*range(max(self.table.text_of) + 1)]  # one object for each id
-        self.encoder, self.decoder = PieceEncoder(self.table), StreamDecoder(self.table)
-
-    def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str]:
-        if (found := self.old.get(chunk)) is None:
-            found = self._encode(chunk)
-        if len(self.new) >= self.keep:
-            self.old, self.new = self.new, {}
-        self.new[chunk] = found
-        return found
-
-    def _encode(self, chunk: str) -> tuple[tuple[int, ...], str]:
-        m = _SIMPLE.fullmatch(chunk)
-        if m:  # letters, then marks without an apostrophe: two pieces, none of them a contraction
+    """Encodes whole texts: their chunks between white space are told apart by Arrow, each distinct one goes through
+    the transducer once for some megabytes of text, and numpy lays out the ids. Short pieces are remembered, up to
+    `keep_bytes` of them; a long chunk is streamed and never kept."""
+
+    def __init__(self, path: str, keep_bytes: int = 32 << 20) -> None:
+        self.table, self.keep_bytes = MergeList(path), keep_bytes
+        self.kind = np.dtype("<u2" if max(self.table.text_of) < 1 << 16 else "<u4")
+        strings = [self.table.text_of.get(i, "").encode() for i in range(max(self.table.text_of) + 1)]
+        self.strings = pa.array(strings, pa.binary())
+        self.pieces: dict[str, bytes] = {}
+        self.held = 0
+        self.encoder = PieceEncoder(self.table)
+
+    def forget(self) -> None:
+        self.pieces, self.held = {}, 0
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if len(chunk) <= LONG_CHUNK and (m := _SIMPLE.fullmatch(chunk)):
+            # letters, then marks without an apostrophe: two pieces, none of them a contraction
             word, marks = m.groups()
-            ids = (self._piece(word.lower()) if word else ()) + (self._piece(marks) if marks else ())
-        else:
-            stream = StreamEncoder(self.table)
-            ids = tuple([*stream.feed(chunk), *stream.finish()])
-        self.decoder.started = False
-        return ids, self.decoder.feed(ids) + self.decoder.finish()
+            return (self._piece(word.lower()) if word else b"") + (self._piece(marks) if marks else b"")
+        stream, out = StreamEncoder(self.table), []
+        for i in range(0, len(chunk), SLICE):
+            out.append(self._packed(stream.feed(chunk[i : i + SLICE])))
+        return b"".join([*out, self._packed(stream.finish())])
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         if (ids := self.pieces.get(piece)) is None:
-            own = self.own
-            ids = tuple([own[i] for i in [*self.encoder.feed(piece), *self.encoder.finish()]])
-            if len(self.pieces) >= self.keep_pieces:
-                self.pieces.clear()
+            ids = self._packed([*self.encoder.feed(piece), *self.encoder.finish()])
+            self.held += 160 + len(piece) + len(ids)  # a key, a value and their place, about
+            if self.held > self.keep_bytes:
+                self.forget()
             self.pieces[piece] = ids
         return ids
 
-    def slices(self, text: str) -> Iterator[tuple[list[int], list[str]]]:
-        """Ids and decoded parts of a text, slice by slice."""
-        at = 0
-        while at < len(text):
-            end = min(at + SLICE, len(text))
-            if end < len(text):  # up to the last white space, or else the next
-                back = max(text.rfind(c, at, end) for c in " \n\t\r")
-                ahead = _GAP.search(text, end) if back <= at else None
-                end = back if back > at else ahead.start() if ahead else len(text)
-            part = text[at:end]
-            at = end
-            chunks = [c for c in _GAP.split(part) if c] if _ODD.search(part) else part.split()
-            found = [*map(self.new.get, chunks)]
-            if None in found:
-                found = [f or (self._chunk(c) if len(c) <= LONG_CHUNK else None) for f, c in zip(found, chunks, strict=True)]
-            while None in found:
-                k = found.index(None)
-                yield self._flat(found[:k])
-                yield from self._long(chunks[k])
-                found, chunks = found[k + 1 :], chunks[k + 1 :]
-            yield self._flat(found)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's ids begin and the last one's end."""
+        return by_distinct_chunk(texts, self._chunk, self.kind)
 
-    @staticmethod
-    def _flat(found: list[tuple[tuple[int, ...], str]]) -> tuple[list[int], list[str]]:
-        return [*chain.from_iterable([f[0] for f in found])], [f[1] for f in found if f[0]]
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The text of each run of ids, as the library gives it for a file without a decoder."""
+        strings = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.strings.take(pa.array(ids)))
+        return [StreamDecoder.text(data.as_buffer()) for data in pc.binary_join(strings, b" ")]
 
-    def _long(self, chunk: str) -> Iterator[tuple[list[int], list[str]]]:
-        stream, decoder = StreamEncoder(self.table), StreamDecoder(self.table)
-        for i in range(0, len(chunk), SLICE):
-            ids = stream.feed(chunk[i : i + SLICE])
-            decoder.started = False
-            yield ids, [decoder.feed(ids)] if ids else []
-        ids = stream.finish()
-        decoder.started = False
-        yield ids, [decoder.feed(ids)] if ids else []
+    def coded(self, text: str) -> tuple[np.ndarray, str]:
+        """Ids and decoded text of a long text, taken in parts that end at white space."""
+        ids, decoded = [], []
+        for part in parts_of(text):
+            some, ends = self.encode(pa.array([part], pa.string()))
+            ids.append(some)
+            if len(some):
+                decoded += self.decode(some, ends)
+        return np.concatenate([*ids, np.empty(0, self.kind)]), " ".join(decoded)
+
+
+def by_distinct_chunk(texts: pa.Array, encode: Callable[[str], bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after the other, and where each text's ids begin and the last one's end.
+
+    Each distinct chunk between white space is encoded once, to little-endian ids of that kind.
+    """
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.flatten().dictionary_encode()
+    found = [*map(encode, coded.dictionary.to_pylist())]
+    size = np.fromiter(map(len, found), np.int64, len(found)) // kind.itemsize
+    known = np.frombuffer(b"".join(found), kind)
+    del found
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    n = size[codes]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    at = np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[codes] - ends[:-1], n)
+    return known[at], ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+
+def parts_of(text: str) -> Iterator[str]:
+    """A text in parts of SLICES characters, about, each but the last ending before white space."""
+    at = 0
+    while at < len(text):
+        end = min(at + SLICES, len(text))
+        if end < len(text):  # up to the last white space, or else the next
+            back = max(text.rfind(c, at, end) for c in " \n\t\r")
+            ahead = _GAP.search(text, end) if back <= at else None
+            end = back if back > at else ahead.start() if ahead else len(text)
+        yield text[at:end]
+        at = end
 
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-;=?@\[-`{-~]*)")
@@ -359,37 +384,49 @@ _codecs: dict[str, DocumentCodec] = {}
 
 
 def codec(path: str) -> DocumentCodec:
-    """One for each worker process and file; it lives as long as the worker."""
+    """One for each worker process and file; what it remembers goes when a task ends."""
     if path not in _codecs:
         _codecs[path] = DocumentCodec(path)
     return _codecs[path]
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", flush: int = 2_000_000) -> DataFrame:
+def rows_at_once(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with `most` bytes of text, about; a longer text is a range of its own."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for row, n in enumerate(size.tolist()):
+        if row > start and held + n > most:
+            yield start, row
+            start, held = row, 0
+        held += n
+    if start < len(size):
+        yield start, len(size)
+
+
+def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", flush: int = 1 << 20) -> DataFrame:
     """docs with `ids` (array of int) and `decoded` (string) for each row's whole text; a null text counts as ''.
 
-    tokenizer: the tokenizer's file, present on every machine. flush: ids after which a batch goes back to Spark.
+    tokenizer: the tokenizer's file, present on every machine. flush: bytes of text after which rows go back to Spark.
     """
     rest = [c for c in docs.columns if c not in ("ids", "decoded", "__text")]
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer)
-        for batch in batches:
-            texts, start = batch.column(len(rest)), 0
-            ids: list[int] = []
-            ends, decoded = [0], []
-            for row in range(batch.num_rows):
-                parts: list[str] = []
-                for some, strings in own.slices(texts[row].as_py() or ""):
-                    ids += some
-                    parts += strings
-                ends.append(len(ids))
-                decoded.append(" ".join(parts))
-                if len(ids) >= flush or row == batch.num_rows - 1:
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-                    columns = [batch.column(i).slice(start, row + 1 - start) for i in range(len(rest))]
-                    yield pa.RecordBatch.from_arrays([*columns, lists, pa.array(decoded, pa.string())], names=[*rest, "ids", "decoded"])
-                    start, ids, ends, decoded = row + 1, [], [0], []
+        try:
+            for batch in batches:
+                for start, end in rows_at_once(batch.column(len(rest)), flush):
+                    part = batch.slice(start, end - start)
+                    texts = pc.fill_null(part.column(len(rest)), "")
+                    if len(texts) == 1 and len(texts[0].as_buffer()) > SLICES:
+                        ids, decoded = own.coded(texts[0].as_py())
+                        ends, decoded = np.array([0, len(ids)]), [decoded]
+                    else:
+                        ids, ends = own.encode(texts)
+                        decoded = own.decode(ids, ends)
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], lists, pa.array(decoded, pa.string())], names=[*rest, "ids", "decoded"])
+        finally:
+            own.forget()
 
     return docs.select(*rest, F.col(text).alias("__text")).mapInArrow(run, schema)

@@ -13,31 +13,34 @@ null ids first; rows with the same id follow the hash of their text. Nothing els
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe_stream import _GAP, _ODD, _SIMPLE, LONG_CHUNK, byte_alphabet
+from .bpe_stream import _SIMPLE, LONG_CHUNK, SLICES, by_distinct_chunk, byte_alphabet, parts_of, rows_at_once
 from .common import discard, written
 
+IDS = np.dtype("<u4")
 #: Ids to a block, about: a block ends with the document that fills it.
 BLOCK = 1 << 18
 LAYOUT = "part int, block int, before bigint, doc_ids array<bigint>, lengths array<bigint>, control binary, data binary"
 
 
 class LibraryCodec:
-    """The tokenizers library's ids of whole texts, kept for the first chunks between white space
-    that it meets; of a skewed vocabulary these hold the frequent ones.
+    """The tokenizers library's ids of whole texts, each distinct chunk between white space encoded once for some
+    megabytes of text. Short pieces of chunks are remembered, up to `keep_bytes` of them.
 
     No piece of this tokenizer reaches over white space, so a text's ids are those of its chunks, one after the
     other. Chunks of Latin letters and marks go straight to the library's model, all others through all its steps.
     """
 
-    def __init__(self, path: str, keep: int = 500_000, keep_pieces: int = 600_000) -> None:
+    def __init__(self, path: str, keep_bytes: int = 48 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,43 +50,33 @@ class LibraryCodec:
         self.model = self.tokenizer.model
         alphabet = byte_alphabet()
         self.letters = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(256)}
-        self.keep, self.keep_pieces = keep, keep_pieces
-        self.known: dict[str, bytes] = {}
-        self.passed = 0
+        self.keep_bytes, self.held = keep_bytes, 0
         self.pieces: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text."""
-        chunks = [c for c in _GAP.split(text) if c] if _ODD.search(text) else text.split()
-        found = [*map(self.known.get, chunks)]
-        if None in found:
-            found = [f if f is not None else self._chunk(c) for f, c in zip(found, chunks, strict=True)]
-        return b"".join(found)
+    def forget(self) -> None:
+        self.pieces, self.held = {}, 0
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's ids begin and the last one's end."""
+        if len(texts) == 1 and len(texts[0].as_buffer()) > SLICES:
+            found = [by_distinct_chunk(pa.array([part], pa.string()), self._chunk, IDS)[0] for part in parts_of(texts[0].as_py())]
+            ids = np.concatenate(found)
+            return ids, np.array([0, len(ids)])
+        return by_distinct_chunk(texts, self._chunk, IDS)
 
     def _chunk(self, chunk: str) -> bytes:
-        if (found := self.known.get(chunk)) is not None:
-            return found
         m = _SIMPLE.fullmatch(chunk) if len(chunk) <= LONG_CHUNK else None
         if m:
             word, marks = m.groups()
-            found = (self._piece(word.lower()) if word else b"") + (self._piece(marks) if marks else b"")
-        else:
-            found = np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.known) < self.keep and len(chunk) <= LONG_CHUNK:
-            self.known[chunk] = found
-        else:
-            self.passed += 1
-            if self.passed > 16 * self.keep:  # what was frequent at first may no longer be
-                self.known.clear()
-                self.passed = 0
-        return found
+            return (self._piece(word.lower()) if word else b"") + (self._piece(marks) if marks else b"")
+        return np.asarray(self.tokenizer.encode(chunk, add_special_tokens=False).ids, IDS).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         if (found := self.pieces.get(piece)) is None:
-            tokens = self.model.tokenize(piece.translate(self.letters))
-            found = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-            if len(self.pieces) >= self.keep_pieces:
-                self.pieces.clear()
+            found = array("I", [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
+            self.held += 160 + len(piece) + len(found)  # a key, a value and their place, about
+            if self.held > self.keep_bytes:
+                self.forget()
             self.pieces[piece] = found
         return found
 
@@ -134,21 +127,18 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, counts = codec(tokenizer), np.zeros(vocabulary, np.int64)
-        end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            held: list[bytes] = []
-            start, size = 0, 0
-            for row in range(batch.num_rows):
-                held.append(own.ids(batch.column(2)[row].as_py() or "") + end)
-                if (size := size + len(held[-1])) > 1 << 24 or row == batch.num_rows - 1:
-                    ids = np.frombuffer(b"".join(held), "<u4")
-                    counts += np.bincount(ids, minlength=vocabulary)
-                    narrow = ids.astype(width)
-                    ends = np.concatenate([[0], np.cumsum([len(h) // 4 for h in held])]) * narrow.itemsize
-                    binary = pa.BinaryArray.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(narrow)])
-                    own_ids = [batch.column(k).slice(start, len(held)) for k in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([*own_ids, binary, pa.nulls(len(held), pa.binary())], names=names)
-                    held, start, size = [], row + 1, 0
+            texts = pc.fill_null(batch.column(2), "")
+            for start, end in rows_at_once(texts, 1 << 20):
+                ids, ends = own.ids(texts.slice(start, end - start))
+                ids = np.insert(ids, ends[1:], end_id)
+                ends = ends + np.arange(len(ends))
+                counts += np.bincount(ids, minlength=vocabulary)
+                narrow = ids.astype(width)
+                binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), end - start, [None, pa.py_buffer(ends * narrow.itemsize), pa.py_buffer(narrow)]).cast(pa.binary())
+                own_ids = [batch.column(k).slice(start, end - start) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*own_ids, binary, pa.nulls(end - start, pa.binary())], names=names)
+        own.forget()
         yield pa.RecordBatch.from_pylist([{"counts": counts.tobytes()}], pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())]))
 
     return docs.mapInArrow(run, "doc_id bigint, tie bigint, ids binary, counts binary")
