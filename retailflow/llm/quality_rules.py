@@ -1,25 +1,28 @@
 """Quality rules with adaptive limits: quantile sketches for each language and source in place of fixed cutoffs.
 
 Each document gets a few measures. For each (language, source) a mergeable quantile sketch of each measure is
-built over all documents that pass the base rules. A limit lies some spreads beyond the median, where a spread is
+built over all documents that pass the base rules: counts of values in buckets that grow by a fixed factor, so that
+a quantile is off by at most 0.2 % of itself, merging is adding, and no chance and no order of rows has a part in it.
+Two runs over the same documents keep the same ones. A limit lies some spreads beyond the median, where a spread is
 the distance from the median to the quartile on the other side, so that up to half of a group may be odd without
 moving it. Groups with few documents use the sketches merged over their language, or else over all documents.
 Limits are joined back by (language, source), and documents beyond one are rejected.
 
 Everything runs in Spark's own functions. A document's word windows are compared inside its row, so texts aren't
-shuffled; sketches are merged map-side first, so a group with a third of the documents is no heavier than others.
+shuffled; sketches are summed map-side first, so a group with a third of the documents is no heavier than others.
 
 Rows: a null text counts as an empty one (no words: it fails the base rules). Null languages and sources are groups
-of their own. Repeated rows are judged each. Other columns are kept; those with the names of measures are replaced.
-Windows are compared by 64-bit hashes within one document.
+of their own. Repeated rows are judged each. Other columns are kept; those with the names of measures are replaced
+in `measured`, and kept by `filter_documents`. Windows are compared by 64-bit hashes within one document.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import GAP, GAP_CHARS, cut
@@ -30,6 +33,11 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: How far a quantile may be off, as a share of itself, and the factor from bucket to bucket that keeps it so.
+ACCURACY = 0.002
+GROWTH = (1 + ACCURACY) / (1 - ACCURACY)
+#: Values up to this count as 0, in a bucket of their own before all others.
+TINY, NONE = 1e-12, -1_000_000
 #: Rows of limits up to which they are broadcast.
 BROADCAST_ROWS = 50_000
 
@@ -102,28 +110,50 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("base_failed", failed).drop("__w", "__l")
 
 
-def sketches(measures: DataFrame, lang: str = "lang", source: str = "source", k: int = 400) -> DataFrame:
-    """A row for each language and source: how many documents, and a mergeable sketch of each ratio."""
-    # within the sums, as a filter before them would be pushed below the measures and compute them again
-    passed = lambda c: F.when(~F.col("base_failed"), c)
-    sums = [F.count_if(~F.col("base_failed")).alias("n"), *[F.kll_sketch_agg_double(passed(r.value()), F.lit(k)).alias(r.name) for r in RATIOS]]
-    return measures.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(*sums).filter("n > 0")
+def bucket_of(value: Column) -> Column:
+    """The bucket of a value: 0 for 0 and below, else its logarithm in steps of GROWTH, rounded up."""
+    return F.when(value <= TINY, F.lit(NONE)).otherwise(F.ceil(F.ln(value) / math.log(GROWTH)).cast("int"))
+
+
+def value_of(bucket: Column) -> Column:
+    """The middle of a bucket, by which no value of it is off by more than ACCURACY of itself."""
+    return F.when(bucket == NONE, 0.0).otherwise(F.pow(F.lit(GROWTH), bucket) * (2 / (GROWTH + 1)))
+
+
+def sketches(measures: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """The quantile sketch of each ratio, for each language and source: how many values (n) lie in each bucket.
+
+    Adding the counts merges two sketches, in any order, so the same documents give the same sketch in every run.
+    """
+    # null where a base rule fails, as a filter would be pushed below the measures and compute them again
+    entry = lambda k, r: F.struct(F.lit(k).alias("ratio"), bucket_of(F.when(~F.col("base_failed"), r.value())).alias("bucket"))
+    entries = F.inline(F.array(*[entry(k, r) for k, r in enumerate(RATIOS)]))
+    rows = measures.select(F.col(lang).alias("lang"), F.col(source).alias("source"), entries)
+    return rows.groupBy("lang", "source", "ratio", "bucket").agg(F.count(F.lit(1)).alias("n")).filter("bucket is not null")
+
+
+def _quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
+    """n, and the quartiles of each ratio, for each group of keys. A window holds the buckets of one sketch, some thousands at most."""
+    merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy(*keys, "ratio")
+    ranked = merged.withColumns({"upto": F.sum("n").over(own.orderBy("bucket")), "all": F.sum("n").over(own)})
+    at = lambda q, k: F.min(F.when((F.col("upto") >= q * F.col("all")) & (F.col("ratio") == k), F.col("bucket")))
+    found = [value_of(at(q, k)).alias(f"{r.name}_{name}") for k, r in enumerate(RATIOS) for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))]
+    return ranked.groupBy(*keys).agg(F.max("all").alias("n"), *found)
 
 
 def limits(groups: DataFrame, least: int = 200) -> DataFrame:
     """Limits for each language and source, from the sketches of the smallest group around it with enough documents."""
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(r.name).alias(r.name) for r in RATIOS]]
-    by_lang = groups.groupBy("lang").agg(*merged)
-    overall = groups.groupBy().agg(*merged)
+    by_lang, overall = _quartiles(groups, "lang"), _quartiles(groups)
     found = (
-        groups.alias("g")
+        _quartiles(groups, "lang", "source").alias("g")
         .join(by_lang.alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")))
         .join(F.broadcast(overall.alias("o")), F.lit(True))  # one row
     )
     columns: list[Column] = [F.col("g.lang").alias("lang"), F.col("g.source").alias("source")]
     for r in RATIOS:
-        s = F.when(F.col("g.n") >= least, F.col(f"g.{r.name}")).when(F.col("l.n") >= least, F.col(f"l.{r.name}")).otherwise(F.col(f"o.{r.name}"))
-        q25, q50, q75 = (F.kll_sketch_get_quantile_double(s, F.lit(q)) for q in (0.25, 0.5, 0.75))
+        pick = lambda q: F.when(F.col("g.n") >= least, F.col(f"g.{r.name}_{q}")).when(F.col("l.n") >= least, F.col(f"l.{r.name}_{q}")).otherwise(F.col(f"o.{r.name}_{q}"))  # noqa: B023, E731
+        q25, q50, q75 = pick("q25"), pick("q50"), pick("q75")
         columns.append((q50 + SPREADS * F.greatest(q50 - q25, F.lit(r.least_spread))).alias(f"{r.name}_most"))
         if r.low:
             columns.append((q50 - SPREADS * F.greatest(q75 - q50, F.lit(r.least_spread))).alias(f"{r.name}_least"))
@@ -149,8 +179,11 @@ def judged(measures: DataFrame, bounds: DataFrame, lang: str = "lang", source: s
 
 
 def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The documents that pass, with their own columns. Measures are computed twice, so that texts stay where they are."""
+    """The documents that pass, with their own columns. Measures are computed once, into a table with the texts beside them."""
     own = docs.columns
-    measures = measured(docs, text)
-    bounds = limits(sketches(measured(docs.select(lang, source, text), text), lang, source))
-    return judged(measures, bounds, lang, source).filter("kept").select(*own)
+    # clashing columns of the input ride along under other names
+    renamed = docs.select(*[F.col(c).alias(f"own_{k}") for k, c in enumerate(own)])
+    at = {c: f"own_{k}" for k, c in enumerate(own)}
+    measures = cut(measured(renamed, at[text]), "measured")
+    kept = judged(measures, limits(sketches(measures, at[lang], at[source])), at[lang], at[source]).filter("kept")
+    return kept.select(*[F.col(at[c]).alias(c) for c in own])

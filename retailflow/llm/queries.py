@@ -214,7 +214,7 @@ FROM d LEFT JOIN s ON d.lang IS NOT DISTINCT FROM s.lang AND d.source IS NOT DIS
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judged, limits, measured, sketches
 
-    measures = cut(measured(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("text"))
+    measures = cut(measured(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("text"), "measured")
     kept = judged(measures, limits(sketches(measures)))
     return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 

@@ -322,3 +322,28 @@ def test_preferences(spark):
     assert (got[2].prompt, got[2].rejected, got[2].rejected_id) == ("", "", None) and got[3].chosen == ""
     assert (got[5].n_prefix_turns, got[5].chosen, got[5].rejected) == (1, "", "")
     assert preferences.format_preferences(df.limit(0), "p", "good").count() == 0
+
+
+def test_limits_are_the_same_in_every_run(spark):
+    """A group of 100,000 rows in different orders and partitions: equal limits, and quantiles near the exact ones."""
+    rows = spark.range(100_000).select(
+        F.lit("en").alias("lang"),
+        F.lit("hot").alias("source"),
+        (50 + F.abs(F.hash("id")) % 900).cast("bigint").alias("n_words"),
+        (400 + F.abs(F.hash("id", F.lit(1))) % 5000).cast("bigint").alias("word_chars"),
+        (F.abs(F.hash("id", F.lit(2))) % 40).cast("bigint").alias("n_symbols"),
+        (F.abs(F.hash("id", F.lit(3))) % 3).cast("bigint").alias("n_dup_lines"),
+        F.lit(9).alias("__lines"),
+        (F.abs(F.hash("id", F.lit(4))) % 30).cast("bigint").alias("n_repeat_words"),
+        F.lit(False).alias("base_failed"),
+    )
+    found = [quality_rules.limits(quality_rules.sketches(r)).collect() for r in (rows, rows.repartition(7, "n_words"), rows.orderBy(F.desc("word_chars")))]
+    assert found[0] == found[1] == found[2]
+    exact = rows.select(F.expr("percentile_disc(0.5) within group (order by word_chars / n_words)").alias("m"), F.expr("percentile_disc(0.25) within group (order by word_chars / n_words)").alias("l")).first()
+    assert abs(found[0][0].word_length_most - (exact.m + quality_rules.SPREADS * (exact.m - exact.l))) < 0.03 * found[0][0].word_length_most
+
+
+def test_filtered_documents_keep_clashing_columns(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text, "en", "a", 5), (2, "short", "en", "a", 6)], "doc_id int, text string, lang string, source string, n_words int")
+    assert [(r.doc_id, r.n_words) for r in quality_rules.filter_documents(docs).collect()] == [(1, 5)]
