@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import new_path, table
+from retailflow.llm.common import begun, discard, discard_since, new_path, table
 from retailflow.llm.decontaminate import clean
 from retailflow.llm.ngram_join import one_of_each_group
 from retailflow.llm.quality_rules import filter_documents
@@ -60,10 +60,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages, each written to the shared folder and read again. What only an earlier stage needed is removed."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
+        mark = begun()
+        result = stage(spark, docs, sf_dir)
         path = new_path(spark, name.replace(" ", "_"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        result.write.parquet(path)
+        discard_since(spark, mark, path)
+        discard(spark, *before)
+        docs, before = spark.read.parquet(path), [path]
     return STAGES[-1][1](spark, docs, sf_dir)
