@@ -177,8 +177,8 @@ def test_url_rules(spark):
     got = url_filter.filter_urls(df, hosts, url_filter.default_patterns()).collect()
     assert [(r.url, r.host, r.path, r.rule, r.verdict) for r in got] == URLS
     assert url_filter.filter_urls(df.limit(0), hosts, []).count() == 0
-    with pytest.raises(ValueError, match="takes"):
-        url_filter.filter_urls(df, hosts * 6000, [])
+    table = url_filter.filter_urls(df, hosts, url_filter.default_patterns(), literal_rules=0).collect()  # the same rules joined as a table
+    assert sorted(map(str, table)) == sorted(map(str, got))
 
 
 def test_rules_without_tokens_run_for_all(spark):
@@ -189,7 +189,32 @@ def test_rules_without_tokens_run_for_all(spark):
 
 def test_filed_under_the_rarest_token(spark):
     df = url_filter.with_host_and_path(spark.createDataFrame([("http://a.b/c",), ("http://a.d/c",)], "url string"))
-    assert url_filter.rarest_tokens(df, [url_filter.Rule("r", "block", "x", ("a", "b", "c"))]) == {"r": "b"}
+    assert url_filter.rarest_tokens(df, [url_filter.Rule("r", "block", "x", ("a", "b", "c"))]) == ["b"]
+
+
+@pytest.mark.parametrize("most", [0, 20_000])
+def test_rules_of_one_name(spark, most):
+    """Each is filed under its own token; a pattern with a host rule's name is no host rule."""
+    df = spark.createDataFrame([("http://aa/x",), ("http://bb/x",), ("http://cc/x",), ("http://aa/x",)], "url string")
+    rules = [url_filter.Rule("dup", "block", "^aa", ("aa",)), url_filter.Rule("dup", "block", "^bb", ("bb",)), url_filter.Rule("cc/", "block", "^cc", ("cc",), -1)]
+    got = url_filter.filter_urls(df, [url_filter.host_rule("cc/", "allow")], rules, literal_rules=most).collect()
+    assert sorted((r.url, r.rule, r.pattern, r.verdict) for r in got if r.url > "http://b") == [("http://bb/x", None, "dup", "block"), ("http://cc/x", "cc/", "cc/", "allow")]
+    assert [(r.rule, r.verdict) for r in got if r.url < "http://b"] == [(None, "block")] * 2
+
+
+def test_thirty_thousand_rules(spark):
+    rules = [url_filter.label_rule(f"bad{k}") for k in range(30_000)]
+    df = spark.createDataFrame([("http://bad7.com/",), ("http://x-bad29999.org/a",), ("http://bad30000.com/",), (None,)], "url string")
+    got = {r.url: r.verdict for r in url_filter.filter_urls(df, [], rules).collect()}
+    assert [got[u.url] for u in df.collect()] == ["block", "block", "allow", "allow"]
+
+
+def test_rules_from_a_table(spark):
+    patterns = [r"//ads\.", r"/casino/", r"-win-[0-9]+", r"(?i)/spam/", r"zq|zw", r"[.]pills[.]", r"/x(yz)?-promo\.html"]
+    found = url_filter.rules_of(spark.createDataFrame([(p,) for p in patterns] + [(None,)], "pattern string"))
+    assert {r.pattern: r.tokens for r in found} == {patterns[0]: ("ads",), patterns[1]: ("casino",), patterns[2]: ("win",), patterns[3]: (), patterns[4]: (), patterns[5]: ("pills",), patterns[6]: ("promo",)}
+    df = spark.createDataFrame([("http://h/casino/1",), ("http://h/Spam/",), ("http://q.pills.com/",), ("http://h/mycasino/",), ("http://h/zw",)], "url string")
+    assert [r.verdict for r in url_filter.filter_urls(df, [], found).collect()] == ["block", "block", "block", "block"]
 
 
 # ---- quality
