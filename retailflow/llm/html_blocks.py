@@ -21,8 +21,10 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,21 +34,20 @@ from pyspark.sql import functions as F
 # HTML's inline and void elements, and those whose content is not text of the page.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|svg|iframe"
+RAW = frozenset("script style noscript template svg iframe".split())
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 # Attributes of a tag. A quote opens a value only after "=" and where another closes it; values are of any length.
-_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+"""
-_TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<svg(?=[\s/>]){_ATTRIBUTES}(?<=/)>|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>|</?[a-zA-Z][^>]*>""",
-    re.S | re.I,
-)
+_ATTRIBUTES = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+""")
+_RAW_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 # The quoted values of other attributes are passed over whole: they may hold markup.
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|=\s*(?:"[^"]*+"|'[^']*+')""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 #: What a page's own marks say, for training: elements and class words that hold no main text.
 ASIDE_TAGS = frozenset("nav header footer aside form button select head menu dialog".split())
-ASIDE_WORDS = frozenset("ad ads advert banner breadcrumb byline comment comments cookie disqus footer header login menu nav navbar newsletter notice popup promo related replies share sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+ASIDE_WORDS = frozenset("ad ads advert banner breadcrumb byline comment comments cookie discussion disqus feedback footer header login menu nav navbar newsletter notice popup promo related replies responses share sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 MAIN_TAGS = frozenset(("article", "main"))
+SECTIONS = frozenset("nav article section aside footer header main".split())
 
 PATH_DIMS, WORD_DIMS, SIZES = 160, 24, 6
 
@@ -56,128 +57,204 @@ class Settings:
     pages: int = 160
     most_chars: int = 60_000
     hidden: int = 20
-    epochs: int = 8
+    epochs: int = 10
     rate: float = 0.01
     seed: int = 7
 
 
+class Node:
+    """An open element: its name, its class words and the element around it, which inner ones share."""
+
+    __slots__ = ("inside", "places", "tag", "words")
+
+    def __init__(self, tag: str, words: tuple[str, ...], inside: Node | None) -> None:
+        self.tag, self.words, self.inside = tag, words, inside
+        self.places = [_place(f"<{tag}>"), *map(_place, words)]
+
+
+@lru_cache(maxsize=20_000)
+def _place(name: str) -> int:
+    return zlib.crc32(name.encode()) % PATH_DIMS
+
+
 @dataclass(frozen=True)
 class Block:
-    path: tuple[tuple[str, tuple[str, ...]], ...]  # element and class words, the outermost first
     text: str
     linked: int  # characters in links
+    element: Node | None
+    features: bytes  # which hashed names of elements and class words it is in, as bits
+    label: float  # 1 for main text by the page's own marks
+
+    @property
+    def tag(self) -> str:
+        return self.element.tag if self.element else ""
+
+    @property
+    def path(self) -> tuple[tuple[str, tuple[str, ...]], ...]:
+        """Elements and class words, the outermost first."""
+        found, node = [], self.element
+        while node:
+            found.append((node.tag, node.words))
+            node = node.inside
+        return tuple(reversed(found))
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """The page in one pass: the text before each tag, the tag's name in small letters, whether it ends an element, and
+    its attributes. Comments and declarations have the name '!', raw elements with their content '?'; '' is the end.
+
+    Every step starts behind what the one before it has read. A tag that only ends within a quoted value ends at its
+    first > instead, and from there on quotes mean nothing in the page.
+    """
+    text, at, quotes, last = 0, 0, True, page.rfind(">")
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end = len(page) if end < 0 else end + 3
+            yield page[text:start], "!", False, ""
+            text = at = end
+            continue
+        if start > last:
+            break
+        if page[start + 1] in "!?":
+            end = page.index(">", start) + 1
+            yield page[text:start], "!", False, ""
+            text = at = end
+            continue
+        m = _NAME.match(page, start)
+        if not m or m.end() > last:
+            at = start + 1 if not m else m.end()
+            continue
+        end = _ATTRIBUTES.match(page, m.end()).end() if quotes else -1
+        if not quotes or end >= len(page):
+            quotes = False
+            end = page.index(">", m.end())
+        name, attributes = m[1].lower(), page[m.end() : end]
+        closes = page[start + 1] == "/"
+        end += 1
+        if name in RAW and not closes:
+            if not (name == "svg" and attributes.endswith("/")):
+                close = _RAW_ENDS[name].search(page, end)
+                end = close.end() if close else len(page)
+            name = "?"
+        yield page[text:start], name, closes, attributes
+        text = at = end
+    yield page[text:], "", False, ""
 
 
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in order, with character references decoded and white space made single spaces."""
-    page = page or ""
     found: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Node] = []
+    opened: Counter[str] = Counter()
+    names = np.zeros(PATH_DIMS, np.int64)  # how many open elements have a name
+    aside = main = link = linked = 0
     pieces: list[str] = []
-    state = {"link": 0, "linked": 0}
-    at = 0
 
     def end_block() -> None:
+        nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            found.append(Block(tuple(stack), text, state["linked"]))
+            found.append(Block(text, linked, stack[-1] if stack else None, np.packbits(names > 0).tobytes(), float(main > 0 and not aside)))
         pieces.clear()
-        state["linked"] = 0
-
-    def close(*names: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                del stack[k:]
-                return
-
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            piece = page[at : m.start()]
-            pieces.append(piece)
-            if state["link"]:
-                state["linked"] += len(piece)
-        at = m.end()
-        name = m[3]
-        if name is None:
-            if m[0][:2] != "<!" or m[1]:
-                pieces.append(" ")
+        linked = 0
+
+    def turn(node: Node, by: int) -> None:
+        nonlocal aside, main
+        opened[node.tag] += by
+        for k in node.places:
+            names[k] += by
+        aside += by * (node.tag in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(node.words))
+        main += by * (node.tag in MAIN_TAGS)
+
+    for text, name, closes, attributes in tokens(page or ""):
+        if text:
+            pieces.append(text)
+            if link:
+                linked += len(text)
+        if name == "!":
+            continue
+        if name == "?":
+            pieces.append(" ")
             continue
-        name = name.lower()
         if name in INLINE:
             if name == "a":
-                state["link"] = 0 if m[2] else 1
+                link = int(not closes)
             elif name == "br":
                 pieces.append(" ")
             continue
         end_block()
-        if m[2]:
-            close(name)
+        if closes:
+            while opened[name] and (node := stack.pop()):
+                turn(node, -1)
+                if node.tag == name:
+                    break
             continue
-        if name in VOID:
+        if name in VOID or not name:
             continue
-        if stack and stack[-1][0] == "p":  # a block ends an open paragraph
-            stack.pop()
+        if stack and stack[-1].tag == "p":  # a block ends an open paragraph
+            turn(stack.pop(), -1)
         if name == "li":
-            while stack and stack[-1][0] not in ("ul", "ol", "menu") and any(t == "li" for t, _ in stack):
-                stack.pop()
-        words = tuple(w for names in _NAMES.findall(m[4]) for w in _SPLIT.split("".join(names).lower()) if w)
-        stack.append((name, words))
-        if name in ("nav", "article", "section", "aside", "footer", "header", "main"):
-            state["link"] = 0
-    if at < len(page):
-        pieces.append(page[at:])
-    end_block()
+            while opened["li"] and stack[-1].tag not in ("ul", "ol", "menu"):
+                turn(stack.pop(), -1)
+        words = tuple(w for named in _NAMES.findall(attributes) for w in _SPLIT.split("".join(named).lower()) if w)
+        stack.append(Node(name, words, stack[-1] if stack else None))
+        turn(stack[-1], 1)
+        if name in SECTIONS:
+            link = 0
     return found
 
 
 def own_label(block: Block) -> float:
     """1 for main text by the page's own marks."""
-    inside = False
-    for tag, words in block.path:
-        if tag in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(words):
-            return 0.0
-        inside |= tag in MAIN_TAGS
-    return float(inside)
+    return block.label
 
 
-# Layouts for training. {main}, {menu} and {a} to {e} are filled with a page's own main blocks and other texts.
-WRAPPERS = ('<article>{0}</article>', '<main>{0}</main>', '<div class="content">{0}</div>', '<div class="post entry">{0}</div>', '<div id="story">{0}</div>', '<div class="page"><section>{0}</section></div>', '<main><article class="body text">{0}</article></main>')
-BEFORE = ('<header><h1>{a}</h1></header>', '<div class="header">{a}</div>', '<nav><ul>{menu}</ul></nav>', '<div class="menu"><ul>{menu}</ul></div>', '<ul id="nav">{menu}</ul>', '<div class="notice">{b}</div>', '<div class="cookie banner"><p>{b}</p></div>', '<aside>{c}</aside>', '<div class="ad">{d}</div>', '<form><p>{e}</p></form>')
-AFTER = ('<footer>{a}</footer>', '<div id="footer"><p>{a}</p></div>', '<aside class="sidebar"><h2>{b}</h2><p>{c}</p></aside>', '<div class="sidebar">{c}</div>', '<section class="comments"><h2>{b}</h2><p>{d}</p><p>{c}</p></section>', '<div id="comments"><div class="comment"><p>{d}</p></div><div class="comment">{e}</div></div>', '<div class="related"><ul>{menu}</ul></div>', '<div class="advert"><p>{d}</p></div>', '<form class="newsletter">{e}</form>', '<div class="share">{a}</div>', '<div class="promo sponsored">{b}</div>')
-WITHIN = ('<aside>{c}</aside>', '<div class="ad">{d}</div>', '<div class="notice">{b}</div>', '<nav><ul>{menu}</ul></nav>', '<form>{e}</form>', '<div class="comments"><p>{d}</p></div>', '<section id="comments"><p>{c}</p></section>', '<div class="share related">{a}</div>')
+# Layouts for training. {0} is filled with a page's own main blocks, {menu}, {links} and {a} to {f} with its other texts.
+WRAPPERS = ('<article>{0}</article>', '<main>{0}</main>', '<div class="content">{0}</div>', '<div class="post entry">{0}</div>', '<div id="story">{0}</div>', '<div class="page"><section>{0}</section></div>', '<main><article class="body text">{0}</article></main>', '<article>{0}</article>', '<table><tr><td><ul>{menu}</ul></td><td>{0}</td></tr></table>', '<table class="layout"><tr><td>{links}</td><td>{0}</td><td>{c}</td></tr></table>')
+BEFORE = ('<header><h1>{a}</h1></header>', '<div class="header">{a}</div>', '<nav><ul>{menu}</ul></nav>', '<div class="menu"><ul>{menu}</ul></div>', '<ul id="nav">{menu}</ul>', '<div class="notice">{b}</div>', '<div class="cookie banner"><p>{b}</p></div>', '<aside>{c}</aside>', '<div class="ad">{d}</div>', '<form><p>{e}</p></form>', '<div>{links}</div>', '<table><tr><td>{links}</td></tr></table>', '<div class="site header">{f}</div>', '<div class="top"><a href="/">{f}</a></div>')
+AFTER = ('<footer>{a}</footer>', '<div id="footer"><p>{a}</p></div>', '<aside class="sidebar"><h2>{b}</h2><p>{c}</p></aside>', '<div class="sidebar">{c}</div>', '<section class="comments"><h2>{b}</h2><p>{d}</p><p>{c}</p></section>', '<div id="comments"><div class="comment"><p>{d}</p></div><div class="comment">{e}</div></div>', '<div class="related"><ul>{menu}</ul></div>', '<div class="advert"><p>{d}</p></div>', '<form class="newsletter">{e}</form>', '<div class="share">{a}</div>', '<div class="promo sponsored">{b}</div>', '<div class="discussion"><p>{d}</p><p>{e}</p></div>', '<section id="responses"><ol><li><p>{d}</p></li><li>{e}</li></ol></section>', '<div class="feedback"><h3>{b}</h3><p>{c}</p></div>')
+WITHIN = ('<aside>{c}</aside>', '<div class="ad">{d}</div>', '<div class="notice">{b}</div>', '<nav><ul>{menu}</ul></nav>', '<form>{e}</form>', '<div class="comments"><p>{d}</p></div>', '<section id="comments"><p>{c}</p></section>', '<div class="share related">{a}</div>', '<div class="discussion"><p>{d}</p></div>')
 
-FORMS = ("<p>{0}</p>",) * 7 + ("<ul><li>{0}</li></ul>", "<blockquote>{0}</blockquote>", "<h2>{0}</h2>", "<div>{0}</div>", "<table><tr><td>{0}</td></tr></table>", "<section><p>{0}</p></section>")
+FORMS = ("<p>{0}</p>",) * 12 + ("<ul><li>{0}</li></ul>", "<ol><li>{0}</li></ol>", "<blockquote>{0}</blockquote>", "<blockquote><p>{0}</p></blockquote>", "<h2>{0}</h2>", "<h3>{0}</h3>", "<h4>{0}</h4>", "<div>{0}</div>", "<table><tr><td>{0}</td></tr></table>", "<table><tr><th>{0}</th></tr></table>", "<section><p>{0}</p></section>", "<pre>{0}</pre>", "<pre><code>{0}</code></pre>", "<figure><img src='x'><figcaption>{0}</figcaption></figure>", "<figure><figcaption>{0}</figcaption></figure>", "<dl><dt>{0}</dt></dl>", "<dl><dd>{0}</dd></dl>", "<details><summary>{0}</summary></details>", "<p>{0} <code>x</code></p>")
 
 
 def laid_out(main: list[Block], other: list[str], rng: np.random.Generator) -> tuple[list[Block], list[float]]:
-    """A page's texts in another layout, and its labels."""
-    main_texts = {b.text for b in main}
-    lines = [t for t in [*other, *(" ".join(b.text.split()[:12]) for b in main)] if t and t not in main_texts] or ["menu"]
+    """A page's texts in another layout, and its labels. Some main blocks are cut to a few words, as captions and terms are."""
+    wanted = {b.text for b in main}
+    lines = [t for t in [*other, *(" ".join(b.text.split()[:12]) for b in main)] if t and t not in wanted] or ["menu"]
     pick = lambda: html.escape(lines[rng.integers(len(lines))])
-    fill = lambda s: s.format(menu="".join(f'<li><a href="#">{pick()}</a></li>' for _ in range(3)), **{k: pick() for k in "abcde"})
+    links = lambda: "".join(f'<a href="#">{pick()}</a> ' for _ in range(2))
+    fill = lambda s, inner="": s.format(inner, links=links(), menu="".join(f'<li><a href="#">{pick()}</a></li>' for _ in range(3)), f=" ".join(pick().split()[:2]), **{k: pick() for k in "abcde"})
     some = lambda options, most: "".join(fill(options[k]) for k in rng.permutation(len(options))[: rng.integers(1, most + 1)])
-    parts = [f"<h1>{html.escape(b.text)}</h1>" if b.path and b.path[-1][0] == "h1" else FORMS[rng.integers(len(FORMS))].format(html.escape(b.text)) for b in main]
+    parts, marked = [], set()
+    for b in main:
+        text = b.text
+        if b.tag == "h1":
+            form = "<h1>{0}</h1>"
+        else:
+            form = FORMS[rng.integers(len(FORMS))]
+            if rng.random() < 0.3:
+                words = text.split()
+                at = rng.integers(len(words))
+                text = " ".join(words[at : at + 1 + rng.integers(5)])
+        parts.append(form.format(html.escape(text)))
+        marked |= {text, f"{text} x"}
     for _ in range(rng.integers(0, 3)):
         parts.insert(rng.integers(len(parts) + 1), fill(WITHIN[rng.integers(len(WITHIN))]))
-    page = f"<html><head><title>{pick()}</title></head><body>{some(BEFORE, 4)}{WRAPPERS[rng.integers(len(WRAPPERS))].format(''.join(parts))}{some(AFTER, 4)}</body></html>"
+    page = f"<html><head><title>{pick()}</title></head><body>{some(BEFORE, 4)}{fill(WRAPPERS[rng.integers(len(WRAPPERS))], ''.join(parts))}{some(AFTER, 4)}</body></html>"
     found = blocks(page)
-    return found, [float(b.text in main_texts) for b in found]
+    return found, [float(b.text in marked) for b in found]
 
 
-def vectors(found: list[Block], paths: dict[tuple, np.ndarray]) -> np.ndarray:
-    """A row for each block. paths: vectors of the tag paths seen so far."""
+def vectors(found: list[Block]) -> np.ndarray:
+    """A row for each block."""
     out = np.zeros((len(found), PATH_DIMS + WORD_DIMS + SIZES), np.float32)
+    bits = np.frombuffer(b"".join(b.features for b in found), np.uint8).reshape(len(found), -1)
+    out[:, :PATH_DIMS] = np.unpackbits(bits, axis=1)[:, :PATH_DIMS]
     for k, b in enumerate(found):
-        if (path := paths.get(b.path)) is None:
-            path = np.zeros(PATH_DIMS, np.float32)
-            for tag, words in b.path:
-                for name in (f"<{tag}>", *words):
-                    path[zlib.crc32(name.encode()) % PATH_DIMS] = 1
-            if b.path:
-                path[zlib.crc32(f"last {b.path[-1][0]}".encode()) % PATH_DIMS] = 1
-            if len(paths) < 20_000:
-                paths[b.path] = path
-        out[k, :PATH_DIMS] = path
+        if b.element:
+            out[k, _place(f"last {b.tag}")] = 1
         words = b.text.encode("utf-8", "replace").split()
         hashes = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
         out[k, PATH_DIMS : PATH_DIMS + WORD_DIMS] = np.bincount(hashes % WORD_DIMS, 1.0 - 2.0 * (hashes >> 20 & 1), WORD_DIMS) / max(len(words), 1)
@@ -196,7 +273,7 @@ class Labeller:
     def __init__(self, settings: Settings) -> None:
         rng = np.random.default_rng(settings.seed)
         dims, self.h = PATH_DIMS + WORD_DIMS + SIZES, settings.hidden
-        self.p: dict[str, np.ndarray] = {"out": rng.normal(0, 0.2, (2 * self.h, 1)), "skip": np.zeros((dims, 1)), "bias": np.zeros(1)}
+        self.p: dict[str, np.ndarray] = {"out": rng.normal(0, 0.2, (2 * self.h, 1)), "bias": np.zeros(1)}
         for d in "fb":
             self.p |= {f"x{d}": rng.normal(0, 0.1, (dims, 4 * self.h)), f"h{d}": rng.normal(0, 0.1, (self.h, 4 * self.h)), f"o{d}": np.repeat([0.0, 1.0, 0.0, 0.0], self.h)}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
@@ -220,14 +297,14 @@ class Labeller:
 
     def scores(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
         both = np.concatenate([self._run(x, mask, d, False)[0] for d in "fb"], axis=2)
-        return (both @ self.p["out"] + x @ self.p["skip"])[:, :, 0] + self.p["bias"]
+        return (both @ self.p["out"])[:, :, 0] + self.p["bias"]
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         runs = {d: self._run(x, mask, d, True) for d in "fb"}
         both = np.concatenate([runs[d][0] for d in "fb"], axis=2)
-        z = (both @ self.p["out"] + x @ self.p["skip"])[:, :, 0] + self.p["bias"]
+        z = (both @ self.p["out"])[:, :, 0] + self.p["bias"]
         dz = ((_sigmoid(z) - y) * mask / max(mask.sum(), 1)).astype(np.float32)[:, :, None]
-        grad = {"out": np.tensordot(both, dz, ([0, 1], [0, 1])), "skip": np.tensordot(x, dz, ([0, 1], [0, 1])), "bias": dz.sum(axis=(0, 1))}
+        grad = {"out": np.tensordot(both, dz, ([0, 1], [0, 1])), "bias": dz.sum(axis=(0, 1))}
         dboth = dz @ self.p["out"].T
         for k, d in enumerate("fb"):
             dgates = np.zeros((*x.shape[:2], 4 * self.h), np.float32)
@@ -273,22 +350,23 @@ def padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(pages: DataFrame, settings: Settings = Settings(), page_id: str = "page_id", content: str = "html") -> Labeller | None:
-    """A labeller trained on a bounded sample of pages; None if they have no marks to learn from."""
+    """A labeller trained on a bounded sample of pages; None if they have no marks to learn from.
+
+    The sample are the `pages` rows with the least hash: no more reach the driver, also if ids are equal or null.
+    """
     usable = pages.filter(F.col(content).isNotNull() & (F.length(content) <= settings.most_chars))
-    share = min(1.0, 2 * settings.pages / max(usable.select(page_id).count(), 1))
-    h = F.pmod(F.xxhash64(page_id), F.lit(1 << 31))
-    rows = usable.select(h.alias("h"), F.col(content).alias("t")).filter(F.col("h") <= int(share * (1 << 31))).collect()
-    rng, paths, sequences = np.random.default_rng(settings.seed), {}, []
-    for r in sorted(rows)[: settings.pages]:
+    hashed = usable.select(F.xxhash64(page_id).alias("h"), F.xxhash64(content).alias("k"), F.col(content).alias("t"))
+    rng, sequences = np.random.default_rng(settings.seed), []
+    for r in hashed.orderBy("h", "k").limit(settings.pages).collect():
         found = blocks(r.t)
         labels = [own_label(b) for b in found]
         main = [b for b, y in zip(found, labels, strict=True) if y]
         if not main:
             continue
-        sequences.append((vectors(found, paths), np.array(labels, np.float32)))
-        for _ in range(3):
+        sequences.append((vectors(found), np.array(labels, np.float32)))
+        for _ in range(4):
             again, y = laid_out(main, [b.text for b, y in zip(found, labels, strict=True) if not y], rng)
-            sequences.append((vectors(again, paths), np.array(y, np.float32)))
+            sequences.append((vectors(again), np.array(y, np.float32)))
     if not sequences:
         return None
     model = Labeller(settings)
@@ -296,7 +374,7 @@ def fit(pages: DataFrame, settings: Settings = Settings(), page_id: str = "page_
     return model
 
 
-def main_texts(pages: list[str | None], model: Labeller | None, paths: dict[tuple, np.ndarray]) -> list[str]:
+def main_texts(pages: list[str | None], model: Labeller | None) -> list[str]:
     """The main text of each page: its main blocks, with an empty line between them."""
     found = [blocks(p) for p in pages]
     keep = [np.ones(len(b), bool) for b in found]
@@ -306,7 +384,7 @@ def main_texts(pages: list[str | None], model: Labeller | None, paths: dict[tupl
         end = start + 1  # pages of like length together, within bounds for the padded array
         while end < len(order) and end - start < 64 and len(found[order[end]]) * (end - start + 1) <= max(4096, len(found[order[start]])):
             end += 1
-        x, mask = padded([vectors(found[k], paths) for k in order[start:end]])
+        x, mask = padded([vectors(found[k]) for k in order[start:end]])
         scores = model.scores(x, mask)
         for column, k in enumerate(order[start:end]):
             keep[k] = scores[: len(found[k]), column] > 0
@@ -321,11 +399,10 @@ def extract(pages: DataFrame, model: Labeller | None, content: str = "html") ->
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths: dict[tuple, np.ndarray] = {}
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = main_texts(part.column(len(rest)).to_pylist(), shared.value, paths)
+                texts = main_texts(part.column(len(rest)).to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
     return pages.select(*rest, content).mapInArrow(run, f"{fields}, text string, n_chars bigint")

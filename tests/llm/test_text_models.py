@@ -1,4 +1,6 @@
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -98,10 +100,47 @@ def test_quotes_that_do_not_close():
 
 
 def test_page_in_another_layout(labeller):
-    text = html_blocks.main_texts([PAGE], labeller, {})[0]
+    text = html_blocks.main_texts([PAGE], labeller)[0]
     assert text == "Title & more\n\nFirst bold text. Line <b> two.\n\nSecond éé paragraph of the story goes on here.\n\nThird paragraph ends the story, and it is long enough."
 
 
+#: Layouts and marks that no training page has.
+HELD_OUT = [
+    ("<article><h1>T</h1><p>Code: <code>x=1</code></p><pre>a\nb</pre><figure><figcaption>Caption here.</figcaption></figure><dl><dt>term</dt><dd>meaning</dd></dl></article>", ["T", "Code: x=1", "a b", "Caption here.", "term", "meaning"]),
+    ("<h1>Title</h1><div class='story'><p>The first paragraph of the story is long enough to read.</p><p>Second one follows here with more words.</p></div><div class='discussion'><p>Nice post!</p><p>I disagree with it.</p></div>", ["Title", "The first paragraph of the story is long enough to read.", "Second one follows here with more words."]),
+    ("<table><tr><td><a href='/'>Menu one</a><br><a href='/b'>Menu two</a></td><td><p>The main story starts in this cell, and is long.</p><p>It goes on in a second paragraph.</p></td></tr></table>", ["The main story starts in this cell, and is long.", "It goes on in a second paragraph."]),
+    ("<div id=nav><a href=/>Home</a></div><main><h2>How to</h2><ol><li>Step one.</li><li>Step two.</li></ol><p>Be careful with it.</p><blockquote>Said someone.</blockquote></main><div class=comments><ol><li>Great!</li></ol></div><footer>x</footer>", ["How to", "Step one.", "Step two.", "Be careful with it.", "Said someone."]),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), HELD_OUT)
+def test_layouts_that_training_does_not_have(labeller, page, want):
+    assert html_blocks.main_texts([f"<html><body>{page}</body></html>"], labeller) == ["\n\n".join(want)]
+
+
+@pytest.mark.parametrize("page", ["<a" * 100_000, "<a " * 100_000, '<a b=">' * 50_000, "<a =\">\"'" * 50_000, "<div>x" * 50_000, "<div>" * 50_000 + "</p>" * 50_000, "<div>" * 50_000 + "<li>" * 50_000, "<p class  =" * 50_000, "<!--" * 100_000, "<script" * 100_000 + ">", "</script " * 100_000, "<" * 300_000])
+def test_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    html_blocks.blocks(page)
+    assert time.process_time() - began < 5
+
+
+def test_deep_pages_share_their_paths():
+    tracemalloc.start()
+    html_blocks.blocks("<div>x" * 8000)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20_000_000
+
+
+def test_no_more_pages_are_collected_than_the_bound(spark, monkeypatch):
+    """20,000 pages without an id, which all have one hash."""
+    seen = []
+    monkeypatch.setattr(html_blocks, "blocks", lambda page: seen.append(page) or [])
+    pages = spark.range(20_000).select(F.lit(None).cast("bigint").alias("page_id"), F.concat(F.lit("<p>"), "id").alias("html"))
+    assert html_blocks.fit(pages) is None and len(seen) == html_blocks.Settings().pages
+
+
 def test_page_query(spark, sf_dir):
     import html
 
@@ -121,7 +160,7 @@ def test_page_edge_rows(spark, labeller):
     assert sorted(r.n_chars for r in got.collect())[:2] == [0, 0] and got.count() == 4
     assert html_blocks.extract(df.limit(0), labeller).count() == 0
     assert html_blocks.fit(df.limit(0)) is None
-    assert html_blocks.main_texts(["<p>a<p>b"], None, {}) == ["a\n\nb"]
+    assert html_blocks.main_texts(["<p>a<p>b"], None) == ["a\n\nb"]
 
 
 def test_gradients():
@@ -138,7 +177,7 @@ def test_gradients():
         return (np.logaddexp(0, z) - y * z)[mask > 0].sum() / mask.sum()
 
     grad = model.gradients(x, mask, y)
-    for name in ("hf", "hb", "xf", "ob", "out", "skip"):
+    for name in ("hf", "hb", "xf", "ob", "out"):
         place = tuple(rng.integers(n) for n in model.p[name].shape)
         model.p[name][place] += 1e-2
         up = loss()
@@ -214,7 +253,7 @@ def test_rules_from_a_table(spark):
     found = url_filter.rules_of(spark.createDataFrame([(p,) for p in patterns] + [(None,)], "pattern string"))
     assert {r.pattern: r.tokens for r in found} == {patterns[0]: ("ads",), patterns[1]: ("casino",), patterns[2]: ("win",), patterns[3]: (), patterns[4]: (), patterns[5]: ("pills",), patterns[6]: ("promo",)}
     df = spark.createDataFrame([("http://h/casino/1",), ("http://h/Spam/",), ("http://q.pills.com/",), ("http://h/mycasino/",), ("http://h/zw",)], "url string")
-    assert [r.verdict for r in url_filter.filter_urls(df, [], found).collect()] == ["block", "block", "block", "block"]
+    assert [r.verdict for r in url_filter.filter_urls(df, [], found).collect()] == ["block", "block", "block", "allow", "block"]
 
 
 # ---- quality
