@@ -63,18 +63,35 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations 2k (chosen) and 2k + 1 (rejected) make pair k. Masks are joined as 'start-end' texts."""
+    """Each conversation is the chosen one of a pair. The rejected one has the same turns up to the last assistant turn,
+    and there the last answer of another conversation (2k and 2k + 1 lend each other theirs; without one, an empty
+    answer). Masks are joined as 'start-end' texts."""
     from .preferences import format_preferences
 
-    turns = table(spark, sf_dir, "conversations").withColumns({"pair": F.expr("conv_id div 2"), "chosen": F.expr("conv_id % 2 = 0")})
+    turns = table(spark, sf_dir, "conversations").filter("conv_id is not null").select("conv_id", "turn", "role", "text").distinct()
+    answers = turns.filter("role = 'assistant' and turn is not null").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    other = F.when(F.col("conv_id") % 2 == 0, F.col("conv_id") + 1).otherwise(F.col("conv_id") - 1)
+    side = lambda df, conv, chosen: df.select(F.col("conv_id").alias("pair"), F.lit(chosen).alias("chosen"), conv.alias("conv_id"), "turn", "role", "text")
+    before = turns.join(answers, "conv_id").filter("turn is null or turn < last.turn")
+    lent = answers.select(other.alias("conv_id"), F.col("last.text").alias("text"))
+    instead = answers.join(lent, "conv_id", "left").select("conv_id", "last.turn", F.lit("assistant").alias("role"), "text")
+    rows = side(turns, F.col("conv_id"), True).unionAll(side(before, other, False)).unionAll(side(instead, other, False))
     mask = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), " ").alias(c)
-    pairs = format_preferences(turns, "pair", "chosen")
+    pairs = format_preferences(rows, "pair", "chosen")
     return pairs.select("pair_id", "chosen_id", "rejected_id", "n_prefix_turns", "prompt", "chosen", mask("chosen_mask"), "rejected", mask("rejected_mask"))
 
 
 OP2_SQL = r"""
-WITH turns AS (
-  SELECT DISTINCT conv_id // 2 AS pair_id, conv_id % 2 AS side, conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+WITH c AS (
+  SELECT DISTINCT conv_id, turn, role, text, CASE WHEN conv_id % 2 = 0 THEN conv_id + 1 ELSE conv_id - 1 END AS other FROM conversations WHERE conv_id IS NOT NULL),
+last_turn AS (
+  SELECT conv_id, max(turn) AS turn FROM c WHERE role = 'assistant' AND turn IS NOT NULL GROUP BY conv_id),
+answers AS (
+  SELECT c.conv_id, c.turn, other, max(text) AS text FROM c JOIN last_turn l ON c.conv_id = l.conv_id AND c.turn = l.turn WHERE role = 'assistant' GROUP BY ALL),
+turns AS (
+  SELECT conv_id AS pair_id, 0 AS side, conv_id, turn, role, text FROM c
+  UNION SELECT c.conv_id, 1, other, c.turn, role, text FROM c JOIN last_turn l ON c.conv_id = l.conv_id WHERE c.turn IS NULL OR c.turn < l.turn
+  UNION SELECT a.conv_id, 1, a.other, a.turn, 'assistant', b.text FROM answers a LEFT JOIN answers b ON b.conv_id = a.other),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k,
     '<|' || coalesce(role, 'unknown') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' || chr(10) AS body

@@ -6,8 +6,9 @@ language) give every text a row of kernel values; Nyström features whiten these
 matrix, and one-versus-rest kernel ridge regression is solved on them. A batch of texts is scored with two matrix
 products: n-gram presences by the landmarks' presences, and the scaled rows by the coefficients.
 
-Training takes a bounded sample (`per_lang` texts of each language, of at most `most_chars` characters, chosen by a
-hash of the id); everything else runs over all rows and whole texts, where the rows are.
+Training takes a bounded sample: of each of the `most_langs` most frequent languages the `per_lang` rows with the
+least hash of id and text, of at most `most_chars` characters. No more rows reach the driver, also if ids are equal.
+Everything else runs over all rows and whole texts, where the rows are.
 
 Rows: a null text, or one without a letter, is 'und' with score 0. Repeated rows get the same result each. Rows
 without an id or a language are never learned from. If there is nothing to learn from, all texts are 'und'.
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,7 @@ class Settings:
     most_chars: int = 20_000
     landmarks: int = 48  # of each language
     most_landmarks: int = 512
+    most_langs: int = 128
     ridge: float = 0.1
     sharpness: float = 6.0
 
@@ -124,22 +126,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A model of the languages of docs, from a bounded sample of them."""
     usable = docs.filter(F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= settings.most_chars))
-    usable = usable.select(F.xxhash64(doc_id).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
-    if not counts:
-        return Model([], [], settings)
-    # so many of each language, about; the hash is even over [0, 2**31)
-    limits = spark_map({k: min(1 << 31, -(-2 * settings.per_lang * (1 << 31) // n)) for k, n in counts.items()})
-    sample = usable.filter(F.pmod("h", F.lit(1 << 31)) < F.try_element_at(limits, F.col("lang")))
-    by_lang: dict[str, list[tuple[int, str]]] = {}
-    for r in sample.collect():
-        by_lang.setdefault(r.lang, []).append((r.h, r.text))
-    rows = [(t, k) for k, v in sorted(by_lang.items()) for _, t in sorted(v)[: settings.per_lang]]
-    return Model([t for t, _ in rows], [k for _, k in rows], settings)
-
-
-def spark_map(values: dict[str, int]) -> Column:
-    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+    usable = usable.select(F.xxhash64(doc_id).alias("h"), F.xxhash64(text).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    langs = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.most_langs).collect()]
+    # Spark keeps so many rows of a language in each task before they are shuffled
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "k"))
+    sample = usable.filter(F.col("lang").isin(langs)).withColumn("place", place).filter(F.col("place") <= settings.per_lang)
+    rows = sorted((r.lang, r.place, r.text) for r in sample.select("lang", "place", "text").collect())
+    return Model([t for _, _, t in rows], [k for k, _, _ in rows], settings)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", at_once: int = 256) -> DataFrame:

@@ -47,6 +47,39 @@ def test_labels_are_no_input(spark, sf_dir):
     assert got(docs) == got(docs.withColumns({"lang": F.lit("xx"), "source": F.lit(None).cast("string")}))
 
 
+def test_no_more_rows_are_collected_than_the_bound(spark, monkeypatch):
+    """20,000 rows with one id, and 300 languages."""
+    seen = []
+    monkeypatch.setattr(string_kernel, "Model", lambda texts, langs, settings: seen.append(langs))
+    bound = string_kernel.Settings()
+    string_kernel.fit(spark.range(20_000).select(F.lit(1).alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("text "), "id").alias("text")))
+    string_kernel.fit(spark.range(3_000).select("id", F.concat(F.lit("l"), F.col("id") % 300).alias("lang"), F.lit("text").alias("text")), doc_id="id")
+    assert len(seen[0]) == bound.per_lang and len(set(seen[1])) == bound.most_langs
+
+
+def test_scores_equal_plain_kernel_ridge_regression():
+    """All texts are landmarks: Nyström features give the full kernel's solution, here from n-gram sets and the dual form."""
+    import numpy as np
+
+    rng, letters = np.random.default_rng(3), {"aa": "abcdefgh", "bb": "efghijkl", "cc": "ijklmnab"}
+    text = lambda lang: " ".join("".join(rng.choice(list(letters[lang]), rng.integers(2, 8))) for _ in range(rng.integers(3, 12)))
+    langs = [*sorted(letters)] * 12
+    texts = [text(k) for k in langs]
+    asked = [text(k) for k in langs]
+    settings = string_kernel.Settings(landmarks=100)
+    got_lang, got_score = string_kernel.Model(texts, langs, settings).predict(asked)
+
+    sets = lambda t: {f" {t} "[k : k + n] for n in (1, 2, 3) for k in range(len(t) + 3 - n)}
+    kernel = lambda x, y: np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in map(sets, y)] for a in map(sets, x)]) + 1
+    wanted = np.array([[1.0 if own == lang else -1.0 for lang in sorted(letters)] for own in langs])
+    alpha = np.linalg.solve(kernel(texts, texts) + settings.ridge / len(texts) * 12 * np.eye(len(texts)), wanted)
+    scores = kernel(asked, texts) @ alpha
+    share = np.exp(settings.sharpness * scores)
+    share /= share.sum(axis=1, keepdims=True)
+    assert got_lang == [sorted(letters)[k] for k in scores.argmax(axis=1)]
+    assert np.abs(share.max(axis=1) - got_score).max() < 0.01
+
+
 # ---- pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body>
@@ -366,6 +399,8 @@ def test_many_items_in_rounds(spark, monkeypatch):
 
 def test_preference_query(spark, sf_dir):
     assert rows_of_frame(queries.op2_preferences(spark, sf_dir)) == rows_of(queries.SQL["op2_preferences"], sf_dir)
+    shared = [r.n_prefix_turns for r in queries.op2_preferences(spark, sf_dir).collect()]
+    assert sum(n > 0 for n in shared) > 0.5 * len(shared)
 
 
 def test_preferences(spark):
