@@ -2,14 +2,18 @@
 
 Each passage of each document (two strides of words, from each stride on) is a query against the test items. Impacts
 are divided by the score of the item's own words, so a score is the share of an item that a passage holds, and one
-threshold fits items of any length. Items are in blocks; each term knows the blocks it occurs in and its greatest
-impact there. For all passages of a document at once the sums of these maxima bound every block, and only blocks
-whose bound reaches the threshold have their postings scored: the skips of block-max WAND, taken by arrays instead of
-by one list pointer after the other. All items at or above the threshold are retrieved. Each is verified: its question
-(all sentences but the last) and its answer (the last) must both have most of their word n-grams near the passage.
-
-The index is built from at most INDEX_CHARS of items at a time and sent to all tasks; more items make more rounds over
-the documents. Documents are judged where they are read, without a shuffle.
+threshold fits items of any length. Items are in blocks; each term's posting list is cut into runs, one for each block
+that it occurs in, with the greatest impact there. The search is WAND's, for many passages side by side: of a passage's
+terms, in order of their greatest impact, the first ones that together stay below half the threshold are passed over;
+the runs of the others open blocks. Only blocks whose sum of maxima, with what was passed over, reaches the threshold
+are looked at with all terms, by skips into the sorted runs, and only those whose full bound reaches it have their
+postings scored. So the work follows the runs that are touched, not the number of blocks. All items at or above the
+threshold are retrieved. Each is verified: its question (all sentences but the last) and its answer (the last) must
+both have most of their word n-grams near the passage.
+
+An index holds INDEX_CHARS of items at most and is sent to all tasks; more items make more indexes and as many rounds
+over the documents. Scores depend on the statistics of all items, so the result is the same with one index or many.
+Documents are judged where they are read, without a shuffle.
 
 Rows: a null text, of a document or an item, has no words and matches nothing. Items with the same id are one each.
 Repeated rows are judged each. Other columns are kept by `clean`.
@@ -18,23 +22,33 @@ Repeated rows are judged each. Other columns are kept by `clean`.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of test items in one index; a round over the documents for each such part.
-INDEX_CHARS = 50_000_000
+from .bpe_stream import rows_at_once
+from .common import cut
+
+#: Characters of test items in one index (some six bytes of memory each); a round over the documents for each such part.
+INDEX_CHARS = 10_000_000
 K1, B = 1.2, 0.75
 _MARKS = re.compile(r"\W+")
 
 
 def term(chunk: str) -> str:
     """A word as the index has it: lower case, letters, digits and underscores only."""
-    return _MARKS.sub("", chunk.lower())
+    return _MARKS.sub("", chunk.lower().replace("ς", "σ"))
+
+
+def terms_of(chunks: pa.Array) -> pa.Array:
+    """The same for many words; '' for a chunk without a letter or digit."""
+    return pc.replace_substring_regex(pc.replace_substring(pc.utf8_lower(chunks), "ς", "σ"), r"[^\pL\pN_]+", "")
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -56,93 +70,160 @@ class Settings:
     block: int = 8
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """What scores depend on beyond an item's own words: of all items, also those of other indexes."""
+
+    entries: int
+    words: int
+    df: dict[str, int]  # entries that hold a term
+
+
+def entries_of(text: str, stride: int) -> tuple[list[str], list[str], list[list[str]]]:
+    """The question's terms, the answer's, and both in entries no longer than a stride."""
+    question, answer = question_and_answer(text)
+    words = question + answer
+    n = -(-len(words) // stride)
+    ends = [len(words) * k // n for k in range(n + 1)] if n else [0]
+    return question, answer, [words[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 class TestItems:
     """Inverted index of items, cut into entries no longer than a stride."""
 
-    def __init__(self, items: list[tuple[int, str]], settings: Settings) -> None:
+    def __init__(self, items: list[tuple[int, str]], settings: Settings, of_all: Statistics | None = None) -> None:
         self.settings = settings
         self.terms: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray, np.ndarray]] = []
         entries: list[tuple[int, np.ndarray]] = []
+        ids = lambda words: np.array([self.terms.setdefault(t, len(self.terms)) for t in words], np.int64)
         for item_id, text in items:
-            parts = [np.array([self.terms.setdefault(t, len(self.terms)) for t in part], np.int64) for part in question_and_answer(text)]
-            words = np.concatenate(parts)
-            if len(words):
-                self.items.append((item_id, *parts))
-                pieces = -(-len(words) // settings.stride)
-                entries += [(len(self.items) - 1, piece) for piece in np.array_split(words, pieces)]
+            question, answer, pieces = entries_of(text, settings.stride)
+            if pieces:
+                self.items.append((item_id, ids(question), ids(answer)))
+                entries += [(len(self.items) - 1, ids(piece)) for piece in pieces]
         common = np.bincount(np.concatenate([*(np.unique(e[1]) for e in entries), np.empty(0, np.int64)]).astype(np.int64), minlength=len(self.terms))
         entries.sort(key=lambda e: tuple(sorted(set(e[1].tolist()), key=lambda t: (-common[t], t))[:4]))  # like items share blocks: tighter bounds
         self.item_of = np.array([e[0] for e in entries], np.int64)
         self.n_terms, self.blocks = len(self.terms), -(-len(entries) // settings.block)
-        self._postings([e[1] for e in entries])
+        self.names = pa.array([*self.terms], pa.string())
+        self._postings([e[1] for e in entries], of_all)
 
-    def _postings(self, entries: list[np.ndarray]) -> None:
+    def _postings(self, entries: list[np.ndarray], of_all: Statistics | None) -> None:
         sizes = np.array([len(e) for e in entries], np.int64)
         of = np.repeat(np.arange(len(entries)), sizes)
         pair, tf = np.unique(np.concatenate([*entries, np.empty(0, np.int64)]) * max(len(entries), 1) + of, return_counts=True)
         word, entry = pair // max(len(entries), 1), pair % max(len(entries), 1)
-        df = np.bincount(word, minlength=self.n_terms)
-        idf = np.log(1 + (len(entries) - df + 0.5) / (df + 0.5))
-        impact = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[entry] / max(sizes.mean() if len(sizes) else 1, 1)))
+        if of_all:
+            df, n, mean = np.array([of_all.df[t] for t in self.terms], np.int64), of_all.entries, of_all.words / of_all.entries
+        else:
+            df, n, mean = np.bincount(word, minlength=self.n_terms), len(entries), sizes.mean() if len(sizes) else 1
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        impact = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[entry] / max(mean, 1)))
         impact /= np.bincount(entry, impact, max(len(entries), 1))[entry]
         self.entry, self.impact = entry, impact  # by term, then entry
         block = entry // self.settings.block
         first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (block[1:] != block[:-1])])) if len(word) else np.empty(0, np.int64)
-        self.run_block, self.run_start = block[first], np.append(first, len(word))
+        self.run_key, self.run_start = word[first] * self.blocks + block[first], np.append(first, len(word))
         self.run_most = np.maximum.reduceat(impact, first) if len(first) else impact
         self.runs = np.searchsorted(word[first], np.arange(self.n_terms + 1))
+        self.term_most = np.maximum.reduceat(impact, self.run_start[self.runs[:-1]]) if self.n_terms else impact
+        self.by_impact = np.argsort(self.term_most, kind="stable")  # terms in the order in which a passage's are passed over
+        self.place_of = np.argsort(self.by_impact)
 
-    def retrieved(self, ids: np.ndarray) -> list[tuple[int, int, float]]:
+    def retrieved(self, ids: np.ndarray, begins: np.ndarray | None = None) -> list[tuple[int, int, float]]:
         """(item, first word of the passage, score) of all passages and items at or above the threshold.
 
-        ids: the term of each word of a document, -1 for words that no item has.
+        ids: the term of each word, -1 for words that no item has. begins: which strides begin a passage; all but
+        the last, if not given.
         """
-        stride, size = self.settings.stride, self.settings.block
+        stride = self.settings.stride
+        strides = -(-len(ids) // stride)
+        if begins is None:
+            begins = np.arange(strides) < max(strides - 1, 1)
         known = np.flatnonzero(ids >= 0)
-        if not len(known) or not self.blocks:
+        found: list[tuple[int, int, float]] = []
+        at_once = 1 << 14  # strides; the last one is seen again, so that no passage is lost
+        for low in range(0, strides, at_once - 1):
+            high = min(low + at_once, strides)
+            here = known[np.searchsorted(known, low * stride) : np.searchsorted(known, high * stride)]
+            # a term counts once in a passage, which is two strides
+            part, place = here // stride, self.place_of[ids[here]]
+            both = np.sort(np.concatenate([part * self.n_terms + place, (part[part > low] - 1) * self.n_terms + place[part > low]]))
+            passage, place = np.divmod(both[np.diff(both, prepend=-1) > 0], max(self.n_terms, 1))
+            use = begins[passage] & ((passage < high - 1) | (high == strides))
+            found += self._reached(passage[use], self.by_impact[place[use]])
+        return sorted(found, key=lambda f: f[1])
+
+    def _reached(self, passage: np.ndarray, word: np.ndarray) -> list[tuple[int, int, float]]:
+        """The same for pairs of passage and term; passages ascend, and within each the greatest impacts of its terms."""
+        if not len(passage):
             return []
-        strides = -(-len(ids) // stride)
+        least = self.settings.threshold - 1e-9
+        most = self.term_most[word]
+        # Terms of little impact, together below half the threshold, open no block: their lists, the longest, stay shut.
+        first = np.flatnonzero(np.diff(passage, prepend=-1))
+        upto = np.cumsum(most)
+        upto -= np.repeat((upto - most)[first], np.diff(first, append=len(passage)))
+        shut = upto < least / 2
+        rest = np.bincount(passage, np.where(shut, most, 0))
+        p, w = passage[~shut], word[~shut]
+        count = self.runs[w + 1] - self.runs[w]
+        run = np.arange(int(count.sum())) + np.repeat(self.runs[w] - (np.cumsum(count) - count), count)
+        opened = np.repeat(p, count) * self.blocks + self.run_key[run] % self.blocks
+        order = np.argsort(opened)
+        opened = opened[order]
+        first = np.flatnonzero(np.diff(opened, prepend=-1))
+        bound = np.add.reduceat(self.run_most[run[order]], first) if len(first) else np.empty(0)
+        place = opened[first]
+        place = place[bound + rest[place // self.blocks] >= least]
         found: list[tuple[int, int, float]] = []
-        step = max(2, (1 << 21) // self.blocks)  # strides at a time: bounds take that many rows
-        for low in range(0, strides, step - 1):  # one stride in common: no passage is lost
-            n = min(step, strides - low)
-            here = known[(known >= low * stride) & (known < (low + n) * stride)]
-            if not len(here):
-                continue
-            pair = np.unique((here // stride - low) * self.n_terms + ids[here])
-            part, word = pair // self.n_terms, pair % self.n_terms
-            count = self.runs[word + 1] - self.runs[word]
-            run = np.arange(int(count.sum())) + np.repeat(self.runs[word] - (np.cumsum(count) - count), count)
-            of = np.repeat(part, count)
-            size_of = n * self.blocks
-            place = of * self.blocks + self.run_block[run]
-            bound = np.bincount(place, self.run_most[run], size_of).reshape(n, self.blocks)
-            pairs = bound
-            if n > 1:  # a passage is two strides; terms that both have count once
-                before = np.searchsorted(pair, pair - self.n_terms)
-                again = np.repeat(pair[np.minimum(before, len(pair) - 1)] == pair - self.n_terms, count)
-                twice = np.bincount(place[again], self.run_most[run[again]], size_of).reshape(n, self.blocks)
-                pairs = bound[:-1] + bound[1:] - twice[1:]
-            for p, b in zip(*np.nonzero(pairs >= self.settings.threshold - 1e-9), strict=True):
-                lo, hi = np.searchsorted(of, [p, p + 2])
-                rows = np.unique(run[lo:hi][self.run_block[run[lo:hi]] == b])
-                first, many = self.run_start[rows], np.diff(self.run_start)[rows]
-                at = np.arange(int(many.sum())) + np.repeat(first - (np.cumsum(many) - many), many)
-                score = np.bincount(self.entry[at] - b * size, self.impact[at], size)
-                for k in np.flatnonzero(score >= self.settings.threshold):
-                    found.append((int(self.item_of[b * size + k]), int(low + p) * stride, float(score[k])))
+        for k in range(0, len(place), 1 << 12):
+            found += self._scored(passage, word, place[k : k + (1 << 12)], least)
         return found
 
+    def _scored(self, passage: np.ndarray, word: np.ndarray, place: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+        """Entries at or above the threshold in some blocks that may hold one: bounds with all terms, then postings."""
+        at, block = np.divmod(place, self.blocks)
+        lo, hi = np.searchsorted(passage, at), np.searchsorted(passage, at, "right")
+        n = hi - lo
+        of = np.repeat(np.arange(len(place)), n)
+        wanted = word[np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)] * self.blocks + block[of]
+        run = np.minimum(np.searchsorted(self.run_key, wanted), len(self.run_key) - 1)
+        hit = self.run_key[run] == wanted
+        run, of = run[hit], of[hit]
+        good = (np.bincount(of, self.run_most[run], len(place)) >= least)[of]
+        run, of = run[good], of[good]
+        first, many = self.run_start[run], (self.run_start[1:] - self.run_start[:-1])[run]
+        posting = np.arange(int(many.sum())) + np.repeat(first - (np.cumsum(many) - many), many)
+        size = self.settings.block
+        score = np.bincount(np.repeat(of, many) * size + self.entry[posting] % size, self.impact[posting], len(place) * size)
+        hits = np.flatnonzero(score >= least)
+        return [(int(self.item_of[block[h // size] * size + h % size]), int(at[h // size]) * self.settings.stride, float(score[h])) for h in hits]
+
     def contaminating(self, ids: np.ndarray) -> dict[int, tuple[float, float, float, int]]:
         """item id -> score, question overlap, answer overlap and first word of the passage, of verified items."""
-        best: dict[int, tuple[float, float, float, int]] = {}
-        for item, start, score in self.retrieved(ids):
+        return self.contaminating_all([ids])[0]
+
+    def contaminating_all(self, documents: list[np.ndarray]) -> list[dict[int, tuple[float, float, float, int]]]:
+        """The same for many documents at once: one after the other, each with an empty stride behind it."""
+        stride = self.settings.stride
+        strides = np.array([-(-len(ids) // stride) for ids in documents], np.int64)
+        first = np.cumsum(strides + 1) - strides - 1
+        stream = np.full(int((strides + 1).sum()) * stride, -1, np.int64)
+        begins = np.zeros(int((strides + 1).sum()), bool)
+        for at, n, ids in zip(first, strides, documents, strict=True):
+            stream[at * stride : at * stride + len(ids)] = ids
+            begins[at : at + max(n - 1, 1)] = True
+        best: list[dict[int, tuple[float, float, float, int]]] = [{} for _ in documents]
+        for item, start, score in self.retrieved(stream, begins):
+            k = int(np.searchsorted(first, start // stride, "right")) - 1
+            ids, start = documents[k], start - int(first[k]) * stride
             item_id, question, answer = self.items[item]
-            near = ids[max(0, start - len(question) - len(answer)) : start + 2 * self.settings.stride + len(question) + len(answer)]
+            near = ids[max(0, start - len(question) - len(answer)) : start + 2 * stride + len(question) + len(answer)]
             shares = [self._share(part, near) for part in (question, answer)]
-            if min(shares) >= self.settings.overlap and score > best.get(item_id, (-1.0,))[0]:
-                best[item_id] = (score, *shares, start)
+            if min(shares) >= self.settings.overlap and score > best[k].get(item_id, (-1.0,))[0]:
+                best[k][item_id] = (score, *shares, start)
         return best
 
     def _share(self, part: np.ndarray, near: np.ndarray) -> float:
@@ -152,55 +233,68 @@ class TestItems:
         own, there = (set(zip(*(x[k : len(x) - n + 1 + k].tolist() for k in range(n)), strict=True)) for x in (part, near))
         return len(own & there) / len(own)
 
-
-class _Terms(dict):
-    """Chunk between white space -> term id; keeps the first chunks that it meets."""
-
-    def __init__(self, terms: dict[str, int], keep: int = 500_000) -> None:
-        self.terms, self.keep = terms, keep
-
-    def __missing__(self, chunk: str) -> int:
-        t = term(chunk)
-        found = self.terms.get(t, -1) if t else -2  # -2: no word at all
-        if len(self) < self.keep and len(chunk) < 64:
-            self[chunk] = found
-        return found
+    def ids_of(self, texts: pa.Array) -> list[np.ndarray]:
+        """The terms of each text, -1 for words that no item has; null has none. Distinct chunks are looked up once."""
+        lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+        chunks = lists.flatten().dictionary_encode()
+        terms = terms_of(chunks.dictionary)
+        known = pc.fill_null(pc.index_in(terms, self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        known[pc.equal(terms, "").to_numpy(zero_copy_only=False)] = -2  # no word at all
+        ids = known[chunks.indices.to_numpy(zero_copy_only=False)]
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return [x[x != -2] for x in np.split(ids, ends[1:-1])] if len(texts) else []
 
 
-def _parts(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, str]]]:
+def _indexes(benchmark: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[TestItems]:
+    """An index of all items or, where these are too long for one, one for each part, with the statistics of all."""
     items = benchmark.filter(F.col(text).isNotNull()).select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t"))
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     rounds = max(1, -(-chars // INDEX_CHARS))
+    if rounds == 1:
+        yield TestItems(sorted(((r.i, r.t) for r in items.distinct().collect()), key=str), settings)
+        return
+    parts = items.distinct().withColumn("part", F.pmod(F.xxhash64("i"), F.lit(rounds)).cast("int"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                entries = entries_of(t, settings.stride)[2]
+                df = Counter(w for e in entries for w in set(e))
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part] * (len(df) + 1), pa.int32()), "term": [None, *df], "n": pa.array([len(entries), *df.values()], pa.int64()), "words": pa.array([sum(map(len, entries))] + [0] * len(df), pa.int64())})
+
+    counts = cut(parts.select("t", "part").mapInArrow(count, "part int, term string, n bigint, words bigint"), "item_terms")
+    total = counts.filter("term is null").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    df = cut(counts.filter("term is not null").groupBy("term").agg(F.sum("n").alias("n")), "item_df")
     for k in range(rounds):
-        part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(rounds)) == k) if rounds > 1 else items
-        yield sorted(((r.i, r.t) for r in part.collect()), key=str)  # INDEX_CHARS of text, about
+        own = counts.filter((F.col("part") == k) & F.col("term").isNotNull()).select("term").distinct()
+        stats = Statistics(total.n, total.words, {r.term: r.n for r in own.join(df, "term").collect()})
+        rows = parts.filter(F.col("part") == k).collect()  # INDEX_CHARS of text, about
+        yield TestItems(sorted(((r.i, r.t) for r in rows), key=str), settings, stats)
 
 
-def _judge(docs: DataFrame, items: list[tuple[int, str]], settings: Settings, text: str, schema: str | None) -> DataFrame:
+def _judge(docs: DataFrame, items: TestItems, text: str, schema: str | None) -> DataFrame:
     """Rows of contaminated documents and items, or, without a schema, docs without the contaminated."""
-    index = docs.sparkSession.sparkContext.broadcast(TestItems(items, settings))
+    index = docs.sparkSession.sparkContext.broadcast(items)
     where = docs.columns.index(text)
 
-    def ids_of(own: _Terms, value: str | None) -> np.ndarray:
-        chunks = (value or "").split()
-        ids = np.fromiter(map(own.__getitem__, chunks), np.int64, len(chunks))
-        return ids[ids != -2]
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[dict]]]:
+        for batch in batches:
+            for start, end in rows_at_once(batch.column(where), 1 << 20):
+                part = batch.slice(start, end - start)
+                yield part, index.value.contaminating_all(index.value.ids_of(part.column(where)))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _Terms(index.value.terms)
-        for batch in batches:
-            out = []
-            for row in range(batch.num_rows):
-                for item, (score, question, answer, start) in index.value.contaminating(ids_of(own, batch.column(where)[row].as_py())).items():
-                    out.append((batch.column(1 - where)[row].as_py(), item, score, question, answer, start))
-            columns = [list(c) for c in zip(*out, strict=True)] if out else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"])
+        names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"]
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
+        for part, found in judged(batches):
+            doc_ids = part.column(1 - where).to_pylist()
+            out = [(d, item, *facts) for d, own in zip(doc_ids, found, strict=True) for item, facts in own.items()]
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def clean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _Terms(index.value.terms)
-        for batch in batches:
-            yield batch.filter(pa.array([not index.value.contaminating(ids_of(own, v.as_py())) for v in batch.column(where)], pa.bool_()))
+        for part, found in judged(batches):
+            yield part.filter(pa.array([not own for own in found], pa.bool_()))
 
     return docs.mapInArrow(pairs if schema else clean_rows, schema or docs.schema)
 
@@ -210,14 +304,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     pairs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double, first_word bigint"
     out = None
-    for items in _parts(benchmark, item_id, item_text):
-        found = _judge(pairs, items, settings, "text", schema)
+    for items in _indexes(benchmark, item_id, item_text, settings):
+        found = _judge(pairs, items, "text", schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs without the documents that hold a test item."""
-    for items in _parts(benchmark, item_id, item_text):
-        docs = _judge(docs, items, settings, text, None)
+    for items in _indexes(benchmark, item_id, item_text, settings):
+        docs = _judge(docs, items, text, None)
     return docs

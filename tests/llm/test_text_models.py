@@ -4,6 +4,7 @@ import tracemalloc
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from oracle import rows_of, rows_of_frame
 from pyspark.sql import functions as F
@@ -394,6 +395,35 @@ def test_many_items_in_rounds(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(k, k) for k in range(30)}
 
 
+def test_one_index_equals_four(spark, monkeypatch):
+    """Scores and hits do not depend on how many indexes the items are dealt to."""
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    words = lambda n: " ".join(f"w{int(x)}" for x in rng.zipf(1.4, n) % 300)
+    items = [(k, f"{words(rng.integers(3, 40))}? {words(rng.integers(1, 12))}.") for k in range(400)]
+    texts = [(k, f"{words(50)} {items[rng.integers(400)][1]} {words(60)}") for k in range(60)]
+    docs, bench = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    facts = lambda: sorted((r.doc_id, r.item_id, round(r.score, 9), r.first_word) for r in decontaminate.contaminated(docs, bench, decontaminate.Settings(threshold=0.4, overlap=0.2)).collect())
+    one = facts()
+    monkeypatch.setattr(decontaminate, "INDEX_CHARS", sum(len(t) for _, t in items) // 4 + 1)
+    assert facts() == one and len(one) > 60
+    assert decontaminate.clean(docs, bench).count() < 60
+
+
+def test_many_documents_at_once_equal_each_alone():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    items = [(k, " ".join(f"t{x}" for x in rng.integers(0, 200, rng.integers(5, 50)))) for k in range(80)]
+    index = decontaminate.TestItems(items, decontaminate.Settings())
+    texts = [None, "", "!!", *(" ".join([f"T{x}," for x in rng.integers(0, 400, rng.integers(0, 300))] + [items[rng.integers(80)][1]]) for _ in range(40))]
+    ids = index.ids_of(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in ids] == [[index.terms.get(decontaminate.term(c), -1) for c in (t or "").split() if decontaminate.term(c)] for t in texts]
+    got = index.contaminating_all(ids)
+    assert got == [index.contaminating(x) for x in ids] and sum(map(bool, got)) >= 40
+
+
 # ---- preferences
 
 
