@@ -1,12 +1,13 @@
 """Substring deduplication by level-wise doubling of repeated word windows.
 
 A word goes if a window of `window` consecutive words that covers it also starts in a document with a smaller id.
-Level one looks at windows of half that length. Of these it takes, from each full window, the one with the least
-hash (the anchor): equal windows have equal anchors, so no repeat is lost, and one place in thirteen or so is looked
-at. Anchors that occur in one document only are done with. Those that survive are extended to twice their length:
-windows with the same anchor that follow each other form a segment, and equal segments are settled as a whole. Only
-where one anchor lies in different segments are single windows of the full length compared, one segment for each
-text. Longer repeats are unions of windows of that length, so no candidate survives that level and the doubling ends.
+Level one looks at windows of a quarter of that length. Of these it takes, from each full window, the one with the
+least hash (the anchor): equal windows have equal anchors, so no repeat is lost, and one place in ten or so is looked
+at. Anchors that occur in one document only are done with. Those that survive are extended to twice their length, and
+judged again, level by level, until none survives or the full length is reached. Windows with the same anchors that
+follow each other form a segment, and equal segments are settled as a whole. Only where one anchor lies in different
+segments are single windows of the full length compared, one segment for each text. Longer repeats are unions of
+windows of that length, so there the doubling ends.
 
 Windows are counted by grouping with map-side sums and joined back, so a passage that a third of the documents share
 is no group that one task must hold. Keys have 128 bits at each level that decides.
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import begun, discard, discard_since, written
 
 #: Odd multipliers of the two rolling hashes, and what the avalanche step multiplies by.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -70,21 +71,41 @@ class Rolling:
         return mixed((self.sums[length:] - self.sums[:n]) * self.down[:n])
 
 
+def lengths(window: int) -> list[int]:
+    """The lengths of the levels before the last: each is half of the next, about."""
+    return sorted({max(1, window >> 2), max(1, window >> 1)})
+
+
 def segments(words: list[bytes], window: int) -> tuple[np.ndarray, ...]:
-    """Of each segment: its anchor's hash, the hash of all its words, its first window and its number of windows."""
+    """Of each segment: the hash of all its words, its first window, its number of windows, and its anchor at each level.
+
+    The anchor of a window at the first level is the part of that length with the least hash. At the next level it is
+    doubled to the right or, where that would leave the window, to the left. Windows with the same anchors that follow
+    each other are a segment.
+    """
     first = Rolling(words)
-    half = window // 2
-    anchors = first.windows(half)
-    at = np.lib.stride_tricks.sliding_window_view(anchors, window - half + 1).argmin(axis=1) + np.arange(len(words) - window + 1)
-    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    n = np.diff(np.concatenate([start, [len(at)]]))
+    least, *longer = lengths(window)
+    here = np.arange(len(words) - window + 1)
+    at = np.lib.stride_tricks.sliding_window_view(first.windows(least), window - least + 1).argmin(axis=1) + here
+    anchors, begin, size = [(at, least)], at, least
+    for length in longer:
+        begin = np.where(begin + length <= here + window, begin, begin + size - length)
+        size = length
+        anchors.append((begin, length))
+    new = np.zeros(len(here), bool)
+    new[0] = True
+    for a, _ in anchors:
+        new[1:] |= a[1:] != a[:-1]
+    start = np.flatnonzero(new)
+    n = np.diff(start, append=len(here))
     second = Rolling(words, 1, first.hashes)
     whole = second.runs(start, start + n + window - 1) ^ mixed((at[start] - start + (n << 16)).astype(np.uint64) + np.uint64(1))
-    return anchors[at[start]], whole, start, n
+    return whole, start, n, *(first.runs(a[start], a[start] + length) for a, length in anchors)
 
 
 def _segments_of(docs: DataFrame, window: int) -> DataFrame:
-    names = ["h", "g", "doc", "tk", "s", "n"]
+    """g, doc, tk, s, n, and h0, h1, ... for the anchors of the levels."""
+    names = ["g", "doc", "tk", "s", "n", *(f"h{k}" for k in range(len(lengths(window))))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,11 +114,11 @@ def _segments_of(docs: DataFrame, window: int) -> DataFrame:
             for row in range(batch.num_rows):
                 words = words_of(batch.column(2)[row].as_py())
                 if len(words) >= window:
-                    h, g, s, n = segments(words, window)
-                    doc, tk = (np.full(len(h), batch.column(k)[row].as_py(), np.int64) for k in (0, 1))
-                    for part, x in zip(parts, (h.view(np.int64), g.view(np.int64), doc, tk, s, n), strict=True):
+                    g, s, n, *hashes = segments(words, window)
+                    doc, tk = (np.full(len(g), batch.column(k)[row].as_py(), np.int64) for k in (0, 1))
+                    for part, x in zip(parts, (g.view(np.int64), doc, tk, s, n, *(h.view(np.int64) for h in hashes)), strict=True):
                         part.append(x)
-                    size += len(h)
+                    size += len(g)
                 if size > 1 << 17 or (size and row == batch.num_rows - 1):
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], names=names)
                     parts, size = [[] for _ in names], 0
@@ -163,22 +184,30 @@ def _without(rows: DataFrame, window: int, rest_text: bool) -> DataFrame:
 def repeated_ranges(docs: DataFrame, window: int) -> DataFrame:
     """For each document (doc, tk): the runs of windows that also start in a document with a smaller id."""
     spark = docs.sparkSession
-    found, path = written(_segments_of(docs.filter(F.col("doc").isNotNull()).select("doc", "tk", "text"), window), "segments")
-
-    # level one: anchors in at least two documents
+    mark = begun()
+    alive, path = written(_segments_of(docs.filter(F.col("doc").isNotNull()).select("doc", "tk", "text"), window), "segments")
     # sums are tables of their own before they are joined back: only then can Spark split the rows of a hot key
-    shared, _ = written(found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("h"), "shared")
-    alive, _ = written(found.join(shared, "h", "left_semi"), "alive")
-    discard(spark, path)
-    # the same segment in a smaller document settles it
+    in_two = lambda df, *keys: df.groupBy(*keys).agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi")
+    for level in range(len(lengths(window))):
+        key = f"h{level}"
+        shared, shared_at = written(in_two(alive, key).select(key), "shared")
+        longer, longer_at = written(alive.join(shared, key, "left_semi").drop(*[key] * (level < len(lengths(window)) - 1)), "alive")
+        discard(spark, path, shared_at)
+        alive, path = longer, longer_at
+        if alive.isEmpty():
+            discard_since(spark, mark)
+            return spark.createDataFrame([], "doc bigint, tk bigint, ranges array<struct<s: bigint, n: bigint>>")
+    alive = alive.withColumnRenamed(key, "h")
+
+    # the last level: the same segment in a smaller document settles it
     least = F.min(F.struct("doc", "tk", "s", "n")).alias("first")
     texts, _ = written(alive.groupBy("h", "g").agg(least, F.max("doc").alias("hi")), "texts")
     several, _ = written(texts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h"), "several")
     odd = texts.join(several, "h", "left_semi").select("h", "g", "first.*")
-    # level two: single windows of segments whose anchor has others
+    # single windows of segments whose anchor has others
     lists = odd.groupBy("doc", "tk").agg(F.collect_list(F.struct("h", "g", "s", "n")).alias("listed"))
     windows, _ = written(_windows_of(docs.select("doc", "tk", "text").join(lists, ["doc", "tk"]).select("doc", "text", "listed"), window), "windows")
-    smaller, _ = written(windows.groupBy("w1", "w2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("w1", "w2", "lo"), "smaller")
+    smaller, _ = written(in_two(windows, "w1", "w2").select("w1", "w2", "lo"), "smaller")
     hit = windows.join(smaller, ["w1", "w2"]).filter("doc > lo").groupBy("h", "g").agg(F.collect_set("offset").alias("offsets"))
     # occurrences in the segment's first document have the windows found alone; in others all of them
     known = texts.select("h", "g", F.col("first.doc").alias("lo"), "hi").join(hit, ["h", "g"], "left").filter("lo < hi or offsets is not null")
@@ -186,7 +215,9 @@ def repeated_ranges(docs: DataFrame, window: int) -> DataFrame:
     one = F.transform("offsets", lambda o: F.struct((F.col("s") + o).alias("s"), F.lit(1).cast("bigint").alias("n")))
     whole = F.array(F.struct("s", "n"))
     runs = alive.join(known, ["h", "g"]).select("doc", "tk", F.when(F.col("doc") > F.col("lo"), whole).otherwise(one).alias("runs"))
-    return runs.filter(F.col("runs").isNotNull()).groupBy("doc", "tk").agg(F.flatten(F.collect_list("runs")).alias("ranges"))
+    ranges, ranges_at = written(runs.filter(F.col("runs").isNotNull()).groupBy("doc", "tk").agg(F.flatten(F.collect_list("runs")).alias("ranges")), "ranges")
+    discard_since(spark, mark, ranges_at)
+    return ranges
 
 
 def dedup_substrings(docs: DataFrame, window: int = 50, doc_id: str = "doc_id", text: str = "text", rest_text: bool = False) -> DataFrame:
