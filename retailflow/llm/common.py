@@ -51,6 +51,11 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return written(df, name)[0]
 
 
+def tables_begun() -> list[str]:
+    """Paths of the tables that are not discarded yet."""
+    return [*_begun]
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Removes tables of the shared folder that nothing reads any more."""
     for path in paths:

@@ -228,5 +228,6 @@ def dedup_substrings(docs: DataFrame, window: int = 50, doc_id: str = "doc_id",
     keyed = docs.select(F.col(doc_id).cast("bigint").alias("doc"), key.alias("tk"), F.col(text).alias("text"))
     ranges = repeated_ranges(keyed, window)
     own = docs.select(*[F.col(c).alias(f"own_{c}") for c in rest], F.col(text).alias("text"), F.col(doc_id).cast("bigint").alias("doc"), key.alias("tk"))
-    out = _without(own.join(ranges, ["doc", "tk"], "left").drop("doc", "tk"), window, rest_text)
+    # a merge join at every size: how much of the documents repeats, and so how large the ranges are, is not known before
+    out = _without(own.join(ranges.hint("merge"), ["doc", "tk"], "left").drop("doc", "tk"), window, rest_text)
     return out.select(*[F.col(f"own_{c}").alias(c) for c in rest], *[F.col("text").alias(text)] * rest_text, *new)
