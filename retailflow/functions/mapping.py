@@ -149,7 +149,9 @@ def map_fields(df: DataFrame, spec: dict[str, str], row: Row = Row(), keep: tupl
     df, row = row.split_once(df, spec)
     values = {name: compile_expression(text, row) for name, text in spec.items()}
     reject = F.coalesce(*[F.when(v.bad, F.lit(name)) for name, v in values.items()])
-    return df.select(*keep, *[v.column.alias(name) for name, v in values.items()], reject.alias("reject"))
+    # One generated row: a filter on `reject` stays above it, so that Spark does not compute all fields for the filter again.
+    fields = F.struct(*[v.column.alias(name) for name, v in values.items()], reject.alias("reject"))
+    return df.select(*keep, F.inline(F.array(fields)))
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -137,15 +137,17 @@ def order_event_time(df: DataFrame, strict: bool = True) -> Column:
     return F.coalesce(time("pay_time"), time("gmt_modified"), time("gmt_create"))
 
 
-#: Rows of a dimension up to which it is broadcast; larger ones are joined by a shuffle.
-DIMENSION_ROWS = 1_000_000
+#: Bytes of a dimension, as text, up to which it is broadcast; larger ones are joined by a shuffle.
+DIMENSION_BYTES = 64 << 20
 
 
 def dimension(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if its size, counted here, allows that."""
-    if df.isStreaming or df.limit(DIMENSION_ROWS + 1).count() > DIMENSION_ROWS:
+    """df, to be broadcast if its size, measured here in one pass, allows that."""
+    if df.isStreaming:
         return df
-    return F.broadcast(df)
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    size = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size.bytes <= DIMENSION_BYTES else df
 
 
 def join_shop_seller(flow: DataFrame, shop_seller: DataFrame) -> DataFrame:

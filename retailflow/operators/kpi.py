@@ -73,6 +73,22 @@ def kpi_merge(stored: DataFrame, delta: DataFrame, rounding: str = "half_up") ->
     return kpi_ratios(with_estimates(merged), rounding)
 
 
+def kpi_join_state(state: DataFrame, delta: DataFrame, rounding: str = "half_up") -> DataFrame:
+    """Each key of the delta or the state, joined with the other's row, if there is one: totals so far, ratios anew."""
+    keys = ["bucket", "seller_id", "item_id"]
+    columns = [*ADDITIVE, "iuv_sketch", "auv_sketch"]
+    both = state.select(*keys, *[F.col(c).alias(f"s_{c}") for c in columns]).join(delta.select(*keys, *columns), keys, "full")
+    added = [(F.coalesce(c, F.lit(0)) + F.coalesce(f"s_{c}", F.lit(0))).cast("bigint").alias(c) for c in ADDITIVE]
+    united = [F.coalesce(F.hll_union(f"s_{c}", c), F.col(f"s_{c}"), F.col(c)).alias(c) for c in ("iuv_sketch", "auv_sketch")]
+    return kpi_ratios(with_estimates(both.select(*keys, *added, *united)), rounding)
+
+
+def union_of_hours(hours: DataFrame) -> DataFrame:
+    """The day's visitors, from the sketches of its hours."""
+    united = [F.hll_union_agg(c).alias(c) for c in ("iuv_sketch", "auv_sketch")]
+    return with_estimates(hours.groupBy(F.date_trunc("day", "bucket").alias("bucket"), "seller_id", "item_id").agg(*united))
+
+
 def hours_to_day(hours: DataFrame) -> DataFrame:
     """Additive indicators of the day, from those of its hours; visitors need sketches and aren't added."""
     return hours.groupBy(F.date_trunc("day", "bucket").alias("bucket"), "seller_id", "item_id").agg(*[F.sum(c).alias(c) for c in ADDITIVE])

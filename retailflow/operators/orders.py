@@ -28,6 +28,12 @@ def parents_with_children(parents: DataFrame, children: DataFrame) -> DataFrame:
     return joined.unionByName(alone.select(*joined.columns))
 
 
+def parents_with_latest_children(parents: DataFrame, versions: DataFrame) -> DataFrame:
+    """The most recent row of each child order, with its parent's columns (p_*); children without a parent are left out."""
+    p = parents.select(F.col("order_id").alias("parent_id"), *[F.col(c).alias(f"p_{c}") for c in parents.columns if c != "order_id"])
+    return latest_children(versions).join(p, "parent_id")
+
+
 def with_payment(children: DataFrame, payments: DataFrame, how: str = "left") -> DataFrame:
     """paid_total of each row's parent; 0 where no payment row is there (or, inner, no row)."""
     paid = payments.groupBy(F.col("order_id").alias("parent_id")).agg(F.max("actual_total_fee").alias("paid_total"))

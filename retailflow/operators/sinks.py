@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.scalars import shard_of, week_slot
 
@@ -85,37 +84,93 @@ def range_dump(df: DataFrame, path: str, start_ms: int, end_ms: int, ts: str = "
     df.filter((F.col(ts) >= start_ms) & (F.col(ts) < end_ms)).write.option("maxRecordsPerFile", most_rows).parquet(path)
 
 
-def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
 def put(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old with the rows of new in place of those with the same keys."""
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _part_path(spark: SparkSession, path: str, part: str | None) -> str:
+    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{path}/part={escaped.DEFAULT_PARTITION_NAME() if part is None else escaped.escapePathName(part)}"
+
+
+def stored_parts(spark: SparkSession, path: str, parts: list[str | None], schema: T.StructType) -> DataFrame:
+    """All versions of some partitions of a table of upsert_write; no others are listed or read."""
+    there = []
+    for part in parts:
+        files, where = _files(spark, _part_path(spark, path, part))
+        if files.exists(where):
+            there.append(where.toString())
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*there)
+
+
+def vacuum(spark: SparkSession, path: str, parts: list[str | None], batch_id: int) -> None:
+    """Removes superseded versions of some partitions: all but that of the batch and the one before it."""
+    for part in parts:
+        files, where = _files(spark, _part_path(spark, path, part))
+        versions = {int(s.getPath().getName().removeprefix("v=")): s.getPath() for s in files.listStatus(where)} if files.exists(where) else {}
+        before = [v for v in versions if v < batch_id]
+        for v in before:
+            if v != max(before):
+                files.delete(versions[v], True)
+
+
 def upsert_write(path: str, keys: list[str], partition: str, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> Sink:
     """A sink that puts rows by key, or combines them with those stored, in the partitions of a batch alone.
 
     Each write goes to a new version of a partition (`part` = value, `v` = batch id); readers take the latest, so a
-    batch may be written again, and a failed write leaves the version before it.
+    batch may be written again, and a failed write leaves the version before it. Older versions are removed. The names
+    of the partitions that a batch touches reach the driver: days, for instance.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = batch.withColumn("part", F.col(partition).cast("string"))
+        touched = [r.part for r in new.select("part").distinct().collect()]
         schema = T.StructType([*new.schema.fields, T.StructField("v", T.LongType())])
-        stored = read_if_there(spark, path, schema).filter(F.col("v") < batch_id)
-        touched = new.select("part").distinct()
-        old = current(stored).join(touched, "part", "left_semi").drop("v")
+        old = current(stored_parts(spark, path, touched, schema).filter(F.col("v") < batch_id)).drop("v")
         out = combine(old, new) if combine else put(old, new, keys)
         if "part" not in out.columns:
             out = out.withColumn("part", F.col(partition).cast("string"))
         out = out.withColumn("v", F.lit(batch_id).cast("bigint"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "v").parquet(path)
+        vacuum(spark, path, touched, batch_id)
+
+    return write
+
+
+def shop_upsert_write(path: str, base: int) -> Sink:
+    """A sink of paid amounts (dt, seller_id, amount, last_ts) that are added to each seller's total of the day.
+
+    Totals are in `totals`; `history` gets a row for each batch in which a total passes a further multiple of base.
+    A batch that is written twice counts once in both.
+    """
+
+    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+        before = old.select("dt", "seller_id", F.col("amount").alias("a"), F.col("last_ts").alias("t"), "px")
+        more = new.select("dt", "seller_id", F.col("amount").alias("b"), F.col("last_ts").alias("u"))
+        both = before.join(more, ["dt", "seller_id"], "full")
+        amount = (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))).cast("bigint").alias("amount")
+        both = both.select("dt", "seller_id", amount, F.greatest("t", "u").alias("last_ts"), F.coalesce("px", F.lit(0)).cast("bigint").alias("before"))
+        return both.select("dt", "seller_id", "amount", "last_ts", F.expr(f"amount div {base}").alias("px"), "before")
+
+    put_totals = upsert_write(f"{path}/totals", ["dt", "seller_id"], "dt", combine)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, none = batch.sparkSession, F.lit(None).cast("bigint")
+        rows = batch.select("dt", "seller_id", "amount", "last_ts", none.alias("px"), none.alias("before"))
+        put_totals(rows, batch_id)
+        schema = T.StructType([*rows.schema.fields, T.StructField("part", T.StringType()), T.StructField("v", T.LongType())])
+        touched = [r.dt for r in rows.select("dt").distinct().collect()]
+        passed = stored_parts(spark, f"{path}/totals", touched, schema).filter((F.col("v") == batch_id) & (F.col("px") > F.col("before")))
+        passed.select("dt", "seller_id", "amount", "last_ts", "px").write.mode("overwrite").parquet(f"{path}/history/batch={batch_id}")
 
     return write
 

@@ -77,20 +77,31 @@ RECONCILED = f"""{s.with_(s.UNIFIED)} SELECT {s.stamp("date_trunc('day', ts)")}
 
 
 @query("reconcile_hours_vs_day", RECONCILED)
-@query("maint_reader_check", RECONCILED)
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = a.unified(spark, sf_dir)
     found = kpi.reconcile_hours_vs_day(kpi.item_kpi(rows, "hour"), kpi.item_kpi(rows, "day"))
     return found.select(stamp("bucket"), "seller_id", "item_id", "pv", "agrees")
 
 
+@query(
+    "maint_reader_check",
+    f"""{s.with_(s.UNIFIED)}, h AS (SELECT date_trunc('hour', ts) AS h, seller_id, item_id, CAST(sum(view) AS BIGINT) AS pv, CAST(sum(is_pay) AS BIGINT) AS atn FROM rows_ GROUP BY ALL)
+    SELECT {s.stamp('h')} AS hour, seller_id, item_id, pv, atn, CAST(sum(pv) OVER w AS BIGINT) AS day_pv, CAST(sum(atn) OVER w AS BIGINT) AS day_atn, true AS agrees FROM h WINDOW w AS (PARTITION BY date_trunc('day', h), seller_id, item_id)""",
+)
+def maint_reader_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hour rows of each item beside its day row, which is computed on its own, and whether all indicators of the hours add up to it."""
+    rows = a.unified(spark, sf_dir)
+    hours, days = kpi.item_kpi(rows, "hour"), kpi.item_kpi(rows, "day")
+    checked = kpi.reconcile_hours_vs_day(hours, days).select(F.col("bucket").alias("day"), "seller_id", "item_id", F.col("pv").alias("day_pv"), F.col("atn").alias("day_atn"), "agrees")
+    shown = hours.withColumn("day", F.date_trunc("day", "bucket")).join(checked, ["day", "seller_id", "item_id"], "full")
+    return shown.select(stamp("bucket").alias("hour"), "seller_id", "item_id", "pv", "atn", "day_pv", "day_atn", "agrees")
+
+
 _MERGED = f"""{s.with_(s.UNIFIED)}, k AS (SELECT {s.stamp("date_trunc('day', ts)")} AS bucket, seller_id, item_id, {s.KPI} FROM rows_ GROUP BY ALL)
     SELECT bucket, seller_id, item_id, pv, tn, atn, an, amt, true AS iuv_close, true AS auv_close FROM k"""
 
 
 @query("kpi_merge", _MERGED)
-@query("sink_kpi_merge", _MERGED)
-@query("join_kpi_state", _MERGED)
 def kpi_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the first half of each hour merged with those of the second; visitors within 3 % of the exact number."""
     rows = a.unified(spark, sf_dir)
@@ -102,6 +113,42 @@ def kpi_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(stamp("bucket"), "seller_id", "item_id", *kpi.ADDITIVE, close("iuv", "x").alias("iuv_close"), close("auv", "y").alias("auv_close"))
 
 
+_STATE = f"""{s.with_(s.UNIFIED)}, k AS (SELECT {s.stamp("date_trunc('day', ts)")} AS bucket, seller_id, item_id, {s.KPI} FROM rows_ GROUP BY ALL)
+    SELECT bucket, seller_id, item_id, pv, tn, atn, an, amt, true AS iuv_same, true AS auv_same FROM k"""
+
+
+def _beside_one_go(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Merged totals, and whether their visitors are just those of all hours' sketches united in one go."""
+    once = kpi.union_of_hours(kpi.item_kpi(rows, "hour", sketch=True)).select("bucket", "seller_id", "item_id", F.col("iuv").alias("x"), F.col("auv").alias("y"))
+    joined = found.join(once, ["bucket", "seller_id", "item_id"], "full")
+    return joined.select(stamp("bucket"), "seller_id", "item_id", *kpi.ADDITIVE, (F.col("iuv") == F.col("x")).alias("iuv_same"), (F.col("auv") == F.col("y")).alias("auv_same"))
+
+
+@query("join_kpi_state", _STATE)
+def join_kpi_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the first half of each hour as the state, joined with those of the second half."""
+    rows = a.unified(spark, sf_dir)
+    state, delta = (kpi.item_kpi(rows.filter(part), "day", sketch=True) for part in ("minute(ts) < 30", "minute(ts) >= 30"))
+    return _beside_one_go(kpi.kpi_join_state(state, delta), rows)
+
+
+@query("sink_kpi_merge", _STATE)
+def sink_kpi_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deltas of each day that are merged key by key into a stored table, each written twice, and what is stored then."""
+    rows, path = a.unified(spark, sf_dir), _scratch(spark, "sink_kpi_merge")
+    columns = ["bucket", "seller_id", "item_id", *kpi.ADDITIVE, "iuv_sketch", "auv_sketch", "dt"]
+
+    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+        return kpi.kpi_merge(old, new).withColumn("dt", F.to_date("bucket").cast("string")).select(*columns)
+
+    sink = sinks.upsert_write(path, ["bucket", "seller_id", "item_id"], "dt", combine)
+    for k in range(3):
+        delta = kpi.item_kpi(rows.filter(f"hour(ts) % 3 = {k}"), "day", sketch=True).withColumn("dt", F.to_date("bucket").cast("string")).select(*columns)
+        sink(delta, k)
+        sink(delta, k)
+    return _beside_one_go(kpi.with_estimates(sinks.current(spark.read.parquet(path))), rows)
+
+
 def _running_sql(unit: str) -> str:
     return f"""{s.with_(s.UNIFIED)}, m AS (
       SELECT date_trunc('{unit}', ts) AS b, date_trunc('minute', ts) AS mi, seller_id, item_id, visitor, sum(view) AS pv, sum(is_new) AS tn, sum(is_pay) AS atn,
@@ -127,7 +174,6 @@ _SHOP_DAY = f"""{s.with_(s.ORDERS)} SELECT {s.stamp("date_trunc('day', ts)")} AS
 
 
 @query("shop_day_amount", _SHOP_DAY)
-@query("sink_shop_upsert", _SHOP_DAY)
 def shop_day_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.shop_day_amount(a.order_flow(spark, sf_dir)).select(stamp("day"), "seller_id", "amount", stamp("last_ts"))
 
@@ -135,6 +181,27 @@ def shop_day_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 BASE = 5_000
 
 
+@query(
+    "sink_shop_upsert",
+    f"""{s.with_(s.ORDERS)}, b AS (SELECT date_trunc('day', ts) AS d, seller_id, hour(ts) // 6 AS k, sum(CASE WHEN is_main = 1 AND is_pay = 1 THEN fee ELSE 0 END) AS amount, max(CASE WHEN is_main = 1 AND is_pay = 1 THEN ts END) AS last_ts FROM biz GROUP BY ALL),
+    t AS (SELECT *, sum(amount) OVER (PARTITION BY d, seller_id ORDER BY k) // {BASE} AS px FROM b),
+    p AS (SELECT *, coalesce(lag(px) OVER (PARTITION BY d, seller_id ORDER BY k), 0) AS earlier FROM t)
+    SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS dt, seller_id, CAST(sum(amount) AS BIGINT) AS amount, {s.stamp('max(last_ts)')} AS last_ts, CAST(max(px) AS BIGINT) AS px, count(*) FILTER (px > earlier) AS n_passed FROM p GROUP BY ALL""",
+)
+def sink_shop_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of each quarter of the days, added to the sellers' stored totals, each batch twice; and how often each total passed a milestone."""
+    path = _scratch(spark, "sink_shop_upsert")
+    sink = sinks.shop_upsert_write(path, BASE)
+    for k in range(4):
+        amounts = kpi.shop_day_amount(a.order_flow(spark, sf_dir).filter(f"hour(ts) div 6 = {k}"))
+        batch = amounts.select(F.to_date("day").cast("string").alias("dt"), "seller_id", "amount", "last_ts")
+        sink(batch, k)
+        sink(batch, k)
+    passed = spark.read.parquet(f"{path}/history").groupBy("dt", "seller_id").agg(F.count(F.lit(1)).alias("n_passed"))
+    totals = sinks.current(spark.read.parquet(f"{path}/totals")).join(passed, ["dt", "seller_id"], "left")
+    return totals.select("dt", "seller_id", "amount", stamp("last_ts"), "px", F.coalesce("n_passed", F.lit(0)).cast("bigint").alias("n_passed"))
+
+
 @query(
     "shop_milestones",
     f"""{s.with_(s.ORDERS)}, f AS (
@@ -217,12 +284,27 @@ def join_parent_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LATEST = f"{s.with_(s.CHILDREN)} SELECT order_id, max(order_modified_t) AS order_modified_t, count(*) > 0 AS found FROM children GROUP BY order_id"
 
 
-@query("join_latest_child", _LATEST)
 @query("latest_by_key", _LATEST)
 def latest_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.latest_children(a.children(spark, sf_dir)).select("order_id", "order_modified_t", F.lit(True).alias("found"))
 
 
+@query(
+    "join_latest_child",
+    f"""{s.with_(s.CHILDREN)}, v AS (SELECT parent_id, order_id, order_modified_t AS t, pay_status FROM children
+      UNION ALL SELECT parent_id, order_id, order_modified_t + CASE WHEN line_no % 2 = 1 THEN 86400000 ELSE -86400000 END, 3 FROM children)
+    SELECT v.parent_id, v.order_id, max(o_orderstatus) AS status, max(t) AS order_modified_t, arg_max(pay_status, t) AS pay_status FROM v JOIN orders ON o_orderkey = v.parent_id GROUP BY ALL""",
+)
+def join_latest_child(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders joined with the most recent of two rows of each child; the second row of a child with an odd line is the later one."""
+    first = a.children(spark, sf_dir)
+    moved = F.when(F.col("line_no") % 2 == 1, 86_400_000).otherwise(-86_400_000)
+    second = first.withColumns({"order_modified_t": F.col("order_modified_t") + moved, "pay_status": F.lit(3)})
+    parents = a.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
+    joined = orders.parents_with_latest_children(parents, first.unionByName(second))
+    return joined.select("parent_id", "order_id", F.col("p_status").alias("status"), "order_modified_t", "pay_status")
+
+
 @query(
     "join_parent_payment_inner",
     f"""{s.with_(s.CHANGES, s.PAYMENTS)} SELECT f.order_id, is_main, CASE WHEN p.actual_total_fee > 0 THEN p.actual_total_fee ELSE f.actual_total_fee END AS actual_total_fee
@@ -400,9 +482,22 @@ def referrer_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.referrer_classify(_titled(spark, sf_dir), classify.SAMPLE_SOURCES).select("page_id", "source_rule", "src_id", "ref_url", "src_key", "src_key_type")
 
 
-@query("keyword_precedence", f"{_SOURCES} SELECT page_id, src_key AS keyword, CASE WHEN src_key = '' THEN '0' WHEN source_rule = 'feed' THEN '2' ELSE '4' END AS keyword_type FROM c")
+_SEARCHED = _SOURCES.replace("FROM pages)", "FROM (SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'http://shop.example.com/search?q=word' || (page_id % 50) || '&low=' || (page_id % 9) ELSE url END AS url FROM pages))", 1)
+
+
+@query(
+    "keyword_precedence",
+    f"""{_SEARCHED}, t AS (SELECT *, CASE WHEN src_key = '' THEN '0' WHEN source_rule = 'feed' THEN '2' ELSE '4' END AS src_key_type FROM c)
+    SELECT page_id, CASE WHEN page_id % 4 = 1 AND src_key_type <> '2' THEN 'word' || (page_id % 50) || '||' || (page_id % 9) || '~' ELSE src_key END AS keyword,
+      CASE WHEN page_id % 4 = 1 AND src_key_type <> '2' THEN '3' ELSE src_key_type END AS keyword_type FROM t""",
+)
 def keyword_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = classify.referrer_classify(classify.page_classify(_titled(spark, sf_dir), classify.SAMPLE_PAGES), classify.SAMPLE_SOURCES)
+    """Every fourth page is a search page, whose own keyword counts unless a paid source brought one."""
+    k = F.col("page_id")
+    search = F.concat(F.lit("http://shop.example.com/search?q=word"), (k % 50).cast("string"), F.lit("&low="), (k % 9).cast("string"))
+    rows = _titled(spark, sf_dir).withColumn("url", F.when(k % 4 == 1, search).otherwise(F.col("url")))
+    rows = rows.withColumn("refer_url", F.when(k % 3 == 0, "").otherwise(F.col("url")))
+    both = classify.referrer_classify(classify.page_classify(rows, classify.SAMPLE_PAGES), classify.SAMPLE_SOURCES)
     return classify.keyword_precedence(both).select("page_id", "keyword", "keyword_type")
 
 
@@ -432,9 +527,20 @@ def ip_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "dotted", scalars.ip_to_long(F.col("dotted")).alias("back"))
 
 
-@query("shard_of")
+#: CRC-32 of a list of bytes, bit by bit from its polynomial.
+_CRC = "xor(4294967295, list_reduce(list_concat([4294967295], {0}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
+_BYTES = "list_transform(string_split({0}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+
+
+@query(
+    "shard_of",
+    f"""{s.with_(s.FLOW)}, t AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+    v AS (SELECT visitor, {_CRC.format(_BYTES.format('visitor'))} AS cv FROM (SELECT DISTINCT visitor FROM flow), t),
+    h AS (SELECT shop_id, {_CRC.format('list_transform(range(8), lambda k: (shop_id >> CAST(56 - 8 * k AS INTEGER)) & 255)')} AS cs FROM (SELECT DISTINCT shop_id FROM flow), t),
+    i AS (SELECT item_id, {_CRC.format(_BYTES.format('CAST(item_id AS VARCHAR)'))} AS ci FROM (SELECT DISTINCT item_id FROM flow), t)
+    SELECT event_id, CAST(cv % 32 AS INTEGER) AS shard, CAST(cs % 256 AS INTEGER) AS seller_shard, hour(ts) * 4294967296 + ci AS packed FROM flow JOIN v USING (visitor) JOIN h USING (shop_id) JOIN i USING (item_id)""",
+)
 def shard_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """crc32 is no function of the SQL engine; tests hold the shards against zlib."""
     return a.flow(spark, sf_dir).select("event_id", scalars.shard_of(F.col("visitor")).alias("shard"), scalars.shard_of_long(F.col("shop_id")).alias("seller_shard"), scalars.packed_key(F.hour("ts"), F.col("item_id")).alias("packed"))
 
 
@@ -443,16 +549,25 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.table(spark, sf_dir, "documents").select("doc_id", scalars.clean_text(F.col("text")).alias("cleaned"))
 
 
-@query("url_decode_gbk", "SELECT page_id, url AS decoded FROM pages")
+@query(
+    "url_decode_gbk",
+    """SELECT page_id, CASE page_id % 4 WHEN 0 THEN '中国 ' || (page_id % 10) WHEN 1 THEN '￥' || (page_id % 10) || '%' WHEN 2 THEN '%D6%FF+' || (page_id % 10) ELSE url END AS decoded FROM pages""",
+)
 def url_decode_gbk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The URLs percent-encoded from GBK and decoded again."""
-    encoded = F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "%", "%25"), ":", "%3A"), "[+]", "%2B")
+    """Two-byte characters and a blank, a sign and a lone '%', bytes that are no GBK, and the URLs percent-encoded."""
+    k = F.col("page_id")
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "%", "%25"), ":", "%3A"), "[+]", "%2B")
+    digit = (k % 10).cast("string")
+    encoded = F.when(k % 4 == 0, F.concat(F.lit("%d6%D0%B9%FA+"), digit)).when(k % 4 == 1, F.concat(F.lit("%A3%A4"), digit, F.lit("%"))).when(k % 4 == 2, F.concat(F.lit("%D6%FF+"), digit)).otherwise(plain)
     return a.table(spark, sf_dir, "pages").select("page_id", scalars.url_decode_gbk(encoded).alias("decoded"))
 
 
-@query("expr_unescape", "SELECT page_id, url AS text FROM pages")
+@query("expr_unescape", """SELECT page_id, CASE page_id % 3 WHEN 0 THEN '中é' || (page_id % 10) || '?' WHEN 1 THEN '?x😀?' ELSE url END AS text FROM pages""")
 def expr_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    escaped = F.regexp_replace(F.regexp_replace("url", ":", "%3A"), "/", "%u002F")
+    """Characters of two and four digits, bad and missing digits, pairs of surrogates, and the URLs with some characters escaped."""
+    k = F.col("page_id")
+    plain = F.regexp_replace(F.regexp_replace("url", ":", "%3A"), "/", "%u002F")
+    escaped = F.when(k % 3 == 0, F.concat(F.lit("%u4E2D%E9"), (k % 10).cast("string"), F.lit("%4"))).when(k % 3 == 1, F.lit("%zzx%uD83D%uDE00%u00g0")).otherwise(plain)
     return a.table(spark, sf_dir, "pages").select("page_id", scalars.unescape(escaped).alias("text"))
 
 
@@ -472,9 +587,7 @@ def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("map_fields", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
-@query("expr_field1", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
 @query("expr_field2", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
-@query("expr_field3", f"{_LINES} SELECT {_MAPPED}, (order_id + 1700000000) * 1000 AS order_modified_t, db_action FROM good WHERE NOT deleted AND NOT bad")
 def map_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = mapping.split_rejects(_mapped(spark, sf_dir))
     return good.select(F.col("order_id").cast("bigint").alias("order_id"), "seller_id", "buyer_id", "auction_id", "auction_price", "buy_amount", "discount_fee", "is_main", "biz_type", "order_modified_t", "db_action")
@@ -521,11 +634,20 @@ _START, _END = 1_705_276_800_000, 1_705_363_200_000
 
 
 @query("src_time_range_scan", f"{s.with_(s.FLOW)} SELECT event_id FROM flow WHERE ts_ms >= {_START} AND ts_ms < {_END} - 180000")
-@query("sink_range_dump", f"{s.with_(s.FLOW)} SELECT event_id FROM flow WHERE ts_ms >= {_START} AND ts_ms < {_END} - 180000")
 def src_time_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.scan_range(a.flow(spark, sf_dir), _START, _END, now_ms=_END).select("event_id")
 
 
+@query("sink_range_dump", f"{s.with_(s.FLOW)} SELECT event_id, ts_ms, visitor, item_id, true AS bounded FROM flow WHERE ts_ms >= {_START} AND ts_ms < {_END}")
+def sink_range_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of the log written to files of at most a hundred rows, and read back."""
+    path = _scratch(spark, "sink_range_dump")
+    sinks.range_dump(a.flow(spark, sf_dir).select("event_id", "ts_ms", "visitor", "item_id"), path, _START, _END, most_rows=100)
+    dumped = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    small = dumped.groupBy("file").agg((F.count(F.lit(1)) <= 100).alias("bounded"))
+    return dumped.join(small, "file").drop("file")
+
+
 @query("src_week_slot_scan", f"{s.with_(s.FLOW)} SELECT event_id, CAST(ts_ms // 1000 % 604800 AS INTEGER) AS slot FROM flow WHERE ts_ms >= {_END} - 7200000 AND ts_ms < {_END} - 180000")
 def src_week_slot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = logs.scan_range(a.flow(spark, sf_dir), _END - 7_200_000, _END, now_ms=_END)
@@ -599,6 +721,25 @@ for _name in ("expr_field1_places", "expr_field3_places"):
     query(_name, _LIST_PLACES)(_list_places)
 
 
+@query("expr_field1", f"{_LINES} SELECT order_id, (order_id + 1700000000) * 1000 || ':7' AS stamp, 'db' AS source, 't_0001' AS place, gmt_create AS time, CASE WHEN deleted THEN 'DELETE' ELSE upper(db_action) END AS action, CAST(NULL AS VARCHAR) AS beyond, 'beyond' AS reject FROM good")
+def expr_field1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of level one of all change lines, and one that they do not have."""
+    spec = {"stamp": "@field1 1", "source": "@field1 2", "place": "@field1 3", "time": "@field1 4", "action": "@field1 5", "beyond": "@field1 9"}
+    return mapping.map_fields(logs.fields_of(a.change_lines(spark, sf_dir)), spec, keep=("order_id",))
+
+
+@query("expr_field3", f"{_LINES} SELECT order_id, CAST(order_id % 3 AS VARCHAR) AS part, order_id || ',' || order_id % 5 AS heads, CASE WHEN order_id % 11 <> 0 THEN order_id % 7 END AS last, CASE WHEN order_id % 11 = 0 THEN 'last' END AS reject FROM good")
+def expr_field3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of the items of a list: a single one, the first of every item, and one that some items do not have."""
+    k = F.col("order_id")
+    text = lambda c: c.cast("string")
+    last = F.when(k % 11 == 0, text(k % 5)).otherwise(F.concat_ws(a.PART, text(k % 5), text(k % 7)))
+    lists = F.concat_ws(a.LIST, F.concat_ws(a.PART, text(k), text(k % 3)), last)
+    rows = logs.fields_of(a.change_lines(spark, sf_dir).withColumn("value", F.concat_ws(a.FIELD, "value", lists)))
+    spec = {"part": "@field3 7 1 2", "heads": "@field3 7 0 1", "last": "@bigint @field3 7 2 2"}
+    return mapping.map_fields(rows, spec, keep=("order_id",)).select("order_id", "part", F.translate("heads", a.LIST, ",").alias("heads"), "last", "reject")
+
+
 # ---- sinks and upkeep
 
 
@@ -695,7 +836,11 @@ def order_by_log_time_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A new path for a stream's checkpoint and output, in the folder that all machines share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="retailflow-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="retailflow-")
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
@@ -713,11 +858,9 @@ _ADDITIVE_HOUR = f"""{s.with_(s.UNIFIED)} SELECT {s.stamp("date_trunc('hour', ts
 
 
 @query("st_tumbling", _ADDITIVE_HOUR)
-@query("st_flush", _ADDITIVE_HOUR)
-@query("st_lag", _ADDITIVE_HOUR)
-@query("align_streams", _ADDITIVE_HOUR)
 def st_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = streams.drained(streams.tumbling(_streamed(spark, sf_dir), "1 hour"), _scratch(spark, "st_tumbling"))
+    """Update mode: the watermark ends the state of hours that are over."""
+    found = streams.drained(streams.tumbling(_streamed(spark, sf_dir), "1 hour"), _scratch(spark, "st_tumbling"), "update", ("bucket", "seller_id", "item_id"))
     exact = kpi.item_kpi(a.unified(spark, sf_dir), "hour").select("bucket", "seller_id", "item_id", F.col("iuv").alias("x"))
     joined = found.join(exact, ["bucket", "seller_id", "item_id"])
     close = F.abs(F.col("iuv") - F.col("x")) <= F.greatest(F.lit(1.0), 0.03 * F.col("x"))
@@ -727,13 +870,79 @@ def st_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SHOP_STREAM = f"""{s.with_(s.ORDERS)} SELECT {s.stamp("date_trunc('day', ts)")} AS day, seller_id, CAST(sum(CASE WHEN is_main = 1 AND is_pay = 1 THEN fee ELSE 0 END) AS BIGINT) AS amount FROM biz GROUP BY ALL"""
 
 
+def _day_amounts(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    rows = a.order_flow(spark, sf_dir, events).withWatermark("ts", streams.ORDER_LAG)
+    paid = F.when((F.col("is_main") == 1) & (F.col("is_pay") == 1), F.col("fee")).otherwise(0)
+    return rows.groupBy(F.window("ts", "1 day").alias("w"), "seller_id").agg(F.sum(paid).alias("amount")).select(F.col("w.start").alias("day"), "seller_id", "amount")
+
+
 @query("st_shop_day_amount", _SHOP_STREAM)
-@query("st_reset", _SHOP_STREAM)
 def st_shop_day_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = a.order_flow(spark, sf_dir, _events(spark, sf_dir)).withWatermark("ts", streams.ORDER_LAG)
-    paid = F.when((F.col("is_main") == 1) & (F.col("is_pay") == 1), F.col("fee")).otherwise(0)
-    found = rows.groupBy(F.window("ts", "1 day").alias("w"), "seller_id").agg(F.sum(paid).alias("amount")).select(F.col("w.start").alias("day"), "seller_id", "amount")
-    return streams.drained(found, _scratch(spark, "st_shop")).select(stamp("day"), "seller_id", "amount")
+    found = streams.drained(_day_amounts(spark, sf_dir, _events(spark, sf_dir)), _scratch(spark, "st_shop"), "update", ("day", "seller_id"))
+    return found.select(stamp("day"), "seller_id", "amount")
+
+
+@query("st_reset", _SHOP_STREAM.replace("FROM biz GROUP BY ALL", "FROM biz WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM biz) - INTERVAL 180 SECOND GROUP BY ALL"))
+def st_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: a day's amounts come once, when the day is over for sure, and its state goes; the day that runs is not there yet."""
+    found = streams.drained(_day_amounts(spark, sf_dir, _events(spark, sf_dir)), _scratch(spark, "st_reset"))
+    return found.select(stamp("day"), "seller_id", "amount")
+
+
+@query("st_lag", f"{s.with_(s.FLOW)} SELECT {s.stamp("date_trunc('hour', ts)")} AS bucket, count(*) AS pv FROM flow WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM flow) - INTERVAL 60 SECOND GROUP BY 1")
+def st_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views by hour, read 60 seconds behind: an hour is given out when no more of it can come."""
+    rows = a.flow(spark, sf_dir, _events(spark, sf_dir)).withWatermark("ts", streams.FLOW_LAG)
+    found = rows.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("pv")).select(F.col("w.start").alias("bucket"), "pv")
+    return streams.drained(found, _scratch(spark, "st_lag")).select(stamp("bucket"), "pv")
+
+
+@query(
+    "align_streams",
+    f"""{s.with_(s.FLOW, s.ORDERS)}, both_ AS (SELECT ts, shop_id AS seller_id, 1 AS view, 0 AS fee FROM flow UNION ALL SELECT ts, seller_id, 0, fee FROM biz)
+    SELECT {s.stamp("date_trunc('hour', ts)")} AS bucket, seller_id, CAST(sum(view) AS BIGINT) AS pv, CAST(sum(fee) AS BIGINT) AS fee FROM both_
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= least((SELECT max(ts) FROM flow) - INTERVAL 60 SECOND, (SELECT max(ts) FROM biz) - INTERVAL 180 SECOND) GROUP BY ALL""",
+)
+def align_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views and orders by hour and seller; an hour closes when the slower of the two streams has passed it."""
+    views = a.seller_flow(spark, sf_dir, _events(spark, sf_dir)).select("ts", "seller_id", F.lit(1).alias("view"), F.lit(0).cast("bigint").alias("fee"))
+    sold = a.order_flow(spark, sf_dir, _events(spark, sf_dir)).select("ts", "seller_id", F.lit(0).alias("view"), "fee")
+    hours = streams.aligned(views, sold).groupBy(F.window("ts", "1 hour").alias("w"), "seller_id").agg(F.sum("view").alias("pv"), F.sum("fee").alias("fee"))
+    found = streams.drained(hours.select(F.col("w.start").alias("bucket"), "seller_id", "pv", "fee"), _scratch(spark, "align_streams"))
+    return found.select(stamp("bucket"), "seller_id", "pv", "fee")
+
+
+#: Times at which the stored events are split for queries that run a stream several times; half days are split too.
+CUTS = ("2024-01-08 12:00:00", "2024-01-16 12:00:00", "2024-01-24 12:00:00")
+_RUN = "(" + " + ".join(f"CAST(ts >= TIMESTAMP '{c}' AS INTEGER)" for c in CUTS) + ")"
+
+
+def _in_runs(spark: SparkSession, sf_dir: str, path: str, stream: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
+    """The micro-batches of a stream that is started anew from its checkpoint each time that more events are there."""
+    run = F.lit(0)
+    for c in CUTS:
+        run = run + (F.col("ts") >= F.lit(c).cast("timestamp")).cast("int")
+    for k in range(len(CUTS) + 1):
+        a.table(spark, sf_dir, "events").filter(run == k).write.mode("append").parquet(f"{path}/in")
+        query = streams.start(stream(streams.stream_of(spark, f"{path}/in")), f"{path}/checkpoint", streams.batches_into(f"{path}/out"), mode, once=True)
+        query.awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
+@query("st_flush", f"{s.with_(s.ORDERS)} SELECT {s.stamp("date_trunc('day', ts)")} AS day, seller_id, CAST(sum(CASE WHEN is_main = 1 AND is_pay = 1 THEN fee ELSE 0 END) AS BIGINT) AS amount, count(DISTINCT {_RUN}) AS n_flushes FROM biz GROUP BY ALL")
+def st_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each flush puts the keys that changed since the last one, with their totals so far; the last put counts."""
+    flushed = _in_runs(spark, sf_dir, _scratch(spark, "st_flush"), lambda events: _day_amounts(spark, sf_dir, events), "update")
+    n = flushed.groupBy("day", "seller_id").agg(F.count_distinct("batch").alias("n_flushes"))
+    last = streams.last_of(flushed, ["day", "seller_id", "amount"], ("day", "seller_id"))
+    return last.join(n, ["day", "seller_id"]).select(stamp("day"), "seller_id", "amount", "n_flushes")
+
+
+@query("st_resume", f"{s.with_(s.FLOW)} SELECT {_RUN} AS run, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS n FROM flow GROUP BY ALL")
+def st_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of page views stopped and started again three times: each run goes on where the last one ended."""
+    read = _in_runs(spark, sf_dir, _scratch(spark, "st_resume"), lambda events: a.flow(spark, sf_dir, events).select("event_id", "ts"), "append")
+    return read.groupBy(F.col("batch").alias("run"), F.to_date("ts").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("st_late_drop", f"{s.with_(s.ORDERS)} SELECT event_id FROM biz WHERE ts >= TIMESTAMP '{DAY}'")
@@ -776,7 +985,6 @@ def st_dim_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PUT = f"{s.with_(s.UNIFIED)} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, item_id, CAST(sum(view) AS BIGINT) AS pv FROM rows_ WHERE view = 1 GROUP BY ALL"
 
 
-@query("st_resume", _PUT)
 @query("st_delivery", _PUT)
 def st_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by day and item that a stream merges into a stored table; every batch is written twice, as after a failure."""

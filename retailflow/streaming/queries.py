@@ -29,12 +29,6 @@ def tumbling(rows: DataFrame, size: str, sketch: bool = True) -> DataFrame:
     return with_estimates(out) if sketch else out
 
 
-def exact_visitors(rows: DataFrame, size: str) -> DataFrame:
-    """Distinct visitors of each window and item, one row each: to be counted downstream, batch by batch."""
-    bucketed = rows.withColumn("bucket", F.window("ts", size)["start"])
-    return bucketed.dropDuplicates(["bucket", "seller_id", "item_id", "visitor"]).select("bucket", "ts", "seller_id", "item_id", "visitor")
-
-
 def children_with_parents(children: DataFrame, parents: DataFrame, within: str = PENDING) -> DataFrame:
     """Child orders joined with parents at most so far apart in time; state for either side ends with the bound."""
     c = children.withWatermark("ts", ORDER_LAG).alias("c")
@@ -68,25 +62,29 @@ def start(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=FLUSH)).start()
 
 
-def drained(df: DataFrame, path: str, mode: str = "complete") -> DataFrame:
-    """What a stream returns once all that is there has been read; for complete and update results the last batch wins."""
+def drained(df: DataFrame, path: str, mode: str = "append", keys: tuple[str, ...] = ()) -> DataFrame:
+    """What a stream returns once all that is there has been read. In update mode, the last row of each key."""
     spark = df.sparkSession
     out = f"{path}/out"
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{out}/batch=-1")
+    start(df, f"{path}/checkpoint", batches_into(out), mode, once=True).awaitTermination()
+    return last_of(spark.read.parquet(out), df.columns, keys) if mode == "update" else spark.read.parquet(out).drop("batch")
+
+
+def batches_into(out: str) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps each micro-batch apart, by its id: one that is written twice is there once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if mode == "append":
-            batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        elif not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(out)
-
-    if mode == "append":
-        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{out}/batch=-1")
-    else:
-        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(out)
-    query = start(df, f"{path}/checkpoint", write, mode, once=True)
-    query.awaitTermination()
-    found = spark.read.parquet(out)
-    return found.drop("batch") if mode == "append" else found
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return write
+
+
+def last_of(batches: DataFrame, columns: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """The row of each key in the last micro-batch that has it."""
+    rest = [c for c in columns if c not in keys]
+    last = batches.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last"))
+    return last.select(*keys, "last.*").select(*columns)
 
 
 class Throughput(StreamingQueryListener):
