@@ -8,6 +8,9 @@
    those pairs only, so no task holds a whole hot bucket. Members bring their full n-gram sets. A pair is compared in
    the first of its common buckets alone. Tasks return, for each member, the number of its links and the least member
    it hangs together with; pairs themselves never become rows, however large a group of near copies is.
+   Before that, members of a bucket with more than a block's are compared with a pivot each. Those that lie so near to
+   one that they must be linked to each other form a ball: their links are counted, not compared, and within a ball no
+   blocks meet. So a cluster of near copies is shuffled about once, however large it is; blocks remain for the rest.
 4. Groups are the connected components of the links, found by rounds of joins on these star-shaped links.
 
 Rows: a text with one to four words is one n-gram of all its words; one without words has none, and no links. Rows
@@ -93,8 +96,8 @@ def _with_grams(members: DataFrame, words: int) -> DataFrame:
     """One row for each place of a class: its full n-gram set goes along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "p", "q", "side", "doc", "band", "keys", "grams"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        names = ["bucket", "p", "q", "side", "doc", "band", "ball", "keys", "grams"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
             out: list[tuple] = []
             size = 0
@@ -103,13 +106,13 @@ def _with_grams(members: DataFrame, words: int) -> DataFrame:
                 grams = ngrams(text, words).tobytes()
                 own = np.array(keys, np.int64).tobytes()
                 for place in places:
-                    out.append((place["bucket"], place["p"], place["q"], place["side"], doc, place["band"], own, grams))
+                    out.append((place["bucket"], place["p"], place["q"], place["side"], doc, place["band"], place["ball"], own, grams))
                     if (size := size + len(grams) + len(own)) > 1 << 23:
                         yield _batch(out, names, kinds)
                         out, size = [], 0
             yield _batch(out, names, kinds)
 
-    return members.mapInArrow(run, "bucket bigint, p int, q int, side int, doc bigint, band int, keys binary, grams binary")
+    return members.mapInArrow(run, "bucket bigint, p int, q int, side int, doc bigint, band int, ball bigint, keys binary, grams binary")
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -153,6 +156,9 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
         if not len(left) or not len(right):
             return []
         hit = linked(sets, left, right, threshold)
+        inside = np.array([m[4] is not None for m in members])  # links within a ball are known
+        ball = np.array([m[4] or 0 for m in members])
+        hit &= ~((ball[left][:, None] == ball[right][None, :]) & inside[left][:, None] & inside[right][None, :])
         for k in range(band):  # such pairs are compared in an earlier bucket
             hit &= keys[left, k][:, None] != keys[right, k][None, :]
         if p == q:
@@ -174,13 +180,13 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
         at, members, out = None, [], []
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            for bucket, p, q, side, doc, band, keys, grams in zip(*columns, strict=True):
+            for bucket, p, q, side, doc, band, ball, keys, grams in zip(*columns, strict=True):
                 if (bucket, p, q) != at:
                     if at:
                         out += group(members, at[1], at[2], last)
                     at, members = (bucket, p, q), []
                 last = band
-                members.append((side, doc, keys, grams))
+                members.append((side, doc, keys, grams, ball))
             yield _batch(out, names, kinds)
             out = []
         if at:
@@ -190,6 +196,53 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
     return placed.mapInArrow(run, "doc bigint, n bigint, root bigint")
 
 
+def _balls(pairs: DataFrame, hot: DataFrame, threshold: float, words: int) -> DataFrame:
+    """rep, ball, n_ball, root for members of hot buckets (rep, bucket) that lie so near to a pivot that they are linked
+    to each other: the ball's pivot, how many members it has, and the least of them.
+
+    A bucket's pivot is its member with the least hash; a member takes the least pivot of its buckets, so that near
+    copies agree on one. Let p be the size of the pivot's set, n of a member's, a the n-grams of the pivot that it lacks.
+    Two members share p - a - a' n-grams at least, so they reach the threshold t if t n + (1 + t) a is at most
+    (1 + t) p / 2 for both. One comparison a member settles what would take one for each pair of them.
+    """
+    mine = F.struct(F.xxhash64("rep").alias("h"), "rep")
+    pivots = cut(hot.groupBy("bucket").agg(F.min(mine).alias("p")), "pivots")
+    of = cut(hot.join(pivots, "bucket").groupBy("rep").agg(F.min("p").alias("p")).select("rep", F.col("p.rep").alias("pivot")), "pivot_of")
+    texts = pairs.select("doc", "text")
+    marks = texts.join(of.select(F.col("pivot").alias("doc")).distinct(), "doc").groupBy(F.col("doc").alias("pivot"))
+    same = F.min(F.xxhash64("text")) == F.max(F.xxhash64("text"))  # rows of one id with other texts are no pivot
+    marks = marks.agg(F.first("text").alias("mark"), same.alias("same")).filter("same").drop("same")
+    rows = of.join(texts.withColumnRenamed("doc", "rep"), "rep").join(marks, "pivot").select("rep", "pivot", "text", "mark")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, mark = None, np.empty(0, np.uint64)
+        for batch in batches:
+            out: list[tuple[int, int, bool]] = []
+            for row in range(batch.num_rows):
+                rep, pivot = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                if pivot != at:
+                    at, mark = pivot, ngrams(batch.column(3)[row].as_py(), words)
+                own = ngrams(batch.column(2)[row].as_py(), words)
+                missing = len(mark) - len(np.intersect1d(own, mark, assume_unique=True))
+                out.append((rep, pivot, 2 * (threshold * len(own) + (1 + threshold) * missing) <= (1 + threshold) * len(mark) - 1e-6))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["rep", "ball", "near"])
+
+    inside = cut(rows.mapInArrow(near, "rep bigint, ball bigint, near boolean").groupBy("rep", "ball").agg(F.bool_and("near").alias("near")).filter("near").drop("near"), "inside")
+    sizes = cut(inside.groupBy("ball").agg(F.count(F.lit(1)).alias("n_ball"), F.min("rep").alias("root")).filter("n_ball > 1"), "balls")
+    return inside.join(sizes, "ball")
+
+
+def _layout(members: DataFrame, crowded: DataFrame) -> DataFrame:
+    """For each bucket: its groups of blocks. A ball with a block's members or more there has blocks of its own, which
+    are not compared with each other; all other members share the rest. A bucket of one ball is left out."""
+    sizes = members.join(crowded.select("bucket"), "bucket", "left_semi").groupBy("bucket", "ball").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"))
+    own = F.when(F.col("m") >= BLOCK, F.col("ball")).alias("g")
+    groups = sizes.select("bucket", own, "m", "grams").groupBy("bucket", "g").agg(F.sum("m").alias("m"), F.sum("grams").alias("grams"))
+    k = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
+    listed = groups.select("bucket", F.struct("g", k.alias("k")).alias("group")).groupBy("bucket").agg(F.sort_array(F.collect_list("group")).alias("groups"))
+    return listed.filter((F.size("groups") > 1) | F.get("groups", F.lit(0))["g"].isNull())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node of each node's connected component, by alternate large-star and small-star rounds.
 
@@ -224,17 +277,33 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     classes = cut(signed.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.first("keys").alias("keys"), F.first("n").alias("n")))
 
     place = classes.select("rep", "n", F.posexplode("keys").alias("band", "bucket"))
-    crowded = place.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams")).filter("m > 1")
-    # a table of its own before it is joined back: only then can Spark split the rows of a hot bucket
-    crowded = cut(crowded.select("bucket", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("k")))
-    own = F.pmod(F.xxhash64("rep", "bucket"), F.col("k")).cast("int")
-    blocks = place.join(crowded, "bucket").withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
-    split = blocks.select("rep", "bucket", "band", "own", other)
-    split = split.select("rep", F.struct("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "band").alias("place"))
+    # tables of their own before they are joined back: only then can Spark split the rows of a hot bucket
+    crowded = cut(place.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams")).filter("m > 1"))
+    hot = crowded.filter((F.col("m") > BLOCK) | (F.col("grams") > BLOCK_GRAMS)).select("bucket")
+    balls = None
+    if hot.isEmpty():
+        k = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
+        place = place.withColumn("ball", F.lit(None).cast("bigint"))
+        layout = crowded.select("bucket", F.array(F.struct(F.lit(None).cast("bigint").alias("g"), k.alias("k"))).alias("groups"))
+    else:
+        balls = cut(_balls(pairs, place.select("rep", "bucket").join(hot, "bucket", "left_semi"), threshold, words))
+        place = place.join(balls.select("rep", "ball"), "rep", "left")
+        layout = cut(_layout(place, crowded))
+    upto = lambda i: F.aggregate(F.slice("groups", F.lit(1), i), F.lit(0), lambda n, x: n + x["k"])
+    layout = layout.select("bucket", F.transform("groups", lambda x, i: F.struct(x["g"].alias("g"), x["k"].alias("k"), upto(i).alias("first"))).alias("groups"), upto(F.size("groups")).alias("all"))
+    among = lambda test: F.get(F.filter("groups", test), F.lit(0))
+    blocks = place.join(layout, "bucket").withColumn("mine", F.coalesce(among(lambda x: x["g"] == F.col("ball")), among(lambda x: x["g"].isNull())))
+    blocks = blocks.withColumn("own", F.col("mine.first") + F.pmod(F.xxhash64("rep", "bucket"), F.col("mine.k")).cast("int"))
+    known = lambda o: F.col("mine.g").isNotNull() & (o >= F.col("mine.first")) & (o < F.col("mine.first") + F.col("mine.k"))
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("all") - 1), lambda o: ~known(o))).alias("other")
+    split = blocks.select("rep", "bucket", "band", "ball", "own", other)
+    split = split.select("rep", F.struct("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "band", "ball").alias("place"))
     places = split.groupBy("rep").agg(F.collect_list("place").alias("places"))
     members = pairs.join(places, pairs["doc"] == places["rep"]).join(classes.select("rep", "keys"), "rep")
-    found = cut(_compared(_with_grams(members.select("doc", "text", "keys", "places"), words), threshold).groupBy("doc", "root").agg(F.sum("n").alias("n")))
+    rows = _compared(_with_grams(members.select("doc", "text", "keys", "places"), words), threshold)
+    if balls is not None:
+        rows = rows.unionByName(balls.select(F.col("rep").alias("doc"), (F.col("n_ball") - 1).alias("n"), "root"))
+    found = cut(rows.groupBy("doc", "root").agg(F.sum("n").alias("n")))
 
     links = found.groupBy(F.col("doc").alias("rep")).agg(F.sum("n").alias("n_links"))
     groups = components(found).select(F.col("doc").alias("rep"), F.col("root").alias("group"))

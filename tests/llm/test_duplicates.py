@@ -63,7 +63,7 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize("block", [256, 16])
+@pytest.mark.parametrize("block", [256, 16, 4])
 def test_links_equal_brute_force(spark, near_copies, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)  # small blocks: buckets are split over tasks
     df = spark.createDataFrame(near_copies, "doc_id bigint, text string")
@@ -71,6 +71,39 @@ def test_links_equal_brute_force(spark, near_copies, monkeypatch, block):
     assert got == want
 
 
+def one_cluster(n, edits, seed=5):
+    """Texts that differ from one base in a few words each."""
+    rng = random.Random(seed)
+    base = [f"b{rng.randrange(10_000)}" for _ in range(150)]
+    rows = []
+    for k in range(n):
+        w = list(base)
+        for _ in range(rng.randrange(1, edits + 1)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10**9)}"
+        rows.append((k, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("edits", [1, 3, 6])
+def test_hot_cluster_equals_brute_force(spark, monkeypatch, edits):
+    """One bucket many times as large as a block, of near copies within and beyond the reach of a pivot."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rows = one_cluster(300, edits) + [(1000 + k, t) for k, t in one_cluster(100, 1, 6)] + [(2000, one_cluster(300, edits)[0][1])]
+    got, want = collected(ngram_join.similar(spark.createDataFrame(rows, "doc_id bigint, text string"), recall=0.999999)), brute_similar(rows)
+    assert got == want and max(n for _, n, _ in want.values()) > 20
+
+
+def test_shuffle_of_a_hot_cluster_grows_with_it(spark, monkeypatch):
+    """20,000 near copies: no more sets go to the comparison than for a cluster of a tenth of them, but for a few each."""
+    shipped = []
+    plain = ngram_join._compared
+    monkeypatch.setattr(ngram_join, "_compared", lambda rows, threshold: shipped.append(rows.count()) or plain(rows, threshold))
+    for n in (2_000, 20_000):
+        got = ngram_join.similar(spark.createDataFrame(one_cluster(n, 1), "doc_id bigint, text string").repartition(4))
+        assert got.filter(f"n_links <> {n - 1} or group_id <> 0").count() == 0
+    assert shipped[1] <= 20 * max(shipped[0], 1_000)
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.bands_and_rows(0.8, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 > 1 - (1 - 0.8**rows) ** (bands - 1)
