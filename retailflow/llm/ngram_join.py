@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, new_path
@@ -37,6 +37,8 @@ RECALL = 0.999
 #: Members of a bucket, and n-grams of them, that one side of a comparison has, about.
 BLOCK = 256
 BLOCK_GRAMS = 500_000
+#: Members of a bucket that its pivot's n-grams are taken from; what is linked does not depend on them.
+PIVOT_SAMPLE = 16
 SEED = 20240229
 
 
@@ -197,35 +199,42 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def _balls(pairs: DataFrame, hot: DataFrame, threshold: float, words: int) -> DataFrame:
-    """rep, ball, n_ball, root for members of hot buckets (rep, bucket) that lie so near to a pivot that they are linked
-    to each other: the ball's pivot, how many members it has, and the least of them.
+    """rep, ball, n_ball, root for members of hot buckets (rep, bucket) that lie so near to one set of n-grams that they
+    are linked to each other: which ball, how many members it has, and the least of them.
 
     A bucket's pivot is its member with the least hash; a member takes the least pivot of its buckets, so that near
-    copies agree on one. Let p be the size of the pivot's set, n of a member's, a the n-grams of the pivot that it lacks.
-    Two members share p - a - a' n-grams at least, so they reach the threshold t if t n + (1 + t) a is at most
-    (1 + t) p / 2 for both. One comparison a member settles what would take one for each pair of them.
+    copies agree on one. The pivot's set are the n-grams that more than half of some members have (PIVOT_SAMPLE of
+    them; any set would do, a central one gives larger balls). Let p be its size, n a member's, a the n-grams of the
+    pivot that it lacks. Two members share p - a - a' n-grams at least, so they reach the threshold t if t n + (1 + t) a
+    is at most (1 + t) p / 2 for both. One comparison a member settles what would take one for each pair of them.
     """
     mine = F.struct(F.xxhash64("rep").alias("h"), "rep")
     pivots = cut(hot.groupBy("bucket").agg(F.min(mine).alias("p")), "pivots")
     of = cut(hot.join(pivots, "bucket").groupBy("rep").agg(F.min("p").alias("p")).select("rep", F.col("p.rep").alias("pivot")), "pivot_of")
-    texts = pairs.select("doc", "text")
-    marks = texts.join(of.select(F.col("pivot").alias("doc")).distinct(), "doc").groupBy(F.col("doc").alias("pivot"))
-    same = F.min(F.xxhash64("text")) == F.max(F.xxhash64("text"))  # rows of one id with other texts are no pivot
-    marks = marks.agg(F.first("text").alias("mark"), same.alias("same")).filter("same").drop("same")
-    rows = of.join(texts.withColumnRenamed("doc", "rep"), "rep").join(marks, "pivot").select("rep", "pivot", "text", "mark")
+    texts = pairs.select(F.col("doc").alias("rep"), "text")
+    place = F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("rep", F.lit(1)), "rep"))
+    some = of.withColumn("place", place).filter(F.col("place") <= PIVOT_SAMPLE).join(texts, "rep")
+    sampled = some.groupBy("pivot").agg(F.slice(F.collect_list("text"), 1, PIVOT_SAMPLE).alias("texts"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own in batch.column(1).to_pylist():
+                grams, counts = np.unique(np.concatenate([ngrams(t, words) for t in own]), return_counts=True)
+                out.append(grams[2 * counts > len(own)].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["pivot", "mark"])
+
+    marks = cut(sampled.mapInArrow(mark, "pivot bigint, mark binary"), "marks")
+    rows = of.join(texts, "rep").join(marks, "pivot").select("rep", "pivot", "text", "mark")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, mark = None, np.empty(0, np.uint64)
         for batch in batches:
-            out: list[tuple[int, int, bool]] = []
+            out: list[bool] = []
             for row in range(batch.num_rows):
-                rep, pivot = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                if pivot != at:
-                    at, mark = pivot, ngrams(batch.column(3)[row].as_py(), words)
-                own = ngrams(batch.column(2)[row].as_py(), words)
+                mark, own = np.frombuffer(batch.column(3)[row].as_py(), np.uint64), ngrams(batch.column(2)[row].as_py(), words)
                 missing = len(mark) - len(np.intersect1d(own, mark, assume_unique=True))
-                out.append((rep, pivot, 2 * (threshold * len(own) + (1 + threshold) * missing) <= (1 + threshold) * len(mark) - 1e-6))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["rep", "ball", "near"])
+                out.append(bool(2 * (threshold * len(own) + (1 + threshold) * missing) <= (1 + threshold) * len(mark) - 1e-6))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.bool_())], names=["rep", "ball", "near"])
 
     inside = cut(rows.mapInArrow(near, "rep bigint, ball bigint, near boolean").groupBy("rep", "ball").agg(F.bool_and("near").alias("near")).filter("near").drop("near"), "inside")
     sizes = cut(inside.groupBy("ball").agg(F.count(F.lit(1)).alias("n_ball"), F.min("rep").alias("root")).filter("n_ball > 1"), "balls")

