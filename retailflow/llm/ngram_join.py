@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, new_path
@@ -241,17 +241,21 @@ def _balls(pairs: DataFrame, hot: DataFrame, threshold: float, words: int) -> Da
     return inside.join(sizes, "ball")
 
 
-def _layout(members: DataFrame, crowded: DataFrame) -> DataFrame:
-    """For each bucket: its groups of blocks. A ball with a block's members or more there has blocks of its own, which
-    are not compared with each other; all other members share the rest. A bucket of one ball is left out."""
-    sizes = members.join(crowded.select("bucket"), "bucket", "left_semi").groupBy("bucket", "ball").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"))
+def _layout(members: DataFrame) -> DataFrame:
+    """For each hot bucket: its groups of blocks. A ball with a block's members or more there has blocks of its own,
+    which are not compared with each other; all other members share the rest. A bucket of one ball is left out."""
+    sizes = members.groupBy("bucket", "ball").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"))
     own = F.when(F.col("m") >= BLOCK, F.col("ball")).alias("g")
     groups = sizes.select("bucket", own, "m", "grams").groupBy("bucket", "g").agg(F.sum("m").alias("m"), F.sum("grams").alias("grams"))
-    k = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
-    listed = groups.select("bucket", F.struct("g", k.alias("k")).alias("group")).groupBy("bucket").agg(F.sort_array(F.collect_list("group")).alias("groups"))
+    listed = groups.select("bucket", F.struct("g", _blocks().alias("k")).alias("group")).groupBy("bucket").agg(F.sort_array(F.collect_list("group")).alias("groups"))
     return listed.filter((F.size("groups") > 1) | F.get("groups", F.lit(0))["g"].isNull())
 
 
+def _blocks() -> Column:
+    """How many blocks m members with so many n-grams take."""
+    return F.ceil(F.greatest(F.col("m") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node of each node's connected component, by alternate large-star and small-star rounds.
 
@@ -287,17 +291,14 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
 
     place = classes.select("rep", "n", F.posexplode("keys").alias("band", "bucket"))
     # tables of their own before they are joined back: only then can Spark split the rows of a hot bucket
-    crowded = cut(place.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams")).filter("m > 1"))
-    hot = crowded.filter((F.col("m") > BLOCK) | (F.col("grams") > BLOCK_GRAMS)).select("bucket")
-    balls = None
-    if hot.isEmpty():
-        k = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
-        place = place.withColumn("ball", F.lit(None).cast("bigint"))
-        layout = crowded.select("bucket", F.array(F.struct(F.lit(None).cast("bigint").alias("g"), k.alias("k"))).alias("groups"))
-    else:
-        balls = cut(_balls(pairs, place.select("rep", "bucket").join(hot, "bucket", "left_semi"), threshold, words))
-        place = place.join(balls.select("rep", "ball"), "rep", "left")
-        layout = cut(_layout(place, crowded))
+    crowded = cut(place.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams")).filter("m > 1"), "crowded")
+    k = _blocks()
+    hot = cut(place.join(crowded.filter(k > 1).select("bucket"), "bucket", "left_semi").select("rep", "n", "bucket"), "hot")
+    balls = cut(_balls(pairs, hot.select("rep", "bucket"), threshold, words), "inside_balls")
+    of_hot = _layout(hot.join(balls.select("rep", "ball"), "rep", "left"))
+    one = F.array(F.struct(F.lit(None).cast("bigint").alias("g"), k.alias("k")))
+    layout = cut(crowded.filter(k == 1).select("bucket", one.alias("groups")).unionByName(of_hot), "layout")
+    place = classes.select("rep", "n", "keys").join(balls.select("rep", "ball"), "rep", "left").select("rep", "ball", F.posexplode("keys").alias("band", "bucket"))
     upto = lambda i: F.aggregate(F.slice("groups", F.lit(1), i), F.lit(0), lambda n, x: n + x["k"])
     layout = layout.select("bucket", F.transform("groups", lambda x, i: F.struct(x["g"].alias("g"), x["k"].alias("k"), upto(i).alias("first"))).alias("groups"), upto(F.size("groups")).alias("all"))
     among = lambda test: F.get(F.filter("groups", test), F.lit(0))
@@ -310,8 +311,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     places = split.groupBy("rep").agg(F.collect_list("place").alias("places"))
     members = pairs.join(places, pairs["doc"] == places["rep"]).join(classes.select("rep", "keys"), "rep")
     rows = _compared(_with_grams(members.select("doc", "text", "keys", "places"), words), threshold)
-    if balls is not None:
-        rows = rows.unionByName(balls.select(F.col("rep").alias("doc"), (F.col("n_ball") - 1).alias("n"), "root"))
+    rows = rows.unionByName(balls.select(F.col("rep").alias("doc"), (F.col("n_ball") - 1).alias("n"), "root"))
     found = cut(rows.groupBy("doc", "root").agg(F.sum("n").alias("n")))
 
     links = found.groupBy(F.col("doc").alias("rep")).agg(F.sum("n").alias("n_links"))
