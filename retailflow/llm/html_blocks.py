@@ -216,7 +216,7 @@ BEFORE = ('<header><h1>{a}</h1></header>', '<div class="header">{a}</div>', '<na
 AFTER = ('<footer>{a}</footer>', '<div id="footer"><p>{a}</p></div>', '<aside class="sidebar"><h2>{b}</h2><p>{c}</p></aside>', '<div class="sidebar">{c}</div>', '<section class="comments"><h2>{b}</h2><p>{d}</p><p>{c}</p></section>', '<div id="comments"><div class="comment"><p>{d}</p></div><div class="comment">{e}</div></div>', '<div class="related"><ul>{menu}</ul></div>', '<div class="advert"><p>{d}</p></div>', '<form class="newsletter">{e}</form>', '<div class="share">{a}</div>', '<div class="promo sponsored">{b}</div>', '<div class="discussion"><p>{d}</p><p>{e}</p></div>', '<section id="responses"><ol><li><p>{d}</p></li><li>{e}</li></ol></section>', '<div class="feedback"><h3>{b}</h3><p>{c}</p></div>')
 WITHIN = ('<aside>{c}</aside>', '<div class="ad">{d}</div>', '<div class="notice">{b}</div>', '<nav><ul>{menu}</ul></nav>', '<form>{e}</form>', '<div class="comments"><p>{d}</p></div>', '<section id="comments"><p>{c}</p></section>', '<div class="share related">{a}</div>', '<div class="discussion"><p>{d}</p></div>')
 
-FORMS = ("<p>{0}</p>",) * 12 + ("<ul><li>{0}</li></ul>", "<ol><li>{0}</li></ol>", "<blockquote>{0}</blockquote>", "<blockquote><p>{0}</p></blockquote>", "<h2>{0}</h2>", "<h3>{0}</h3>", "<h4>{0}</h4>", "<div>{0}</div>", "<table><tr><td>{0}</td></tr></table>", "<table><tr><th>{0}</th></tr></table>", "<section><p>{0}</p></section>", "<pre>{0}</pre>", "<pre><code>{0}</code></pre>", "<figure><img src='x'><figcaption>{0}</figcaption></figure>", "<figure><figcaption>{0}</figcaption></figure>", "<dl><dt>{0}</dt></dl>", "<dl><dd>{0}</dd></dl>", "<details><summary>{0}</summary></details>", "<p>{0} <code>x</code></p>")
+FORMS = ("<p>{0}</p>",) * 12 + ("<ul><li>{0}</li></ul>", "<ol><li>{0}</li></ol>", "<blockquote>{0}</blockquote>", "<blockquote><p>{0}</p></blockquote>", *("<h2>{0}</h2>",) * 3, *("<h3>{0}</h3>",) * 2, "<h4>{0}</h4>", "<div>{0}</div>", "<table><tr><td>{0}</td></tr></table>", "<table><tr><th>{0}</th></tr></table>", "<section><p>{0}</p></section>", "<pre>{0}</pre>", "<pre><code>{0}</code></pre>", "<figure><img src='x'><figcaption>{0}</figcaption></figure>", "<figure><figcaption>{0}</figcaption></figure>", "<dl><dt>{0}</dt></dl>", "<dl><dd>{0}</dd></dl>", "<details><summary>{0}</summary></details>", "<p>{0} <code>x</code></p>")
 
 
 def laid_out(main: list[Block], other: list[str], rng: np.random.Generator) -> tuple[list[Block], list[float]]:
@@ -352,19 +352,21 @@ def padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def fit(pages: DataFrame, settings: Settings = Settings(), page_id: str = "page_id", content: str = "html") -> Labeller | None:
     """A labeller trained on a bounded sample of pages; None if they have no marks to learn from.
 
-    The sample are the `pages` rows with the least hash: no more reach the driver, also if ids are equal or null.
+    The sample are the `pages` rows with the least hash of id and content, also if ids are equal or null.
     """
     usable = pages.filter(F.col(content).isNotNull() & (F.length(content) <= settings.most_chars))
-    hashed = usable.select(F.xxhash64(page_id).alias("h"), F.xxhash64(content).alias("k"), F.col(content).alias("t"))
+    # about twice as many rows have a hash below the bound, whatever the number of tasks; the limit makes it exact
+    share = min(1.0, 2 * settings.pages / max(usable.count(), 1))
+    hashed = usable.select(F.pmod(F.xxhash64(page_id, content), F.lit(1 << 31)).alias("h"), F.col(content).alias("t")).filter(F.col("h") <= int(share * (1 << 31)))
     rng, sequences = np.random.default_rng(settings.seed), []
-    for r in hashed.orderBy("h", "k").limit(settings.pages).collect():
+    for r in hashed.orderBy("h").limit(settings.pages).collect():
         found = blocks(r.t)
         labels = [own_label(b) for b in found]
         main = [b for b, y in zip(found, labels, strict=True) if y]
         if not main:
             continue
         sequences.append((vectors(found), np.array(labels, np.float32)))
-        for _ in range(4):
+        for _ in range(5):
             again, y = laid_out(main, [b.text for b, y in zip(found, labels, strict=True) if not y], rng)
             sequences.append((vectors(again), np.array(y, np.float32)))
     if not sequences:

@@ -40,7 +40,7 @@ class LibraryCodec:
     other. Chunks of Latin letters and marks go straight to the library's model, all others through all its steps.
     """
 
-    def __init__(self, path: str, keep_bytes: int = 48 << 20) -> None:
+    def __init__(self, path: str, keep_bytes: int = 96 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -138,7 +138,6 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> Da
                 binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), end - start, [None, pa.py_buffer(ends * narrow.itemsize), pa.py_buffer(narrow)]).cast(pa.binary())
                 own_ids = [batch.column(k).slice(start, end - start) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*own_ids, binary, pa.nulls(end - start, pa.binary())], names=names)
-        own.forget()
         yield pa.RecordBatch.from_pylist([{"counts": counts.tobytes()}], pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())]))
 
     return docs.mapInArrow(run, "doc_id bigint, tie bigint, ids binary, counts binary")
