@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,23 @@ BLOCK = 1 << 18
 LAYOUT = "part int, block int, before bigint, doc_ids array<bigint>, lengths array<bigint>, control binary, data binary"
 
 
+class _Chunks(dict):
+    """Ids of the first chunks that are met, up to so many bytes of them; others are encoded anew each time."""
+
+    def __init__(self, encode: Callable[[str], bytes], keep_bytes: int) -> None:
+        self.encode, self.left = encode, keep_bytes
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.encode(chunk)
+        if self.left > 0 and len(chunk) <= LONG_CHUNK:
+            self.left -= 160 + len(chunk) + len(found)
+            self[chunk] = found
+        return found
+
+
 class LibraryCodec:
     """The tokenizers library's ids of whole texts, each distinct chunk between white space encoded once for some
-    megabytes of text. Short pieces of chunks are remembered, up to `keep_bytes` of them.
+    megabytes of text. Short chunks, and pieces of others, are remembered, up to `keep_bytes` of each.
 
     No piece of this tokenizer reaches over white space, so a text's ids are those of its chunks, one after the
     other. Chunks of Latin letters and marks go straight to the library's model, all others through all its steps.
@@ -52,6 +66,7 @@ class LibraryCodec:
         self.letters = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(256)}
         self.keep_bytes, self.held = keep_bytes, 0
         self.pieces: dict[str, bytes] = {}
+        self.chunks = _Chunks(self._chunk, keep_bytes)
 
     def forget(self) -> None:
         self.pieces, self.held = {}, 0
@@ -59,10 +74,10 @@ class LibraryCodec:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's ids begin and the last one's end."""
         if len(texts) == 1 and len(texts[0].as_buffer()) > SLICES:
-            found = [by_distinct_chunk(pa.array([part], pa.string()), self._chunk, IDS)[0] for part in parts_of(texts[0].as_py())]
+            found = [by_distinct_chunk(pa.array([part], pa.string()), self.chunks.__getitem__, IDS)[0] for part in parts_of(texts[0].as_py())]
             ids = np.concatenate(found)
             return ids, np.array([0, len(ids)])
-        return by_distinct_chunk(texts, self._chunk, IDS)
+        return by_distinct_chunk(texts, self.chunks.__getitem__, IDS)
 
     def _chunk(self, chunk: str) -> bytes:
         m = _SIMPLE.fullmatch(chunk) if len(chunk) <= LONG_CHUNK else None
@@ -129,7 +144,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> Da
         own, counts = codec(tokenizer), np.zeros(vocabulary, np.int64)
         for batch in batches:
             texts = pc.fill_null(batch.column(2), "")
-            for start, end in rows_at_once(texts, 1 << 20):
+            for start, end in rows_at_once(texts, 1 << 22):
                 ids, ends = own.ids(texts.slice(start, end - start))
                 ids = np.insert(ids, ends[1:], end_id)
                 ends = ends + np.arange(len(ends))
