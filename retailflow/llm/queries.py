@@ -255,6 +255,115 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _op11_sql() -> str:
+    """The least (cost, audit) of each state of the grammar, turn by turn; each is kept as one text that sorts by cost."""
+    add = lambda x, k, letter: f"CASE WHEN {x} IS NOT NULL THEN lpad(CAST(CAST(left({x}, 9) AS BIGINT) + {k} AS VARCHAR), 9, '0') || substr({x}, 10) || '{letter}' END"
+    stay = lambda x: add(x, 2, "D")
+    go = lambda sources, initial: f"CASE WHEN must THEN NULL ELSE least({', '.join(f'''CASE WHEN i = '{initial}' THEN {add(x, 'extra', 'K')} ELSE {add(x, '1 + extra', 'R')} END''' for x in sources)}) END"
+    return rf"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (
+  SELECT k, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM (SELECT DISTINCT k FROM src), tab),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM src JOIN kinds USING (k), range(2) AS r(again) WHERE kind <> 0 AND (again = 0 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER w AS n, lag(left(role, 1)) OVER w AS before
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+faults AS (
+  SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM placed),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, '000000000' AS st, CAST(NULL AS VARCHAR) AS s, '000000005I' AS u, '000000010II' AS a FROM (SELECT DISTINCT conv_id FROM faults)
+  UNION ALL
+  SELECT conv_id, n, st, s, least(u, {add('least(st, s, a)', 5, 'I')}) AS u, least(a, {add('u', 5, 'I')}, {add('least(st, s, a)', 10, 'II')}) AS a
+  FROM (SELECT w.conv_id, f.n, {stay('w.st')} AS st, least({stay('w.s')}, CASE WHEN i = 's' AND NOT must THEN {add('w.st', 'extra', 'K')} END) AS s,
+      least({stay('w.u')}, {go(('w.st', 'w.s', 'w.a'), 'u')}) AS u, least({stay('w.a')}, {go(('w.u',), 'a')}) AS a
+    FROM walk w JOIN (SELECT *, fault IN ('b', 'd') AS must, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS extra FROM faults) f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1)),
+sums AS (
+  SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id),
+least_cost AS (
+  SELECT w.conv_id, CAST(left(least(st, a), 9) AS BIGINT) AS cost, substr(least(st, a), 10) AS audit FROM walk w JOIN sums s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.n),
+letters AS (
+  SELECT conv_id, k, audit[k] AS letter, length(replace(left(audit, k), 'I', '')) AS n FROM least_cost, unnest(range(1, length(audit) + 1)) AS r(k)),
+kept AS (
+  SELECT l.conv_id, k, letter, CASE WHEN letter = 'K' THEN role END AS role, CASE WHEN letter = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY l.conv_id ORDER BY k) AS place
+  FROM letters l JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.n = greatest(l.n, 1) WHERE letter <> 'D'),
+systems AS (
+  SELECT conv_id, count(*) FILTER (place = 1 AND left(role, 1) = 's') AS has_s FROM kept GROUP BY conv_id),
+hashed AS (
+  SELECT k.conv_id, sha256(string_agg(coalesce(role, CASE WHEN (place - has_s) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY k)) AS repaired_sha256
+  FROM kept k JOIN systems s ON s.conv_id IS NOT DISTINCT FROM k.conv_id GROUP BY k.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN least_cost c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .turn_repair import repair
+
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe_tree import encode_documents
+
+    ranks = str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+firsts AS (
+  SELECT t, min(doc_id) AS lo FROM d GROUP BY t),
+said AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 2 * length(d.t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN d.doc_id > lo THEN 16 ELSE 0 END AS mask
+  FROM d JOIN firsts USING (t) LEFT JOIN said USING (doc_id)),
+letters(letter, bit) AS (
+  VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+walk AS (
+  SELECT '' AS filter_order, 0 AS applied UNION ALL SELECT filter_order || letter, applied + bit FROM walk, letters WHERE applied & bit = 0),
+steps AS (
+  SELECT filter_order, CAST(k AS INTEGER) AS step, bit, (SELECT coalesce(sum(b.bit), 0) FROM letters b WHERE contains(left(filter_order, k - 1), b.letter)) AS before
+  FROM (SELECT filter_order FROM walk WHERE length(filter_order) = 5), range(1, 6) AS r(k), letters WHERE letter = filter_order[k]),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    count(*) FILTER (mask & (CAST(before AS INTEGER) | bit) = 0) AS kept, count(*) FILTER (mask & CAST(before AS INTEGER) = 0 AND mask & bit <> 0) AS removed,
+    count(*) FILTER (mask & CAST(before AS INTEGER) <> 0 AND mask & bit <> 0) AS redundant, count(*) FILTER (mask = bit) AS unique_fails,
+    count(*) FILTER (good = 1 AND mask & CAST(before AS INTEGER) = 0 AND mask & bit <> 0) AS good_lost,
+    count(*) FILTER (toxic = 1 AND mask & CAST(before AS INTEGER) = 0 AND mask & bit <> 0) AS toxic_lost
+  FROM m, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM counted
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit_documents
+
+    return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_preferences": op2_preferences,
@@ -266,6 +375,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_decontaminate": op10_decontaminate,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_bpe_tree": op12_bpe_tree,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 SQL: dict[str, str] = {
@@ -274,4 +386,6 @@ SQL: dict[str, str] = {
     "op2_preferences": OP2_SQL,
     "op7_url_filter": OP7_SQL,
     "op8_quality_rules": _op8_sql(),
+    "op11_turn_repair": _op11_sql(),
+    "op13_filter_audit": OP13_SQL,
 }
