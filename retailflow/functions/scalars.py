@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote_to_bytes
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -107,42 +104,35 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), "[|\\x05]", "")
 
 
-def _unescape(text: str) -> str:
-    out, at = [], 0
-    while (cut := text.find("%", at)) >= 0:
-        out.append(text[at:cut])
-        size = 4 if text[cut + 1 : cut + 2] == "u" else 2
-        first = cut + 1 + (size == 4)
-        digits = text[first : first + size]
-        try:
-            out.append(chr(int(digits, 16)) if len(digits) == size else "?")
-        except ValueError:
-            out.append("?")
-        at = first + size
-    out.append(text[at:])
-    return "".join(out).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+def _percent_decoded(text: Column, charset: str) -> Column:
+    """Percent-decoded by the JVM's own decoder, '+' as a blank; null where it refuses."""
+    return F.call_function("try_reflect", F.lit("java.net.URLDecoder"), F.lit("decode"), text, F.lit(charset))
 
 
-def _unescape_all(text: pd.Series) -> pd.Series:
-    return text.map(_unescape, na_action="ignore")
+def _from_hex(digits: Column, charset: str) -> Column:
+    return _percent_decoded(F.regexp_replace(digits, "(..)", "%$1"), charset)
 
 
 def unescape(text: Column) -> Column:
-    """%XX and %uXXXX as characters; '?' for bad digits. No built-in function reads %uXXXX."""
-    return F.pandas_udf(_unescape_all, "string")(text)
+    """%XX and %uXXXX as characters; '?' for bad or missing digits. Pairs of surrogates are one character."""
+    tokens = F.regexp_extract_all(text, F.lit("(?s)%u.{0,4}|%(?!u).{0,2}|[^%]+"), F.lit(0))
 
+    def utf16(t: Column) -> Column:
+        long = F.when(t.rlike("^%u[0-9A-Fa-f]{4}$"), F.substring(t, 3, 4))
+        short = F.when(t.rlike("^%[0-9A-Fa-f]{2}$"), F.concat(F.lit("00"), F.substring(t, 2, 2)))
+        return F.when(F.startswith(t, F.lit("%")), F.coalesce(long, short, F.lit("003F"))).otherwise(F.hex(F.encode(t, "UTF-16BE")))
 
-def _gbk(text: str) -> str:
-    try:
-        return unquote_to_bytes(text.replace("+", " ")).decode("gbk") or text
-    except (UnicodeDecodeError, ValueError):
-        return text
+    decoded = _from_hex(F.array_join(F.transform(tokens, utf16), ""), "UTF-16BE")
+    return F.when(F.contains(text, F.lit("%")), decoded).otherwise(text)
 
 
-def _gbk_all(text: pd.Series) -> pd.Series:
-    return text.map(_gbk, na_action="ignore")
+def url_decode_gbk(text: Column) -> Column:
+    """Percent-decoded as GBK; the text itself where its bytes are no GBK or nothing is left. A '%' without two digits stays."""
+    decoded = _percent_decoded(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"), "GBK")
+    good = decoded.isNotNull() & (decoded != "") & ~F.contains(decoded, F.lit("\ufffd"))
+    return F.when(text.rlike("[%+]"), F.when(good, decoded).otherwise(text)).otherwise(text)
 
 
-def url_decode_gbk(text: Column) -> Column:
-    """Percent-decoded as GBK; the text itself where that fails. The built-in url_decode reads UTF-8 alone."""
-    return F.pandas_udf(_gbk_all, "string")(text)
+def gbk_of_base64(text: Column) -> Column:
+    """The GBK text that base64 stands for; null where it is none."""
+    return _from_hex(F.hex(F.try_to_binary(text, F.lit("base64"))), "GBK")

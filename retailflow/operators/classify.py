@@ -1,32 +1,37 @@
-"""Page types and traffic sources by ordered rule tables.
+"""Page types and traffic sources by ordered rule tables, in the JVM.
 
-A rule table is data. Only distinct URLs (or URL, referrer and shop) are classified, in Arrow batches with patterns
-compiled once a worker, and joined back, so that a page seen a million times runs the rules once.
+A rule table is data. Of the rules that a URL (or URL, referrer and shop) matches, the first in the table's order decides;
+`rules.py` fetches the few that can match by host and token. In batches only distinct rows are classified and joined back,
+so that a page seen a million times runs its rules once; streams classify each row.
 """
 
 from __future__ import annotations
 
-import base64
-import binascii
-import re
-from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import unquote_to_bytes
+from typing import ClassVar
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Page types, keyword types and source groups.
-UNKNOWN, SEARCH, CATEGORY, ALL_ITEMS, ITEM, HOME, LABEL, OTHER_PAGE = "0", "1", "2", "3", "4", "5", "6", "7"
-NO_KEY, SITE_KEY, AD_KEY, SHOP_KEY, ENGINE_KEY = "0", "1", "2", "3", "4"
+from ..functions.scalars import gbk_of_base64, url_decode_gbk
+from . import rules as engine
+
+# Page types, keyword types, source groups and sources.
+UNKNOWN, SEARCH, CATEGORY, ALL_ITEMS, ITEM, LABEL, COMMUNITY, HOME = "0", "1", "2", "3", "4", "5", "6", "7"
+OTHER_PAGE = HOME  # an earlier name
+NO_KEY, SITE_KEY, AD_KEY, SHOP_KEY, ENGINE_KEY, AFFILIATE_KEY, MALL_KEY = "0", "1", "2", "3", "4", "5", "6"
 DIRECT_GROUP, AD_GROUP, SELF_GROUP, SITE_GROUP, SOCIAL_GROUP, PARTNER_GROUP, ENGINE_GROUP, OTHER_GROUP = "6", "8", "1", "19", "112", "104", "61", "60"
 OWN_SHOP, UNKNOWN_SOURCE = "59", "74"
+#: What an advert's empty keyword stands for, by the kind of advert.
+EMPTY_AD_KEYS = {"6": "类目搜索", "7": "定向推广"}
+#: Where an affiliate's link does not tell what page it was on.
+NO_AFFILIATE_PAGE = "other"
 
 
 @dataclass(frozen=True)
 class PageRule:
-    """Positions are groups of the pattern; 0 for none."""
+    """Positions are groups of the pattern; 0 for none. host: the pattern holds only there and on subdomains; token: a word
+    that every URL that the pattern matches has between marks. Both only save work."""
 
     name: str
     pattern: str
@@ -38,144 +43,156 @@ class PageRule:
     key_name: str = ""
     title_name: str = ""
     unless: str = ""
+    host: str = ""
+    token: str = ""
+
+    PATTERNS: ClassVar = ("pattern", "unless")
+    POSITIONS: ClassVar = {"key": "pattern", "title": "pattern", "low_price": "pattern", "high_price": "pattern"}
 
 
 @dataclass(frozen=True)
 class SourceRule:
     """use: what the pattern is held against: 'url', 'before' (referrer before its '?') or 'full' (whole referrer).
-    An empty pattern matches an empty referrer alone."""
+    An empty pattern matches an empty referrer alone. host and token are those of that text."""
 
     name: str
     pattern: str
     src_id: str
     group: str
     use: str = "before"
-    key: str = ""
+    key: str = ""  # found in the decoded URL for adverts, else in the referrer
     key_group: int = 1
+    kind_group: int = 0  # tells what an empty keyword of an advert stands for
     key_type: str = NO_KEY
     keep_referrer: bool = False
     shop: str = ""  # finds a shop id in the referrer; the own shop makes it source 59
+    via: str = ""  # finds, in an affiliate's link, the escaped URL that holds the page it was on
+    page: str = ""  # finds that page in it
+    host: str = ""
+    token: str = ""
 
-
-def decoded(text: str) -> str:
-    """Percent-decoded as GBK, or the text itself."""
-    try:
-        return unquote_to_bytes(text.replace("+", " ")).decode("gbk") or text
-    except (UnicodeDecodeError, ValueError):
-        return text
-
-
-def _group(m: re.Match, k: int) -> str:
-    return (m[k] or "") if k else ""
-
-
-def _plain(text: str) -> str:
-    return re.sub(r"\|+", "", re.sub(r"\s+", " ", text))
-
-
-def _category_title(raw: str) -> str:
-    title = decoded(raw)
-    if re.fullmatch(r"[a-zA-Z0-9/+=]+", title):
-        try:
-            return base64.b64decode(title).decode("gbk", "replace")
-        except (binascii.Error, ValueError):
-            return title
-    return title
-
-
-def page_info(url: str, title: str, rules: list[tuple[PageRule, re.Pattern, re.Pattern | None]], item_suffix: str) -> tuple[str, str, str, str, str, str]:
-    """page_type, key_info, title_info, key, key_type and the rule's name."""
-    text = url.replace("=null", "=").replace(" ", "")
-    name = title.split("-", 1)[0]
-    for rule, pattern, unless in rules:
-        m = pattern.search(text)
-        if not m or (unless and unless.search(text)):
-            continue
-        key_info, title_info, key, key_type = rule.key_name, rule.title_name or name, "", NO_KEY
-        if rule.page_type == CATEGORY:
-            key_info = _group(m, rule.key) or key_info
-            title_info = _plain(_category_title(_group(m, rule.title))) or title_info if rule.title else title_info
-        elif rule.page_type == ITEM:
-            key_info = _group(m, rule.key) or key_info
-            title_info = (title.removesuffix(item_suffix) if item_suffix else title) or title_info
-        elif rule.page_type == SEARCH:
-            word = _plain(decoded(_group(m, rule.key).strip()))
-            low, high = _group(m, rule.low_price).strip(), _group(m, rule.high_price).strip()
-            price = _plain((low + "~" if rule.low_price else "~" if rule.high_price else "") + high)
-            if (word or price) and "%" not in word + price:
-                key, key_type = re.sub(r"\s+", " ", f"{word}||{price}").replace("\x05", ""), SHOP_KEY
-            if not key:
-                continue
-        return rule.page_type, key_info, title_info, key, key_type, rule.name
-    return UNKNOWN, "", name, "", NO_KEY, ""
-
-
-def source_info(url: str, ref: str, shop: str, rules: list[tuple[SourceRule, re.Pattern, re.Pattern | None, re.Pattern | None]]) -> tuple[str, str, str, str, str]:
-    """src_id, ref_url, key, key_type and the rule's name."""
-    for rule, pattern, key_pattern, shop_pattern in rules:
-        if not rule.pattern:
-            if ref == "":
-                return rule.src_id, "", "", NO_KEY, rule.name
-            continue
-        against = url if rule.use == "url" else ref if rule.use == "full" else ref.split("?", 1)[0]
-        if not pattern.search(against):
-            continue
-        src_id, key, key_type = rule.src_id, "", NO_KEY
-        m = key_pattern.search(decoded(url) if rule.group == AD_GROUP else ref) if key_pattern else None
-        if m:
-            key = decoded(_group(m, rule.key_group))
-            key_type = rule.key_type if re.sub(r"\s+", " ", key).replace("\x05", "") else NO_KEY
-        if shop_pattern and (m := shop_pattern.search(decoded(against))) and m[1] == shop:
-            src_id = OWN_SHOP
-        return src_id, ref if rule.keep_referrer else "", key, key_type, rule.name
-    return UNKNOWN_SOURCE, "", "", NO_KEY, ""
+    PATTERNS: ClassVar = ("pattern", "key", "shop", "via", "page")
+    POSITIONS: ClassVar = {"key_group": "key", "kind_group": "key"}
 
 
 PAGE_FIELDS = ("page_type", "key_info", "title_info", "key", "key_type", "page_rule")
 SOURCE_FIELDS = ("src_id", "ref_url", "src_key", "src_key_type", "source_rule")
 
 
-def _compiled(pattern: str) -> re.Pattern | None:
-    return re.compile(pattern, re.I) if pattern else None
-
-
-def page_classify(df: DataFrame, rules: list[PageRule], url: str = "url", title: str = "title", item_suffix: str = "") -> DataFrame:
+def _plain(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, r"\s+", " "), r"\|+", "")
+
+
+def _search_key(text: Column, r: Column) -> Column:
+    """'word||low~high' of an in-shop search; '' without both, or where an escape is left."""
+    low, high = (F.trim(engine.group(text, r["pattern"], r[c])) for c in ("low_price", "high_price"))
+    price = _plain(F.concat(F.when(r["low_price"] > 0, F.concat(low, F.lit("~"))).when(r["high_price"] > 0, F.lit("~")).otherwise(""), high))
+    word = _plain(url_decode_gbk(F.trim(engine.group(text, r["pattern"], r["key"]))))
+    good = (F.concat(word, price) != "") & ~F.contains(F.concat(word, price), F.lit("%"))
+    return F.when(good, F.regexp_replace(F.regexp_replace(F.concat(word, F.lit("||"), price), r"\s+", " "), "\\x05", "")).otherwise("")
+
+
+def _category_title(raw: Column) -> Column:
+    title = url_decode_gbk(raw)
+    return F.when(title.rlike("^[a-zA-Z0-9/+=]+$"), F.coalesce(gbk_of_base64(title), title)).otherwise(title)
+
+
+def _first_match(df: DataFrame, matching, usable=lambda r: F.lit(True)) -> DataFrame:
+    """df with `hit`: of its candidates that match and can be used the one of least number, or null."""
+    good = F.filter(F.filter("candidates", matching), usable)
+    return df.withColumn("hit", F.array_min(good)).drop("candidates")
+
+
+def _page_info(df: DataFrame, rules: list[PageRule], item_suffix: str, literal_rules: int | None) -> DataFrame:
+    """PAGE_FIELDS for k1 (url) and k2 (title)."""
+    text, title = F.col("__text"), F.coalesce("k2", F.lit(""))
+    read = df.withColumn("__text", F.replace(F.replace(F.coalesce("k1", F.lit("")), F.lit("=null"), F.lit("=")), F.lit(" "), F.lit("")))
+    filed = [engine.filed_under(r.host, r.token) for r in rules]
+    found = engine.with_candidates(read, engine.lookup_keys(text), rules, filed, literal_rules)
+    matching = lambda r: engine.matches(text, r["pattern"]) & ((r["unless"] == "") | ~engine.matches(text, r["unless"]))
+    found = _first_match(found, matching, lambda r: (r["page_type"] != SEARCH) | (_search_key(text, r) != ""))
+    hit, name = F.col("hit"), F.substring_index(title, "-", 1)
+    part = lambda c: engine.group(text, hit["pattern"], hit[c])
+    named = F.when(hit["title_name"] != "", hit["title_name"]).otherwise(name)
+    own_title = F.regexp_replace(title, F.lit("\\Q" + item_suffix + "\\E$"), F.lit("")) if item_suffix else title
+    first_of = lambda a, b: F.when(a != "", a).otherwise(b)
+    is_a = lambda kind: hit["page_type"] == kind
+    columns = {
+        "page_type": F.coalesce(hit["page_type"], F.lit(UNKNOWN)),
+        "key_info": F.when(hit.isNull(), "").when(is_a(CATEGORY) | is_a(ITEM), first_of(part("key"), hit["key_name"])).otherwise(hit["key_name"]),
+        "title_info": F.when(hit.isNull(), name).when(is_a(CATEGORY) & (hit["title"] > 0), first_of(_plain(_category_title(part("title"))), named)).when(is_a(ITEM), first_of(own_title, named)).otherwise(named),
+        "key": F.when(is_a(SEARCH), _search_key(text, hit)).otherwise(""),
+        "key_type": F.when(is_a(SEARCH), SHOP_KEY).otherwise(NO_KEY),
+        "page_rule": F.coalesce(hit["name"], F.lit("")),
+    }
+    return found.withColumns(columns).drop("hit", "__text")
+
+
+def _source_info(df: DataFrame, rules: list[SourceRule], literal_rules: int | None) -> DataFrame:
+    """SOURCE_FIELDS for k1 (url), k2 (referrer) and k3 (shop)."""
+    url, ref = F.coalesce("k1", F.lit("")), F.coalesce("k2", F.lit(""))
+    before = F.substring_index(ref, "?", 1)
+    # a rule about the referrer before its '?' is filed under tokens of the whole one, of which that is a part
+    filed = [engine.filed_under(r.host, r.token, "u" if r.use == "url" else "r") for r in rules]
+    found = engine.with_candidates(df, F.concat(engine.lookup_keys(url, "u"), engine.lookup_keys(ref, "r")), rules, filed, literal_rules)
+    against = lambda r: F.when(r["use"] == "url", url).when(r["use"] == "full", ref).otherwise(before)
+    found = _first_match(found, lambda r: F.when(r["pattern"] == "", ref == "").otherwise(engine.matches(against(r), r["pattern"])))
+    hit = F.col("hit")
+    searched = F.when(hit["group"] == AD_GROUP, url_decode_gbk(url)).otherwise(ref)
+    has_key = (hit["key"] != "") & engine.matches(searched, hit["key"])
+    word = F.when(has_key, url_decode_gbk(engine.group(searched, hit["key"], hit["key_group"]))).otherwise("")
+    kind = F.when(has_key, engine.group(searched, hit["key"], hit["kind_group"])).otherwise("")
+    for k, meaning in EMPTY_AD_KEYS.items():
+        word = F.when((hit["group"] == AD_GROUP) & (word == "") & (kind == k), meaning).otherwise(word)
+    shop = F.when(hit["shop"] != "", engine.group(url_decode_gbk(against(hit)), hit["shop"], F.lit(1))).otherwise("")
+    own = (hit["shop"] != "") & engine.matches(url_decode_gbk(against(hit)), hit["shop"]) & (shop == F.coalesce("k3", F.lit("")))
+    link = url_decode_gbk(engine.group(ref, hit["via"], F.lit(1)))
+    page = url_decode_gbk(engine.group(link, hit["page"], F.lit(1)))
+    whole = lambda c: F.regexp_like(c, F.lit(r"(?i)^https?://.+"))
+    affiliate = F.when(engine.matches(ref, hit["via"]), F.when(whole(page), page).otherwise(NO_AFFILIATE_PAGE)).otherwise(F.when(whole(ref), ref).otherwise(NO_AFFILIATE_PAGE))
+    found = found.withColumns(
+        {
+            "src_id": F.when(hit.isNull(), UNKNOWN_SOURCE).when(own, OWN_SHOP).otherwise(hit["src_id"]),
+            "ref_url": F.when(hit["pattern"] == "", "").when(hit["via"] != "", affiliate).when(hit["keep_referrer"], ref).otherwise(""),
+            "src_key": F.coalesce(word, F.lit("")),
+            "source_rule": F.coalesce(hit["name"], F.lit("")),
+        }
+    )
+    bare = F.regexp_replace(F.regexp_replace("src_key", r"\s+", " "), "\\x05", "")
+    return found.withColumn("src_key_type", F.when(bare != "", F.coalesce(hit["key_type"], F.lit(NO_KEY))).otherwise(NO_KEY)).drop("hit")
+
+
+def page_classify(df: DataFrame, rules: list[PageRule], url: str = "url", title: str = "title", item_suffix: str = "", literal_rules: int | None = None) -> DataFrame:
     """df with PAGE_FIELDS of each row's url and title; nulls count as empty."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = [(r, re.compile(r.pattern, re.I), _compiled(r.unless)) for r in rules]
-        for b in batches:
-            found = [page_info(u or "", t or "", own, item_suffix) for u, t in zip(b["k1"], b["k2"], strict=True)]
-            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(found, columns=PAGE_FIELDS, dtype=object)], axis=1)
-
-    return _by_distinct(df, [url, title], run, PAGE_FIELDS)
+    engine.checked(rules)
+    return _by_distinct(df, [url, title], lambda keys: _page_info(keys, rules, item_suffix, literal_rules), PAGE_FIELDS)
 
 
-def referrer_classify(df: DataFrame, rules: list[SourceRule], url: str = "url", ref: str = "refer_url", shop: str = "shop_id") -> DataFrame:
+def referrer_classify(df: DataFrame, rules: list[SourceRule], url: str = "url", ref: str = "refer_url", shop: str = "shop_id", literal_rules: int | None = None) -> DataFrame:
     """df with SOURCE_FIELDS of each row's url, referrer and shop; nulls count as empty."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = [(r, re.compile(r.pattern, re.I), _compiled(r.key), _compiled(r.shop)) for r in rules]
-        for b in batches:
-            found = [source_info(u or "", f or "", s or "", own) for u, f, s in zip(b["k1"], b["k2"], b["k3"], strict=True)]
-            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(found, columns=SOURCE_FIELDS, dtype=object)], axis=1)
-
-    return _by_distinct(df, [url, ref, shop], run, SOURCE_FIELDS)
+    engine.checked(rules)
+    return _by_distinct(df, [url, ref, shop], lambda keys: _source_info(keys, rules, literal_rules), SOURCE_FIELDS)
 
 
 def _by_distinct(df: DataFrame, columns: list[str], run, fields: tuple[str, ...]) -> DataFrame:
     names = [f"k{i}" for i in range(1, len(columns) + 1)]
-    keys = df.select(*[F.col(c).cast("string").alias(n) for c, n in zip(columns, names, strict=True)]).distinct()
-    schema = ", ".join(f"{n} string" for n in (*names, *fields))
+    own = df.drop(*fields)
+    keyed = [F.col(c).cast("string").alias(n) for c, n in zip(columns, names, strict=True)]
     if df.isStreaming:  # no join back in a stream: classify each row
-        whole = df.select("*", *[F.col(c).cast("string").alias(n) for c, n in zip(columns, names, strict=True)])
-        rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        return whole.mapInPandas(run, f"{rest}, {schema}").drop(*names)
-    found = keys.mapInPandas(run, schema)
+        whole = run(own.select(F.struct("*").alias("__row"), *keyed))
+        return whole.select("__row.*", *fields)
+    found = run(df.select(*keyed).distinct()).select(*names, *fields)
     on = F.lit(True)
     for c, n in zip(columns, names, strict=True):
         on = on & F.col(c).cast("string").eqNullSafe(F.col(n))
-    return df.drop(*fields).join(found, on, "left").drop(*names)
+    return own.join(found, on, "left").drop(*names)
+
+
+def rule_hits(df: DataFrame, rules: list, column: str) -> DataFrame:
+    """Rows that each rule has decided, 0 for rules without any, and, as rule '', those that none has."""
+    counted = df.groupBy(F.col(column).alias("rule")).agg(F.count(F.lit(1)).alias("hits"))
+    named = df.sparkSession.createDataFrame([(r.name,) for r in rules] + [("",)], "rule string")
+    return named.join(counted, "rule", "left").select("rule", F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"))
 
 
 def keyword_precedence(df: DataFrame, search_type: str = SEARCH, shop: str = "shop_id", title: str = "title") -> DataFrame:
@@ -190,29 +207,17 @@ def keyword_precedence(df: DataFrame, search_type: str = SEARCH, shop: str = "sh
     return df.withColumns({"keyword": pick("key", "src_key"), "keyword_type": pick("key_type", "src_key_type")})
 
 
+def _read(spark: SparkSession, path: str, kind: type) -> list:
+    rows = [{k: v for k, v in r.asDict().items() if k != "no" and v is not None} for r in spark.read.json(path).orderBy("no").collect()]
+    rules = [kind(**{k: int(v) if isinstance(v, int) and not isinstance(v, bool) else v for k, v in row.items()}) for row in rows]
+    engine.checked(rules)
+    return rules
+
+
 def read_page_rules(spark: SparkSession, path: str) -> list[PageRule]:
     """A rule table from JSON lines with the fields of PageRule, in the order of `no`."""
-    return [PageRule(**{k: v for k, v in r.asDict().items() if k != "no" and v is not None}) for r in spark.read.json(path).orderBy("no").collect()]
+    return _read(spark, path, PageRule)
 
 
 def read_source_rules(spark: SparkSession, path: str) -> list[SourceRule]:
-    return [SourceRule(**{k: v for k, v in r.asDict().items() if k != "no" and v is not None}) for r in spark.read.json(path).orderBy("no").collect()]
-
-
-#: A small table for the hosts of the sample pages.
-SAMPLE_PAGES = [
-    PageRule("search", r"^https?://[^/]+/search\?(?:.*&)?q=([^&#]*)(?:&low=(\d*))?(?:&high=(\d*))?", SEARCH, key=1, low_price=2, high_price=3, key_name="shop_search", title_name="search"),
-    PageRule("paged", r"^https?://[^/]+/(\w{2})/(\d+)\?page=(\d+)", CATEGORY, key=2, unless=r"//m\."),
-    PageRule("item", r"^https?://[^/]+/\w{2}/(\d+)\.html", ITEM, key=1),
-    PageRule("list", r"^https?://[^/]+/(\w{2})/(\d+)/$", ALL_ITEMS, key_name="all_items"),
-    PageRule("label", r"#top$", LABEL, key_name="label"),
-    PageRule("home", r"^https?://[^/]+/?$", HOME, key_name="home"),
-]
-SAMPLE_SOURCES = [
-    SourceRule("direct", "", "6", DIRECT_GROUP),
-    SourceRule("feed", r"[?&]utm_source=feed", "11", AD_GROUP, use="url", key=r"/(\d+)\?", key_type=AD_KEY),
-    SourceRule("shop", r"^https?://(?:www|m)\.", "30", SITE_GROUP, use="full", shop=r"/(\d+)(?:[/?#.]|$)", keep_referrer=True),
-    SourceRule("blog", r"^https?://blog\.", "113", SOCIAL_GROUP, keep_referrer=True),
-    SourceRule("engine", r"example\.org", "62", ENGINE_GROUP, use="full", key=r"[?&]page=(\d+)", key_type=ENGINE_KEY),
-    SourceRule("partner", r"example\.net", "105", PARTNER_GROUP),
-]
+    return _read(spark, path, SourceRule)

@@ -15,6 +15,7 @@ from ..operators import classify, enrich, kpi, orders, sinks, stats, visitors
 from ..sources import dimensions, logs
 from ..streaming import queries as streams
 from . import adapters as a
+from . import rule_tables as t
 from . import sql as s
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -458,12 +459,12 @@ def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
     r AS (SELECT *, CASE WHEN regexp_matches(url, '(?i)^https?://[^/]+/(\\w{2})/(\\d+)\\?page=(\\d+)') AND NOT contains(url, '//m.') THEN 'paged'
       WHEN regexp_matches(url, '(?i)^https?://[^/]+/\\w{2}/(\\d+)\\.html') THEN 'item' WHEN regexp_matches(url, '(?i)^https?://[^/]+/(\\w{2})/(\\d+)/$') THEN 'list'
       WHEN regexp_matches(url, '#top$') THEN 'label' WHEN regexp_matches(url, '(?i)^https?://[^/]+/?$') THEN 'home' ELSE '' END AS page_rule FROM p)
-    SELECT page_id, page_rule, CASE page_rule WHEN 'paged' THEN '2' WHEN 'item' THEN '4' WHEN 'list' THEN '3' WHEN 'label' THEN '6' WHEN 'home' THEN '5' ELSE '0' END AS page_type,
+    SELECT page_id, page_rule, CASE page_rule WHEN 'paged' THEN '2' WHEN 'item' THEN '4' WHEN 'list' THEN '3' WHEN 'label' THEN '5' WHEN 'home' THEN '7' ELSE '0' END AS page_type,
       CASE page_rule WHEN 'paged' THEN regexp_extract(url, '/(\\d+)\\?page=', 1) WHEN 'item' THEN regexp_extract(url, '/(\\d+)\\.html', 1) WHEN 'list' THEN 'all_items' WHEN 'label' THEN 'label' WHEN 'home' THEN 'home' ELSE '' END AS key_info,
       CASE page_rule WHEN 'item' THEN title ELSE name END AS title_info FROM r""",
 )
 def page_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.page_classify(_titled(spark, sf_dir), classify.SAMPLE_PAGES).select("page_id", "page_rule", "page_type", "key_info", "title_info")
+    return classify.page_classify(_titled(spark, sf_dir), t.PAGE_RULES).select("page_id", "page_rule", "page_type", "key_info", "title_info")
 
 
 _SOURCES = """WITH p AS (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN '' ELSE url END AS ref, CAST(page_id % 500 AS VARCHAR) AS shop FROM pages),
@@ -479,7 +480,65 @@ _SOURCES = """WITH p AS (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN ''
 
 @query("referrer_classify", f"{_SOURCES} SELECT *, CASE WHEN src_key = '' THEN '0' WHEN source_rule = 'feed' THEN '2' ELSE '4' END AS src_key_type FROM c")
 def referrer_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.referrer_classify(_titled(spark, sf_dir), classify.SAMPLE_SOURCES).select("page_id", "source_rule", "src_id", "ref_url", "src_key", "src_key_type")
+    return classify.referrer_classify(_titled(spark, sf_dir), t.SOURCE_RULES).select("page_id", "source_rule", "src_id", "ref_url", "src_key", "src_key_type")
+
+
+def _sampled(spark: SparkSession, sf_dir: str, samples: list[str], name: str) -> F.Column:
+    """The sample that falls to an event, with its number."""
+    chosen = F.get(F.array(*[F.lit(x) for x in samples]), (F.col("event_id") % len(samples)).cast("int"))
+    return F.replace(chosen, F.lit("{n}"), F.col("event_id").cast("string")).alias(name)
+
+
+def _sampled_sql(samples: list[str], name: str) -> str:
+    quoted = ", ".join("'" + x.replace("'", "''") + "'" for x in samples)
+    return f"replace(([{quoted}])[event_id % {len(samples)} + 1], '{{n}}', CAST(event_id AS VARCHAR)) AS {name}"
+
+
+_RULED_PAGES = t.PAGE_SAMPLES + t.UNRULED_PAGES
+_RULED = t.page_sql(f"SELECT event_id AS n, {_sampled_sql(_RULED_PAGES, 'url')}, 'Page ' || event_id || '-site' AS title FROM events")
+
+
+def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("event_id")
+    rows = a.table(spark, sf_dir, "events").select(n.alias("n"), _sampled(spark, sf_dir, _RULED_PAGES, "url"), F.concat(F.lit("Page "), n.cast("string"), F.lit("-site")).alias("title"))
+    return classify.page_classify(rows, t.PAGE_RULES)
+
+
+@query("page_classify_rules", _RULED)
+def page_classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of each form of three platforms for the events, and pages of no rule, under all rules."""
+    return _ruled(spark, sf_dir).select("n", "page_rule", "page_type", "key_info", "title_info", "key", "key_type")
+
+
+_NAMES = lambda rules: "(VALUES " + ", ".join(f"('{r.name}')" for r in rules) + ", ('')) AS v(rule)"
+
+
+@query("page_rule_hits", f"WITH c AS ({_RULED}) SELECT rule, count(n) AS hits FROM {_NAMES(t.PAGE_RULES)} LEFT JOIN c ON page_rule = rule GROUP BY rule")
+def page_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.rule_hits(_ruled(spark, sf_dir), t.PAGE_RULES, "page_rule")
+
+
+_RULED_SOURCES = t.SOURCE_SAMPLES + t.ODD_SOURCES
+_SOURCED = t.source_sql(f"SELECT event_id AS n, {_sampled_sql([x[0] for x in _RULED_SOURCES], 'url')}, {_sampled_sql([x[1] for x in _RULED_SOURCES], 'ref')}, CAST(event_id - event_id % 2 AS VARCHAR) AS shop FROM events")
+
+
+def _sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even events are on the shop that the referrer names, where it names one."""
+    n = F.col("event_id")
+    urls, refs = zip(*_RULED_SOURCES, strict=True)
+    rows = a.table(spark, sf_dir, "events").select(n.alias("n"), _sampled(spark, sf_dir, [*urls], "url"), _sampled(spark, sf_dir, [*refs], "refer_url"), (n - n % 2).cast("string").alias("shop_id"))
+    return classify.referrer_classify(rows, t.SOURCE_RULES)
+
+
+@query("referrer_classify_rules", _SOURCED)
+def referrer_classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of the events, in all groups, under all rules."""
+    return _sourced(spark, sf_dir).select("n", "source_rule", "src_id", "ref_url", "src_key", "src_key_type")
+
+
+@query("source_rule_hits", f"WITH c AS ({_SOURCED}) SELECT rule, count(n) AS hits FROM {_NAMES(t.SOURCE_RULES)} LEFT JOIN c ON source_rule = rule GROUP BY rule")
+def source_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.rule_hits(_sourced(spark, sf_dir), t.SOURCE_RULES, "source_rule")
 
 
 _SEARCHED = _SOURCES.replace("FROM pages)", "FROM (SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'http://shop.example.com/search?q=word' || (page_id % 50) || '&low=' || (page_id % 9) ELSE url END AS url FROM pages))", 1)
@@ -497,7 +556,7 @@ def keyword_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = F.concat(F.lit("http://shop.example.com/search?q=word"), (k % 50).cast("string"), F.lit("&low="), (k % 9).cast("string"))
     rows = _titled(spark, sf_dir).withColumn("url", F.when(k % 4 == 1, search).otherwise(F.col("url")))
     rows = rows.withColumn("refer_url", F.when(k % 3 == 0, "").otherwise(F.col("url")))
-    both = classify.referrer_classify(classify.page_classify(rows, classify.SAMPLE_PAGES), classify.SAMPLE_SOURCES)
+    both = classify.referrer_classify(classify.page_classify(rows, t.PAGE_RULES), t.SOURCE_RULES)
     return classify.keyword_precedence(both).select("page_id", "keyword", "keyword_type")
 
 
