@@ -1,7 +1,7 @@
 """Sinks for batches and micro-batches, and upkeep of stored tables.
 
 Tables are Parquet, partitioned by day (and hour). A write replaces the partitions that it touches, so a batch that is
-written twice leaves the same rows; merges also keep the ids of the batches that they have taken in.
+written twice leaves the same rows; tables that batches are merged into keep the number of the last one.
 """
 
 from __future__ import annotations
@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.scalars import shard_of, week_slot
+from ..sources.stored import VersionedTable
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -89,59 +89,18 @@ def put(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def _files(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def _part_path(spark: SparkSession, path: str, part: str | None) -> str:
-    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return f"{path}/part={escaped.DEFAULT_PARTITION_NAME() if part is None else escaped.escapePathName(part)}"
-
-
-def stored_parts(spark: SparkSession, path: str, parts: list[str | None], schema: T.StructType) -> DataFrame:
-    """All versions of some partitions of a table of upsert_write; no others are listed or read."""
-    there = []
-    for part in parts:
-        files, where = _files(spark, _part_path(spark, path, part))
-        if files.exists(where):
-            there.append(where.toString())
-    if not there:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*there)
-
-
-def vacuum(spark: SparkSession, path: str, parts: list[str | None], batch_id: int) -> None:
-    """Removes superseded versions of some partitions: all but that of the batch and the one before it."""
-    for part in parts:
-        files, where = _files(spark, _part_path(spark, path, part))
-        versions = {int(s.getPath().getName().removeprefix("v=")): s.getPath() for s in files.listStatus(where)} if files.exists(where) else {}
-        before = [v for v in versions if v < batch_id]
-        for v in before:
-            if v != max(before):
-                files.delete(versions[v], True)
-
-
 def upsert_write(path: str, keys: list[str], partition: str, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> Sink:
     """A sink that puts rows by key, or combines them with those stored, in the partitions of a batch alone.
 
-    Each write goes to a new version of a partition (`part` = value, `v` = batch id); readers take the latest, so a
-    batch may be written again, and a failed write leaves the version before it. Older versions are removed. The names
-    of the partitions that a batch touches reach the driver: days, for instance.
+    The table is a VersionedTable: readers see all of a batch or nothing, a batch that was written is not written again,
+    and what neither the last state nor the one before it uses is removed. The names of partitions reach the driver.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.withColumn("part", F.col(partition).cast("string"))
-        touched = [r.part for r in new.select("part").distinct().collect()]
-        schema = T.StructType([*new.schema.fields, T.StructField("v", T.LongType())])
-        old = current(stored_parts(spark, path, touched, schema).filter(F.col("v") < batch_id)).drop("v")
-        out = combine(old, new) if combine else put(old, new, keys)
-        if "part" not in out.columns:
-            out = out.withColumn("part", F.col(partition).cast("string"))
-        out = out.withColumn("v", F.lit(batch_id).cast("bigint"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "v").parquet(path)
-        vacuum(spark, path, touched, batch_id)
+        table = VersionedTable(batch.sparkSession, path, partition)
+        before = table.manifest()
+        after = table.put(batch, keys, combine, "sink", batch_id)
+        table.vacuum(parts=[p for p in {*before.parts} | {*after.parts} if before.parts.get(p) != after.parts.get(p)])
 
     return write
 
@@ -165,18 +124,22 @@ def shop_upsert_write(path: str, base: int) -> Sink:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, none = batch.sparkSession, F.lit(None).cast("bigint")
-        rows = batch.select("dt", "seller_id", "amount", "last_ts", none.alias("px"), none.alias("before"))
-        put_totals(rows, batch_id)
-        schema = T.StructType([*rows.schema.fields, T.StructField("part", T.StringType()), T.StructField("v", T.LongType())])
-        touched = [r.dt for r in rows.select("dt").distinct().collect()]
-        passed = stored_parts(spark, f"{path}/totals", touched, schema).filter((F.col("v") == batch_id) & (F.col("px") > F.col("before")))
-        passed.select("dt", "seller_id", "amount", "last_ts", "px").write.mode("overwrite").parquet(f"{path}/history/batch={batch_id}")
+        put_totals(batch.select("dt", "seller_id", "amount", "last_ts", none.alias("px"), none.alias("before")), batch_id)
+        # what the batch wrote is the live version that has the last state's number
+        table = VersionedTable(spark, f"{path}/totals")
+        now = table.manifest()
+        if now.batches.get("sink") != batch_id:
+            return  # later batches are there: this one's history is, too
+        newest = [p for p, v in now.parts.items() if v == now.seq]
+        if newest:
+            passed = table.live(newest, manifest=now).filter(F.col("px") > F.col("before"))
+            passed.select("dt", "seller_id", "amount", "last_ts", "px").write.mode("overwrite").parquet(f"{path}/history/batch={batch_id}")
 
     return write
 
 
 def current(versions: DataFrame) -> DataFrame:
-    """The latest version of each partition."""
+    """The latest version of each partition, from a table's files alone. `VersionedTable.live` reads what is live, and no more."""
     last = versions.groupBy("part").agg(F.max("v").alias("v"))
     return versions.join(last, ["part", "v"], "left_semi")
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions import mapping, scalars
 from ..operators import classify, enrich, kpi, orders, sinks, stats, visitors
 from ..sources import dimensions, logs
+from ..sources.stored import OrderTables, StoredLog, VersionedTable
 from ..streaming import queries as streams
 from . import adapters as a
 from . import rule_tables as t
@@ -147,7 +148,7 @@ def sink_kpi_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         delta = kpi.item_kpi(rows.filter(f"hour(ts) % 3 = {k}"), "day", sketch=True).withColumn("dt", F.to_date("bucket").cast("string")).select(*columns)
         sink(delta, k)
         sink(delta, k)
-    return _beside_one_go(kpi.with_estimates(sinks.current(spark.read.parquet(path))), rows)
+    return _beside_one_go(kpi.with_estimates(VersionedTable(spark, path).live()), rows)
 
 
 def _running_sql(unit: str) -> str:
@@ -199,7 +200,7 @@ def sink_shop_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink(batch, k)
         sink(batch, k)
     passed = spark.read.parquet(f"{path}/history").groupBy("dt", "seller_id").agg(F.count(F.lit(1)).alias("n_passed"))
-    totals = sinks.current(spark.read.parquet(f"{path}/totals")).join(passed, ["dt", "seller_id"], "left")
+    totals = VersionedTable(spark, f"{path}/totals").live().join(passed, ["dt", "seller_id"], "left")
     return totals.select("dt", "seller_id", "amount", stamp("last_ts"), "px", F.coalesce("n_passed", F.lit(0)).cast("bigint").alias("n_passed"))
 
 
@@ -258,30 +259,54 @@ def order_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.order_completeness(a.children(spark, sf_dir), expected).select("parent_id", "n_expected", "n_children", "complete")
 
 
-@query("join_parent_children", f"{s.with_(s.CHILDREN)} SELECT c.parent_id, count(*) AS n, count(DISTINCT item_id) AS items, max(o_orderstatus) AS status FROM children c JOIN orders ON o_orderkey = c.parent_id WHERE o_orderkey % 3 = 0 GROUP BY c.parent_id")
-def join_parent_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parents = a.table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"), F.lit(1).alias("is_main"), F.lit(0).alias("is_detail"))
-    joined = orders.parents_with_children(parents, a.children(spark, sf_dir))
-    return joined.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_id").alias("items"), F.max("p_status").alias("status"))
-
-
-@query(
-    "join_parent_children_all",
-    f"""{s.with_(s.CHILDREN)}, c AS (SELECT *, CASE WHEN line_no IN (5, 6) THEN 1 ELSE 0 END AS is_main, CASE WHEN line_no IN (6, 7) THEN 0 ELSE 1 END AS is_detail FROM children),
+_PARENTS = f"""{s.with_(s.CHILDREN)}, c AS (SELECT *, CASE WHEN line_no IN (5, 6) THEN 1 ELSE 0 END AS is_main, CASE WHEN line_no IN (6, 7) THEN 0 ELSE 1 END AS is_detail FROM children),
     j AS (SELECT CAST(parent_id AS VARCHAR) AS parent_id, item_id, o_orderstatus AS status FROM c JOIN orders ON o_orderkey = parent_id WHERE is_main = 0 AND is_detail = 1
       UNION ALL SELECT order_id, item_id, NULL FROM c WHERE is_main = 1 AND is_detail = 1)
-    SELECT parent_id, count(*) AS n, count(DISTINCT item_id) AS items, max(status) AS status FROM j GROUP BY parent_id""",
-)
-def join_parent_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    SELECT parent_id, count(*) AS n, count(DISTINCT item_id) AS items, max(status) AS status FROM j GROUP BY parent_id"""
+
+
+def _parents_and_children(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All orders as parents. Lines 5 are their own children, lines 6 parent rows and lines 7 neither; all others are children."""
     parents = a.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderstatus").alias("status"), F.lit(1).alias("is_main"), F.lit(0).alias("is_detail"))
     line = F.col("line_no")
     flags = {"is_main": F.when(line.isin(5, 6), 1).otherwise(0), "is_detail": F.when(line.isin(6, 7), 0).otherwise(1)}
     children = a.children(spark, sf_dir).withColumns({"parent_id": F.col("parent_id").cast("string")} | flags)
-    joined = orders.parents_with_children(parents, children)
+    return parents, children
+
+
+def _families(joined: DataFrame) -> DataFrame:
     return joined.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_id").alias("items"), F.max("p_status").alias("status"))
 
 
+@query("join_parent_children_all", _PARENTS)
+def join_parent_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _families(orders.parents_with_children(*_parents_and_children(spark, sf_dir)))
+
+
+def _order_tables(spark: SparkSession, sf_dir: str, name: str) -> OrderTables:
+    parents, children = _parents_and_children(spark, sf_dir)
+    tables = OrderTables(spark, _scratch(spark, name), buckets=8)
+    tables.write(parents=parents, children=children, payments=a.payments(spark, sf_dir))
+    return tables
+
+
+@query("join_parent_children", _PARENTS)
+def join_parent_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from stored tables that share their buckets, joined where they lie."""
+    return _families(_order_tables(spark, sf_dir, "join_parent_children").parents_with_children())
+
+
+@query(
+    "order_lookup",
+    f"""{s.with_(s.CHILDREN, s.PAYMENTS)} SELECT CAST(p.order_id AS VARCHAR) AS order_id, count(*) AS n_children, min(c.order_id) AS first_child, any_value(actual_total_fee) AS paid FROM payments p JOIN children c ON c.parent_id = p.order_id GROUP BY p.order_id""",
+)
+def order_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The children of each order that is paid for, looked up in the stored index."""
+    tables = _order_tables(spark, sf_dir, "order_lookup")
+    found = tables.read("payments").hint("merge").join(tables.index(), F.col("order_id") == F.col("index_key"))
+    return found.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_children"), F.min("primary_key").alias("first_child"), F.max("actual_total_fee").alias("paid"))
+
+
 _LATEST = f"{s.with_(s.CHILDREN)} SELECT order_id, max(order_modified_t) AS order_modified_t, count(*) > 0 AS found FROM children GROUP BY order_id"
 
 
@@ -692,9 +717,17 @@ def src_pageview(spark: SparkSession, sf_dir: str) -> DataFrame:
 _START, _END = 1_705_276_800_000, 1_705_363_200_000
 
 
+def _stored_log(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame | None = None) -> StoredLog:
+    """All page views, or some rows, stored by day, a few shards to a folder."""
+    log = StoredLog(spark, _scratch(spark, name), slot_s=86_400, parts=4)
+    log.write(sinks.with_log_key(a.flow(spark, sf_dir).withColumn("puid", F.col("visitor"))) if rows is None else rows)
+    return log
+
+
 @query("src_time_range_scan", f"{s.with_(s.FLOW)} SELECT event_id FROM flow WHERE ts_ms >= {_START} AND ts_ms < {_END} - 180000")
 def src_time_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.scan_range(a.flow(spark, sf_dir), _START, _END, now_ms=_END).select("event_id")
+    """A day of a stored log of all page views: other slots are not opened."""
+    return _stored_log(spark, sf_dir, "src_time_range_scan").scan_range(_START, _END, now_ms=_END).select("event_id")
 
 
 @query("sink_range_dump", f"{s.with_(s.FLOW)} SELECT event_id, ts_ms, visitor, item_id, true AS bounded FROM flow WHERE ts_ms >= {_START} AND ts_ms < {_END}")
@@ -709,28 +742,46 @@ def sink_range_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src_week_slot_scan", f"{s.with_(s.FLOW)} SELECT event_id, CAST(ts_ms // 1000 % 604800 AS INTEGER) AS slot FROM flow WHERE ts_ms >= {_END} - 7200000 AND ts_ms < {_END} - 180000")
 def src_week_slot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.scan_range(a.flow(spark, sf_dir), _END - 7_200_000, _END, now_ms=_END)
-    return rows.select("event_id", scalars.week_slot(F.col("ts_ms")).alias("slot"))
+    """The last two hours before a moment, and their seconds in the week."""
+    rows = _stored_log(spark, sf_dir, "src_week_slot_scan").scan_latest(_END, 7_200)
+    return rows.select("event_id", "slot")
+
+
+_SHARDS = (3, 4, 17)
+_DAYS_READ = "count(DISTINCT ts_ms // 86400000)"
+
+
+@query(
+    "log_scan_files",
+    f"""{s.with_(s.FLOW)}, w AS (SELECT *, CAST(ts_ms // 1000 % 604800 AS INTEGER) AS slot FROM flow)
+    SELECT 'range' AS scan, count(*) FILTER (ts_ms >= {_START} AND ts_ms < {_END}) AS n_rows, {_DAYS_READ} FILTER (ts_ms // 86400000 BETWEEN {_START} // 86400000 AND ({_END} - 1) // 86400000) AS n_slots, {_DAYS_READ} AS n_all FROM w
+    UNION ALL SELECT 'capped', count(*) FILTER (ts_ms >= {_START} AND ts_ms < {_START} + 180000), {_DAYS_READ} FILTER (ts_ms // 86400000 = {_START} // 86400000), {_DAYS_READ} FROM w
+    UNION ALL SELECT 'week', count(*) FILTER (slot >= 500000 AND ts_ms >= {_START} - 604800000 AND ts_ms < {_START}),
+      {_DAYS_READ} FILTER (ts_ms // 86400000 BETWEEN ({_START} // 604800000 - CASE WHEN {_START} // 1000 % 604800 < 500000 THEN 1 ELSE 0 END) * 7 + 500000 // 86400 AND ({_START} // 604800000 - CASE WHEN {_START} // 1000 % 604800 < 500000 THEN 1 ELSE 0 END) * 7 + 6), {_DAYS_READ} FROM w""",
+)
+def log_scan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scans of a stored log: rows, slots whose files are read, and slots that the log has."""
+    log = _stored_log(spark, sf_dir, "log_scan_files")
+    slots = lambda df: len({f.partition("slot_of_time=")[2].partition("/")[0] for f in df.inputFiles()})
+    everything = slots(log.scan_prefix())
+    scans = {"range": log.scan_range(_START, _END), "capped": log.scan_range(_START, _END, most_ms=180_000), "week": log.scan_week_slots(500_000, 700_000, _START)}
+    out = [df.agg(F.lit(name).alias("scan"), F.count(F.lit(1)).alias("n_rows")).withColumns({"n_slots": F.lit(slots(df)).cast("bigint"), "n_all": F.lit(everything).cast("bigint")}) for name, df in scans.items()]
+    return out[0].unionAll(out[1]).unionAll(out[2])
 
 
 @query("src_prefix_scan", f"{s.with_(s.FLOW)} SELECT event_id FROM flow WHERE event_id % 3 = 2 AND event_id % 2 = 1 AND event_type = 'view'")
 def src_prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
     rows = a.flow(spark, sf_dir).withColumns({"company": e % 3, "is_shop": e % 2, "url_type": F.when(F.col("event_type") == "view", "4").otherwise("0")})
-    return logs.scan_prefix(rows).select("event_id")
-
-
-@query("src_prior_item_kpi", f"{s.with_(s.UNIFIED)} SELECT seller_id, item_id, CAST(sum(view) AS BIGINT) AS pv FROM rows_ WHERE item_id % 10 = 3 GROUP BY ALL")
-@query("distinct_keys", f"{s.with_(s.UNIFIED)} SELECT seller_id, item_id, CAST(sum(view) AS BIGINT) AS pv FROM rows_ WHERE item_id % 10 = 3 GROUP BY ALL")
-def src_prior_item_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = a.unified(spark, sf_dir).groupBy("seller_id", "item_id").agg(F.sum("view").alias("pv"))
-    asked = a.flow(spark, sf_dir).filter("item_id % 10 = 3").select("item_id").unionAll(a.order_flow(spark, sf_dir).filter("item_id % 10 = 3").select("item_id"))
-    return dimensions.prior_item_kpi(stored, asked, ["item_id"]).select("seller_id", "item_id", "pv")
+    keyed = sinks.with_log_key(rows.withColumn("puid", F.col("visitor")))
+    return logs.scan_prefix(_stored_log(spark, sf_dir, "src_prefix_scan", keyed).scan_prefix()).select("event_id")
 
 
 _ASKED = f"{s.with_(s.FLOW, s.ORDERS)} SELECT shop_id AS seller_id, item_id, count(*) AS pv FROM flow WHERE item_id IN (SELECT item_id FROM biz) GROUP BY ALL"
 
 
+@query("src_prior_item_kpi", _ASKED)
+@query("distinct_keys", _ASKED)
 @query("src_prior_item_kpi_all", _ASKED)
 @query("distinct_keys_all", _ASKED)
 def src_prior_item_kpi_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -809,13 +860,16 @@ def sink_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_salted_key", f"{s.with_(s.FLOW)}, i AS (SELECT event_id, ts_ms, {_IDENTITY} FROM flow) SELECT event_id, puid, CAST(ts_ms // 1000 % 604800 AS INTEGER) AS slot, true AS in_range FROM i WHERE puid IS NOT NULL AND puid NOT IN (':', ':-')")
 def sink_salted_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sinks.with_log_key(enrich.visitor_identity(a.flow(spark, sf_dir)))
-    return rows.select("event_id", "puid", "slot", F.col("shard").between(0, 31).alias("in_range"))
+    """Page views of visitors that can be told, stored by day and shard, and read back shard by shard."""
+    log = _stored_log(spark, sf_dir, "sink_salted_key", sinks.with_log_key(enrich.visitor_identity(a.flow(spark, sf_dir))))
+    rows = log.scan_prefix(shards=[*range(32)])
+    return rows.select("event_id", "puid", "slot", (F.col("shard") == scalars.shard_of(F.col("puid"))).alias("in_range"))
 
 
 @query("sink_order_index", f"{s.with_(s.CHILDREN)} SELECT parent_id AS index_key, order_id AS primary_key FROM children WHERE parent_id <> 0")
 def sink_order_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.order_index(a.children(spark, sf_dir)).select("index_key", "primary_key")
+    """The index of children as it is stored, in buckets of the parent's id."""
+    return _order_tables(spark, sf_dir, "sink_order_index").index().select(F.col("index_key").cast("bigint").alias("index_key"), "primary_key")
 
 
 @query("sink_subscriber_fanout", f"{s.with_(s.FLOW)} SELECT 'clicks' AS subscriber, count(*) AS n FROM flow WHERE dest_type = 'click' AND item_id <> 7 UNION ALL SELECT 'all', count(*) FROM flow")
@@ -832,25 +886,42 @@ def sink_text_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_kpi_put", f"{s.with_(s.UNIFIED)} SELECT item_id, CAST(CASE WHEN item_id % 2 = 0 THEN 2 * sum(view) ELSE sum(view) END AS BIGINT) AS pv FROM rows_ GROUP BY item_id")
 def sink_kpi_put(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = a.unified(spark, sf_dir).groupBy("item_id").agg(F.sum("view").alias("pv"))
-    new = old.filter("item_id % 2 = 0").select("item_id", (2 * F.col("pv")).alias("pv"))
-    return sinks.put(old, new, ["item_id"])
+    """Totals of all items stored, then those of even items put in their place; what is stored then."""
+    table = VersionedTable(spark, _scratch(spark, "sink_kpi_put"), "shard")
+    old = a.unified(spark, sf_dir).groupBy("item_id").agg(F.sum("view").alias("pv")).withColumn("shard", scalars.shard_of(F.col("item_id"), 8))
+    table.put(old, ["item_id"])
+    table.put(old.filter("item_id % 2 = 0").withColumn("pv", 2 * F.col("pv")), ["item_id"])
+    return table.live().select("item_id", "pv")
+
+
+def _by_day(spark: SparkSession, sf_dir: str, name: str) -> VersionedTable:
+    """All page views in a stored table, by day."""
+    table = VersionedTable(spark, _scratch(spark, name))
+    table.put(a.flow(spark, sf_dir).select("event_id", "ts", F.to_date("ts").cast("string").alias("dt")), ["event_id", "dt"])
+    return table
 
 
 @query("maint_retention", f"{s.with_(s.FLOW)} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS n FROM flow WHERE CAST(ts AS DATE) > DATE '2024-01-20' - 5 GROUP BY 1")
 def maint_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = a.flow(spark, sf_dir).withColumn("dt", F.to_date("ts"))
-    return sinks.apply_retention(rows, 5, F.lit("2024-01-20").cast("date")).groupBy(F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
+    """Days of a stored table that are over are taken out of it, unread, and their files removed."""
+    table = _by_day(spark, sf_dir, "maint_retention")
+    table.retain(5, "2024-01-20")
+    table.vacuum(keep=0)
+    return table.live().groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("maint_count", f"{s.with_(s.FLOW)} SELECT count(*) AS n FROM flow WHERE CAST(ts AS DATE) = DATE '{DAY}' AND hour(ts) = 3")
 def maint_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.count_rows(a.flow(spark, sf_dir), f"to_date(ts) = date'{DAY}' and hour(ts) = 3")
+    """Of a stored table one day is read."""
+    return sinks.count_rows(_by_day(spark, sf_dir, "maint_count").live([DAY]), f"to_date(ts) = date'{DAY}' and hour(ts) = 3")
 
 
 @query("maint_delete", f"{s.with_(s.FLOW)} SELECT event_id FROM flow WHERE NOT (CAST(ts AS DATE) = DATE '{DAY}' AND hour(ts) < 12)")
 def maint_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.delete_where(a.flow(spark, sf_dir), f"to_date(ts) = date'{DAY}' and hour(ts) < 12").select("event_id")
+    """Rows of a stored table that go: one day's version is replaced, the others stay as they are."""
+    table = _by_day(spark, sf_dir, "maint_delete")
+    table.delete(f"to_date(ts) = date'{DAY}' and hour(ts) < 12", parts=[DAY])
+    return table.live().select("event_id")
 
 
 # ---- counts
@@ -1061,4 +1132,4 @@ def st_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = a.flow(spark, sf_dir, _events(spark, sf_dir)).select("ts", "item_id")
     streams.start(rows, f"{path}/checkpoint", write, mode="append", once=True).awaitTermination()
-    return sinks.current(spark.read.parquet(f"{path}/table")).select("dt", "item_id", "pv")
+    return VersionedTable(spark, f"{path}/table").live().select("dt", "item_id", "pv")

@@ -56,9 +56,14 @@ def route_by_tag(df: DataFrame, specs: dict[str, dict[str, str]], tag: str = "ta
     return out
 
 
+def range_end(start_ms: int, end_ms: int, now_ms: int | None = None, lag_ms: int = 180_000, most_ms: int | None = None) -> int:
+    """Where a scan ends: never nearer to now than lag, at most most_ms after its start."""
+    return min(x for x in (end_ms, now_ms - lag_ms if now_ms is not None else None, start_ms + most_ms if most_ms is not None else None) if x is not None)
+
+
 def scan_range(df: DataFrame, start_ms: int, end_ms: int, now_ms: int | None = None, lag_ms: int = 180_000, most_ms: int | None = None, shards: list[int] | None = None, ts: str = "ts_ms") -> DataFrame:
     """Rows with start <= ts < end, never nearer to now than lag, at most most_ms long; both filters reach the scan."""
-    end = min(x for x in (end_ms, now_ms - lag_ms if now_ms is not None else None, start_ms + most_ms if most_ms is not None else None) if x is not None)
+    end = range_end(start_ms, end_ms, now_ms, lag_ms, most_ms)
     out = df.filter((F.col(ts) >= start_ms) & (F.col(ts) < end))
     return out.filter(F.col("shard").isin(shards)) if shards is not None else out
 
