@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -14,7 +15,9 @@ from ..functions import mapping, scalars
 from ..operators import classify, enrich, kpi, orders, sinks, stats, visitors
 from ..sources import dimensions, logs
 from ..sources.stored import OrderTables, StoredLog, VersionedTable
+from ..streaming import flush as flushes
 from ..streaming import queries as streams
+from ..streaming import state as states
 from . import adapters as a
 from . import rule_tables as t
 from . import sql as s
@@ -1047,14 +1050,14 @@ CUTS = ("2024-01-08 12:00:00", "2024-01-16 12:00:00", "2024-01-24 12:00:00")
 _RUN = "(" + " + ".join(f"CAST(ts >= TIMESTAMP '{c}' AS INTEGER)" for c in CUTS) + ")"
 
 
-def _in_runs(spark: SparkSession, sf_dir: str, path: str, stream: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
+def _in_runs(spark: SparkSession, sf_dir: str, path: str, stream: Callable[[DataFrame], DataFrame], mode: str, sink: sinks.Sink | None = None) -> DataFrame:
     """The micro-batches of a stream that is started anew from its checkpoint each time that more events are there."""
     run = F.lit(0)
     for c in CUTS:
         run = run + (F.col("ts") >= F.lit(c).cast("timestamp")).cast("int")
     for k in range(len(CUTS) + 1):
         a.table(spark, sf_dir, "events").filter(run == k).write.mode("append").parquet(f"{path}/in")
-        query = streams.start(stream(streams.stream_of(spark, f"{path}/in")), f"{path}/checkpoint", streams.batches_into(f"{path}/out"), mode, once=True)
+        query = streams.start(stream(streams.stream_of(spark, f"{path}/in")), f"{path}/checkpoint", sink or streams.batches_into(f"{path}/out"), mode, once=True)
         query.awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
@@ -1068,6 +1071,67 @@ def st_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.join(n, ["day", "seller_id"]).select(stamp("day"), "seller_id", "amount", "n_flushes")
 
 
+@query("st_flush_backlog", f"{s.with_(s.ORDERS)} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, seller_id, CAST(sum(CASE WHEN is_main = 1 AND is_pay = 1 THEN fee ELSE 0 END) AS BIGINT) AS amount, 3 AS n_first, 60 AS narrow_s, 180 AS wide_s FROM biz GROUP BY ALL")
+def st_flush_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by day and seller that are put at intervals. Twelve files are there at once, each a micro-batch that stands for a
+    minute: while more than six wait flushes are three minutes apart, below three they are one minute apart again."""
+    path = _scratch(spark, "st_flush_backlog")
+    stored = a.table(spark, sf_dir, "events")
+    files = 12
+    # a file for each part of the log's time, in its order
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    low, high = stored.agg(F.min(seconds), F.max(seconds)).first()
+    place = F.least(F.lit(files - 1), F.floor((seconds - low) / max(high - low, 1.0) * files))
+    for k in range(files):
+        stored.filter(place == k).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    done = [0]
+    sink = flushes.BacklogFlush(spark, path, ["dt", "seller_id"], waiting=lambda: files - done[0], clock=lambda: 60.0 * done[0], widen_above=6, narrow_below=3)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        done[0] = batch_id + 1
+        sink.write(batch.select(F.to_date("day").cast("string").alias("dt"), "seller_id", "amount"), batch_id)
+
+    streams.start(_day_amounts(spark, sf_dir, streams.stream_of(spark, f"{path}/in", files=1)), f"{path}/checkpoint", write, "update", once=True).awaitTermination()
+    sink.flush()
+    intervals = [f[1] for f in sink.flushes if f[1]]
+    return sink.table.live().select("dt", "seller_id", "amount", F.lit(max(f[2] for f in sink.flushes)).alias("n_first"), F.lit(int(min(intervals))).alias("narrow_s"), F.lit(int(max(intervals))).alias("wide_s"))
+
+
+_OVERLAP_MS = 21_600_000
+_LATE = "event_id % 3 = 0 AND " + "(" + " OR ".join(f"(ts >= TIMESTAMP '{c}' - INTERVAL 6 HOUR AND ts < TIMESTAMP '{c}')" for c in CUTS) + ")"
+
+
+@query("st_resume_positions", f"{s.with_(s.FLOW)} SELECT event_id, ts_ms, {_LATE} AS came_late, 1 AS n_times FROM flow")
+def st_resume_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored log read in four pulls, each from six hours before the shards' positions. A third of the rows of the last six
+    hours come after the pull that should have read them. The third pull is killed when its rows are delivered but its
+    position is not stored, and run again."""
+    path = _scratch(spark, "st_resume_positions")
+    run = F.lit(0)
+    for c in CUTS:
+        run = run + (F.col("ts") >= F.lit(c).cast("timestamp")).cast("int")
+    late = F.expr(_LATE)
+    rows = sinks.with_log_key(a.flow(spark, sf_dir).withColumn("puid", F.col("visitor"))).select("event_id", "ts", "ts_ms", "shard", late.alias("came_late"), (run + late.cast("int")).alias("run"))
+    log = StoredLog(spark, f"{path}/log", slot_s=86_400, parts=2)
+    reader = flushes.PositionedReader(log, path, overlap_ms=_OVERLAP_MS)
+
+    def deliver(new: DataFrame, n: int) -> None:
+        new.write.mode("overwrite").parquet(f"{path}/out/pull={n}")
+
+    def deliver_and_die(new: DataFrame, n: int) -> None:
+        deliver(new, n)
+        raise InterruptedError
+
+    for k, end in enumerate((*CUTS, "2100-01-01 00:00:00")):
+        log.write(rows.filter(F.col("run") == k))
+        until = int(spark.range(1).select(F.unix_millis(F.lit(end).cast("timestamp"))).first()[0]) + 1
+        if k == 2:
+            with contextlib.suppress(InterruptedError):
+                reader.pull(until, deliver_and_die, lag_ms=0)
+        reader.pull(until, deliver, lag_ms=0)
+    return spark.read.parquet(f"{path}/out").groupBy("event_id", "ts_ms", "came_late").agg(F.count(F.lit(1)).cast("int").alias("n_times"))
+
+
 @query("st_resume", f"{s.with_(s.FLOW)} SELECT {_RUN} AS run, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS n FROM flow GROUP BY ALL")
 def st_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of page views stopped and started again three times: each run goes on where the last one ended."""
@@ -1089,6 +1153,32 @@ def st_return_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.drained(found, _scratch(spark, "st_visits"), mode="append").withColumn("day", F.col("day").cast("string"))
 
 
+@query("st_return_flags", f"{_RETURN} SELECT event_id, flow.shop_id, flow.visitor, dp_return FROM flow JOIN f ON f.shop_id = flow.shop_id AND f.visitor = flow.visitor AND f.day = CAST(flow.ts AS DATE)")
+def st_return_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flag of each page view as it comes, in a stream that is stopped and started again three times, also amid a day."""
+    with states.rocksdb_state(spark):
+        found = _in_runs(spark, sf_dir, _scratch(spark, "st_return_flags"), lambda events: states.return_flags(a.flow(spark, sf_dir, events)), "append")
+    return found.select("event_id", "shop_id", "visitor", "dp_return")
+
+
+@query(
+    "st_pending_outcomes",
+    f"""{s.with_(s.ORDERS)} SELECT c.event_id, p.event_id AS parent_event, CASE WHEN p.event_id IS NULL THEN 'timed out' ELSE 'matched' END AS outcome FROM biz c LEFT JOIN biz p ON c.item_id = p.item_id AND p.is_main = 1
+    AND abs(epoch_us(p.ts) // 1000 - epoch_us(c.ts) // 1000) <= 600000 WHERE c.is_main = 0 AND (p.event_id IS NOT NULL OR epoch_us(c.ts) // 1000 + 600000 < (SELECT max(epoch_us(ts) // 1000) FROM biz) - 180000)""",
+)
+def st_pending_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows of one item within ten minutes of each other, as children and parents, and the children that waited in vain; the
+    stream is stopped and started again three times."""
+    def both(events: DataFrame) -> DataFrame:
+        rows = a.order_flow(spark, sf_dir, events).withColumn("parent_id", F.col("item_id"))
+        return states.pending(rows.filter("is_main = 0"), rows.filter("is_main = 1"), wait_ms=600_000)
+
+    path = _scratch(spark, "st_pending_outcomes")
+    with states.rocksdb_state(spark):
+        _in_runs(spark, sf_dir, path, both, "append", states.in_tables(f"{path}/out"))
+    return spark.read.parquet(f"{path}/out").select("event_id", "parent_event", "outcome")
+
+
 @query("st_pending_ttl", f"""{s.with_(s.ORDERS)} SELECT c.event_id, p.event_id AS parent_event FROM biz c JOIN biz p ON c.item_id = p.item_id
     AND p.ts BETWEEN c.ts - INTERVAL 60 SECOND AND c.ts + INTERVAL 60 SECOND WHERE c.is_main = 0 AND p.is_main = 1""")
 def st_pending_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1112,6 +1202,41 @@ def st_dim_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out").groupBy("seller_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+_SELLER_NOW = f"CAST(seller_id + 10000 * CASE {_RUN} WHEN 3 THEN 2 WHEN 2 THEN 1 ELSE {_RUN} END AS BIGINT)"
+
+
+def _seller_versions(spark: SparkSession, sf_dir: str, name: str) -> tuple[flushes.DimensionHistory, list[DataFrame]]:
+    """A history of shops' sellers, and what is loaded before each run: new sellers, the same once more as an empty reload,
+    new ones again with a shop gone."""
+    sellers = a.shop_sellers(spark, sf_dir)
+    moved = lambda k: sellers.withColumn("seller_id", F.col("seller_id") + 10_000 * k)
+    return flushes.DimensionHistory(spark, _scratch(spark, name), ("shop_id",)), [sellers, moved(1), sellers.filter("false"), moved(2).filter("shop_id <> 0")]
+
+
+@query("st_dim_versions", f"{s.with_(s.FLOW, s.SHOP_SELLERS)} SELECT {_RUN} AS run, {_SELLER_NOW} AS seller_id, count(*) AS n FROM flow JOIN shop_sellers USING (shop_id) WHERE {_RUN} < 3 OR shop_id <> 0 GROUP BY ALL")
+def st_dim_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views joined with their shop's seller in a stream of four runs, between which the dimension changes."""
+    history, loads = _seller_versions(spark, sf_dir, "st_dim_versions")
+    path = _scratch(spark, "st_dim_versions")
+    dim = streams.Dimension(lambda: history.current())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        history.load(loads[batch_id], ("2024-01-01 00:00:00", *CUTS)[batch_id])
+        enrich.join_shop_seller(batch, dim.now()).select("seller_id").write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
+
+    read = _in_runs(spark, sf_dir, path, lambda events: a.flow(spark, sf_dir, events).select("event_id", "shop_id", "ts"), "append", write)
+    return read.groupBy(F.col("batch").alias("run"), "seller_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("join_dim_valid", f"{s.with_(s.FLOW, s.SHOP_SELLERS)} SELECT event_id, {_SELLER_NOW} AS seller_id FROM flow JOIN shop_sellers USING (shop_id) WHERE ts >= TIMESTAMP '2024-01-01' AND ({_RUN} < 3 OR shop_id <> 0)")
+def join_dim_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views with the seller that their shop had at the time, from the dimension's history."""
+    history, loads = _seller_versions(spark, sf_dir, "join_dim_valid")
+    for rows, since in zip(loads, ("2024-01-01 00:00:00", *CUTS), strict=True):
+        history.load(rows, since)
+    return history.join(a.flow(spark, sf_dir)).select("event_id", "seller_id")
+
+
 _PUT = f"{s.with_(s.UNIFIED)} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, item_id, CAST(sum(view) AS BIGINT) AS pv FROM rows_ WHERE view = 1 GROUP BY ALL"
 
 

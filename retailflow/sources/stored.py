@@ -253,6 +253,8 @@ class VersionedTable:
     def put(self, new: DataFrame, keys: list[str], combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None, writer: str = "", batch: int | None = None) -> Manifest:
         """Puts rows by key, or combines them with those stored, in the partitions that they touch. A batch of a writer that
         was put before is not put again. `new` is computed once."""
+        if {"part", "v"} & {*new.columns}:
+            raise ValueError("part and v are columns of the layout")
         old = self.manifest()
         if batch is not None and batch <= old.batches.get(writer, -1):
             return old

@@ -140,6 +140,8 @@ def test_puts_replace_keys_and_count_once(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     with pytest.raises(ValueError, match="no partition yet"):
         table.live()
+    with pytest.raises(ValueError, match="columns of the layout"):
+        table.put(frame(spark, [(1, 1, "d1")]).withColumn("v", F.lit(1)), ["k"])
     for _ in range(2):
         table.put(frame(spark, [(1, 1, "d1"), (2, 1, "d2"), (3, 1, None)]), ["k"], writer="w", batch=0)
     add = lambda old, new: old.unionByName(new).groupBy("k", "dt").agg(F.sum("x").cast("int").alias("x"))
