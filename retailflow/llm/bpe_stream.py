@@ -277,8 +277,6 @@ class StreamDecoder:
     @staticmethod
     def text(data: pa.Buffer | bytes) -> str:
         """Bytes to text, slice by slice, through the state machine."""
-        if len(data) <= SLICE:
-            return str(data, "utf-8", "replace")
         state, view = codecs.getincrementaldecoder("utf-8")("replace"), memoryview(data)
         return "".join([state.decode(view[i : i + SLICE], i + SLICE >= len(view)) for i in range(0, len(view), SLICE)])
 
@@ -333,7 +331,8 @@ class DocumentCodec:
         return by_distinct_chunk(texts, self._chunk, self.kind)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
-        """The text of each run of ids, as the library gives it for a file without a decoder."""
+        """The text of each run of ids, as the library gives it for a file without a decoder: Arrow joins the tokens' strings,
+        and what it joins goes through the incremental byte-to-text machine."""
         strings = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.strings.take(pa.array(ids)))
         return [StreamDecoder.text(data.as_buffer()) for data in pc.binary_join(strings, b" ")]
 

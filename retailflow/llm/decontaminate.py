@@ -15,7 +15,8 @@ An index holds INDEX_CHARS of items at most and is sent to all tasks; more items
 over the documents. Scores depend on the statistics of all items, so the result is the same with one index or many.
 Documents are judged where they are read, without a shuffle.
 
-Rows: a null text, of a document or an item, has no words and matches nothing. Items with the same id are one each.
+Rows: a null text, of a document or an item, has no words and matches nothing, nor does an item of fewer than five words
+(`least_terms`). Items with the same id are one each.
 Repeated rows are judged each. Other columns are kept by `clean`.
 """
 
@@ -68,6 +69,7 @@ class Settings:
     overlap: float = 0.6
     ngram: int = 5
     block: int = 8
+    least_terms: int = 5  # an item of fewer words says too little to tell that a text holds it
 
 
 @dataclass(frozen=True)
@@ -79,10 +81,12 @@ class Statistics:
     df: dict[str, int]  # entries that hold a term
 
 
-def entries_of(text: str, stride: int) -> tuple[list[str], list[str], list[list[str]]]:
-    """The question's terms, the answer's, and both in entries no longer than a stride."""
+def entries_of(text: str, settings: Settings) -> tuple[list[str], list[str], list[list[str]]]:
+    """The question's terms, the answer's, and both in entries no longer than a stride; no entries for too short an item."""
     question, answer = question_and_answer(text)
-    words = question + answer
+    words, stride = question + answer, settings.stride
+    if len(words) < settings.least_terms:
+        return question, answer, []
     n = -(-len(words) // stride)
     ends = [len(words) * k // n for k in range(n + 1)] if n else [0]
     return question, answer, [words[a:b] for a, b in zip(ends, ends[1:], strict=False)]
@@ -98,7 +102,7 @@ class TestItems:
         entries: list[tuple[int, np.ndarray]] = []
         ids = lambda words: np.array([self.terms.setdefault(t, len(self.terms)) for t in words], np.int64)
         for item_id, text in items:
-            question, answer, pieces = entries_of(text, settings.stride)
+            question, answer, pieces = entries_of(text, settings)
             if pieces:
                 self.items.append((item_id, ids(question), ids(answer)))
                 entries += [(len(self.items) - 1, ids(piece)) for piece in pieces]
@@ -222,7 +226,9 @@ class TestItems:
             item_id, question, answer = self.items[item]
             near = ids[max(0, start - len(question) - len(answer)) : start + 2 * stride + len(question) + len(answer)]
             shares = [self._share(part, near) for part in (question, answer)]
-            if min(shares) >= self.settings.overlap and score > best[k].get(item_id, (-1.0,))[0]:
+            known = best[k].get(item_id)
+            # rounded, as sums in another order differ in their last digits; of equal passages the first counts
+            if min(shares) >= self.settings.overlap and (known is None or (round(score, 9), -start) > (round(known[0], 9), -known[3])):
                 best[k][item_id] = (score, *shares, start)
         return best
 
@@ -245,20 +251,22 @@ class TestItems:
         return [x[x != -2] for x in np.split(ids, ends[1:-1])] if len(texts) else []
 
 
-def _indexes(benchmark: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[TestItems]:
-    """An index of all items or, where these are too long for one, one for each part, with the statistics of all."""
+def _indexes(benchmark: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[tuple[TestItems, bool]]:
+    """An index of all items or, where these are too long for one, one for each part, with the statistics of all; and
+    whether it is one of several. A part's items come to the driver when its turn comes."""
     items = benchmark.filter(F.col(text).isNotNull()).select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t"))
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     rounds = max(1, -(-chars // INDEX_CHARS))
     if rounds == 1:
-        yield TestItems(sorted(((r.i, r.t) for r in items.distinct().collect()), key=str), settings)
+        yield TestItems(sorted(((r.i, r.t) for r in items.distinct().collect()), key=str), settings), False
         return
-    parts = items.distinct().withColumn("part", F.pmod(F.xxhash64("i"), F.lit(rounds)).cast("int"))
+    # by id and text, so that items of one id, or of none, are spread as well
+    parts = items.distinct().withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(rounds)).cast("int"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                entries = entries_of(t, settings.stride)[2]
+                entries = entries_of(t, settings)[2]
                 df = Counter(w for e in entries for w in set(e))
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part] * (len(df) + 1), pa.int32()), "term": [None, *df], "n": pa.array([len(entries), *df.values()], pa.int64()), "words": pa.array([sum(map(len, entries))] + [0] * len(df), pa.int64())})
 
@@ -269,11 +277,12 @@ def _indexes(benchmark: DataFrame, item_id: str, text: str, settings: Settings)
         own = counts.filter((F.col("part") == k) & F.col("term").isNotNull()).select("term").distinct()
         stats = Statistics(total.n, total.words, {r.term: r.n for r in own.join(df, "term").collect()})
         rows = parts.filter(F.col("part") == k).collect()  # INDEX_CHARS of text, about
-        yield TestItems(sorted(((r.i, r.t) for r in rows), key=str), settings, stats)
+        yield TestItems(sorted(((r.i, r.t) for r in rows), key=str), settings, stats), True
 
 
-def _judge(docs: DataFrame, items: TestItems, text: str, schema: str | None) -> DataFrame:
-    """Rows of contaminated documents and items, or, without a schema, docs without the contaminated."""
+def _judge(docs: DataFrame, items: TestItems, text: str, schema: str | None, several: bool) -> DataFrame:
+    """Rows of contaminated documents and items, or, without a schema, docs without the contaminated. With several indexes
+    the rows are written, and the index is dropped before the next one is built."""
     index = docs.sparkSession.sparkContext.broadcast(items)
     where = docs.columns.index(text)
 
@@ -296,7 +305,11 @@ def _judge(docs: DataFrame, items: TestItems, text: str, schema: str | None) ->
         for part, found in judged(batches):
             yield part.filter(pa.array([not own for own in found], pa.bool_()))
 
-    return docs.mapInArrow(pairs if schema else clean_rows, schema or docs.schema)
+    out = docs.mapInArrow(pairs if schema else clean_rows, schema or docs.schema)
+    if several:
+        out = cut(out, "judged")
+        index.destroy()
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -304,14 +317,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     pairs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double, first_word bigint"
     out = None
-    for items in _indexes(benchmark, item_id, item_text, settings):
-        found = _judge(pairs, items, "text", schema)
+    for items, several in _indexes(benchmark, item_id, item_text, settings):
+        found = _judge(pairs, items, "text", schema, several)
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs without the documents that hold a test item."""
-    for items in _indexes(benchmark, item_id, item_text, settings):
-        docs = _judge(docs, items, text, None)
+    for items, several in _indexes(benchmark, item_id, item_text, settings):
+        docs = _judge(docs, items, text, None, several)
     return docs

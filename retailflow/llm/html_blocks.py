@@ -349,24 +349,30 @@ def padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def fit(pages: DataFrame, settings: Settings = Settings(), page_id: str = "page_id", content: str = "html") -> Labeller | None:
+#: Other layouts that each page of the sample is trained in, and how many there are at least of all pages together.
+LAYOUTS, LEAST_SEQUENCES = 5, 240
+
+
+def fit(pages: DataFrame, settings: Settings = Settings(), content: str = "html") -> Labeller | None:
     """A labeller trained on a bounded sample of pages; None if they have no marks to learn from.
 
-    The sample are the `pages` rows with the least hash of id and content, also if ids are equal or null.
+    The sample are the `pages` distinct contents with the least hashes: repeats of a page count once.
     """
-    usable = pages.filter(F.col(content).isNotNull() & (F.length(content) <= settings.most_chars))
-    # about twice as many rows have a hash below the bound, whatever the number of tasks; the limit makes it exact
-    share = min(1.0, 2 * settings.pages / max(usable.count(), 1))
-    hashed = usable.select(F.pmod(F.xxhash64(page_id, content), F.lit(1 << 31)).alias("h"), F.col(content).alias("t")).filter(F.col("h") <= int(share * (1 << 31)))
+    usable = pages.filter(F.col(content).isNotNull() & (F.length(content) <= settings.most_chars)).select(F.pmod(F.xxhash64(content), F.lit(1 << 31)).alias("h"), F.col(content).alias("t"))
+    # about twice as many contents have a hash below the bound, whatever the number of tasks; the limit makes it exact
+    share = min(1.0, 2 * settings.pages / max(usable.agg(F.approx_count_distinct("h")).first()[0], 1))
+    hashed = usable.filter(F.col("h") <= int(share * (1 << 31))).groupBy("h").agg(F.min("t").alias("t"))
     rng, sequences = np.random.default_rng(settings.seed), []
-    for r in hashed.orderBy("h").limit(settings.pages).collect():
-        found = blocks(r.t)
+    sample = [r.t for r in hashed.orderBy("h").limit(settings.pages).collect()]
+    layouts = max(LAYOUTS, -(-LEAST_SEQUENCES // max(len(sample), 1)))
+    for page in sample:
+        found = blocks(page)
         labels = [own_label(b) for b in found]
         main = [b for b, y in zip(found, labels, strict=True) if y]
         if not main:
             continue
         sequences.append((vectors(found), np.array(labels, np.float32)))
-        for _ in range(5):
+        for _ in range(layouts):
             again, y = laid_out(main, [b.text for b, y in zip(found, labels, strict=True) if not y], rng)
             sequences.append((vectors(again), np.array(y, np.float32)))
     if not sequences:

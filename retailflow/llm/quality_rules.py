@@ -2,10 +2,11 @@
 
 Each document gets a few measures. For each (language, source) a mergeable quantile sketch of each measure is
 built over all documents that pass the base rules: counts of values in buckets that grow by a fixed factor, so that
-a quantile is off by at most 0.2 % of itself, merging is adding, and no chance and no order of rows has a part in it.
-Two runs over the same documents keep the same ones. A limit lies some spreads beyond the median, where a spread is
-the distance from the median to the quartile on the other side, so that up to half of a group may be odd without
-moving it. Groups with few documents use the sketches merged over their language, or else over all documents.
+a quantile is off by at most 0.02 % of itself, merging is adding, and no chance and no order of rows has a part in it.
+Two runs over the same documents keep the same ones. A limit lies some spreads beyond the median. For measures that
+most documents have, a spread is the distance from the median to the quartile on the other side, so that up to half of
+a group may be odd without moving it; for repetition, which most documents have none of, it is the distance to the
+quantile of 0.99. Groups with few documents use the sketches merged over their language, or else over all documents.
 Limits are joined back by (language, source), and documents beyond one are rejected.
 
 Everything runs in Spark's own functions. A document's word windows are compared inside its row, so texts aren't
@@ -34,7 +35,7 @@ MOST_REPEATED_PERCENT = 50
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: How far a quantile may be off, as a share of itself, and the factor from bucket to bucket that keeps it so.
-ACCURACY = 0.002
+ACCURACY = 0.0002
 GROWTH = (1 + ACCURACY) / (1 - ACCURACY)
 #: Values up to this count as 0, in a bucket of their own before all others.
 TINY, NONE = 1e-12, -1_000_000
@@ -44,12 +45,18 @@ BROADCAST_ROWS = 50_000
 
 @dataclass(frozen=True)
 class Ratio:
-    """What is limited: a ratio of measures, how wide a spread is at least, and which sides are limited."""
+    """What is limited: a ratio of measures, how wide a spread is at least, which sides are limited, and whether the spread
+    is told by the tail instead of the quartiles."""
 
     name: str
     value: Callable[[], Column]
     least_spread: float
     low: bool = False
+    tail: bool = False
+
+    @property
+    def spreads(self) -> float:
+        return TAIL_SPREADS if self.tail else SPREADS
 
 
 def _over(a: str, b: str) -> Callable[[], Column]:
@@ -57,12 +64,15 @@ def _over(a: str, b: str) -> Callable[[], Column]:
 
 
 RATIOS = (
-    Ratio("symbol_share", _over("n_symbols", "word_chars"), 0.01),
-    Ratio("word_length", _over("word_chars", "n_words"), 0.5, low=True),
-    Ratio("dup_line_share", lambda: F.try_divide(F.col("n_dup_lines").cast("double"), F.col("__lines")), 0.1),
-    Ratio("repeat_share", _over("n_repeat_words", "n_words"), 0.1),
+    Ratio("symbol_share", _over("n_symbols", "word_chars"), 0.0025),
+    Ratio("word_length", _over("word_chars", "n_words"), 0.07, low=True),
+    Ratio("dup_line_share", lambda: F.try_divide(F.col("n_dup_lines").cast("double"), F.col("__lines")), 0.01, tail=True),
+    Ratio("repeat_share", _over("n_repeat_words", "n_words"), 0.01, tail=True),
 )
-SPREADS = 4.0
+#: Spreads from the median to a limit, by quartiles and by the quantile of TAIL.
+SPREADS, TAIL_SPREADS, TAIL = 16.0, 4.0, 0.99
+#: Documents that a group needs to have limits of its own: ten beyond the tail's quantile.
+LEAST_GROUP = 1_000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -133,16 +143,17 @@ def sketches(measures: DataFrame, lang: str = "lang", source: str = "source") ->
 
 
 def _quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """n, and the quartiles of each ratio, for each group of keys. A window holds the buckets of one sketch, some thousands at most."""
+    """n, and the quartiles and the tail of each ratio, for each group of keys. A window holds the buckets of one sketch: as
+    many as a ratio can have values, some tens of thousands at most, however many documents there are."""
     merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
     own = Window.partitionBy(*keys, "ratio")
     ranked = merged.withColumns({"upto": F.sum("n").over(own.orderBy("bucket")), "all": F.sum("n").over(own)})
     at = lambda q, k: F.min(F.when((F.col("upto") >= q * F.col("all")) & (F.col("ratio") == k), F.col("bucket")))
-    found = [value_of(at(q, k)).alias(f"{r.name}_{name}") for k, r in enumerate(RATIOS) for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))]
+    found = [value_of(at(q, k)).alias(f"{r.name}_{name}") for k, r in enumerate(RATIOS) for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75), ("tail", TAIL))]
     return ranked.groupBy(*keys).agg(F.max("all").alias("n"), *found)
 
 
-def limits(groups: DataFrame, least: int = 200) -> DataFrame:
+def limits(groups: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
     """Limits for each language and source, from the sketches of the smallest group around it with enough documents."""
     by_lang, overall = _quartiles(groups, "lang"), _quartiles(groups)
     found = (
@@ -154,9 +165,10 @@ def limits(groups: DataFrame, least: int = 200) -> DataFrame:
     for r in RATIOS:
         pick = lambda q: F.when(F.col("g.n") >= least, F.col(f"g.{r.name}_{q}")).when(F.col("l.n") >= least, F.col(f"l.{r.name}_{q}")).otherwise(F.col(f"o.{r.name}_{q}"))  # noqa: B023, E731
         q25, q50, q75 = pick("q25"), pick("q50"), pick("q75")
-        columns.append((q50 + SPREADS * F.greatest(q50 - q25, F.lit(r.least_spread))).alias(f"{r.name}_most"))
+        spread = pick("tail") - q50 if r.tail else q50 - q25
+        columns.append((q50 + r.spreads * F.greatest(spread, F.lit(r.least_spread))).alias(f"{r.name}_most"))
         if r.low:
-            columns.append((q50 - SPREADS * F.greatest(q75 - q50, F.lit(r.least_spread))).alias(f"{r.name}_least"))
+            columns.append((q50 - r.spreads * F.greatest(q75 - q50, F.lit(r.least_spread))).alias(f"{r.name}_least"))
     return found.select(*columns)
 
 

@@ -193,14 +193,15 @@ FROM ruled
 
 def _op8_sql() -> str:
     """Exact quantiles in place of sketched ones: the limits are as good as equal, and no document lies near one."""
-    from .quality_rules import LEAST_WORDS, MOST_REPEATED_PERCENT, RATIOS, SPREADS
+    from .quality_rules import LEAST_GROUP, LEAST_WORDS, MOST_REPEATED_PERCENT, RATIOS, TAIL
 
     value = {"symbol_share": "n_symbols / word_chars", "word_length": "word_chars / n_words", "dup_line_share": "n_dup_lines / n_lines", "repeat_share": "n_repeat_words / n_words"}
-    quantiles = ", ".join(f"quantile_disc({r.name}, {q}) AS {r.name}_{k}" for r in RATIOS for k, q in (("a", 0.25), ("b", 0.5), ("c", 0.75)))
-    pick = lambda c: f"CASE WHEN s.n >= 200 THEN s.{c} WHEN l.n >= 200 THEN l.{c} ELSE o.{c} END"
+    quantiles = ", ".join(f"quantile_disc({r.name}, {q}) AS {r.name}_{k}" for r in RATIOS for k, q in (("a", 0.25), ("b", 0.5), ("c", 0.75), ("t", TAIL)))
+    pick = lambda c: f"CASE WHEN s.n >= {LEAST_GROUP} THEN s.{c} WHEN l.n >= {LEAST_GROUP} THEN l.{c} ELSE o.{c} END"
+    spread = lambda r: f"{pick(r.name + '_t')} - {pick(r.name + '_b')}" if r.tail else f"{pick(r.name + '_b')} - {pick(r.name + '_a')}"
     beyond = " OR ".join(
-        [f"d.{r.name} > {pick(r.name + '_b')} + {SPREADS} * greatest({pick(r.name + '_b')} - {pick(r.name + '_a')}, {r.least_spread})" for r in RATIOS]
-        + [f"d.{r.name} < {pick(r.name + '_b')} - {SPREADS} * greatest({pick(r.name + '_c')} - {pick(r.name + '_b')}, {r.least_spread})" for r in RATIOS if r.low]
+        [f"d.{r.name} > {pick(r.name + '_b')} + {r.spreads} * greatest({spread(r)}, {r.least_spread})" for r in RATIOS]
+        + [f"d.{r.name} < {pick(r.name + '_b')} - {r.spreads} * greatest({pick(r.name + '_c')} - {pick(r.name + '_b')}, {r.least_spread})" for r in RATIOS if r.low]
     )
     return rf"""
 WITH w AS (

@@ -124,15 +124,16 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """A model of the languages of docs, from a bounded sample of them."""
+    """A model of the languages of docs, from a bounded sample of their distinct texts: those of each language with the
+    least hashes. Repeats of a text count once, so that they crowd out no other text and no language."""
     usable = docs.filter(F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= settings.most_chars))
-    usable = usable.select(F.pmod(F.xxhash64(doc_id, text), F.lit(1 << 31)).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.most_langs).collect()
+    usable = usable.select(F.pmod(F.xxhash64(text), F.lit(1 << 31)).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("distinct")).orderBy(F.desc("n"), "lang").limit(settings.most_langs).collect()
     if not counts:
         return Model([], [], settings)
-    # about twice as many rows of a language have a hash below its bound, whatever the number of tasks; then exactly so many
-    bounds = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1 << 31, -(-2 * settings.per_lang * (1 << 31) // r["count"]))).cast("bigint"))])
-    near = usable.filter(F.col("h") < F.try_element_at(bounds, F.col("lang")))
+    # about twice as many texts of a language have a hash below its bound, whatever the number of tasks; then exactly so many
+    bounds = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1 << 31, -(-2 * settings.per_lang * (1 << 31) // max(r.distinct, 1)))).cast("bigint"))])
+    near = usable.filter(F.col("h") < F.try_element_at(bounds, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     sample = near.withColumn("place", place).filter(F.col("place") <= settings.per_lang)
     rows = sorted((r.lang, r.place, r.text) for r in sample.select("lang", "place", "text").collect())

@@ -476,3 +476,49 @@ def test_filtered_documents_keep_clashing_columns(spark):
     text = " ".join(f"word{k}" for k in range(60))
     docs = spark.createDataFrame([(1, text, "en", "a", 5), (2, "short", "en", "a", 6)], "doc_id int, text string, lang string, source string, n_words int")
     assert [(r.doc_id, r.n_words) for r in quality_rules.filter_documents(docs).collect()] == [(1, 5)]
+
+
+# ---- results that must not change with repeats
+
+
+def test_repeats_crowd_out_no_language(spark):
+    """20,000 copies of one Spanish text beside 60 German and 60 English ones: Spanish is learned, whatever the text is."""
+    for k in range(3):
+        spanish = spark.range(20_000).select("id", F.lit(f"el perro grande corre por la calle número {k}").alias("text"), F.lit("es").alias("lang"))
+        others = spark.range(120).select((F.col("id") + 30_000).alias("id"), F.concat(F.lit("der und das ist nicht the of and "), "id").alias("text"), F.when(F.col("id") < 60, "de").otherwise("en").alias("lang"))
+        model = string_kernel.fit(spanish.union(others).withColumnRenamed("id", "doc_id"))
+        assert model.langs == ["de", "en", "es"]
+
+
+def test_repeats_of_one_page_give_a_model(spark):
+    page = "<html><body><ul class='menu'><li><a href='#'>Home</a></li></ul><article><h1>Title</h1><p>The council met on Monday and spoke at length.</p></article><footer>Imprint</footer></body></html>"
+    pages = spark.range(20_000).select(F.col("id").alias("page_id"), F.lit(page).alias("html"))
+    model = html_blocks.fit(pages)
+    assert model is not None
+    assert html_blocks.main_texts([page], model) == ["Title\n\nThe council met on Monday and spoke at length."]
+
+
+def test_limits_differ_between_groups(spark, sf_dir):
+    """On the tables, with groups of a hundred: quartiles and tails set most limits, not the least spreads."""
+    measures = quality_rules.measured(spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/documents.parquet").select("doc_id", "text", "lang", "source")).drop("text")
+    rows = quality_rules.limits(quality_rules.sketches(measures), least=100).collect()
+    own, floors = 0, 0
+    for name, r in ((f"{r.name}_{side}", r) for r in quality_rules.RATIOS for side in (("most", "least") if r.low else ("most",))):
+        values = {round(x[name], 6) for x in rows}
+        own += len(values) > len(rows) / 4
+        floors += sum(abs(x[name]) <= r.spreads * r.least_spread * 1.001 for x in rows)
+    assert own >= 3 and floors <= 2 * len(rows)
+
+
+def test_items_that_say_too_little(spark):
+    docs = spark.createDataFrame([(1, "well yes that is a long text about nothing at all " * 3), (2, "so he said: the river runs north. Yes it does.")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "Yes."), (2, "Is it? Yes."), (3, "The river runs north. Yes it does.")], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == {(2, 3)}
+
+
+def test_items_of_one_id_are_spread_over_rounds(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "INDEX_CHARS", 400)
+    items = [(None, f"question number q{k} about thing t{k} in place p{k}? the answer is a{k} for sure b{k}.") for k in range(30)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    sizes = [len(x.items) for x, several in decontaminate._indexes(bench, "item_id", "text", decontaminate.Settings()) if several]
+    assert len(sizes) > 3 and max(sizes) < 15 and sum(sizes) == 30
