@@ -154,6 +154,11 @@ def map_fields(df: DataFrame, spec: dict[str, str], row: Row = Row(), keep: tupl
     return df.select(*keep, F.inline(F.array(fields)))
 
 
+def destined(spec: dict[str, str], dest_type: str) -> dict[str, str]:
+    """The spec with another destination, where a feed names its own."""
+    return spec | {"dest_type": dest_type}
+
+
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col("reject").isNull()).drop("reject"), df.filter(F.col("reject").isNotNull())
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import shard_of, week_slot
@@ -49,6 +49,11 @@ def route_write(root: str, routes: dict[str, str], by: str = "dest_type", partit
     return write
 
 
+def route_stored(spark: SparkSession, root: str) -> DataFrame:
+    """All rows that route_write has put, with their `target`; each batch is there once."""
+    return spark.read.parquet(root).drop("batch")
+
+
 @dataclass(frozen=True)
 class Subscriber:
     name: str

@@ -50,13 +50,13 @@ def with_context(lines: DataFrame, context: int = 8, block: int = 100_000) -> Da
     return both.withColumn("context", F.array_join(F.collect_list("message").over(before), "\n")).filter("is_own = 1").drop("block", "is_own", "place")
 
 
-def error_log_stats(lines: DataFrame, now_s: int, marker: str, level: str = "ERROR", last_s: int = 600, context: int = 8, block: int = 100_000, context_s: int = 86_400) -> DataFrame:
+def error_log_stats(lines: DataFrame, now_s: int, marker: str, level: str = "ERROR", last_s: int = 600, context: int = 8, block: int = 100_000, context_s: int | None = None) -> DataFrame:
     """Error lines of the last seconds that hold a marker: their number by host, and the first with the lines before it.
 
-    lines: host, line_no, ts (s), level, message. A context goes back context_s seconds before those at most, so that
-    older lines are dropped before any are sorted.
+    lines: host, line_no, ts (s), level, message. context_s: if given, older lines than so many seconds before those are
+    dropped before any are sorted, and a context ends there.
     """
-    recent = lines.filter(F.col("ts") > now_s - last_s - context_s)
+    recent = lines if context_s is None else lines.filter(F.col("ts") > now_s - last_s - context_s)
     found = with_context(recent, context, block)
     found = found.filter((F.col("level") == level) & F.col("message").contains(marker) & (F.col("ts") > now_s - last_s))
     return found.groupBy("host").agg(F.count(F.lit(1)).alias("n_errors"), F.min_by("context", "line_no").alias("first_context"))

@@ -108,14 +108,18 @@ _MERGED = f"""{s.with_(s.UNIFIED)}, k AS (SELECT {s.stamp("date_trunc('day', ts)
 
 @query("kpi_merge", _MERGED)
 def kpi_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of the first half of each hour merged with those of the second; visitors within 3 % of the exact number."""
+    """Totals of the first half of each hour merged with those of the second; visitors just those of a sketch of both halves
+    in one go, and within 3 % of the exact number."""
     rows = a.unified(spark, sf_dir)
     early, late = rows.filter("minute(ts) < 30"), rows.filter("minute(ts) >= 30")
     merged = kpi.kpi_merge(kpi.item_kpi(early, "day", sketch=True), kpi.item_kpi(late, "day", sketch=True))
-    exact = kpi.item_kpi(rows, "day").select("bucket", "seller_id", "item_id", F.col("iuv").alias("x"), F.col("auv").alias("y"))
-    close = lambda c, e: F.abs(F.col(c) - F.col(e)) <= F.greatest(F.lit(1.0), 0.03 * F.col(e))
-    joined = merged.join(exact, ["bucket", "seller_id", "item_id"])
-    return joined.select(stamp("bucket"), "seller_id", "item_id", *kpi.ADDITIVE, close("iuv", "x").alias("iuv_close"), close("auv", "y").alias("auv_close"))
+    keys = ["bucket", "seller_id", "item_id"]
+    exact = kpi.item_kpi(rows, "day").select(*keys, F.col("iuv").alias("x"), F.col("auv").alias("y"))
+    # one union of all sketches that a merge could take in, in another order
+    once = kpi.union_of_hours(kpi.item_kpi(rows, "hour", sketch=True)).select(*keys, F.col("iuv").alias("x1"), F.col("auv").alias("y1"))
+    close = lambda c, e, o: (F.abs(F.col(c) - F.col(e)) <= F.greatest(F.lit(1.0), 0.03 * F.col(e))) & (F.col(c) == F.col(o))
+    joined = merged.join(exact, keys).join(once, keys)
+    return joined.select(stamp("bucket"), "seller_id", "item_id", *kpi.ADDITIVE, close("iuv", "x", "x1").alias("iuv_close"), close("auv", "y", "y1").alias("auv_close"))
 
 
 _STATE = f"""{s.with_(s.UNIFIED)}, k AS (SELECT {s.stamp("date_trunc('day', ts)")} AS bucket, seller_id, item_id, {s.KPI} FROM rows_ GROUP BY ALL)
@@ -680,6 +684,45 @@ def map_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select(F.col("order_id").cast("bigint").alias("order_id"), "seller_id", "buyer_id", "auction_id", "auction_price", "buy_amount", "discount_fee", "is_main", "biz_type", "order_modified_t", "db_action")
 
 
+def _row_of(places: dict[int, F.Column]) -> F.Column:
+    """A row of a feed with some fields, by position."""
+    return F.concat_ws(a.LIST, *[F.coalesce(places[k].cast("string"), F.lit("")) if k in places else F.lit("") for k in range(1, max(places) + 1)])
+
+
+def _feed(rows: DataFrame, head: list[str], row: F.Column, spec: dict[str, str], shown: tuple[str, str, str, str]) -> DataFrame:
+    fields = rows.select(F.array(*[F.lit(h) for h in head], row).alias("fields"))
+    mapped = mapping.map_fields(fields, spec)
+    return mapped.select("log_src", *[F.col(c).cast("string").alias(n) for c, n in zip(shown, ("id", "first", "second", "third"), strict=True)], "reject")
+
+
+@query(
+    "map_feeds",
+    """SELECT 'order_0000' AS log_src, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey % 1000 * 100 AS VARCHAR) AS first, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS second, o_orderstatus AS third, CAST(NULL AS VARCHAR) AS reject FROM orders
+    UNION ALL SELECT 'member_cart', CASE WHEN l_partkey % 40 <> 0 THEN CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) END, CAST(l_partkey AS VARCHAR), CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), CAST(l_linenumber AS VARCHAR), CASE WHEN l_partkey % 40 = 0 THEN 'cart_id' END FROM lineitem
+    UNION ALL SELECT 'collect_info', CAST(c_custkey AS VARCHAR), CAST(c_custkey * 7 AS VARCHAR), CAST(c_nationkey AS VARCHAR), c_mktsegment, NULL FROM customer
+    UNION ALL SELECT 'browse_log', url, 'u' || page_id, 'c' || (page_id % 9), '中 ' || page_id, NULL FROM pages""",
+)
+def map_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feeds of settlements, carts, favourites and page views, each by its own mapping; some carts can't be read."""
+    orders_, lines, customers, pages = (a.table(spark, sf_dir, t_) for t_ in ("orders", "lineitem", "customer", "pages"))
+    c, now = F.col, "1700000000000:1"
+    settled = _row_of({2: c("o_orderkey"), 7: c("o_orderstatus"), 14: c("o_totalprice"), 33: c("o_custkey"), 35: c("o_custkey"), 38: c("o_orderkey") % 1000, 47: F.lit("track")})
+    cart = F.when(c("l_partkey") % 40 == 0, F.lit("bad").cast("string")).otherwise((c("l_orderkey") * 10 + c("l_linenumber")).cast("string"))
+    carts = _row_of({1: cart, 2: c("l_suppkey"), 3: c("l_partkey"), 4: c("l_quantity").cast("bigint"), 5: c("l_orderkey"), 6: c("l_linenumber"), 7: F.lit(1), 8: F.lit(2), 9: F.lit("x"), 10: F.lit("y"), 13: F.lit(3)})
+    liked = _row_of({2: c("c_custkey"), 4: F.lit("x"), 8: F.lit("y"), 12: F.lit(1), 15: F.lit(2), 18: c("c_nationkey"), 19: c("c_mktsegment"), 21: F.lit(4), 31: F.lit("0"), 32: c("c_custkey") * 7, 38: F.lit("\\N")})
+    k = c("page_id").cast("string")
+    raw = F.struct(F.concat(F.lit("u"), k).alias("uid"), c("url").alias("url"), k.alias("sid"), F.concat(F.lit("c"), (c("page_id") % 9).cast("string")).alias("cna"), F.concat(F.lit("%u4E2D%20"), k).alias("title"), F.lit("").alias("pre"), F.lit("agent").alias("useragent"))
+    viewed = mapping.map_fields(pages.select(F.array(F.lit("")).alias("fields"), raw.alias("raw")), mapping.PAGE_VIEW)
+    viewed = viewed.select("log_src", c("url").alias("id"), c("uid").alias("first"), c("mid").alias("second"), c("title").alias("third"), "reject")
+    head = [now, "db", "t", "time", "insert"]
+    return (
+        _feed(orders_, head, settled, mapping.SETTLEMENT, ("trade_no", "auction_price", "actual_total_fee", "trade_status"))
+        .unionAll(_feed(lines, head, carts, mapping.CART, ("cart_id", "item_id", "quantity", "status")))
+        .unionAll(_feed(customers, [now, "db", "insert", "time"], liked, mapping.FAVOURITE, ("user_id", "item_id", "item_category", "item_title")))
+        .unionAll(viewed)
+    )
+
+
 @query("reject_bad_rows", f"{_LINES} SELECT 'buy_amount' AS reject, count(*) AS n FROM good WHERE NOT deleted AND bad")
 def reject_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.split_rejects(_mapped(spark, sf_dir))[1].groupBy("reject").agg(F.count(F.lit(1)).alias("n"))
@@ -795,10 +838,12 @@ def src_prior_item_kpi_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src_header_delimited", f"{s.with_(s.ORDERS)} SELECT event_id AS order_id, fee, is_pay, CAST(NULL AS VARCHAR) AS missing FROM biz")
 def src_header_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text columns cast to a target schema, as the reader of headed files does after reading them."""
-    raw = a.order_flow(spark, sf_dir).select(F.col("event_id").cast("string").alias("order_id"), F.col("fee").cast("string").alias("fee"), F.col("is_pay").cast("string").alias("is_pay"))
+    """Order rows written as files whose first line names the columns, and read back as a target schema has them."""
+    path = _scratch(spark, "src_header_delimited")
+    text = [F.col(c).cast("string").alias(name) for c, name in (("event_id", "order_id"), ("fee", "fee"), ("is_pay", "is_pay"))]
+    a.order_flow(spark, sf_dir).select(*text).write.csv(path, header=True, sep="\x01")
     schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("fee", T.LongType()), T.StructField("is_pay", T.IntegerType()), T.StructField("missing", T.StringType())])
-    return logs.typed(raw, schema)
+    return logs.read_header_delimited(spark, path, schema)
 
 
 @query("expr_price_cent", "SELECT o_orderkey AS order_id, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, CAST(trunc(o_totalprice) AS BIGINT) * 100 AS legacy FROM orders")
@@ -858,7 +903,13 @@ def expr_field3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_route", f"{s.with_(s.FLOW)} SELECT CASE WHEN dest_type = 'browse' THEN 'views' END AS target, count(*) AS n FROM flow WHERE dest_type = 'browse' GROUP BY 1")
 def sink_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.routed(a.flow(spark, sf_dir), {"browse": "views", "cart": "carts"}).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    """Page views put by the sink into the tables of their types, one batch twice, and read back."""
+    path = _scratch(spark, "sink_route")
+    write = sinks.route_write(path, {"browse": "views", "cart": "carts"})
+    rows = a.flow(spark, sf_dir).select("event_id", "dest_type", F.to_date("ts").cast("string").alias("dt"))
+    for batch, part in ((0, rows.filter("event_id % 2 = 0")), (1, rows.filter("event_id % 2 = 1")), (1, rows.filter("event_id % 2 = 1"))):
+        write(part, batch)
+    return sinks.route_stored(spark, path).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("sink_salted_key", f"{s.with_(s.FLOW)}, i AS (SELECT event_id, ts_ms, {_IDENTITY} FROM flow) SELECT event_id, puid, CAST(ts_ms // 1000 % 604800 AS INTEGER) AS slot, true AS in_range FROM i WHERE puid IS NOT NULL AND puid NOT IN (':', ':-')")
@@ -1139,6 +1190,17 @@ def st_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.groupBy(F.col("batch").alias("run"), F.to_date("ts").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("st_throughput", "SELECT count(*) AS n_rows, true AS has_rates, false AS stalled FROM events")
+def st_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listener hears of a stream that reads all events: rows, rates of its batches, and no stall."""
+    heard = streams.Throughput()
+    with streams.watched(spark, heard):
+        streams.drained(_events(spark, sf_dir).select("event_id"), _scratch(spark, "st_throughput"))
+        stalled = bool(heard.stalled())
+    rates = [r for own in heard.seen_rates.values() for r in own]
+    return spark.createDataFrame([(sum(heard.rows.values()), any(r > 0 for r in rates), stalled)], "n_rows bigint, has_rates boolean, stalled boolean")
+
+
 @query("st_late_drop", f"{s.with_(s.ORDERS)} SELECT event_id FROM biz WHERE ts >= TIMESTAMP '{DAY}'")
 def st_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule for late orders, which holds for streams and batches alike."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,8 @@ class Throughput(StreamingQueryListener):
 
     def __init__(self, alert_after: int = 5) -> None:
         self.rates: dict[str, list[float]] = {}
+        self.rows: dict[str, int] = {}  # read so far, also by queries that have ended
+        self.seen_rates: dict[str, list[float]] = {}
         self.alert_after = alert_after
 
     def onQueryStarted(self, event) -> None:
@@ -99,6 +102,8 @@ class Throughput(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         self.rates.setdefault(str(event.progress.id), []).append(event.progress.processedRowsPerSecond or 0.0)
+        self.seen_rates.setdefault(str(event.progress.id), []).append(event.progress.processedRowsPerSecond or 0.0)
+        self.rows[str(event.progress.id)] = self.rows.get(str(event.progress.id), 0) + event.progress.numInputRows
 
     def onQueryIdle(self, event) -> None:
         self.rates.setdefault(str(event.id), []).append(0.0)
@@ -110,6 +115,17 @@ class Throughput(StreamingQueryListener):
         return [k for k, v in self.rates.items() if len(v) >= self.alert_after and not any(v[-self.alert_after :])]
 
 
+@contextlib.contextmanager
+def watched(spark: SparkSession, listener: StreamingQueryListener) -> Iterator[None]:
+    """Queries that run within are listened to; what they have said by the end has been heard."""
+    spark.streams.addListener(listener)
+    try:
+        yield
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def stream_of(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
     """A Parquet table, a folder or a single file, as a stream. A pattern, as a stream takes no single file's path.
 
