@@ -10,7 +10,11 @@
    it hangs together with; pairs themselves never become rows, however large a group of near copies is.
    Before that, members of a bucket with more than a block's are compared with a pivot each. Those that lie so near to
    one that they must be linked to each other form a ball: their links are counted, not compared, and within a ball no
-   blocks meet. So a cluster of near copies is shuffled about once, however large it is; blocks remain for the rest.
+   blocks meet. So a cluster of near copies is shuffled about once, however large it is.
+   Members of hot buckets that share much without being near copies, such as pages of one template, would still meet in
+   every pair of blocks. Where that sends more sets, they are filed under their rarest n-grams instead: of a set of n,
+   the n - 0.8 n + 1 rarest must hold one of any partner's. Only members under one n-gram are compared, so texts that
+   have the template alone in common never meet. Both ways find every pair; the cheaper one is taken by counts.
 4. Groups are the connected components of the links, found by rounds of joins on these star-shaped links.
 
 Rows: a text with one to four words is one n-gram of all its words; one without words has none, and no links. Rows
@@ -37,6 +41,12 @@ RECALL = 0.999
 #: Members of a bucket, and n-grams of them, that one side of a comparison has, about.
 BLOCK = 256
 BLOCK_GRAMS = 500_000
+#: Copies of a member's set, on average, beyond which another way than blocks is weighed for the members of a pivot.
+COPIES = 8
+#: Counters of n-grams, by hash: 4 MB in each task. n-grams that share one are taken for equally common.
+COUNTERS = 1 << 20
+#: Stands for a ball in buckets: members that are compared under their rarest n-grams. No pivot has this id.
+FILED = -(1 << 63)
 #: Members of a bucket that its pivot's n-grams are taken from; what is linked does not depend on them.
 PIVOT_SAMPLE = 16
 SEED = 20240229
@@ -94,27 +104,42 @@ def _signatures(docs: DataFrame, bands: int, rows: int, words: int) -> DataFrame
     return docs.mapInArrow(run, "doc bigint, k1 bigint, k2 bigint, keys array<bigint>, n bigint")
 
 
-def _with_grams(members: DataFrame, words: int) -> DataFrame:
-    """One row for each place of a class: its full n-gram set goes along."""
+def rarest(grams: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """A set's rarest n-grams, the rarest first: so many that of two sets at the threshold both hold the rarest common one."""
+    order = np.lexsort((grams, counts[_counter(grams, len(counts))]))
+    return grams[order[: len(grams) - math.ceil(threshold * len(grams) - 1e-6) + 1]]
+
+
+def _counter(grams: np.ndarray, counters: int) -> np.ndarray:
+    return (mixed(grams) % np.uint64(counters)).astype(np.int64)
+
+
+def _with_grams(members: DataFrame, words: int, counts: np.ndarray, threshold: float) -> DataFrame:
+    """One row for each place of a class: its full n-gram set goes along, and its n-grams rarer than the place's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "p", "q", "side", "doc", "band", "ball", "keys", "grams"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        names = ["bucket", "p", "q", "side", "doc", "band", "ball", "keys", "grams", "rarer"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         for batch in batches:
             out: list[tuple] = []
             size = 0
             for row in range(batch.num_rows):
                 doc, text, keys, places = (c[row].as_py() for c in batch.columns)
-                grams = ngrams(text, words).tobytes()
-                own = np.array(keys, np.int64).tobytes()
+                found = ngrams(text, words)
+                grams, own = found.tobytes(), np.array(keys, np.int64).tobytes()
+                rare = rarest(found, counts, threshold) if any(place["band"] < 0 for place in places) else found[:0]
+                at = {gram: k for k, gram in enumerate(rare.view(np.int64).tolist())}
                 for place in places:
-                    out.append((place["bucket"], place["p"], place["q"], place["side"], doc, place["band"], place["ball"], own, grams))
-                    if (size := size + len(grams) + len(own)) > 1 << 23:
+                    if place["band"] < 0 and place["bucket"] not in at:  # another text of this id is filed there
+                        continue
+                    rarer = rare[: at[place["bucket"]]].tobytes() if place["band"] < 0 else b""
+                    out.append((place["bucket"], place["p"], place["q"], place["side"], doc, place["band"], place["ball"], own, grams, rarer))
+                    if (size := size + len(grams) + len(own) + len(rarer)) > 1 << 23:
                         yield _batch(out, names, kinds)
                         out, size = [], 0
             yield _batch(out, names, kinds)
 
-    return members.mapInArrow(run, "bucket bigint, p int, q int, side int, doc bigint, band int, ball bigint, keys binary, grams binary")
+    return members.mapInArrow(run, "bucket bigint, p int, q int, side int, doc bigint, band int, ball bigint, keys binary, grams binary, rarer binary")
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -122,15 +147,16 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of left x right have a Jaccard similarity of at least the threshold; exact."""
-    sizes = np.array([len(s) for s in sets])
+def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements the sets of each pair of left x right have in common."""
+    both = np.zeros((len(left), len(right)), np.float32)
     _, ids, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    common = np.cumsum(counts > 1) - 1  # columns: n-grams that two sets or more have
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    if not len(ids):
+        return both
+    column = np.cumsum(counts > 1) - 1  # columns: n-grams that two sets or more have
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     use = counts[ids] > 1
-    ids, owner = common[ids[use]], owner[use]
-    both = np.zeros((len(left), len(right)), np.float32)
+    ids, owner = column[ids[use]], owner[use]
     order = np.argsort(ids, kind="stable")
     ids, owner = ids[order], owner[order]
     width = 4096
@@ -139,6 +165,13 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshol
         has = np.zeros((len(sets), width), np.float32)
         has[owner[lo:hi], ids[lo:hi] - first] = 1
         both += has[left] @ has[right].T
+    return both
+
+
+def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of left x right have a Jaccard similarity of at least the threshold; exact."""
+    sizes = np.array([len(s) for s in sets])
+    both = common(sets, left, right)
     union = sizes[left][:, None] + sizes[right][None, :] - both
     return both >= threshold * union - 1e-6
 
@@ -161,10 +194,11 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
         inside = np.array([m[4] is not None for m in members])  # links within a ball are known
         ball = np.array([m[4] or 0 for m in members])
         hit &= ~((ball[left][:, None] == ball[right][None, :]) & inside[left][:, None] & inside[right][None, :])
+        if band < 0:  # filed under n-grams: such pairs are compared under a rarer one
+            hit &= common([np.frombuffer(m[5], np.uint64) for m in members], left, right) == 0
         for k in range(band):  # such pairs are compared in an earlier bucket
             hit &= keys[left, k][:, None] != keys[right, k][None, :]
-        if p == q:
-            hit &= ~np.eye(len(docs), dtype=bool)
+        hit &= docs[left][:, None] != docs[right][None, :]
         n = np.bincount(left, hit.sum(axis=1), len(docs)).astype(np.int64)
         if p != q:
             n += np.bincount(right, hit.sum(axis=0), len(docs)).astype(np.int64)
@@ -182,35 +216,40 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
         at, members, out = None, [], []
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            for bucket, p, q, side, doc, band, ball, keys, grams in zip(*columns, strict=True):
-                if (bucket, p, q) != at:
+            for bucket, p, q, side, doc, band, ball, keys, grams, rarer in zip(*columns, strict=True):
+                if (bucket, band, p, q) != at:
                     if at:
-                        out += group(members, at[1], at[2], last)
-                    at, members = (bucket, p, q), []
-                last = band
-                members.append((side, doc, keys, grams, ball))
+                        out += group(members, at[2], at[3], at[1])
+                    at, members, seen = (bucket, band, p, q), [], set()
+                if (doc, hash(grams)) not in seen:  # a repeated row counts once
+                    seen.add((doc, hash(grams)))
+                    members.append((side, doc, keys, grams, ball, rarer))
             yield _batch(out, names, kinds)
             out = []
         if at:
-            yield _batch(group(members, at[1], at[2], last), names, kinds)
+            yield _batch(group(members, at[2], at[3], at[1]), names, kinds)
 
-    placed = rows.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "side", "doc")
+    placed = rows.repartition("bucket", "band", "p", "q").sortWithinPartitions("bucket", "band", "p", "q", "side", "doc")
     return placed.mapInArrow(run, "doc bigint, n bigint, root bigint")
 
 
-def _balls(pairs: DataFrame, hot: DataFrame, threshold: float, words: int) -> DataFrame:
-    """rep, ball, n_ball, root for members of hot buckets (rep, bucket) that lie so near to one set of n-grams that they
+def _pivots(hot: DataFrame) -> DataFrame:
+    """rep, pivot for members of hot buckets (rep, bucket). A bucket's pivot is its member with the least hash; a member
+    takes the least pivot of its buckets, so that near copies agree on one."""
+    mine = F.struct(F.xxhash64("rep").alias("h"), "rep")
+    pivots = cut(hot.filter(F.col("rep") != F.lit(FILED)).groupBy("bucket").agg(F.min(mine).alias("p")), "pivots")
+    return cut(hot.join(pivots, "bucket").groupBy("rep").agg(F.min("p").alias("p")).select("rep", F.col("p.rep").alias("pivot")), "pivot_of")
+
+
+def _balls(pairs: DataFrame, of: DataFrame, threshold: float, words: int) -> DataFrame:
+    """rep, ball, n_ball, root for members of hot buckets (rep, pivot) that lie so near to one set of n-grams that they
     are linked to each other: which ball, how many members it has, and the least of them.
 
-    A bucket's pivot is its member with the least hash; a member takes the least pivot of its buckets, so that near
-    copies agree on one. The pivot's set are the n-grams that more than half of some members have (PIVOT_SAMPLE of
+    The pivot's set are the n-grams that more than half of some members have (PIVOT_SAMPLE of
     them; any set would do, a central one gives larger balls). Let p be its size, n a member's, a the n-grams of the
     pivot that it lacks. Two members share p - a - a' n-grams at least, so they reach the threshold t if t n + (1 + t) a
     is at most (1 + t) p / 2 for both. One comparison a member settles what would take one for each pair of them.
     """
-    mine = F.struct(F.xxhash64("rep").alias("h"), "rep")
-    pivots = cut(hot.groupBy("bucket").agg(F.min(mine).alias("p")), "pivots")
-    of = cut(hot.join(pivots, "bucket").groupBy("rep").agg(F.min("p").alias("p")).select("rep", F.col("p.rep").alias("pivot")), "pivot_of")
     texts = pairs.select(F.col("doc").alias("rep"), "text")
     place = F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("rep", F.lit(1)), "rep"))
     some = of.withColumn("place", place).filter(F.col("place") <= PIVOT_SAMPLE).join(texts, "rep")
@@ -242,13 +281,99 @@ def _balls(pairs: DataFrame, hot: DataFrame, threshold: float, words: int) -> Da
 
 
 def _layout(members: DataFrame) -> DataFrame:
-    """For each hot bucket: its groups of blocks. A ball with a block's members or more there has blocks of its own,
-    which are not compared with each other; all other members share the rest. A bucket of one ball is left out."""
+    """For each bucket of members (rep, n, bucket, ball): its groups of blocks, and the number of blocks. A ball with a
+    block's members or more there has blocks of its own, which are not compared with each other; all other members share
+    the rest. A bucket of one member or one ball is left out."""
     sizes = members.groupBy("bucket", "ball").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"))
     own = F.when(F.col("m") >= BLOCK, F.col("ball")).alias("g")
-    groups = sizes.select("bucket", own, "m", "grams").groupBy("bucket", "g").agg(F.sum("m").alias("m"), F.sum("grams").alias("grams"))
-    listed = groups.select("bucket", F.struct("g", _blocks().alias("k")).alias("group")).groupBy("bucket").agg(F.sort_array(F.collect_list("group")).alias("groups"))
-    return listed.filter((F.size("groups") > 1) | F.get("groups", F.lit(0))["g"].isNull())
+    several = F.when(F.col("ball").isNull(), F.col("m")).otherwise(1).alias("sets")
+    groups = sizes.select("bucket", own, "m", "grams", several).groupBy("bucket", "g").agg(F.sum("m").alias("m"), F.sum("grams").alias("grams"), F.sum("sets").alias("sets"))
+    listed = groups.select("bucket", "sets", F.struct("g", _blocks().alias("k")).alias("group")).groupBy("bucket").agg(F.sort_array(F.collect_list("group")).alias("groups"), F.sum("sets").alias("sets"))
+    return _numbered(listed.filter("sets > 1"))
+
+
+def _numbered(layout: DataFrame) -> DataFrame:
+    """The groups (g, k) of each bucket with their first block's number, and the number of all blocks."""
+    upto = lambda i: F.aggregate(F.slice("groups", F.lit(1), i), F.lit(0), lambda n, x: n + x["k"])
+    return layout.select("bucket", F.transform("groups", lambda x, i: F.struct(x["g"].alias("g"), x["k"].alias("k"), upto(i).alias("first"))).alias("groups"), upto(F.size("groups")).alias("all"))
+
+
+def _placed(members: DataFrame, layout: DataFrame) -> DataFrame:
+    """members (rep, bucket, ball) with mine, the group of blocks they are in there, and copies, how many blocks they meet."""
+    among = lambda test: F.get(F.filter("groups", test), F.lit(0))
+    mine = F.coalesce(among(lambda x: x["g"] == F.col("ball")), among(lambda x: x["g"].isNull()))
+    apart = F.when(F.col("mine.g").isNotNull(), F.col("mine.k")).otherwise(0)
+    return members.join(layout, "bucket").withColumn("mine", mine).withColumn("copies", F.col("all") - apart)
+
+
+def _places(placed: DataFrame) -> DataFrame:
+    """rep, place: one row for each block that a member meets. placed has its band, too."""
+    blocks = placed.withColumn("own", F.col("mine.first") + F.pmod(F.xxhash64("rep", "bucket"), F.col("mine.k")).cast("int"))
+    known = lambda o: F.col("mine.g").isNotNull() & (o >= F.col("mine.first")) & (o < F.col("mine.first") + F.col("mine.k"))
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("all") - 1), lambda o: ~known(o))).alias("other")
+    split = blocks.select("rep", "bucket", "band", "ball", "own", other)
+    return split.select("rep", F.struct("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "band", "ball").alias("place"))
+
+
+def _counts(members: DataFrame, words: int) -> np.ndarray:
+    """How often n-grams of members (text) occur, by COUNTERS counters: what reaches the driver has that bound."""
+    counters = COUNTERS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(counters, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                np.add.at(counts, _counter(ngrams(text.as_py(), words), counters), 1)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["counter", "n"])
+
+    rows = members.select("text").mapInArrow(run, "counter bigint, n bigint").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(counters, np.uint32)
+    counts[rows["counter"].to_numpy(np.int64)] = np.minimum(rows["n"].to_numpy(np.int64), np.iinfo(np.uint32).max)
+    return counts
+
+
+def _filed(pairs: DataFrame, of: DataFrame, balls: DataFrame, hot: DataFrame, threshold: float, words: int) -> tuple[DataFrame, DataFrame, np.ndarray] | None:
+    """Members of hot buckets (rep, n, bucket, ball) to compare under their rarest n-grams and not in blocks: their ids
+    (rep), their places, and the counts that rank n-grams. None if blocks cost less everywhere.
+
+    All members of a pivot go one way. Pairs of two such members are compared under n-grams alone, in whatever buckets
+    they are, so each is still compared once.
+    """
+    met = _placed(hot, _layout(hot)).join(of, "rep").groupBy("pivot").agg(F.sum("copies").alias("blocks"))
+    wide = cut(of.groupBy("pivot").count().join(met, "pivot").filter(F.col("blocks") > COPIES * F.col("count")).select("pivot", "blocks"), "wide")
+    if wide.isEmpty():
+        return None
+    members = of.join(wide.select("pivot"), "pivot").join(pairs.select(F.col("doc").alias("rep"), "text"), "rep")
+    counts = _counts(members, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            size = 0
+            for rep, pivot, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                grams = ngrams(text, words)
+                rare = rarest(grams, counts, threshold)
+                rare = rare[counts[_counter(rare, len(counts))] > 1]  # those that no other member has are left out
+                out.append((np.full((3, len(rare)), [[rep], [pivot], [len(grams)]], np.int64), rare.view(np.int64)))
+                if (size := size + len(rare)) > 1 << 18:
+                    yield listed(out)
+                    out, size = [], 0
+            if out:
+                yield listed(out)
+
+    def listed(out: list[tuple]) -> pa.RecordBatch:
+        columns = [*np.concatenate([o[0] for o in out], axis=1), np.concatenate([o[1] for o in out])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rep", "pivot", "n", "bucket"])
+
+    filed = members.select("rep", "pivot", "text").mapInArrow(run, "rep bigint, pivot bigint, n bigint, bucket bigint")
+    filed = cut(filed.join(balls.select("rep", "ball"), "rep", "left"), "filed")
+    placed = cut(_placed(filed, _layout(filed)).select("rep", "pivot", "bucket", "ball", "mine", "all", "copies"), "placed")
+    cost = placed.groupBy("pivot").agg(F.sum("copies").alias("grams"))
+    chosen = cut(wide.join(cost, "pivot", "left").filter(F.coalesce("grams", F.lit(0)) < F.col("blocks")).select("pivot"), "chosen")
+    if chosen.isEmpty():
+        return None
+    return cut(of.join(chosen, "pivot").select("rep"), "filed_reps"), placed.join(chosen, "pivot").withColumn("band", F.lit(-1)), counts
 
 
 def _blocks() -> Column:
@@ -294,23 +419,23 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     crowded = cut(place.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams")).filter("m > 1"), "crowded")
     k = _blocks()
     hot = cut(place.join(crowded.filter(k > 1).select("bucket"), "bucket", "left_semi").select("rep", "n", "bucket"), "hot")
-    balls = cut(_balls(pairs, hot.select("rep", "bucket"), threshold, words), "inside_balls")
-    of_hot = _layout(hot.join(balls.select("rep", "ball"), "rep", "left"))
+    of = _pivots(hot.select("rep", "bucket"))
+    balls = cut(_balls(pairs, of, threshold, words), "inside_balls")
+    apart, counts = balls.select("rep", "ball"), np.zeros(1, np.uint32)
+    filed = _filed(pairs, of, balls, hot.join(apart, "rep", "left"), threshold, words)
+    if filed:
+        apart = cut(apart.join(filed[0], "rep", "left_anti").unionByName(filed[0].withColumn("ball", F.lit(FILED))), "apart")
+        counts = filed[2]
+    of_hot = _layout(hot.join(apart, "rep", "left"))
     one = F.array(F.struct(F.lit(None).cast("bigint").alias("g"), k.alias("k")))
-    layout = cut(crowded.filter(k == 1).select("bucket", one.alias("groups")).unionByName(of_hot), "layout")
-    place = classes.select("rep", "n", "keys").join(balls.select("rep", "ball"), "rep", "left").select("rep", "ball", F.posexplode("keys").alias("band", "bucket"))
-    upto = lambda i: F.aggregate(F.slice("groups", F.lit(1), i), F.lit(0), lambda n, x: n + x["k"])
-    layout = layout.select("bucket", F.transform("groups", lambda x, i: F.struct(x["g"].alias("g"), x["k"].alias("k"), upto(i).alias("first"))).alias("groups"), upto(F.size("groups")).alias("all"))
-    among = lambda test: F.get(F.filter("groups", test), F.lit(0))
-    blocks = place.join(layout, "bucket").withColumn("mine", F.coalesce(among(lambda x: x["g"] == F.col("ball")), among(lambda x: x["g"].isNull())))
-    blocks = blocks.withColumn("own", F.col("mine.first") + F.pmod(F.xxhash64("rep", "bucket"), F.col("mine.k")).cast("int"))
-    known = lambda o: F.col("mine.g").isNotNull() & (o >= F.col("mine.first")) & (o < F.col("mine.first") + F.col("mine.k"))
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("all") - 1), lambda o: ~known(o))).alias("other")
-    split = blocks.select("rep", "bucket", "band", "ball", "own", other)
-    split = split.select("rep", F.struct("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "band", "ball").alias("place"))
+    layout = cut(_numbered(crowded.filter(k == 1).select("bucket", one.alias("groups"))).unionByName(of_hot), "layout")
+    place = classes.select("rep", "n", "keys").join(apart, "rep", "left").select("rep", "ball", F.posexplode("keys").alias("band", "bucket"))
+    split = _places(_placed(place, layout))
+    if filed:
+        split = split.unionByName(_places(filed[1]))
     places = split.groupBy("rep").agg(F.collect_list("place").alias("places"))
     members = pairs.join(places, pairs["doc"] == places["rep"]).join(classes.select("rep", "keys"), "rep")
-    rows = _compared(_with_grams(members.select("doc", "text", "keys", "places"), words), threshold)
+    rows = _compared(_with_grams(members.select("doc", "text", "keys", "places"), words, counts, threshold), threshold)
     rows = rows.unionByName(balls.select(F.col("rep").alias("doc"), (F.col("n_ball") - 1).alias("n"), "root"))
     found = cut(rows.groupBy("doc", "root").agg(F.sum("n").alias("n")))
 

@@ -104,6 +104,62 @@ def test_shuffle_of_a_hot_cluster_grows_with_it(spark, monkeypatch):
     assert shipped[1] <= 20 * max(shipped[0], 1_000)
 
 
+def templates(n, families=0, size=4, seed=9):
+    """Texts of 240 words that share 180: no links, but for families of near copies among them."""
+    rng = random.Random(seed)
+    page = [f"c{k}" for k in range(180)]
+    rows = []
+    for k in range(n):
+        if k >= families * size or k % size == 0:
+            own = [f"u{rng.randrange(10**9)}" for _ in range(60)]
+        else:
+            own = [*own[:30], f"v{k}", *own[31:]]
+        rows.append((k * 3 - 50, " ".join(page + own)))
+    return rows
+
+
+def shipped_sets(monkeypatch):
+    seen = []
+    plain = ngram_join._compared
+    monkeypatch.setattr(ngram_join, "_compared", lambda rows, threshold: seen.append({r.mode: r["count"] for r in rows.groupBy((rows.band < 0).alias("mode")).count().collect()}) or plain(rows, threshold))
+    return seen
+
+
+@pytest.mark.parametrize("block", [8, 32])
+def test_templates_equal_brute_force(spark, monkeypatch, block):
+    """Families within a template, a cluster of near copies and repeated rows, by n-grams and by blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "COPIES", 1)
+    seen = shipped_sets(monkeypatch)
+    rows = templates(400, families=30) + [(5000 + k, t) for k, t in one_cluster(100, 2)]
+    near = rows[0][1].split()
+    rows += [(7000 + k, " ".join([*near[:200], f"w{k}", *near[201:]])) for k in range(60)]  # a ball within the template
+    rows += rows[:9]
+    got, want = collected(ngram_join.similar(spark.createDataFrame(rows, "doc_id bigint, text string"), recall=0.999999)), brute_similar(rows)
+    assert got == want and seen[0].get(True)
+
+
+def test_shuffle_of_a_template_grows_with_it(spark, monkeypatch):
+    """Twice the pages of one template: twice the sets, about."""
+    seen = shipped_sets(monkeypatch)
+    for n in (4_000, 8_000):
+        got = ngram_join.similar(spark.createDataFrame(templates(n), "doc_id bigint, text string").repartition(4))
+        assert got.filter("n_links > 0").count() == 0
+    few, many = (sum(s.values()) for s in seen)
+    assert many <= 2.2 * max(few, 4_000), seen
+
+
+def test_rarest_ngrams_hold_one_in_common():
+    rng = np.random.default_rng(1)
+    counts = rng.integers(0, 9, 64).astype(np.uint32)
+    for n in range(1, 60):
+        a = np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64))
+        for lost in range(len(a)):
+            b = a[lost:]
+            if len(b) >= 0.8 * len(a):
+                assert set(ngram_join.rarest(a, counts, 0.8).tolist()) & set(ngram_join.rarest(b, counts, 0.8).tolist())
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.bands_and_rows(0.8, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 > 1 - (1 - 0.8**rows) ** (bands - 1)
