@@ -344,7 +344,9 @@ def _filed(pairs: DataFrame, of: DataFrame, balls: DataFrame, hot: DataFrame, th
     wide = cut(of.groupBy("pivot").count().join(met, "pivot").filter(F.col("blocks") > COPIES * F.col("count")).select("pivot", "blocks"), "wide")
     if wide.isEmpty():
         return None
-    members = of.join(wide.select("pivot"), "pivot").join(pairs.select(F.col("doc").alias("rep"), "text"), "rep")
+    # tables of their own: few members are then broadcast to the texts, and texts are shuffled once at most
+    ids = cut(of.join(wide.select("pivot"), "pivot"), "wide_members")
+    members = cut(ids.join(pairs.select(F.col("doc").alias("rep"), "text"), "rep"), "wide_texts")
     counts = _counts(members, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
