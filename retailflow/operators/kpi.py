@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ADDITIVE = ("pv", "tn", "atn", "an", "amt")
-#: Registers of a cardinality sketch: 2 ** 13.
-SKETCH_BITS = 13
+#: Registers of a cardinality sketch: 2 ** 16, whose standard error is 0.4 %, so that 3 % are seven of them. The reference's
+#: 2 ** 13 have 1.2 %, by which some of many groups are more than 3 % off. Below some 6,000 visitors a sketch is a list of them.
+SKETCH_BITS = 16
 MILESTONE = 1_000_000_000
 
 
@@ -46,8 +47,14 @@ def item_kpi(rows: DataFrame, unit: str, sketch: bool = False) -> DataFrame:
     return by_visitor.groupBy("bucket", "seller_id", "item_id").agg(*[F.sum(c).alias(c) for c in ADDITIVE], *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("iuv", "auv")])
 
 
+def estimate(sketch: Column | str) -> Column:
+    """The number of values in a sketch, from what it holds alone. One that was filled row by row also keeps an estimate that
+    depends on the order of the rows; the union with itself holds the same and drops that."""
+    return F.hll_sketch_estimate(F.hll_union(sketch, sketch))
+
+
 def with_estimates(df: DataFrame) -> DataFrame:
-    return df.withColumns({"iuv": F.hll_sketch_estimate("iuv_sketch"), "auv": F.hll_sketch_estimate("auv_sketch")})
+    return df.withColumns({"iuv": estimate("iuv_sketch"), "auv": estimate("auv_sketch")})
 
 
 def kpi_ratios(df: DataFrame, rounding: str = "trunc") -> DataFrame:
@@ -147,8 +154,9 @@ def shop_milestones(orders: DataFrame, base: int = MILESTONE, flush: str = "3 mi
 
 def uv_sketch(rows: DataFrame, keys: list[str], visitor: str = "visitor") -> DataFrame:
     """Exact distinct visitors by key beside the sketch's estimate."""
-    sketched = F.hll_sketch_estimate(F.hll_sketch_agg(visitor, F.lit(SKETCH_BITS)))
-    return rows.groupBy(*keys).agg(F.count_distinct(visitor).alias("uv"), sketched.alias("uv_estimate"))
+    once = rows.select(*keys, F.col(visitor).alias("__visitor")).distinct()  # else a sketch is made for each visitor of a key
+    sketched = once.groupBy(*keys).agg(F.count("__visitor").alias("uv"), F.hll_sketch_agg("__visitor", F.lit(SKETCH_BITS)).alias("__sketch"))
+    return sketched.select(*keys, "uv", estimate("__sketch").alias("uv_estimate"))
 
 
 def drop_late_orders(orders: DataFrame, day_start_ms: int) -> DataFrame:
