@@ -31,11 +31,17 @@ def tumbling(rows: DataFrame, size: str, sketch: bool = True) -> DataFrame:
 
 
 def children_with_parents(children: DataFrame, parents: DataFrame, within: str = PENDING) -> DataFrame:
-    """Child orders joined with parents at most so far apart in time; state for either side ends with the bound."""
-    c = children.withWatermark("ts", ORDER_LAG).alias("c")
-    p = parents.withWatermark("p_ts", ORDER_LAG).alias("p")
-    near = F.expr(f"p.parent_id = c.parent_id and p.p_ts between c.ts - interval {within} and c.ts + interval {within}")
-    return c.join(p, near).drop(F.col("p.parent_id"))
+    """Child orders joined with parents at most so far apart in time; state for either side ends with the bound.
+
+    within: seconds, minutes or hours. Times are cut into slots of that length, and the slot is part of the key, so that rows
+    are compared with those of three slots instead of all that wait: a child is in its slot, a parent in the three around its.
+    """
+    slot = lambda ts: F.expr(f"floor(unix_micros({ts}) / unix_micros(timestamp_seconds(0) + interval {within}))")
+    c = children.withWatermark("ts", ORDER_LAG).withColumn("__slot", slot("ts")).alias("c")
+    around = F.explode(F.sequence(slot("p_ts") - 1, slot("p_ts") + 1)).alias("__slot")
+    p = parents.withWatermark("p_ts", ORDER_LAG).select("*", around).alias("p")
+    near = F.expr(f"p.parent_id = c.parent_id and p.__slot = c.__slot and p.p_ts between c.ts - interval {within} and c.ts + interval {within}")
+    return c.join(p, near).drop(F.col("p.parent_id"), F.col("p.__slot"), F.col("c.__slot"))
 
 
 def visits(flow: DataFrame, lag: str = "1 day") -> DataFrame:

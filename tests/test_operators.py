@@ -237,3 +237,18 @@ def test_dimension_is_kept_when_empty(spark):
     state = [spark.range(2), spark.range(0)]
     dim = streams.Dimension(lambda: state.pop(0))
     assert dim.now().count() == 2 and dim.now().count() == 2
+
+
+def test_children_are_compared_with_parents_near_them(spark, tmp_path):
+    """4,000 children and parents of one order over 22 hours: the join's rows grow with the rows, not with their square."""
+    made = spark.range(8_000).selectExpr("id as event_id", "7L as parent_id", "timestamp_micros(id * 10000001 + 1704067200000000) as ts", "id % 2 = 1 as p")
+    made.coalesce(1).write.parquet(f"{tmp_path}/in")
+    rows = streams.stream_of(spark, f"{tmp_path}/in")
+    children = rows.filter("not p").select("event_id", "parent_id", "ts")
+    parents = streams.stream_of(spark, f"{tmp_path}/in").filter("p").selectExpr("parent_id", "ts as p_ts", "event_id as parent_event")
+    joined = streams.children_with_parents(children, parents, "20 seconds")
+    assert joined.columns == ["event_id", "parent_id", "ts", "p_ts", "parent_event"]
+    got = {(r.event_id, r.parent_event) for r in streams.drained(joined, str(tmp_path)).collect()}
+    assert got == {(e, e + d) for e in range(0, 8_000, 2) for d in (-1, 1) if e + d >= 0}
+    keys = spark.read.format("statestore").option("joinSide", "left").load(f"{tmp_path}/checkpoint").select("key").distinct().count()
+    assert keys > 5
