@@ -292,7 +292,9 @@ def join_parent_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_tables(spark: SparkSession, sf_dir: str, name: str) -> OrderTables:
     parents, children = _parents_and_children(spark, sf_dir)
-    tables = OrderTables(spark, _scratch(spark, name), buckets=8)
+    # lines are at least as many as children; their number is in the files' footers
+    rows = max(a.table(spark, sf_dir, t_).count() for t_ in ("orders", "lineitem"))
+    tables = OrderTables.of_rows(spark, _scratch(spark, name), rows)
     tables.write(parents=parents, children=children, payments=a.payments(spark, sf_dir))
     return tables
 
@@ -330,11 +332,13 @@ def latest_child(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def join_latest_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders joined with the most recent of two rows of each child; the second row of a child with an odd line is the later one."""
-    first = a.children(spark, sf_dir)
+    time = F.col("order_modified_t")
     moved = F.when(F.col("line_no") % 2 == 1, 86_400_000).otherwise(-86_400_000)
-    second = first.withColumns({"order_modified_t": F.col("order_modified_t") + moved, "pay_status": F.lit(3)})
+    # both rows of a child are made of one row, which is joined with its order once, and have the columns that are asked for
+    both = F.array(F.struct(time, "pay_status"), F.struct((time + moved).alias("order_modified_t"), F.lit(3).alias("pay_status")))
+    versions = a.children(spark, sf_dir).select("parent_id", "order_id", F.inline(both))
     parents = a.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
-    joined = orders.parents_with_latest_children(parents, first.unionByName(second))
+    joined = orders.parents_with_latest_children(parents, versions)
     return joined.select("parent_id", "order_id", F.col("p_status").alias("status"), "order_modified_t", "pay_status")
 
 

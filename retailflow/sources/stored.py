@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from ..functions.scalars import SHARDS, WEEK_SECONDS, adjust_end
 from . import logs
 
+#: Rows of a bucket, and the least number of buckets of tables that are laid out for so many rows.
+BUCKET_ROWS, LEAST_BUCKETS = 500_000, 8
+
 #: Slots of a range up to which a scan lists their folders alone; a longer range lists the table.
 LISTED_SLOTS = 1_000
 
@@ -129,6 +132,11 @@ class OrderTables:
 
     KEYS = {"parents": "order_id", "children": "parent_id", "payments": "order_id"}
 
+    @classmethod
+    def of_rows(cls, spark: SparkSession, path: str, rows: int) -> OrderTables:
+        """Tables with as many buckets as the largest of them needs: a bucket is read by one task, and is not to grow with the rows."""
+        return cls(spark, path, buckets=max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)))
+
     def write(self, **tables: DataFrame) -> None:
         """Each table sorted in its buckets, one file a bucket. Ids are kept as text, so that equal ones share a bucket."""
         for table, rows in tables.items():

@@ -69,3 +69,9 @@ def test_commands_run_in_a_query(spark, sf_dir, monkeypatch, command):
     monkeypatch.delitem(mapping.COMMANDS, command)
     with pytest.raises(ValueError, match=f"unknown command @{command}"):
         catalog.QUERIES[f"expr_{command}_places"](spark, sf_dir)
+
+
+def test_versions_of_children_are_made_of_one_join(spark, sf_dir):
+    """Each line is read and joined with its order once, and only the columns asked for are carried on."""
+    plan = catalog.QUERIES["join_latest_child"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") and plan.count("Relation [l_orderkey") == 1 and "l_extendedprice#" not in plan.replace(plan[plan.index("Relation [l_orderkey"):].split("]")[0], "")

@@ -210,3 +210,13 @@ def test_stored_queries_read_what_they_name(spark, sf_dir):
     assert "PartitionFilters: [isnotnull(slot_of_time" in plan
     joined = catalog._order_tables(spark, sf_dir, "test").parents_with_children()
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_grow_with_the_rows(spark, sf_dir, tmp_path, monkeypatch):
+    """No bucket of the queries' tables, which is a task, has much more than its rows."""
+    monkeypatch.setattr(stored, "BUCKET_ROWS", 300)
+    tables = catalog._order_tables(spark, sf_dir, "buckets")
+    sizes = tables.read("children").groupBy(F.input_file_name()).count().collect()
+    n = sum(r["count"] for r in sizes)
+    assert tables.buckets == -(-n // 300) and max(r["count"] for r in sizes) < 600
+    assert OrderTables.of_rows(spark, str(tmp_path), 0).buckets == 8
