@@ -10,7 +10,9 @@ matching anew from the last piece that the boundary cannot have touched, until a
 does; a piece that the boundary cuts is joined as tokens are.
 
 Texts without runs of blanks, which most are, need no such mending where a blank stands before a word: no piece goes over
-that place, whatever is around it. They are cut there, and each distinct chunk of some megabytes of text is encoded once.
+that place, whatever is around it. They are cut there, and each distinct chunk of some megabytes of text is encoded once. The trees of all pieces that are new
+among them are reduced together, level by level: a level's boundaries are mended at once, as arrays, and those whose window
+has to grow one by one.
 
 Decoding concatenates the bytes of both halves of a list of ids, down to leaves that a table gives at once.
 
@@ -21,8 +23,6 @@ Columns of the input are carried along; if they clash with the names of the new
 from __future__ import annotations
 
 import base64
-import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,7 +42,15 @@ LEAF_CHARS, LEAF_IDS = 1 << 14, 1 << 14
 LOOKED_AT = 3
 #: Texts longer than this many bytes are reduced as trees, whatever is in them.
 LONG_TEXT = 1 << 20
-_SHIFT = 24
+#: Bytes of a leaf of a piece where many pieces are encoded at once.
+LEAF_BYTES = 4
+_SHIFT, _NONE = 24, 1 << 62
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of some ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class Ranks:
@@ -67,16 +75,16 @@ class Ranks:
 def merged(data: bytes, rank: dict[bytes, int]) -> tuple[int, ...]:
     """Ids of a short byte string: the neighbours whose joint bytes have the least rank are merged first, leftmost first."""
     parts = [data[i : i + 1] for i in range(len(data))]
-    while len(parts) > 1:
-        least, at = None, -1
-        for i in range(len(parts) - 1):
-            r = rank.get(parts[i] + parts[i + 1])
-            if r is not None and (least is None or r < least):
-                least, at = r, i
-        if least is None:
-            break
+    ranks = [rank.get(data[i : i + 2], _NONE) for i in range(len(data) - 1)]
+    while ranks and (least := min(ranks)) < _NONE:
+        at = ranks.index(least)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return tuple(rank[p] for p in parts)
+        del ranks[at]
+        if at < len(ranks):
+            ranks[at] = rank.get(parts[at] + parts[at + 1], _NONE)
+        if at:
+            ranks[at - 1] = rank.get(parts[at - 1] + parts[at], _NONE)
+    return tuple([rank[p] for p in parts])
 
 
 class TokenTree:
@@ -135,6 +143,71 @@ class TokenTree:
             found = self.halves[data] = self.join(self.encode(data[: n // 2]), self.encode(data[n // 2 :]))
         return found
 
+    def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some byte strings by merges alone, one after the other, and how many each has. A piece's leaves are
+        numbered; at each level a node with an odd number is joined with the node before it."""
+        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        leaves = -(-n // LEAF_BYTES)
+        firsts = np.cumsum(leaves) - leaves
+        padded = np.zeros(int(leaves.sum()) * LEAF_BYTES, np.uint8)
+        padded[spread(firsts * LEAF_BYTES, n)] = np.frombuffer(b"".join(pieces), np.uint8)
+        number = spread(np.zeros(len(pieces), np.int64), leaves)
+        length = np.minimum(np.repeat(n, leaves) - number * LEAF_BYTES, LEAF_BYTES)
+        kinds, kind = np.unique(padded.view("<u4").astype(np.int64) * 8 + length, return_inverse=True)
+        coded = [self.encode((k >> 3).to_bytes(LEAF_BYTES, "little")[: k & 7]) for k in kinds.tolist()]
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids = np.array([t for ids in coded for t in ids], np.int64)
+        ids, counts = ids[spread((np.cumsum(size) - size)[kind], size[kind])], size[kind]
+        while number.any():
+            ids, counts = self._joined(ids, counts, np.flatnonzero(number & 1))
+            number = number[number & 1 == 0] >> 1
+        of_piece = np.zeros(len(pieces), np.int64)
+        of_piece[n > 0] = counts
+        return ids, of_piece
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, ...]], np.ndarray]:
+        """The encodings of distinct pairs of tokens, and the number of each pair's."""
+        keys, kind = np.unique((a << _SHIFT) | b, return_inverse=True)
+        return [self.pairs.get(k) or self.pair(k >> _SHIFT, k & ((1 << _SHIFT) - 1)) for k in keys.tolist()], kind
+
+    def _all_fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        windows, kind = self._pairs(a, b)
+        size = np.array([len(w) for w in windows], np.int64)[kind]
+        return (size == 2) & (np.array([w[0] for w in windows], np.int64)[kind] == a) & (np.array([w[-1] for w in windows], np.int64)[kind] == b)
+
+    def _joined(self, ids: np.ndarray, counts: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes after those at `right` are joined with the ones before them: their ids, and how many each has."""
+        starts = np.cumsum(counts) - counts
+        at = starts[right] - 1  # the last token of the left side
+        windows, kind = self._pairs(ids[at], ids[at + 1])
+        size = np.array([len(w) for w in windows], np.int64)
+        flat = np.array([t for w in windows for t in w], np.int64)
+        head, tail = flat[(begin := np.cumsum(size) - size)][kind], flat[begin + size - 1][kind]
+        same = (size[kind] == 2) & (head == ids[at]) & (tail == ids[at + 1])
+        # the window is wide enough where its ends fit the tokens next to them; elsewhere it has to grow
+        grows = np.zeros(len(right), bool)
+        k = np.flatnonzero(~same & (counts[right - 1] > 1))
+        grows[k] = ~self._all_fit(ids[at[k] - 1], head[k])
+        k = np.flatnonzero(~same & ~grows & (counts[right] > 1))
+        grows[k] = ~self._all_fit(tail[k], ids[at[k] + 2])
+        becomes = np.ones(len(ids), np.int64)
+        mended = np.flatnonzero(~same & ~grows)
+        becomes[at[mended]], becomes[at[mended] + 1] = size[kind[mended]], 0
+        anew = []
+        for r in right[grows].tolist():
+            a, b, c = int(starts[r - 1]), int(starts[r]), int(starts[r] + counts[r])
+            anew.append(self.join(tuple(ids[a:b].tolist()), tuple(ids[b:c].tolist())))
+            becomes[a:c] = 0
+            becomes[a] = len(anew[-1])
+        out, to = np.repeat(ids, becomes), np.cumsum(becomes) - becomes
+        out[spread(to[at[mended]], size[kind[mended]])] = flat[spread(begin[kind[mended]], size[kind[mended]])]
+        if anew:
+            first = to[starts[right[grows] - 1]]
+            out[spread(first, np.fromiter(map(len, anew), np.int64, len(anew)))] = np.array([t for ids in anew for t in ids], np.int64)
+        left = np.ones(len(counts), bool)
+        left[right] = False
+        return out, np.add.reduceat(becomes, starts[left])
+
     def piece(self, data: bytes) -> tuple[int, ...]:
         """Ids of a piece: the token that it is, or else its merges."""
         whole = self.ranks.rank.get(data)
@@ -216,8 +289,13 @@ class TextTree:
 
 
 #: White space as the pattern's \s takes it.
-_BLANKS = frozenset(c for c in map(chr, range(0x3001)) if regex.match(r"\s", c))
-_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)?([!-&(-/:-@\[-`{-~]*)")
+_BLANKS = pa.array(["", *(c for c in map(chr, range(0x3001)) if regex.match(r"\s", c))])
+#: Letters, then marks without an apostrophe.
+_SIMPLE = r"^(?P<word> ?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+
+
+def _numbers(codes: pa.Array) -> np.ndarray:
+    return codes.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 class TreeCodec:
@@ -235,45 +313,68 @@ class TreeCodec:
         self.pieces, self.held = {}, 0
         self.tree.tokens.forget()
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = array("H" if self.kind.itemsize == 2 else "I", self.tree.tokens.piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
-            if len(piece) <= 64:
-                self.held += 160 + len(piece) + len(ids)  # a key, a value and their place, about
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        found = [self.pieces.get(p) for p in pieces]
+        new = [k for k, ids in enumerate(found) if ids is None]
+        data = [pieces[k].encode("utf-8", "surrogatepass") for k in new]
+        whole = [self.ranks.rank.get(d, -1) for d in data]
+        ids, counts = self.tree.tokens.encode_all([d for d, w in zip(data, whole, strict=True) if w < 0])
+        made, ends = ids.astype(self.kind).tobytes(), iter((np.cumsum(counts) * self.kind.itemsize).tolist())
+        end = 0
+        for k, w in zip(new, whole, strict=True):
+            if w < 0:
+                start, end = end, next(ends)
+                found[k] = made[start:end]
+            else:
+                found[k] = w.to_bytes(self.kind.itemsize, "little")
+            if len(pieces[k]) <= 64:
+                self.held += 160 + len(pieces[k]) + len(found[k])  # a key, a value and their place, about
                 if self.held > self.keep_bytes:
                     self.pieces, self.held = {}, 0
-                self.pieces[piece] = ids
-        return ids
+                self.pieces[pieces[k]] = found[k]
+        return found
 
-    def _chunk(self, chunk: str) -> bytes:
-        m = _SIMPLE.fullmatch(chunk)
-        if m and m[1]:  # letters, then marks without an apostrophe
-            return self._piece(m[1]) + (self._piece(m[2]) if m[2] else b"")
-        return b"".join([self._piece(m[0]) for m in self.pattern.finditer(chunk)])
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and how many each has."""
+        simple = pc.extract_regex(chunks, _SIMPLE)
+        odd = simple.is_null().to_numpy(zero_copy_only=False)
+        words, marks = (pc.struct_field(simple.drop_null(), f).dictionary_encode() for f in (0, 1))
+        others = [[m[0] for m in self.pattern.finditer(c)] for c in chunks.take(pa.array(np.flatnonzero(odd))).to_pylist()]
+        named = pa.concat_arrays([words.dictionary, marks.dictionary, pa.array([p for c in others for p in c], chunks.type)]).dictionary_encode()
+        code, n = _numbers(named.indices), len(words.dictionary)
+        counts = np.full(len(chunks), 2)
+        counts[odd] = [len(c) for c in others]
+        starts = np.cumsum(counts) - counts
+        pieces = np.empty(int(counts.sum()), np.int64)
+        pieces[starts[~odd]] = code[_numbers(words.indices)]
+        pieces[starts[~odd] + 1] = code[n + _numbers(marks.indices)]
+        pieces[spread(starts[odd], counts[odd])] = code[n + len(marks.dictionary) :]
+        found = self._pieces(named.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        ids = np.frombuffer(b"".join(found), self.kind)[spread((np.cumsum(size) - size)[pieces], size[pieces])]
+        ends = np.concatenate([[0], np.cumsum(size[pieces])])
+        return ids, ends[starts + counts] - ends[starts]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's ids begin and the last one's end."""
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words, codes = coded.dictionary, _numbers(coded.indices)
         ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         at = np.zeros(len(codes), bool)
         at[ends[:-1]] = True
         firsts, place = np.unique(codes[at], return_inverse=True)
-        odd = np.array([not w or w[0] in _BLANKS for w in words], bool)
+        odd = pc.is_in(pc.utf8_slice_codeunits(words, 0, 1), value_set=_BLANKS).to_numpy(zero_copy_only=False)
         rows_odd = np.add.reduceat(odd[codes] & ~at, ends[:-1]) > 0 if len(codes) else np.zeros(0, bool)
         rows_odd |= odd[codes[at]]
         codes[at] = len(words) + place
-        found = [b"" if bad else self._chunk(" " + w) for w, bad in zip(words, odd.tolist(), strict=True)]
-        found += [b"" if odd[k] else self._chunk(words[k]) for k in firsts.tolist()]
-        size = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
-        known = np.frombuffer(b"".join(found), self.kind)
-        del found
+        # rows with an odd word are trees of their own: what their words get here is not used
+        spaced = pc.if_else(pa.array(odd), "", pc.binary_join_element_wise("", words, " "))
+        known, size = self._chunks(pa.concat_arrays([spaced, pc.if_else(pa.array(odd[firsts]), "", words.take(pa.array(firsts)))]))
         n = size[codes]
-        to = np.concatenate([[0], np.cumsum(n)])
-        ids = known[np.arange(to[-1]) + np.repeat((np.cumsum(size) - size)[codes] - to[:-1], n)]
-        bounds = to[ends]
+        ids = known[spread((np.cumsum(size) - size)[codes], n)]
+        bounds = np.concatenate([[0], np.cumsum(n)])[ends]
         if not rows_odd.any():
             return ids, bounds
         parts = [self.tree.encode(texts[r].as_py()).astype(self.kind) if rows_odd[r] else ids[bounds[r] : bounds[r + 1]] for r in range(len(texts))]

@@ -207,6 +207,30 @@ def test_joined_tokens_are_those_of_the_whole(tree_codec, left, right):
     assert tokens.join(bpe_tree.merged(left, rank), bpe_tree.merged(right, rank)) == bpe_tree.merged(left + right, rank)
 
 
+@settings(max_examples=200, deadline=None)
+@given(pieces=st.lists(st.binary(max_size=40), max_size=12))
+def test_trees_reduced_together_equal_single_ones(tree_codec, pieces):
+    ids, counts = tree_codec.tree.tokens.encode_all(pieces)
+    assert ids.tolist() == [t for p in pieces for t in bpe_tree.merged(p, tree_codec.ranks.rank)] and counts.sum() == len(ids)
+    assert counts.tolist() == [len(bpe_tree.merged(p, tree_codec.ranks.rank)) for p in pieces]
+
+
+@pytest.mark.parametrize("text", [*LONG_TEXTS[:2], *LONG_TEXTS[4:6], "=" * 100_000], ids=range(5))
+def test_long_runs_among_others(tree_codec, library, text):
+    ids, ends = tree_codec.encode(pa.array(["", "x " + text, "y"]))
+    assert ids.tolist() == library.encode_ordinary("x " + text) + library.encode_ordinary("y") and ends[0] == ends[1]
+
+
+def test_new_words_are_joined_together(vocabulary, library, monkeypatch):
+    """Of words that were not met before, few need a boundary mended on its own."""
+    rng, alone, one = random.Random(3), [], bpe_tree.TokenTree.join
+    parts = ["the", "an", "on", "er", "re", "in", "ing", "ti", "ha", "st", "ed", "ea", "sh", "nd", "wh", "ly", "ble", "ou"]
+    text = " ".join("".join(rng.choices(parts, k=rng.randint(3, 6))) for _ in range(20_000))
+    monkeypatch.setattr(bpe_tree.TokenTree, "join", lambda *a: alone.append(1) or one(*a))
+    ids, _ = bpe_tree.TreeCodec(*vocabulary).encode(pa.array([text]))
+    assert ids.tolist() == library.encode_ordinary(text) and len(alone) < 0.7 * len({*text.split()})
+
+
 def test_decoding_in_leaves(tree_codec, monkeypatch):
     ids = tree_codec.encode(pa.array(["Ab é 日本 " * 50]))[0]
     whole = tree_codec.decode(ids)
