@@ -40,7 +40,9 @@ class Row:
 
 
 def _split(text: Column, separator: str) -> Column:
-    return F.split(text, "\\Q" + separator + "\\E", -1)
+    """A single character that means nothing in a pattern is passed as it is: Java then splits without a pattern."""
+    plain = len(separator) == 1 and separator not in "\\.$|()[]{}^?*+"
+    return F.split(text, separator if plain else "\\Q" + separator + "\\E", -1)
 
 
 def _at(items: Column, position: int) -> Value:
@@ -71,8 +73,8 @@ def _cast(kind: str) -> Callable[[Row, list], Value]:
     def run(row: Row, args: list) -> Value:
         text = args[0].column.cast("string")
         empty = text.isNull() | text.isin(*NULLS)
-        number = text.try_cast(kind)
-        return Value(F.when(~empty, number), args[0].bad | (~empty & number.isNull()))
+        number = text.try_cast(kind)  # null for what counts as empty
+        return Value(number, args[0].bad | (number.isNull() & ~empty))
 
     return run
 
@@ -149,8 +151,11 @@ def map_fields(df: DataFrame, spec: dict[str, str], row: Row = Row(), keep: tupl
     df, row = row.split_once(df, spec)
     values = {name: compile_expression(text, row) for name, text in spec.items()}
     reject = F.coalesce(*[F.when(v.bad, F.lit(name)) for name, v in values.items()])
-    # One generated row: a filter on `reject` stays above it, so that Spark does not compute all fields for the filter again.
-    fields = F.struct(*[v.column.alias(name) for name, v in values.items()], reject.alias("reject"))
+    # Fields are computed below the generator, where Spark takes what they share into methods of its own: within it, the code of
+    # a dozen fields is one method, beyond the 8,000 bytes up to which the JVM compiles any. The generator makes one row: a
+    # filter on `reject` stays above it, so that Spark does not compute all fields for the filter again.
+    df = df.select(*keep, *[v.column.alias(f"__{name}") for name, v in values.items()], reject.alias("__reject"))
+    fields = F.struct(*[F.col(f"__{name}").alias(name) for name in (*values, "reject")])
     return df.select(*keep, F.inline(F.array(fields)))
 
 

@@ -75,3 +75,13 @@ def test_versions_of_children_are_made_of_one_join(spark, sf_dir):
     """Each line is read and joined with its order once, and only the columns asked for are carried on."""
     plan = catalog.QUERIES["join_latest_child"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_orderkey#") and plan.count("Relation [l_orderkey") == 1 and "l_extendedprice#" not in plan.replace(plan[plan.index("Relation [l_orderkey"):].split("]")[0], "")
+
+
+@pytest.mark.parametrize("name", ["map_feeds", "map_fields"])
+def test_mapped_fields_are_compiled(spark, sf_dir, name):
+    """The JVM leaves methods of more than 8,000 bytes uncompiled: no method that maps a feed's rows may be as long."""
+    plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    code = debug.codegenStringSeq(plan)
+    longest = [code.apply(k)._3().maxMethodCodeSize() for k in range(code.size())]
+    assert longest and 0 < max(longest) < 8000

@@ -60,6 +60,16 @@ def test_mapping_levels(spark):
     assert got.g == "789\x01c\x01r"
 
 
+@pytest.mark.parametrize("level2, level3", [("|", "^"), (".", "\\"), ("\x01", "\x03"), ("ab", "{")])
+def test_mapping_separators_and_empty_numbers(spark, level2, level3):
+    """Separators mean themselves; empty numbers are null, other texts reject the row."""
+    spec = {"a": "@bigint @field2 1 1", "b": "@int @field2 1 2", "c": "@bigint @field3 1 3 2"}
+    lines = [[level2.join(["7", empty, level3.join(["x", last])])] for empty, last in (("", "9"), ("\\N", "null"), ("null", ""), ("q", "1"), ("2147483648", "z"), ("5", "z"))]
+    df = spark.createDataFrame([(x,) for x in [*lines, ["7"], [None]]], "fields array<string>")
+    got = [tuple(r) for r in mapping.map_fields(df, spec, mapping.Row(level2=level2, level3=level3)).collect()]
+    assert got == [(7, None, 9, None), (7, None, None, None), (7, None, None, None), (7, None, 1, "b"), (7, None, None, "b"), (7, 5, None, "c"), (7, None, None, "b"), (None, None, None, "a")]
+
+
 def test_mapping_rejects_and_errors(spark):
     df = rows(spark, "a\x02b", "a")
     good, bad = mapping.split_rejects(mapping.map_fields(df, {"n": "@field 2", "m": "@bigint @field 1"}))
